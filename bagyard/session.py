@@ -8,6 +8,7 @@ where they are unset: a cluster names its shared checkpoint folder in
 from __future__ import annotations
 
 import os
+import uuid
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,7 +81,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "t") -> DataFrame:
+    """Materialise an intermediate table in the shared checkpoint folder and
+    read it back.
+
+    A written Parquet table survives executor loss (unlike cached blocks or a
+    local checkpoint), is computed exactly once (a reliable RDD checkpoint
+    recomputes an unpersisted input when it saves), and gives the optimizer
+    real sizes, so AQE can broadcast a small intermediate and shuffle a big one.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

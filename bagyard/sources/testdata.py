@@ -79,14 +79,14 @@ def payload_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_keys(spark, sf_dir).select("deposit_id", "path", "size", F.lit(False).alias("is_dir"))
+def payload_files(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    return (keys if keys is not None else payload_keys(spark, sf_dir)).select("deposit_id", "path", "size", F.lit(False).alias("is_dir"))
 
 
-def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+def file_metadata(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     """One ``files.xml`` record per lineitem row; paths repeat over records."""
     li = table(spark, sf_dir, "lineitem")
-    keys = payload_keys(spark, sf_dir).select(
+    keys = (keys if keys is not None else payload_keys(spark, sf_dir)).select(
         F.col("deposit_id").alias("l_orderkey"), F.col("line_no").alias("l_linenumber"), F.col("path")
     )
     r = li.join(keys, ["l_orderkey", "l_linenumber"])
@@ -146,9 +146,9 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(dup)
 
 
-def payload_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payload_manifest(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     """sha1 manifest of the payload: every file except line 3; a bad line in some deposits."""
-    k = payload_keys(spark, sf_dir).where(F.col("line_no") != 3)
+    k = (keys if keys is not None else payload_keys(spark, sf_dir)).where(F.col("line_no") != 3)
     checksum = F.when((F.col("deposit_id") % 83 == 0) & (F.col("line_no") == 1), F.lit("f")).otherwise(
         F.sha1(F.concat(F.col("deposit_id"), F.col("path")))
     )
@@ -171,8 +171,8 @@ def external_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payload_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = payload_keys(spark, sf_dir)
+def payload_uris(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    k = keys if keys is not None else payload_keys(spark, sf_dir)
     dep = F.col("deposit_id")
     sel = k.where((dep % 5 == 0) & ((F.col("line_no") != 3) | (dep % 25 == 0)))
     return sel.select(

@@ -91,7 +91,7 @@ def apply_request_defaults(requests: DataFrame) -> DataFrame:
     )
 
 
-def request_rule_codes(requests: DataFrame) -> Column:
+def request_rule_codes(requests: DataFrame | None = None) -> Column:
     """Codes of the failed option rules, as an array."""
     ds = _given("dataset_id")
     rules = [

@@ -128,6 +128,28 @@ def nearest_ancestor(requests: DataFrame, folder_catalog: DataFrame, key: str =
     )
 
 
+def nearest_ancestor_wide(requests: DataFrame, folder_catalog: DataFrame, key: str = "request_id", path: str = "path_in_dataset") -> DataFrame:
+    """J08 keeping all request columns, without a join back to the requests:
+    ``explode_outer`` keeps requests without ancestors, the catalogue is
+    left-joined on (dataset, ancestor path), and one aggregate per request
+    keeps the deepest hit (``max_by`` ignores rows whose depth is null) and
+    carries the request's own columns along with ``any_value``."""
+    others = [c for c in requests.columns if c != key]
+    anc = requests.select("*", F.posexplode_outer(P.ancestor_paths(F.col(path))).alias("depth", "anc_path"))
+    hits = anc.join(normalized_folders(folder_catalog), ["dataset_id", "anc_path"], "left")
+    hit_depth = F.when(F.col("anc_pid").isNotNull(), F.col("depth"))
+    best = hits.groupBy(key).agg(
+        *[F.any_value(c).alias(c) for c in others],
+        F.max_by(F.struct("anc_path", "anc_pid"), hit_depth).alias("b"),
+    )
+    return best.select(
+        key,
+        *others,
+        F.coalesce(F.col("b.anc_path"), F.lit("")).alias("ancestor_path"),
+        F.coalesce(F.col("b.anc_pid"), F.col("dataset_id")).alias("ancestor_pid"),
+    )
+
+
 def parent_sdo(items: DataFrame, path: str = "dataset_path") -> DataFrame:
     """Relation target = SDO of the parent folder, or the dataset SDO at top level.
     A derived key — no join needed."""

@@ -20,8 +20,8 @@ from bagyard import constants as K
 from bagyard.functions import paths as P
 from bagyard.functions.text import fedora_object
 from bagyard.operators import checks, joins
-from bagyard.operators.rejects import union_all
 from bagyard.plans import documents as D
+from bagyard.session import cut_lineage
 
 REQ_REJECT_SCHEMA = "request_id bigint, code string"
 
@@ -39,30 +39,51 @@ def prepare_requests(raw: DataFrame) -> DataFrame:
     return checks.clean_owner(checks.apply_request_defaults(checks.drop_empty_requests(raw)))
 
 
-def request_rejects(req: DataFrame, objects: DataFrame) -> DataFrame:
-    owner = req.where(F.col("owner_id").isNull()).select("request_id", F.lit("owner_missing").alias("code"))
-    given_ds = req.where(F.col("dataset_id") != "")
-    missing = joins.missing_datasets(given_ds, objects).select("request_id", F.lit("dataset_not_found").alias("code"))
-    return union_all(
-        [
-            checks.check_request_rules(req),
-            checks.check_location(req),
-            checks.check_creator_role(req),
-            checks.check_request_rights(req),
-            owner,
-            missing,
-        ]
+def request_codes() -> "F.Column":
+    """P08, P09, P10, P14, P18 and J10 as one array of failed codes per request."""
+    rules = checks.request_rule_codes(None)
+    loc = F.col("datastream_location")
+    given = F.coalesce(loc != "", F.lit(False))
+    from bagyard.functions import text as TX
+    from bagyard.functions.rights import parse_rights
+
+    extra = F.array(
+        F.when(given & ~TX.has_http_protocol(loc), F.lit("location_not_http")),
+        F.when(given & ~TX.is_ascii(loc), F.lit("location_not_ascii")),
+        F.when(~F.col("creator_role").isin(*K.CREATOR_ROLES), F.lit("invalid_creator_role")),
+        F.when(parse_rights(F.col("accessible_to")).isNull(), F.lit("invalid_accessible_to")),
+        F.when(parse_rights(F.col("visible_to")).isNull(), F.lit("invalid_visible_to")),
+        F.when(F.col("owner_id").isNull(), F.lit("owner_missing")),
+        F.when((F.col("dataset_id") != "") & F.col("_exists").isNull(), F.lit("dataset_not_found")),
     )
+    return F.concat(rules, F.filter(extra, lambda x: x.isNotNull()))
+
+
+def checked_requests(raw: DataFrame, objects: DataFrame) -> DataFrame:
+    """Requests after P12/P11/P18 with the array of failed codes (one pass).
+
+    The existence check (J10) is a left join against the distinct object ids:
+    one row per dataset, broadcast by AQE when small; a hot dataset on the
+    request side is split by AQE's skew handling otherwise."""
+    req = prepare_requests(raw)
+    exists = objects.select(F.col("pid").alias("dataset_id")).distinct().withColumn("_exists", F.lit(True))
+    return req.join(exists, "dataset_id", "left").withColumn("codes", request_codes()).drop("_exists")
+
+
+def request_rejects(req: DataFrame, objects: DataFrame) -> DataFrame:
+    """(request_id, code) for every failed check of every request."""
+    return checked_requests(req, objects).select("request_id", F.explode("codes").alias("code"))
 
 
 def stage_items(raw_requests: DataFrame, folder_catalog: DataFrame, objects: DataFrame, only_missing: bool = False) -> ItemResult:
-    req = prepare_requests(raw_requests)
-    rej = request_rejects(req, objects)
-    ok = req.join(rej.select("request_id").distinct(), "request_id", "left_anti")
-    anc = joins.nearest_ancestor(ok, folder_catalog)
-    r = joins.request_parent(ok.join(anc, "request_id"))
+    # the checked requests feed the rejects, the files and the folders: materialise once
+    r = cut_lineage(checked_requests(raw_requests, objects), "requests")
+    rej = r.select("request_id", F.explode("codes").alias("code"))
+    ok = r.where(F.size("codes") == 0).drop("codes")
+    located = joins.nearest_ancestor_wide(ok, folder_catalog)
+    r2 = joins.request_parent(located)
     managed = F.col("file_location") != ""
-    files = r.select(
+    files = r2.select(
         "request_id",
         "dataset_id",
         P.sdo_set_name(F.col("dataset_id")).alias("set_name"),
@@ -86,7 +107,7 @@ def stage_items(raw_requests: DataFrame, folder_catalog: DataFrame, objects: Dat
         fedora_object(F.col("dataset_id")).alias("subordinate_object"),
     )
     folders = D.ancestor_sdos(ok, folder_catalog, only_missing=only_missing)
-    return ItemResult(requests=req, rejects=rej, files=files, folders=folders)
+    return ItemResult(requests=r.drop("codes"), rejects=rej, files=files, folders=folders)
 
 
 def testdata_items(spark, sf_dir: str, only_missing: bool = False) -> ItemResult:

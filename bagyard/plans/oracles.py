@@ -586,7 +586,7 @@ UNION ALL SELECT deposit_id, sdo_name, 'file' FROM items""",
     "F16_folder_name": _with(f"items AS ({PAYLOAD_ITEMS})", f"SELECT deposit_id, dataset_path AS path, {NAME('dataset_path')} AS name FROM ({FOLDERS('items')})",
                              "payload_files"),
     "F17_ancestor_paths": with_bindings(
-        """SELECT request_id, i - 1 AS depth, array_to_string(list_slice(parts, 1, i), '/') AS ancestor
+        """SELECT request_id, CAST(i - 1 AS INTEGER) AS depth, array_to_string(list_slice(parts, 1, i), '/') AS ancestor
 FROM (SELECT request_id, parts, unnest(range(1, len(parts))) AS i FROM (SELECT request_id, string_split(path_in_dataset, '/') AS parts FROM item_requests WHERE path_in_dataset <> ''))""",
         "item_requests"),
     # ---------------------------------------------------------------- documents

@@ -348,6 +348,32 @@ def _with(ctes: str, body: str, *bindings: str) -> str:
 ORACLES: dict[str, str] = {
     # ---------------------------------------------------------------- sources / sinks
     "S03_scan_manifests": with_bindings(PARSED("manifest_lines"), "manifest_lines"),
+    "S04_parse_file_records": with_bindings(
+        "SELECT deposit_id, filepath, " + ", ".join(
+            f"CAST(len({c}) AS INTEGER) AS n_{c}, array_to_string({c}, '|') AS {c}_text"
+            for c in ["format", "title", "access_rights", "accessible_to", "visible_to"]) + " FROM file_metadata",
+        "file_metadata"),
+    "S05_parse_dataset_metadata": with_bindings(
+        """SELECT dp.deposit_id,
+  coalesce((SELECT string_agg(audience, '|' ORDER BY pos) FROM audiences a WHERE a.deposit_id = dp.deposit_id), '') AS audiences,
+  coalesce((SELECT string_agg(created, '|' ORDER BY pos) FROM created c WHERE c.deposit_id = dp.deposit_id), '') AS created,
+  coalesce((SELECT string_agg(rights_holder, '|' ORDER BY pos) FROM rights_holders r WHERE r.deposit_id = dp.deposit_id), '') AS rights_holders,
+  coalesce((SELECT string_agg(text, '|' ORDER BY pos) FROM license_elements l WHERE l.deposit_id = dp.deposit_id), '') AS license_texts,
+  coalesce((SELECT string_agg(coalesce(xsi_type, '-'), '|' ORDER BY pos) FROM license_elements l WHERE l.deposit_id = dp.deposit_id), '') AS license_types,
+  CAST((SELECT count(*) FROM license_elements l WHERE l.deposit_id = dp.deposit_id) AS INTEGER) AS n_licenses
+FROM deposits dp""",
+        "deposits", "audiences", "created", "rights_holders", "license_elements"),
+    "S06_parse_agreements": _with(
+        "fs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY deposit_id ORDER BY pos) AS rn FROM agreement_signers) WHERE rn = 1)",
+        """SELECT a.deposit_id, a.is_valid,
+  CASE WHEN a.is_valid THEN a.accepted_text END AS accepted_text, CASE WHEN a.is_valid THEN a.privacy_text END AS privacy_text,
+  CASE WHEN a.is_valid THEN fs.name END AS name, CASE WHEN a.is_valid THEN fs.account END AS account,
+  CASE WHEN a.is_valid THEN fs.email END AS email
+FROM agreements a LEFT JOIN fs USING (deposit_id)""",
+        "agreements", "agreement_signers"),
+    "S09_scan_item_requests": with_bindings(
+        "SELECT path_in_dataset, format, datastream_location, size, file_location, dataset_id, accessible_to, visible_to, creator_role, owner_id FROM item_requests",
+        "item_requests"),
     "S08_parse_uri_mapping": _with(
         rf"""p AS (SELECT deposit_id, line_no, regexp_matches(line, '^(.*)\s+(.*)$') AS ok,
               {JTRIM(r"regexp_extract(line, '^(.*)\s+(.*)$', 1)")} AS path,

@@ -88,11 +88,55 @@ def s03(s, d):
     return scans.parse_manifest_lines(T.manifest_lines(s, d))
 
 
+@q("S04_parse_file_records")
+def s04(s, d):
+    r = scans.parse_file_records(T.file_records_xml(s, d))
+    out = [F.col("deposit_id"), F.col("filepath")]
+    for c in ["format", "title", "access_rights", "accessible_to", "visible_to"]:
+        out += [F.size(c).alias(f"n_{c}"), F.array_join(c, "|").alias(f"{c}_text")]
+    return r.select(*out)
+
+
+@q("S05_parse_dataset_metadata")
+def s05(s, d):
+    r = scans.parse_dataset_metadata(T.dataset_xml(s, d))
+    return r.select(
+        "deposit_id",
+        F.array_join("audience", "|").alias("audiences"),
+        F.array_join("created", "|").alias("created"),
+        F.array_join("rights_holder", "|").alias("rights_holders"),
+        F.array_join(F.transform("license", lambda x: x["text"]), "|").alias("license_texts"),
+        F.array_join(F.transform("license", lambda x: F.coalesce(x["xsi_type"], F.lit("-"))), "|").alias("license_types"),
+        F.size("license").alias("n_licenses"),
+    )
+
+
+@q("S06_parse_agreements")
+def s06(s, d):
+    return scans.parse_agreements(T.agreements_xml(s, d)).select("deposit_id", "is_valid", "accepted_text", "privacy_text", "name", "account", "email")
+
+
 @q("S08_parse_uri_mapping")
 def s08(s, d):
     return scans.parse_uri_mapping(T.uri_lines(s, d))
 
 
+@q("S09_scan_item_requests")
+def s09(s, d):
+    """Requests written as RFC-4180 CSV (mixed-case headers, one extra column)
+    to the shared checkpoint folder by Spark, then scanned back."""
+    import uuid
+
+    from bagyard.session import checkpoint_dir
+
+    reqs = T.item_requests(s, d)
+    cols = [F.col(c).alias(opt.upper() if i % 2 == 0 else opt) for i, (c, opt) in enumerate(zip(checks.REQUEST_COLS, K.REQUEST_OPTIONS))]
+    path = f"{checkpoint_dir(s).rstrip('/')}/s09-{uuid.uuid4().hex}"
+    (reqs.select(*cols, F.lit("ignored").alias("Comment")).write.option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return scans.scan_item_requests(s, path).drop("request_id")
+
+
 @q("S10_scan_folder_catalog")
 def s10(s, d):
     return scans.scan_folder_catalog(T.folder_catalog(s, d))

@@ -163,6 +163,26 @@ def scan_file_metadata(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def parse_file_records(df: DataFrame, xml: str = "xml") -> DataFrame:
+    """S04 on a column of ``<file>`` record texts (e.g. records extracted from a
+    stream): same schema and value normalisation as :func:`scan_file_metadata`."""
+    p = df.withColumn("_r", F.from_xml(F.col(xml), FILE_MD_SCHEMA, {"ignoreNamespace": "true"}))
+
+    def arr(name: str) -> Column:
+        return _xml_text(F.coalesce(F.col(f"_r.{name}"), F.array().cast("array<string>")))
+
+    keep = [c for c in df.columns if c != xml]
+    return p.select(
+        *keep,
+        F.col("_r._filepath").alias("filepath"),
+        arr("format").alias("format"),
+        arr("title").alias("title"),
+        arr("accessRights").alias("access_rights"),
+        arr("accessibleToRights").alias("accessible_to"),
+        arr("visibleToRights").alias("visible_to"),
+    )
+
+
 # ------------------------------------------------------------------ S05
 DDM_SCHEMA = Ty.StructType(
     [
@@ -188,32 +208,31 @@ DDM_SCHEMA = Ty.StructType(
 )
 
 
-def scan_dataset_metadata(spark: SparkSession, root: str) -> DataFrame:
-    """Audiences, created, rights holders and licences (with ``xsi:type``)
-    of every ``dataset.xml``, plus the raw namespace declarations of the root."""
-    glob = f"{root}/*/*/metadata/dataset.xml"
-    md = (
-        spark.read.format("xml")
-        .option("rowTag", "DDM")
-        .option("ignoreNamespace", "true")
-        .schema(DDM_SCHEMA)
-        .load(glob)
-        .select(
-            _deposit_of(_file_path(), root).alias("deposit_id"),
-            _xml_text(F.coalesce(F.col("profile.audience"), F.array().cast("array<string>"))).alias("audience"),
-            _xml_text(F.coalesce(F.col("profile.created"), F.array().cast("array<string>"))).alias("created"),
-            _xml_text(F.coalesce(F.col("dcmiMetadata.rightsHolder"), F.array().cast("array<string>"))).alias("rights_holder"),
-            F.transform(
-                F.coalesce(F.col("dcmiMetadata.license"), F.array().cast("array<struct<_VALUE:string,_type:string>>")),
-                lambda x: F.struct(jtrim(F.coalesce(x["_VALUE"], F.lit(""))).alias("text"), x["_type"].alias("xsi_type")),
-            ).alias("license"),
-        )
+def parse_dataset_metadata(raw: DataFrame, xml: str = "xml") -> DataFrame:
+    """S05 on a column of ``dataset.xml`` documents: audiences, created, rights
+    holders, licences with ``xsi:type``, and the raw namespace declarations."""
+    p = raw.withColumn("_d", F.from_xml(F.col(xml), DDM_SCHEMA, {"ignoreNamespace": "true"}))
+    empty = F.array().cast("array<string>")
+    keep = [c for c in raw.columns if c != xml]
+    return p.select(
+        *keep,
+        _xml_text(F.coalesce(F.col("_d.profile.audience"), empty)).alias("audience"),
+        _xml_text(F.coalesce(F.col("_d.profile.created"), empty)).alias("created"),
+        _xml_text(F.coalesce(F.col("_d.dcmiMetadata.rightsHolder"), empty)).alias("rights_holder"),
+        F.transform(
+            F.coalesce(F.col("_d.dcmiMetadata.license"), F.array().cast("array<struct<_VALUE:string,_type:string>>")),
+            lambda x: F.struct(jtrim(F.coalesce(x["_VALUE"], F.lit(""))).alias("text"), x["_type"].alias("xsi_type")),
+        ).alias("license"),
+        F.array_join(F.regexp_extract_all(F.col(xml), F.lit(r'(xmlns:\w+="[^"]*")'), 1), " ").alias("ns_decls"),
     )
-    decls = spark.read.text(glob, wholetext=True).select(
-        _deposit_of(_file_path(), root).alias("deposit_id"),
-        F.array_join(F.regexp_extract_all(F.col("value"), F.lit(r'(xmlns:\w+="[^"]*")'), 1), " ").alias("ns_decls"),
+
+
+def scan_dataset_metadata(spark: SparkSession, root: str) -> DataFrame:
+    """S05 on files: every ``metadata/dataset.xml`` of the corpus."""
+    raw = spark.read.text(f"{root}/*/*/metadata/dataset.xml", wholetext=True).select(
+        _deposit_of(_file_path(), root).alias("deposit_id"), F.col("value").alias("xml")
     )
-    return md.join(decls, "deposit_id", "left")
+    return parse_dataset_metadata(raw)
 
 
 # ------------------------------------------------------------------ S06
@@ -224,35 +243,41 @@ AGREEMENTS_SCHEMA = (
 )
 
 
-def scan_agreements(spark: SparkSession, root: str) -> DataFrame:
-    """Agreements per deposit; *missing* (no row) is told apart from *not
-    parseable* (``is_valid`` false) — the document is read raw (no trimming)."""
-    raw = spark.read.text(f"{root}/*/*/metadata/depositor-info/agreements.xml", wholetext=True).select(
-        _deposit_of(_file_path(), root).alias("deposit_id"), F.col("value").alias("xml")
-    )
+def parse_agreements(raw: DataFrame, xml: str = "xml") -> DataFrame:
+    """S06 on a column of agreement documents: parse with a corrupt-record
+    column, so an unparseable document gives ``is_valid`` false instead of failing."""
     parsed = raw.withColumn(
         "a",
         F.from_xml(
-            "xml",
+            xml,
             AGREEMENTS_SCHEMA,
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"},
         ),
     )
-    well_formed = F.col("xml").rlike(r"(?s)^\s*(<\?xml[^>]*\?>)?\s*<")
+    well_formed = F.col(xml).rlike(r"(?s)^\s*(<\?xml[^>]*\?>)?\s*<")
     valid = F.col("a").isNotNull() & F.col("a._corrupt").isNull() & well_formed
-    signer = F.element_at(F.col("a.depositAgreement.signerId"), 1)
+    signer = F.when(valid, F.element_at(F.col("a.depositAgreement.signerId"), 1))
     return parsed.select(
         "deposit_id",
         valid.alias("is_valid"),
         F.when(~valid, F.lit("the document is not well-formed XML")).alias("parse_error"),
-        F.element_at(F.col("a.depositAgreement.depositAgreementAccepted"), 1).alias("accepted_text"),
-        F.element_at(F.col("a.containsPrivacySensitiveData"), 1).alias("privacy_text"),
+        F.when(valid, F.element_at(F.col("a.depositAgreement.depositAgreementAccepted"), 1)).alias("accepted_text"),
+        F.when(valid, F.element_at(F.col("a.containsPrivacySensitiveData"), 1)).alias("privacy_text"),
         F.when(signer.isNotNull(), F.coalesce(signer["_VALUE"], F.lit(""))).alias("name"),
         signer["_easy-account"].alias("account"),
         signer["_email"].alias("email"),
     )
 
 
+def scan_agreements(spark: SparkSession, root: str) -> DataFrame:
+    """Agreements per deposit; *missing* (no row) is told apart from *not
+    parseable* (``is_valid`` false) — the document is read raw (no trimming)."""
+    raw = spark.read.text(f"{root}/*/*/metadata/depositor-info/agreements.xml", wholetext=True).select(
+        _deposit_of(_file_path(), root).alias("deposit_id"), F.col("value").alias("xml")
+    )
+    return parse_agreements(raw)
+
+
 # ------------------------------------------------------------------ S07
 def scan_messages(spark: SparkSession, root: str) -> DataFrame:
     """Message from the depositor as UTF-8 whole text (missing -> no row)."""
@@ -325,6 +350,8 @@ def scan_item_requests(spark: SparkSession, csv_path: str) -> DataFrame:
         .option("escape", '"')
         .option("quote", '"')
         .option("mode", "PERMISSIVE")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .csv(csv_path)
     )
     from bagyard import constants as K

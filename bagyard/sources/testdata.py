@@ -460,3 +460,79 @@ def collision_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.col("text").alias("label_text"))
+
+
+# ------------------------------------------------------------------ documents rendered from the bindings
+def _esc(c: Column) -> Column:
+    from bagyard.functions.text import xml_escape
+
+    return xml_escape(c)
+
+
+def file_records_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each ``files.xml`` record of :func:`file_metadata` rendered as its XML element."""
+    md = file_metadata(spark, sf_dir)
+
+    def elems(col: str, tag: str) -> Column:
+        return F.array_join(F.transform(F.col(col), lambda x: F.concat(F.lit(f"<{tag}>"), _esc(x), F.lit(f"</{tag}>"))), "")
+
+    xml = F.concat(
+        F.lit('<file xmlns:dcterms="http://purl.org/dc/terms/" filepath="'), _esc(F.col("filepath")), F.lit('">'),
+        elems("format", "dcterms:format"), elems("title", "dcterms:title"), elems("access_rights", "accessRights"),
+        elems("accessible_to", "accessibleToRights"), elems("visible_to", "visibleToRights"), F.lit("</file>"),
+    )
+    return md.select("deposit_id", xml.alias("xml"))
+
+
+def agreements_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``agreements.xml`` per deposit rendered from :func:`agreements` and its
+    signers (a handful per deposit, in document order); unparseable ones are junk text."""
+    sg = agreement_signers(spark, sf_dir)
+    signer = F.concat(
+        F.lit("<signerId"),
+        F.when(F.col("account").isNotNull(), F.concat(F.lit(' easy-account="'), _esc(F.col("account")), F.lit('"'))).otherwise(F.lit("")),
+        F.when(F.col("email").isNotNull(), F.concat(F.lit(' email="'), _esc(F.col("email")), F.lit('"'))).otherwise(F.lit("")),
+        F.lit(">"), _esc(F.col("name")), F.lit("</signerId>"),
+    )
+    signers = sg.groupBy("deposit_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", signer.alias("x")))), lambda t: t["x"]), "").alias("signers")
+    )
+    a = agreements(spark, sf_dir).join(signers, "deposit_id", "left")
+    doc = F.concat(
+        F.lit('<?xml version="1.0" encoding="UTF-8"?><agreements xmlns="http://easy.dans.knaw.nl/schemas/bag/metadata/agreements/"><depositAgreement>'),
+        F.coalesce(F.col("signers"), F.lit("")),
+        F.when(F.col("accepted_text").isNotNull(), F.concat(F.lit("<depositAgreementAccepted>"), _esc(F.col("accepted_text")), F.lit("</depositAgreementAccepted>"))).otherwise(F.lit("")),
+        F.lit("</depositAgreement>"),
+        F.when(F.col("privacy_text").isNotNull(), F.concat(F.lit("<containsPrivacySensitiveData>"), _esc(F.col("privacy_text")), F.lit("</containsPrivacySensitiveData>"))).otherwise(F.lit("")),
+        F.lit("</agreements>"),
+    )
+    return a.select("deposit_id", F.when(F.col("is_valid"), doc).otherwise(F.lit("this is not xml")).alias("xml"))
+
+
+def dataset_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``dataset.xml`` per deposit rendered from the audience, created,
+    rights-holder, licence and namespace bindings (a handful of elements each)."""
+
+    def listed(df: DataFrame, value: Column, name: str) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct(F.col("pos"), value.alias("x"))))
+        return df.groupBy("deposit_id").agg(F.array_join(F.transform(ordered, lambda t: t["x"]), "").alias(name))
+
+    aud = listed(audiences(spark, sf_dir), F.concat(F.lit("<ddm:audience>"), _esc(F.col("audience")), F.lit("</ddm:audience>")), "aud")
+    cre = listed(created(spark, sf_dir), F.concat(F.lit("<ddm:created>"), _esc(F.col("created")), F.lit("</ddm:created>")), "cre")
+    rh = listed(rights_holders(spark, sf_dir), F.concat(F.lit("<rightsHolder>"), _esc(F.col("rights_holder")), F.lit("</rightsHolder>")), "rh")
+    lic_el = F.concat(
+        F.lit("<license"),
+        F.when(F.col("xsi_type").isNotNull(), F.concat(F.lit(' xsi:type="'), _esc(F.col("xsi_type")), F.lit('"'))).otherwise(F.lit("")),
+        F.lit(">"), _esc(F.col("text")), F.lit("</license>"),
+    )
+    lic = listed(license_elements(spark, sf_dir), lic_el, "lic")
+    d = (deposits(spark, sf_dir).select("deposit_id").join(aud, "deposit_id", "left").join(cre, "deposit_id", "left")
+         .join(rh, "deposit_id", "left").join(lic, "deposit_id", "left").join(ns_decls(spark, sf_dir), "deposit_id", "left"))
+    doc = F.concat(
+        F.lit('<ddm:DDM xmlns:ddm="http://easy.dans.knaw.nl/schemas/md/ddm/" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" '),
+        F.coalesce(F.regexp_replace(F.col("ns_decls"), r'xmlns:ddm="[^"]*"', ""), F.lit("")),
+        F.lit("><ddm:profile>"), F.coalesce(F.col("cre"), F.lit("")), F.coalesce(F.col("aud"), F.lit("")),
+        F.lit("</ddm:profile><ddm:dcmiMetadata>"), F.coalesce(F.col("rh"), F.lit("")), F.coalesce(F.col("lic"), F.lit("")),
+        F.lit("</ddm:dcmiMetadata></ddm:DDM>"),
+    )
+    return d.select("deposit_id", doc.alias("xml"))

@@ -76,9 +76,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc_dir
     # unset: tests and the local bench only
     scratch = tempfile.mkdtemp(prefix="bagyard-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    try:
+        spark.conf.set("spark.checkpoint.dir", scratch)
+    except Exception:  # noqa: BLE001 — some sessions reject runtime core settings; the context dir suffices
+        pass
+    return spark.sparkContext.getCheckpointDir() or scratch
 
 
 def cut_lineage(df: DataFrame, name: str = "t") -> DataFrame:

@@ -46,3 +46,41 @@ def test_documents_render(spark):
     assert amd.count("<wfs:workflow>") + amd.count("<wfs:workflow xmlns") == len(K.WORKFLOW_TREE)
     n_files = res.files.count()
     assert docs.where(F.col("file_name") == "EASY_FILE_METADATA").count() == n_files
+
+
+def test_foxml_label_and_escape(spark):
+    from bagyard.plans import documents as D
+
+    df = spark.createDataFrame([(1, "s", "a<b>&\"c" + "x" * 300, "own&er", "text/plain")],
+                               "deposit_id long, sdo_name string, label string, owner_id string, mime_type string")
+    doc = D.render_foxml(df).first().content
+    label = doc.split('model#label" VALUE="')[1].split('"/>')[0]
+    assert label.startswith("a&lt;b&gt;&amp;&quot;c") and label.endswith("x")
+    assert len(label.replace("&lt;", "<").replace("&gt;", ">").replace("&amp;", "&").replace("&quot;", '"')) == 255
+    assert 'ownerId" VALUE="own&amp;er"' in doc and "<dc:type>text/plain</dc:type>" in doc
+
+
+def test_ancestor_sdos_only_missing(spark):
+    from bagyard.plans import documents as D
+
+    req = spark.createDataFrame([("ds:1", "a/b/c.txt"), ("ds:1", "a/d.txt"), ("ds:2", "top.txt")], "dataset_id string, path_in_dataset string")
+    cat = spark.createDataFrame([("f:a", "a/", "ds:1")], "pid string, path string, dataset_sid string")
+    allf = {(r.dataset_id, r.path, r.parent_object) for r in D.ancestor_sdos(req).collect()}
+    assert allf == {("ds:1", "a", "ds_1"), ("ds:1", "a/b", "a")}  # q8: the raw grand-parent path
+    missing = {(r.dataset_id, r.path) for r in D.ancestor_sdos(req, cat, only_missing=True).collect()}
+    assert missing == {("ds:1", "a/b")}
+
+
+def test_bag_copies_and_copy_plan(spark):
+    from bagyard.sources import sinks
+
+    dep = spark.createDataFrame([(1, True), (2, True), (3, False)], "deposit_id long, include_bag_metadata boolean")
+    flags = spark.createDataFrame(
+        [(1, True, True, False, True, False), (2, True, False, True, False, False)],
+        "deposit_id long, has_dataset_xml boolean, has_files_xml boolean, has_sha1_manifest boolean, has_agreements boolean, has_message boolean")
+    copies, rej = sinks.bag_metadata_documents(dep, flags)
+    assert sorted((r.deposit_id, r.file_name) for r in copies.collect()) == [
+        (1, "agreements.xml"), (1, "dataset.xml"), (1, "files.xml"), (2, "dataset.xml"), (2, "manifest-sha1.txt")]
+    assert [(r.deposit_id, r.item) for r in rej.collect()] == [(2, "metadata/files.xml")]
+    files = spark.createDataFrame([(1, "a_b", "data/a/b", "M"), (1, "c", "data/c", "R")], "deposit_id long, sdo_name string, path string, control_group string")
+    assert [(r.source, r.target) for r in sinks.copy_plan(files).collect()] == [("data/a/b", "a_b/EASY_FILE")]

@@ -137,11 +137,13 @@ def folder_datastreams(folders: DataFrame) -> DataFrame:
     return folders.select("deposit_id", "sdo_name", F.inline(row)).select(*DS_COLS)
 
 
-def config_json(namespace: Column | str, datastreams: DataFrame, relations: DataFrame) -> DataFrame:
+def config_json(namespace: Column | str, datastreams: DataFrame, relations: DataFrame, compat: bool = True) -> DataFrame:
     """N01-N03 rendering: ``cfg.json`` per SDO from the normalised tables.
 
     Arrays are collected per SDO (a handful of entries each, never per deposit);
-    ``to_json`` omits null fields, which gives the optional keys."""
+    ``to_json`` omits null fields, which gives the optional keys.  With
+    ``compat`` the manifest datastream keeps its key ``dsId`` (all others
+    ``dsID``), as the reference writes it (q2)."""
     ds = datastreams.groupBy("deposit_id", "sdo_name").agg(
         F.array_sort(F.collect_list(F.struct("ord", "content_file", "ds_id", "ds_location", "label", "control_group", "mime_type", "checksum_type", "checksum"))).alias("ds")
     )
@@ -149,8 +151,12 @@ def config_json(namespace: Column | str, datastreams: DataFrame, relations: Data
         F.array_sort(F.collect_list(F.struct("ord", "predicate", "object_kind", "object", "is_literal"))).alias("rel")
     )
     ns = F.lit(namespace) if isinstance(namespace, str) else namespace
+    def is_manifest(x):
+        return F.lit(compat) & (x["ds_id"] == "manifest-sha1.txt")
+
     ds_json = F.transform(F.col("ds"), lambda x: F.struct(
-        x["content_file"].alias("contentFile"), x["ds_location"].alias("dsLocation"), x["ds_id"].alias("dsID"),
+        x["content_file"].alias("contentFile"), x["ds_location"].alias("dsLocation"),
+        F.when(~is_manifest(x), x["ds_id"]).alias("dsID"), F.when(is_manifest(x), x["ds_id"]).alias(K.MANIFEST_DS_KEY),
         x["label"].alias("label"), x["control_group"].alias("controlGroup"), x["mime_type"].alias("mimeType"),
         x["checksum_type"].alias("checksumType"), x["checksum"].alias("checksum")))
     rel_json = F.transform(F.col("rel"), lambda x: F.struct(

@@ -84,3 +84,21 @@ def test_bag_copies_and_copy_plan(spark):
     assert [(r.deposit_id, r.item) for r in rej.collect()] == [(2, "metadata/files.xml")]
     files = spark.createDataFrame([(1, "a_b", "data/a/b", "M"), (1, "c", "data/c", "R")], "deposit_id long, sdo_name string, path string, control_group string")
     assert [(r.source, r.target) for r in sinks.copy_plan(files).collect()] == [("data/a/b", "a_b/EASY_FILE")]
+
+
+def test_config_json_keys(spark):
+    from bagyard.plans import documents as D
+
+    ds = spark.createDataFrame(
+        [(1, "S", 1, "AMD", "AMD", None, "L", "X", "text/xml", None, None),
+         (1, "S", 6, "manifest-sha1.txt", "manifest-sha1.txt", None, "M", "M", "text/plain", None, None),
+         (1, "F", 1, "EASY_FILE", "EASY_FILE", None, None, "M", "text/plain", "SHA-1", None)],
+        "deposit_id long, sdo_name string, ord int, ds_id string, content_file string, ds_location string, label string, control_group string, mime_type string, checksum_type string, checksum string")
+    rel = spark.createDataFrame([(1, "S", 1, "p", "objectSDO", "a_b", None)],
+                                "deposit_id long, sdo_name string, ord int, predicate string, object_kind string, object string, is_literal boolean")
+    got = {r.sdo_name: r.content for r in D.config_json("ns", ds, rel).collect()}
+    assert got["S"] == ('{"namespace":"ns","datastreams":[{"contentFile":"AMD","dsID":"AMD","label":"L","controlGroup":"X","mimeType":"text/xml"},'
+                        '{"contentFile":"manifest-sha1.txt","dsId":"manifest-sha1.txt","label":"M","controlGroup":"M","mimeType":"text/plain"}],'
+                        '"relations":[{"predicate":"p","objectSDO":"a_b"}]}')
+    # q20: a missing checksum still writes checksumType
+    assert '"checksumType":"SHA-1"}' in got["F"] and '"checksum":' not in got["F"]

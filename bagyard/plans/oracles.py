@@ -679,3 +679,4 @@ UNION ALL SELECT deposit_id, {SDO('dataset_path')}, 'file',
     "N11_item_request_job": _with(ITEM_CTES, "SELECT * FROM ifiles", *ITEM_BINDINGS),
     "R01_arrival_staging": _with(ITEM_CTES, "SELECT * FROM ifiles", *ITEM_BINDINGS),
 }
+ORACLES["R01_deposit_arrival"] = ORACLES["N10_staging_job"]

@@ -677,3 +677,10 @@ def r01(s, d):
     from bagyard.streaming.arrival import drained_item_stream
 
     return drained_item_stream(s, d)
+
+
+@q("R01_deposit_arrival")
+def r01d(s, d):
+    from bagyard.streaming.arrival import drained_deposit_stream
+
+    return drained_deposit_stream(s, d)

@@ -102,3 +102,11 @@ def test_config_json_keys(spark):
                         '"relations":[{"predicate":"p","objectSDO":"a_b"}]}')
     # q20: a missing checksum still writes checksumType
     assert '"checksumType":"SHA-1"}' in got["F"] and '"checksum":' not in got["F"]
+
+
+def test_deposit_stream_equals_batch(spark):
+    from bagyard.plans.queries import flagship
+    from bagyard.streaming.arrival import drained_deposit_stream
+
+    batch = flagship(DJ.stage_datasets(DJ.testdata_inputs(spark, SF)))
+    assert _rows(drained_deposit_stream(spark, SF)) == _rows(batch)

@@ -15,7 +15,7 @@ SF = os.environ.get("BAGYARD_TEST_SF", "/root/testdata/sf0.001")
 
 def _rows(df):
     cols = sorted(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.select(*cols).collect()), key=repr)
 
 
 def test_stream_equals_batch(spark):

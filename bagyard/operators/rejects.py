@@ -30,3 +30,24 @@ def reject(df: DataFrame, code: str, message: Column, item: Column | None = None
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def candidate(cond: Column, code: str, message: Column, item: Column | None = None) -> Column:
+    """One candidate reject as a struct; null when the condition does not hold."""
+    return F.when(
+        cond,
+        F.struct(
+            (item if item is not None else F.lit(None)).cast("string").alias("item"),
+            F.lit(K.STAGE[code]).alias("stage"),
+            F.lit(code).alias("code"),
+            message.cast("string").alias("message"),
+        ),
+    )
+
+
+def explode_candidates(df: DataFrame, candidates: list[Column], key: str = "deposit_id") -> DataFrame:
+    """All failed checks of a row in one pass: array of candidate structs -> reject rows."""
+    arr = F.filter(F.array(*candidates), lambda x: x.isNotNull())
+    return df.select(F.col(key).cast("bigint").alias("deposit_id"), F.inline(arr)).select(
+        "deposit_id", "item", F.col("stage").cast("int").alias("stage"), "code", "message"
+    )

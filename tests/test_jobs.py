@@ -110,3 +110,21 @@ def test_deposit_stream_equals_batch(spark):
 
     batch = flagship(DJ.stage_datasets(DJ.testdata_inputs(spark, SF)))
     assert _rows(drained_deposit_stream(spark, SF)) == _rows(batch)
+
+
+def test_quirks_q3_q4_q18(spark):
+    from bagyard.operators import checks
+    from bagyard.plans import documents as D
+
+    # q3: MAINTENANCE is a valid state
+    dep = spark.createDataFrame([(1, "MAINTENANCE"), (2, "ARCHIVED")], "deposit_id long, state string")
+    assert [r.deposit_id for r in checks.check_state(dep).collect()] == [2]
+    # q4: the message column holds one escape; the AMD rendering escapes again
+    facts = spark.createDataFrame([(1, "SUBMITTED", "DRAFT", "2020-01-01T00:00:00.000Z", "u1", "x &lt;b&gt;")],
+                                  "deposit_id long, dataset_state string, previous_state string, last_state_change string, depositor_id string, remark_text string")
+    amd = D.render_amd(facts, "2020-01-02T00:00:00.000Z").first().content
+    assert "<text>x &amp;lt;b&amp;gt;</text>" in amd and "<toState>SUBMITTED</toState>" in amd
+    # q18: explicit directory rows (empty folders) become folder SDOs too
+    files = spark.createDataFrame([(1, "a/b/f.txt", False), (1, "empty", True)], "deposit_id long, dataset_path string, is_dir boolean")
+    got = {(r.dataset_path, r.parent_sdo) for r in D.folder_sdos(files).collect()}
+    assert got == {("a", K.DATASET_SDO), ("a/b", "a"), ("empty", K.DATASET_SDO)}

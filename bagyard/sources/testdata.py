@@ -25,8 +25,20 @@ SF01 = "/root/testdata/sf0.01"
 SF1 = "/root/testdata/sf0.1"
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet relation of a test table.  The lazy relation (file listing
+    and footer schema, no data) is reused per session and path, so the many
+    bindings over one table do not list and infer it again each time."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession._jsparkSession is not spark._jsparkSession:
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df
+    return df
 
 
 def _empty_str_array() -> Column:

@@ -131,6 +131,44 @@ MAX_LABEL_LENGTH = 255
 NOT_KNOWN = "NOT KNOWN"
 EXTRA_DESCRIPTION_SCHEME = None
 
+# reject messages (text written before / after the offending value)
+MSG_INVALID_STATE = "Not a valid state: "
+MSG_URI_NOT_IN_BAG = "The fileUris map must reference a subset of all files in the bag. Not found in bag: "
+MSG_NO_DATA_DIR = "Bag doesn't contain data directory."
+MSG_DATASET_XML_MISSING = "Couldn't find metadata/dataset.xml"
+MSG_INVALID_ARCHIVE = "Not a valid archive: "
+MSG_NO_RIGHTS_HOLDER = "No dcterms:rightsHolder element found. There should be at least one"
+MSG_CREATED_NOT_ONE = " ddm:created elements found. There must be exactly one"
+MSG_BAD_CREATED = "Invalid format: "
+MSG_LICENSE_COUNT = ("Found ", " dcterms:license elements. There should be exactly one")
+MSG_UNKNOWN_LICENSE_URI = "Not a valid license URI: "
+MSG_UNKNOWN_LICENSE_EXT = "Unknown extension for license: ."
+MSG_URN_MISSING = "URN must be provided"
+MSG_KEY_NOT_FOUND = "key not found: "
+MSG_FILE_MISSING = ("File ", " does not exist")
+MSG_BAD_MANIFEST_LINE = "Invalid line in manifest-sha1.txt: "
+MSG_FILES_XML_MISSING = "Unable to find `metadata/files.xml` in bag."
+MSG_FORMAT_NOT_UNIQUE = "format element doesn't exist for the file, or isn't unique."
+MSG_BAD_URL = "Not a valid URL: "
+
+# depositor remark sentences
+PRIVACY_STATED = ("According to depositor ", " this dataset ", " contain Privacy Sensitive data.")
+PRIVACY_DOES = "DOES"
+PRIVACY_DOES_NOT = "DOES NOT"
+PRIVACY_UNSTATED = ("No statement by ", " could be found whether this dataset contains Privacy Sensitive data.")
+AGREEMENTS_INVALID = "File agreements.xml not valid: "
+
+# XML namespaces of the rendered documents
+NS_AMD = "http://easy.dans.knaw.nl/easy/dataset-administrative-metadata/"
+NS_WORKFLOW = "http://easy.dans.knaw.nl/easy/workflow/"
+NS_FILE_ITEM_MD = "http://easy.dans.knaw.nl/easy/file-item-md/"
+NS_ITEM_CONTAINER_MD = "http://easy.dans.knaw.nl/easy/item-container-md/"
+NS_PERMISSION_SEQUENCE_LIST = "http://easy.dans.knaw.nl/easy/permission-sequence-list/"
+NS_FOXML = "info:fedora/fedora-system:def/foxml#"
+NS_OAI_DC = "http://www.openarchives.org/OAI/2.0/oai_dc/"
+NS_DC = "http://purl.org/dc/elements/1.1/"
+NS_XSI = "http://www.w3.org/2001/XMLSchema-instance"
+
 # failure order of the dataset stage (lower = earlier)
 STAGE = {
     "invalid_state": 1,

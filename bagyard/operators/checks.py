@@ -21,18 +21,18 @@ from bagyard.operators.rejects import reject
 def check_state(deposits: DataFrame) -> DataFrame:
     """State must be one of four values (the code also accepts MAINTENANCE)."""
     bad = deposits.where(~F.coalesce(F.col("state").isin(*K.STATES), F.lit(False)))
-    return reject(bad, "invalid_state", F.concat(F.lit("Not a valid state: "), F.coalesce(F.col("state"), F.lit("null"))))
+    return reject(bad, "invalid_state", F.concat(F.lit(K.MSG_INVALID_STATE), F.coalesce(F.col("state"), F.lit("null"))))
 
 
 def check_urn(deposits: DataFrame) -> DataFrame:
     """The URN is mandatory."""
-    return reject(deposits.where(F.col("urn").isNull()), "urn_missing", F.lit("URN must be provided"))
+    return reject(deposits.where(F.col("urn").isNull()), "urn_missing", F.lit(K.MSG_URN_MISSING))
 
 
 def check_archive(deposits: DataFrame) -> DataFrame:
     """Archive is EASY or DATAVAULT."""
     bad = deposits.where(~F.coalesce(F.col("archive").isin(*K.ARCHIVES), F.lit(False)))
-    return reject(bad, "invalid_archive", F.concat(F.lit("Not a valid archive: "), F.coalesce(F.col("archive"), F.lit("null"))))
+    return reject(bad, "invalid_archive", F.concat(F.lit(K.MSG_INVALID_ARCHIVE), F.coalesce(F.col("archive"), F.lit("null"))))
 
 
 def payload_gate(deposits: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def check_url(files: DataFrame, uri: str = "uri") -> DataFrame:
     """Dataset stage: an external location must be an absolute URL of a known protocol."""
     proto = F.try_parse_url(F.col(uri), F.lit("PROTOCOL"))
     bad = files.where(F.col(uri).isNotNull() & ~F.coalesce(proto.isin(*KNOWN_URL_PROTOCOLS), F.lit(False)))
-    return reject(bad, "bad_url", F.concat(F.lit("Not a valid URL: "), F.col(uri)), item=F.col("path"))
+    return reject(bad, "bad_url", F.concat(F.lit(K.MSG_BAD_URL), F.col(uri)), item=F.col("path"))
 
 
 # ---------------------------------------------------------------- request checks

@@ -29,7 +29,7 @@ def uris_not_in_bag_rejects(uris: DataFrame, bag_paths: DataFrame) -> DataFrame:
     return reject(
         missing,
         "uri_not_in_bag",
-        F.concat(F.lit("The fileUris map must reference a subset of all files in the bag. Not found in bag: "), F.col("path")),
+        F.concat(F.lit(K.MSG_URI_NOT_IN_BAG), F.col("path")),
         item=F.col("path"),
     )
 
@@ -58,7 +58,7 @@ def join_disciplines(audiences: DataFrame, disciplines: DataFrame) -> DataFrame:
 
 def unknown_audience_rejects(joined: DataFrame) -> DataFrame:
     bad = joined.where(F.col("discipline_pid").isNull())
-    return reject(bad, "unknown_audience", F.concat(F.lit("key not found: "), F.col("audience")), item=F.col("audience"))
+    return reject(bad, "unknown_audience", F.concat(F.lit(K.MSG_KEY_NOT_FOUND), F.col("audience")), item=F.col("audience"))
 
 
 def default_rights(deposits: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def default_rights(deposits: DataFrame) -> DataFrame:
 
 def unknown_category_rejects(deposits_with_default: DataFrame) -> DataFrame:
     bad = deposits_with_default.where(F.col("default_accessible").isNull())
-    return reject(bad, "unknown_access_category", F.concat(F.lit("key not found: "), F.coalesce(F.col("access_category"), F.lit("null"))))
+    return reject(bad, "unknown_access_category", F.concat(F.lit(K.MSG_KEY_NOT_FOUND), F.coalesce(F.col("access_category"), F.lit("null"))))
 
 
 def match_license(lic: DataFrame, catalog: DataFrame, text: str = "text") -> DataFrame:

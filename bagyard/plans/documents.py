@@ -228,11 +228,11 @@ def render_amd(facts: DataFrame, remark_date: str) -> DataFrame:
                  F.lit(f"</remarkerId><remarkDate>{remark_date}</remarkDate></remark>")),
     ).otherwise(F.lit(""))
     content = F.concat(
-        F.lit('<damd:administrative-md xmlns:damd="http://easy.dans.knaw.nl/easy/dataset-administrative-metadata/" version="0.1"><datasetState>'),
+        F.lit(f'<damd:administrative-md xmlns:damd="{K.NS_AMD}" version="0.1"><datasetState>'),
         xml_escape(F.col("dataset_state")), F.lit("</datasetState>"), state_change,
         F.lit("<depositorId>"), xml_escape(F.col("depositor_id")), F.lit("</depositorId>"), dates,
         F.lit(f'<groupIds/><damd:workflowData version="0.1"><assigneeId>{K.WORKFLOW_ASSIGNEE}</assigneeId>'
-              '<wfs:workflow xmlns:wfs="http://easy.dans.knaw.nl/easy/workflow/"><id>dataset</id><remarks>'),
+              f'<wfs:workflow xmlns:wfs="{K.NS_WORKFLOW}"><id>dataset</id><remarks>'),
         remark, F.lit(f"</remarks><steps>{_workflow_xml()}</steps></wfs:workflow></damd:workflowData></damd:administrative-md>"),
     )
     return facts.select("deposit_id", F.lit(K.DATASET_SDO).alias("sdo_name"), F.lit("AMD").alias("file_name"), content.alias("content"))
@@ -244,18 +244,18 @@ def render_foxml(sdos: DataFrame, label: str = "label", owner: str = "owner_id",
     dc_type = F.concat(F.lit("<dc:type>"), xml_escape(F.col(mime)), F.lit("</dc:type>")) if mime else F.lit("")
     dc_type = F.when(F.col(mime).isNotNull(), dc_type).otherwise(F.lit("")) if mime else dc_type
     content = F.concat(
-        F.lit('<foxml:digitalObject VERSION="1.1" xmlns:foxml="info:fedora/fedora-system:def/foxml#" '
-              'xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" '
-              'xsi:schemaLocation="info:fedora/fedora-system:def/foxml# http://www.fedora.info/definitions/1/0/foxml1-1.xsd">'
+        F.lit(f'<foxml:digitalObject VERSION="1.1" xmlns:foxml="{K.NS_FOXML}" '
+              f'xmlns:xsi="{K.NS_XSI}" '
+              f'xsi:schemaLocation="{K.NS_FOXML} http://www.fedora.info/definitions/1/0/foxml1-1.xsd">'
               '<foxml:objectProperties><foxml:property NAME="info:fedora/fedora-system:def/model#state" VALUE="Active"/>'
               '<foxml:property NAME="info:fedora/fedora-system:def/model#label" VALUE="'),
         xml_escape(fox_label(F.col(label))),
         F.lit('"/><foxml:property NAME="info:fedora/fedora-system:def/model#ownerId" VALUE="'),
         xml_escape(F.col(owner)),
         F.lit('"/></foxml:objectProperties><foxml:datastream ID="DC" STATE="A" CONTROL_GROUP="X" VERSIONABLE="true">'
-              '<foxml:datastreamVersion ID="DC1.0" LABEL="Dublin Core Record" MIMETYPE="text/xml" FORMAT_URI="http://www.openarchives.org/OAI/2.0/oai_dc/">'
-              '<foxml:xmlContent><oai_dc:dc xmlns:oai_dc="http://www.openarchives.org/OAI/2.0/oai_dc/" xmlns:dc="http://purl.org/dc/elements/1.1/" '
-              'xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" xsi:schemaLocation="http://www.openarchives.org/OAI/2.0/oai_dc/ http://www.openarchives.org/OAI/2.0/oai_dc.xsd">'
+              f'<foxml:datastreamVersion ID="DC1.0" LABEL="Dublin Core Record" MIMETYPE="text/xml" FORMAT_URI="{K.NS_OAI_DC}">'
+              f'<foxml:xmlContent><oai_dc:dc xmlns:oai_dc="{K.NS_OAI_DC}" xmlns:dc="{K.NS_DC}" '
+              f'xmlns:xsi="{K.NS_XSI}" xsi:schemaLocation="{K.NS_OAI_DC} http://www.openarchives.org/OAI/2.0/oai_dc.xsd">'
               '<dc:title>'),
         xml_escape(F.col(label)),
         F.lit("</dc:title>"),
@@ -280,7 +280,7 @@ def file_md(files: DataFrame) -> DataFrame:
 
 def render_file_md(md: DataFrame) -> DataFrame:
     content = F.concat(
-        F.lit('<fimd:file-item-md xmlns:fimd="http://easy.dans.knaw.nl/easy/file-item-md/" version="0.1"><name>'), xml_escape(F.col("name")),
+        F.lit(f'<fimd:file-item-md xmlns:fimd="{K.NS_FILE_ITEM_MD}" version="0.1"><name>'), xml_escape(F.col("name")),
         F.lit("</name><path>"), xml_escape(F.col("path")), F.lit("</path><mimeType>"), xml_escape(F.col("mime_type")),
         F.lit("</mimeType><size>"), F.col("size").cast("string"), F.lit("</size><creatorRole>"), xml_escape(F.col("creator_role")),
         F.lit("</creatorRole><visibleTo>"), F.col("visible_to"), F.lit("</visibleTo><accessibleTo>"), F.col("accessible_to"),
@@ -296,14 +296,14 @@ def folder_md(folders: DataFrame) -> DataFrame:
 
 def render_folder_md(md: DataFrame) -> DataFrame:
     content = F.concat(
-        F.lit('<icmd:item-container-md xmlns:icmd="http://easy.dans.knaw.nl/easy/item-container-md/" version="0.1"><name>'),
+        F.lit(f'<icmd:item-container-md xmlns:icmd="{K.NS_ITEM_CONTAINER_MD}" version="0.1"><name>'),
         xml_escape(F.col("name")), F.lit("</name><path>"), xml_escape(F.col("path")), F.lit("</path></icmd:item-container-md>"),
     )
     return md.select("deposit_id", "sdo_name", F.lit("EASY_ITEM_CONTAINER_MD").alias("file_name"), content.alias("content"))
 
 
 PRSQL_DOCUMENT = (
-    '<psl:permissionSequenceList xmlns:psl="http://easy.dans.knaw.nl/easy/permission-sequence-list/"><sequences/></psl:permissionSequenceList>'
+    f'<psl:permissionSequenceList xmlns:psl="{K.NS_PERMISSION_SEQUENCE_LIST}"><sequences/></psl:permissionSequenceList>'
 )
 
 

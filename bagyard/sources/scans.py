@@ -60,7 +60,7 @@ def scan_deposits(spark: SparkSession, root: str) -> DataFrame:
         props.where(F.col("value").rlike(r"^\s*depositor\.userId\s*[=:]"))
         .select("deposit_id", jtrim(F.regexp_extract("value", r"^\s*depositor\.userId\s*[=:]\s*(.*)$", 1)).alias("owner_id"))
         .groupBy("deposit_id")
-        .agg(F.max_by("owner_id", F.lit(1)).alias("owner_id"))
+        .agg(F.min("owner_id").alias("owner_id"))  # a duplicated key: deterministic choice
     )
     bags = (
         spark.read.format("binaryFile")
@@ -376,13 +376,36 @@ def scan_request_headers(spark: SparkSession, csv_glob: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S10, S13
-def scan_folder_catalog(df_or_spark, jdbc_url: str | None = None, table: str = "easy_folders", props: dict | None = None) -> DataFrame:
+def scan_folder_catalog(
+    df_or_spark,
+    jdbc_url: str | None = None,
+    table: str = "easy_folders",
+    props: dict | None = None,
+    num_partitions: int = 64,
+    partition_column: str | None = None,
+    bounds: tuple[int, int] | None = None,
+    predicates: list[str] | None = None,
+) -> DataFrame:
     """The existing-folder catalogue, one scan (not one statement per
-    ancestor level).  Pass a DataFrame (Parquet-backed) or a session + JDBC URL."""
+    ancestor level).  Pass a DataFrame (e.g. a Parquet export), or a session
+    and a JDBC URL.
+
+    A JDBC read is always split over ``num_partitions`` tasks, never pulled
+    through one: by a numeric ``partition_column`` with ``bounds``, by explicit
+    ``predicates``, or, for PostgreSQL, by a hash of the pid."""
     if isinstance(df_or_spark, DataFrame):
         src = df_or_spark
     else:
-        src = df_or_spark.read.jdbc(jdbc_url, table, properties=props or {})
+        reader = df_or_spark.read
+        if partition_column and bounds:
+            src = reader.jdbc(jdbc_url, table, column=partition_column, lowerBound=bounds[0], upperBound=bounds[1],
+                              numPartitions=num_partitions, properties=props or {})
+        else:
+            if predicates is None:
+                if not jdbc_url.startswith("jdbc:postgresql:"):
+                    raise ValueError("give partition_column + bounds or predicates to split the JDBC read")
+                predicates = [f"abs(hashtext(pid)) % {num_partitions} = {i}" for i in range(num_partitions)]
+            src = reader.jdbc(jdbc_url, table, predicates=predicates, properties=props or {})
     return src.select("pid", "path", "dataset_sid", F.regexp_replace("path", r"/$", "").alias("norm_path"))
 
 

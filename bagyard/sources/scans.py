@@ -109,15 +109,28 @@ def parse_manifest_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def _line_order() -> Column:
+    """Order of a line within its file for a *splittable* text read: the start
+    offset of the split it came from, then the row id.  Within one split rows
+    are read in file order and ``monotonically_increasing_id`` grows with them,
+    so the pair is a total order of the lines of one file without reading a
+    file whole in one task."""
+    return F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
 def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
-    """S03 on files: ``manifest-<alg>.txt`` of every bag, with line numbers
-    (whole-text read so that line order is exact; a manifest is one row)."""
-    whole = spark.read.text(f"{root}/*/*/manifest-*.txt", wholetext=True).select(
+    """S03 on files: ``manifest-<alg>.txt`` of every bag, line by line.
+
+    The text read is splittable, so a manifest of a deposit with millions of
+    files is spread over many tasks; ``line_no`` is the in-file order key
+    (a struct), which is all the last-wins rule (A02) needs."""
+    lines = spark.read.text(f"{root}/*/*/manifest-*.txt").select(
         _deposit_of(_file_path(), root).alias("deposit_id"),
         F.regexp_extract(_file_path(), r"manifest-([^/]+)\.txt$", 1).alias("algorithm"),
-        F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("line_no", "raw"),
+        _line_order().alias("line_no"),
+        F.col("value").alias("raw"),
     )
-    return parse_manifest_lines(whole)
+    return parse_manifest_lines(lines)
 
 
 # ------------------------------------------------------------------ S04
@@ -332,18 +345,24 @@ def parse_uri_mapping(lines: DataFrame) -> DataFrame:
 
 
 def scan_uri_mapping(spark: SparkSession, root: str, file_name: str = "uri-mapping.txt") -> DataFrame:
-    """S08 on files: one mapping file per deposit, read whole for exact line numbers."""
-    whole = spark.read.text(f"{root}/*/{file_name}", wholetext=True).select(
+    """S08 on files: one mapping file per deposit, read line by line
+    (splittable); the in-file order key drives last-wins."""
+    lines = spark.read.text(f"{root}/*/{file_name}").select(
         _deposit_of(_file_path(), root).alias("deposit_id"),
-        F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("line_no", "line"),
+        _line_order().alias("line_no"),
+        F.col("value").alias("line"),
     )
-    return parse_uri_mapping(whole)
+    return parse_uri_mapping(lines)
 
 
 # ------------------------------------------------------------------ S09
 def scan_item_requests(spark: SparkSession, csv_path: str) -> DataFrame:
     """RFC-4180 request CSV (multi-line cells, ``""`` escapes), header
-    matched case-insensitively; unknown columns ignored; empty cells ''."""
+    matched case-insensitively; unknown columns ignored; empty cells ''.
+
+    Cells may hold line breaks, so a file is parsed by one task (``multiLine``);
+    the unit of parallelism is the file — a large batch should come as many
+    request files, which are read in parallel."""
     df = (
         spark.read.option("header", "true")
         .option("multiLine", "true")
@@ -366,10 +385,13 @@ def scan_item_requests(spark: SparkSession, csv_path: str) -> DataFrame:
 
 
 def scan_request_headers(spark: SparkSession, csv_glob: str) -> DataFrame:
-    """Header cells of many request CSVs as (file_id, col_pos, column) for U03."""
-    first = spark.read.text(csv_glob, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file_id"), F.substring_index(F.col("value"), "\n", 1).alias("header")
-    )
+    """Header cells of many request CSVs as (file_id, col_pos, column) for U03.
+    Only the first split of each file is considered, and the first line is
+    its smallest in-file order key (a partial aggregate, no whole-file read)."""
+    lines = spark.read.text(csv_glob).select(
+        F.col("_metadata.file_path").alias("file_id"), _line_order().alias("o"), F.col("value")
+    ).where(F.col("o.block") == 0)
+    first = lines.groupBy("file_id").agg(F.min_by("value", "o").alias("header"))
     return first.select("file_id", F.posexplode(F.split(jtrim(F.col("header")), ",")).alias("col_pos", "column")).select(
         "file_id", "col_pos", F.regexp_replace(jtrim(F.col("column")), r'^"|"$', "").alias("column")
     )

@@ -99,12 +99,15 @@ def test_scan_payload_prunes_content(spark, corpus):
 
 def test_scan_manifests(spark, corpus):
     df = scans.scan_manifests(spark, corpus)
-    got = sorted((r.algorithm, r.line_no, r.checksum, r.path) for r in df.collect())
-    assert ("sha1", 0, "aaa", "data/a/one.txt") in got
-    assert ("sha1", 1, "bbb", "data/two.bin") in got
-    assert ("sha1", 3, "ccc", "data/a/one.txt") in got
-    assert ("md5", 0, "m1", "data/a/one.txt") in got
-    assert len([g for g in got if g[0] == "sha1"]) == 3  # blank line dropped
+    rows = df.collect()
+    sha1 = [(r.checksum, r.path) for r in sorted((r for r in rows if r.algorithm == "sha1"), key=lambda r: (r.line_no.block, r.line_no.row))]
+    assert sha1 == [("aaa", "data/a/one.txt"), ("bbb", "data/two.bin"), ("ccc", "data/a/one.txt")]  # blank line dropped, file order kept
+    assert [(r.checksum, r.path) for r in rows if r.algorithm == "md5"] == [("m1", "data/a/one.txt")]
+    # last wins by the in-file order key
+    from bagyard.operators.aggs import last_by
+
+    last = {r.path: r.checksum for r in last_by(df.where("algorithm = 'sha1'"), ["deposit_id", "path"], "line_no", ["checksum"]).collect()}
+    assert last == {"data/a/one.txt": "ccc", "data/two.bin": "bbb"}
 
 
 def test_scan_file_metadata(spark, corpus):

@@ -388,6 +388,10 @@ bad AS (SELECT deposit_id, count(*) AS n FROM p WHERE NOT ok GROUP BY deposit_id
     "S11_discipline_catalog": with_bindings(
         "SELECT regexp_extract(regexp_extract(xml, '<setSpec[^>]*>([^<]*)</setSpec>', 1), '([^:]*)$', 1) AS audience, pid FROM discipline_xml",
         "discipline_xml"),
+    "S12_license_catalog": with_bindings(
+        "SELECT c.uri, c.file_name, t.content FROM license_catalog c "
+        "LEFT JOIN (SELECT file_name, min(content) AS content FROM license_catalog GROUP BY file_name) t USING (file_name)",
+        "license_catalog"),
     "S13_object_catalog": with_bindings("SELECT DISTINCT pid FROM object_catalog", "object_catalog"),
     "K03_bag_metadata_documents": _with(
         f"flags AS ({FLAGS}), dd AS (SELECT dp.deposit_id, f.* EXCLUDE (deposit_id) FROM deposits dp LEFT JOIN flags f USING (deposit_id) WHERE dp.include_bag_metadata)",

@@ -147,6 +147,21 @@ def s11(s, d):
     return scans.discipline_pairs(T.discipline_xml(s, d))
 
 
+@q("S12_license_catalog")
+def s12(s, d):
+    """The licence catalogue written as a properties file (keys escaped) to
+    the shared checkpoint folder by Spark and scanned back with its templates."""
+    import uuid
+
+    from bagyard.session import checkpoint_dir
+
+    cat = T.license_catalog(s, d)
+    line = F.concat(F.regexp_replace(F.col("uri"), r"([:=\\])", r"\\$1"), F.lit("="), F.col("file_name"))
+    path = f"{checkpoint_dir(s).rstrip('/')}/s12-{uuid.uuid4().hex}"
+    cat.select(line.alias("value")).write.text(path)
+    return scans.license_catalog(s, path, templates=cat)
+
+
 @q("S13_object_catalog")
 def s13(s, d):
     return scans.object_catalog(T.object_catalog(s, d))

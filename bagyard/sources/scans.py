@@ -451,17 +451,21 @@ def discipline_catalog(pid_xml: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S12
-def license_catalog(spark: SparkSession, properties_path: str, lic_dir: str) -> DataFrame:
-    """``uri=file`` properties (``\\:`` escapes) joined with template contents."""
+def license_catalog(spark: SparkSession, properties_path: str, lic_dir: str | None = None, templates: DataFrame | None = None) -> DataFrame:
+    """``uri=file`` properties (``\\:`` / ``\\=`` escapes in keys, ``#``/``!``
+    comments) joined with the template contents — read from ``lic_dir`` with
+    ``binaryFile``, or given as a ``(file_name, content)`` table."""
     kv = r"^((?:[^=:\\\s]|\\.)+)\s*[=:]\s*(.*)$"
     props = spark.read.text(properties_path).where(~F.col("value").rlike(r"^\s*([#!].*)?$"))
     pairs = props.select(
         F.regexp_replace(F.regexp_extract(jtrim(F.col("value")), kv, 1), r"\\(.)", "$1").alias("uri"),
         jtrim(F.regexp_extract(jtrim(F.col("value")), kv, 2)).alias("file_name"),
     )
-    files = spark.read.format("binaryFile").load(lic_dir.rstrip("/") + "/*").select(
-        F.substring_index(F.col("path"), "/", -1).alias("file_name"), F.col("content").alias("content_bytes")
-    )
-    return pairs.join(files, "file_name", "left").select(
-        "uri", "file_name", F.decode(F.col("content_bytes"), "UTF-8").alias("content"), "content_bytes"
-    )
+    if templates is None:
+        files = spark.read.format("binaryFile").load(lic_dir.rstrip("/") + "/*").select(
+            F.substring_index(F.col("path"), "/", -1).alias("file_name"), F.col("content").alias("content_bytes")
+        )
+        return pairs.join(files, "file_name", "left").select(
+            "uri", "file_name", F.decode(F.col("content_bytes"), "UTF-8").alias("content"), "content_bytes"
+        )
+    return pairs.join(templates.groupBy("file_name").agg(F.min("content").alias("content")), "file_name", "left").select("uri", "file_name", "content")

@@ -374,6 +374,9 @@ FROM agreements a LEFT JOIN fs USING (deposit_id)""",
     "S09_scan_item_requests": with_bindings(
         "SELECT path_in_dataset, format, datastream_location, size, file_location, dataset_id, accessible_to, visible_to, creator_role, owner_id FROM item_requests",
         "item_requests"),
+    "S07_scan_messages": with_bindings(
+        f"SELECT deposit_id, text, CASE WHEN text IS NULL OR {BLANK('text')} THEN '' ELSE replace(replace(text, '<', '&lt;'), '>', '&gt;') END AS message FROM messages",
+        "messages"),
     "S08_parse_uri_mapping": _with(
         rf"""p AS (SELECT deposit_id, line_no, regexp_matches(line, '^(.*)\s+(.*)$') AS ok,
               {JTRIM(r"regexp_extract(line, '^(.*)\s+(.*)$', 1)")} AS path,

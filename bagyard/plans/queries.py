@@ -116,6 +116,20 @@ def s06(s, d):
     return scans.parse_agreements(T.agreements_xml(s, d)).select("deposit_id", "is_valid", "accepted_text", "privacy_text", "name", "account", "email")
 
 
+@q("S07_scan_messages")
+def s07(s, d):
+    """Messages written by Spark as one text file per deposit to the shared
+    checkpoint folder, read back whole and cleaned (F05)."""
+    import uuid
+
+    from bagyard.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(s).rstrip('/')}/s07-{uuid.uuid4().hex}"
+    T.messages(s, d).select("deposit_id", F.col("text").alias("value")).write.partitionBy("deposit_id").text(path)
+    m = scans.read_whole_texts(s, path)
+    return m.select("deposit_id", "text", TX.clean_message(F.col("text")).alias("message"))
+
+
 @q("S08_parse_uri_mapping")
 def s08(s, d):
     return scans.parse_uri_mapping(T.uri_lines(s, d))

@@ -299,6 +299,15 @@ def scan_messages(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def read_whole_texts(spark: SparkSession, path: str, key: str = "deposit_id", written_by_spark: bool = True) -> DataFrame:
+    """S07 on a folder partitioned by ``<key>=<id>``: each file read whole as
+    UTF-8 (a small per-deposit document).  Spark's text writer ends every row
+    with one line break; that one is removed again."""
+    df = spark.read.text(path, wholetext=True)
+    text = F.regexp_replace(F.col("value"), r"\n$", "") if written_by_spark else F.col("value")
+    return df.select(F.col(key).cast("bigint").alias(key), text.alias("text"))
+
+
 def scan_bag_documents(spark: SparkSession, root: str) -> DataFrame:
     """(deposit_id, name, length) of the five bag documents that exist."""
     names = [

@@ -36,13 +36,27 @@ SCALE_DEFAULTS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply result-relevant settings and fill in unset scale settings."""
+# Partition sizing for a cluster run over ~100 TB: start from many shuffle
+# partitions and let AQE coalesce them to ~128 MB each (size first, not
+# parallelism first), so a partition always fits an executor's memory.
+# Not applied to local sessions, where small data wants parallelism instead.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+}
+
+
+def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
+    """Apply result-relevant settings and fill in unset scale settings
+    (and, with ``cluster=True``, unset cluster partition sizing)."""
     conf = spark.conf
     for key, value in RESULT_SETTINGS.items():
         conf.set(key, value)
-    for key, value in SCALE_DEFAULTS.items():
-        if conf.get(key, None) is None:
+    extra = CLUSTER_SETTINGS if cluster else {}
+    for key, value in {**SCALE_DEFAULTS, **extra}.items():
+        if conf.get(key, None) is None or (cluster and key in CLUSTER_SETTINGS and key == "spark.sql.shuffle.partitions"):
             conf.set(key, value)
     return spark
 

@@ -49,8 +49,11 @@ CLUSTER_SETTINGS = {
 
 
 def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
-    """Apply result-relevant settings and fill in unset scale settings
-    (and, with ``cluster=True``, unset cluster partition sizing)."""
+    """Apply result-relevant settings and fill in unset scale settings.
+
+    With ``cluster=True`` the cluster partition sizing is filled in too; the
+    shuffle partition count is then always raised, since every session carries
+    one (Spark's 200 is far too few for 100 TB)."""
     conf = spark.conf
     for key, value in RESULT_SETTINGS.items():
         conf.set(key, value)

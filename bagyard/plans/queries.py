@@ -125,7 +125,9 @@ def s07(s, d):
     from bagyard.session import checkpoint_dir
 
     path = f"{checkpoint_dir(s).rstrip('/')}/s07-{uuid.uuid4().hex}"
-    T.messages(s, d).select("deposit_id", F.col("text").alias("value")).write.partitionBy("deposit_id").text(path)
+    (T.messages(s, d).select("deposit_id", F.col("text").alias("value"))
+     .repartition(16, "deposit_id")  # each deposit's file written once, by one of many tasks
+     .write.partitionBy("deposit_id").text(path))
     m = scans.read_whole_texts(s, path)
     return m.select("deposit_id", "text", TX.clean_message(F.col("text")).alias("message"))
 

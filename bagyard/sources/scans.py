@@ -118,6 +118,16 @@ def _line_order() -> Column:
     return F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
 
 
+def scan_manifest_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Raw payload-manifest lines (deposit_id, algorithm, line_no, raw), splittable."""
+    return spark.read.text(f"{root}/*/*/manifest-*.txt").select(
+        _deposit_of(_file_path(), root).alias("deposit_id"),
+        F.regexp_extract(_file_path(), r"manifest-([^/]+)\.txt$", 1).alias("algorithm"),
+        _line_order().alias("line_no"),
+        F.col("value").alias("raw"),
+    )
+
+
 def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
     """S03 on files: ``manifest-<alg>.txt`` of every bag, line by line.
 

@@ -180,3 +180,40 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "rej")).first().status == "FAILED"
     log = sinks.outcome_log(spark.createDataFrame([(1,), (2,)], "deposit_id long"), rej)
     assert sorted((r.deposit_id, r.status) for r in log.collect()) == [(1, "FAILED"), (2, "OK")]
+
+
+def _settings(spark, skip_payload):
+    import datetime as dt
+
+    rows = [(1, "SUBMITTED", "urn:nbn:nl:ui:13-1", "10.17026/x-1", False, "EASY", True, skip_payload, None,
+             dt.datetime(2018, 1, 1), "Deposit one", "OPEN_ACCESS"),
+            (2, "DRAFT", "urn:nbn:nl:ui:13-2", None, False, "EASY", False, False, None,
+             dt.datetime(2018, 1, 2), "Deposit two", "OPEN_ACCESS")]
+    return spark.createDataFrame(rows, "deposit_id long, state string, urn string, doi string, other_access_doi boolean, archive string, "
+                                       "include_bag_metadata boolean, skip_payload boolean, extra_description string, submission_ts timestamp_ntz, "
+                                       "title string, access_category string")
+
+
+def test_stage_corpus_end_to_end(spark, corpus):
+    from bagyard.operators.aggs import first_failure
+    from bagyard.plans import dataset_job as DJ
+    from bagyard.plans.corpus import corpus_inputs
+
+    xml = '<r:RDF xmlns:r="u"><r:Description><setSpec>a:b:{}</setSpec></r:Description></r:RDF>'
+    disc = spark.createDataFrame([("d:1", xml.format("D24000")), ("d:2", xml.format("D30000"))], "pid string, xml string")
+    cat = spark.createDataFrame([("http://creativecommons.org/licenses/by/4.0", "cc.txt", "By <rightsHolder>, <year>")],
+                                "uri string, file_name string, content string")
+    # payload staged: data/a/one.txt has two format records -> the deposit is rejected (stage 14)
+    res = DJ.stage_datasets(corpus_inputs(spark, corpus, _settings(spark, False), disc, cat))
+    first = {r.deposit_id: (r.code, r.item) for r in first_failure(res.rejects).collect()}
+    assert first[1] == ("format_not_unique", "data/a/one.txt")
+    assert first[2][0] == "dataset_xml_missing"
+    # payload skipped: the dataset is staged, with its licence filled in
+    res = DJ.stage_datasets(corpus_inputs(spark, corpus, _settings(spark, True), disc, cat))
+    assert [r.deposit_id for r in res.accepted.collect()] == [1]
+    lic = res.licenses.first()
+    assert (lic.label, lic.mime_type, lic.content) == ("cc.txt", "text/plain", "By Alice, Bob, 2017")
+    docs = {r.file_name for r in DJ.documents(res).collect()}
+    assert {"cfg.json", "AMD", "fo.xml", "PRSQL", "ADDITIONAL_LICENSE"} <= docs
+    rels = {r.object for r in res.relations.collect()}
+    assert {"info:fedora/d:1", "info:fedora/d:2", "urn:nbn:nl:ui:13-1"} <= rels

@@ -217,3 +217,31 @@ def test_stage_corpus_end_to_end(spark, corpus):
     assert {"cfg.json", "AMD", "fo.xml", "PRSQL", "ADDITIONAL_LICENSE"} <= docs
     rels = {r.object for r in res.relations.collect()}
     assert {"info:fedora/d:1", "info:fedora/d:2", "urn:nbn:nl:ui:13-1"} <= rels
+
+
+def test_item_requests_csv_end_to_end(spark, tmp_path):
+    from bagyard.plans import item_job as IJ
+
+    p = tmp_path / "batch.csv"
+    p.write_text(
+        "dataset-id,path-in-dataset,format,size,file-location,datastream-location,accessible-to,visible-to,creator-role,owner-id,note\n"
+        "easy-dataset:1,a/b/c.txt,text/plain,10,/in/c.txt,,,,,u1,x\n"           # ok, managed, nearest folder a/b
+        "easy-dataset:1,a/x/d.txt,text/plain,11,,http://files/d,KNOWN,NONE,ARCHIVIST,u1,x\n"  # ok, redirect, grand-parent a
+        "easy-dataset:9,e.txt,text/plain,12,/in/e.txt,,,,,u1,x\n"               # unknown dataset
+        "easy-dataset:1,f.txt,text/plain,13,/in/f.txt,http://files/f,,,,u1,x\n"  # location and file
+        ",,,,,,,,,,only a note\n")                                               # empty row: dropped
+    reqs = scans.scan_item_requests(spark, str(p))
+    cat = spark.createDataFrame([("f:a", "a", "easy-dataset:1"), ("f:ab", "a/b/", "easy-dataset:1")], "pid string, path string, dataset_sid string")
+    objs = spark.createDataFrame([("easy-dataset:1",)], "pid string")
+    res = IJ.stage_items(reqs, cat, objs)
+    files = {r.dataset_path: r for r in res.files.collect()}
+    assert set(files) == {"a/b/c.txt", "a/x/d.txt"}
+    assert (files["a/b/c.txt"].control_group, files["a/b/c.txt"].parent_kind, files["a/b/c.txt"].parent_object) == ("M", "object", "info:fedora/f:ab")
+    assert (files["a/x/d.txt"].control_group, files["a/x/d.txt"].ds_location, files["a/x/d.txt"].parent_object) == ("R", "http://files/d", "a_x")
+    assert (files["a/x/d.txt"].accessible_to, files["a/x/d.txt"].visible_to, files["a/x/d.txt"].creator_role) == ("KNOWN", "NONE", "ARCHIVIST")
+    assert (files["a/b/c.txt"].accessible_to, files["a/b/c.txt"].visible_to) == ("NONE", "ANONYMOUS")
+    codes = sorted(r.code for r in res.rejects.collect())
+    assert codes == ["dataset_not_found", "location_and_file"]
+    assert res.requests.count() == 4
+    folders = {(r.path, r.parent_object) for r in res.folders.collect()}
+    assert folders == {("a", "easy-dataset_1"), ("a/b", "a"), ("a/x", "a")}

@@ -19,29 +19,50 @@ from bagyard.plans.dataset_job import DatasetInputs
 from bagyard.sources import scans
 
 
+EMPTY = {
+    "manifests": "deposit_id bigint, bag string, algorithm string, line_no struct<block:bigint,row:bigint>, raw string",
+    "ddm": "deposit_id bigint, bag string, audience array<string>, created array<string>, rights_holder array<string>, "
+           "license array<struct<text:string,xsi_type:string>>, ns_decls string",
+    "agreements": "deposit_id bigint, bag string, is_valid boolean, parse_error string, accepted_text string, "
+                  "privacy_text string, name string, account string, email string",
+    "messages": "deposit_id bigint, bag string, text string",
+    "files": "deposit_id bigint, bag string, filepath string, format array<string>, title array<string>, "
+             "access_rights array<string>, accessible_to array<string>, visible_to array<string>",
+    "payload": "deposit_id bigint, bag string, path string, size bigint, is_dir boolean",
+    "uris": "deposit_id bigint, path string, uri string",
+}
+
+
+def _scan(spark: SparkSession, pattern: str, scan, kind: str) -> DataFrame:
+    """A scan, or an empty table of its schema when no deposit has the document."""
+    return scan() if scans.glob_exists(spark, pattern) else spark.createDataFrame([], EMPTY[kind])
+
+
 def _exploded(md: DataFrame, col: str, name: str) -> DataFrame:
     return md.select("deposit_id", F.posexplode(col).alias("pos", name))
 
 
 def corpus_inputs(spark: SparkSession, root: str, settings: DataFrame, discipline_xml: DataFrame,
                   license_catalog: DataFrame) -> DatasetInputs:
-    owners = scans.scan_deposits(spark, root).select("deposit_id", "owner_id")
-    deposits = settings.join(owners, "deposit_id", "left")
-    manifests = scans.scan_manifest_lines(spark, root)
-    ddm = scans.parse_dataset_metadata(
-        spark.read.text(f"{root}/*/*/metadata/dataset.xml", wholetext=True).select(
-            scans._deposit_of(F.col("_metadata.file_path"), root).alias("deposit_id"), F.col("value").alias("xml")))
-    agreements = scans.scan_agreements(spark, root)
+    dep = scans.scan_deposits(spark, root)
+    deposits = settings.join(dep.select("deposit_id", "owner_id"), "deposit_id", "left")
+    chosen_bag = dep.select("deposit_id", F.col("bag_dir").alias("bag"))
+
+    def in_bag(df: DataFrame) -> DataFrame:
+        """Only the deposit's first bag is staged."""
+        return df.join(chosen_bag, ["deposit_id", "bag"], "left_semi").drop("bag")
+
+    manifests = in_bag(_scan(spark, f"{root}/*/*/manifest-*.txt", lambda: scans.scan_manifest_lines(spark, root), "manifests"))
+    ddm = in_bag(_scan(spark, f"{root}/*/*/metadata/dataset.xml", lambda: scans.scan_dataset_metadata(spark, root), "ddm"))
+    agreements = in_bag(_scan(spark, f"{root}/*/*/metadata/depositor-info/agreements.xml",
+                              lambda: scans.scan_agreements(spark, root), "agreements"))
     lic = ddm.select("deposit_id", F.posexplode("license").alias("pos", "l")).select(
         "deposit_id", "pos", F.col("l.text").alias("text"), F.col("l.xsi_type").alias("xsi_type"))
-    try:
-        uris = scans.scan_uri_mapping(spark, root).select("deposit_id", "path", "uri")
-    except Exception:  # noqa: BLE001 — no mapping file anywhere in the corpus
-        uris = spark.createDataFrame([], "deposit_id bigint, path string, uri string")
+    uris = _scan(spark, f"{root}/*/uri-mapping.txt", lambda: scans.scan_uri_mapping(spark, root).select("deposit_id", "path", "uri"), "uris")
     return DatasetInputs(
         deposits=deposits,
-        payload_files=scans.scan_payload(spark, root),
-        file_metadata=scans.scan_file_metadata(spark, root),
+        payload_files=in_bag(_scan(spark, f"{root}/*/*/data", lambda: scans.scan_payload(spark, root), "payload")),
+        file_metadata=in_bag(_scan(spark, f"{root}/*/*/metadata/files.xml", lambda: scans.scan_file_metadata(spark, root), "files")),
         sha1_manifest_lines=manifests.where(F.col("algorithm") == "sha1"),
         payload_manifest_lines=manifests,
         file_uris=uris,
@@ -55,6 +76,7 @@ def corpus_inputs(spark: SparkSession, root: str, settings: DataFrame, disciplin
         agreements=agreements.select("deposit_id", "is_valid", "parse_error", "accepted_text", "privacy_text"),
         agreement_signers=agreements.where(F.col("name").isNotNull()).select(
             "deposit_id", F.lit(0).alias("pos"), "name", "account", "email"),
-        messages=scans.scan_messages(spark, root),
-        bag_documents=scans.scan_bag_documents(spark, root),
+        messages=in_bag(_scan(spark, f"{root}/*/*/metadata/depositor-info/message-from-depositor.txt",
+                              lambda: scans.scan_messages(spark, root), "messages")),
+        bag_documents=in_bag(scans.scan_bag_documents(spark, root)),
     )

@@ -46,6 +46,15 @@ def _bag_of(path: Column, root: str) -> Column:
     return F.regexp_extract(path, _root_re(root) + r"/[^/]+/([^/]+)/", 1)
 
 
+def glob_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path glob matches anything (a listing on the driver, no data read)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def _in_bag(path: Column, root: str) -> Column:
     """Bag-relative path of a file."""
     return F.regexp_extract(path, _root_re(root) + r"/[^/]+/[^/]+/(.*)$", 1)
@@ -90,6 +99,7 @@ def scan_payload(spark: SparkSession, root: str) -> DataFrame:
     rel = _in_bag(F.col("path"), root)
     return files.where(rel.startswith("data/")).select(
         _deposit_of(F.col("path"), root).alias("deposit_id"),
+        _bag_of(F.col("path"), root).alias("bag"),
         rel.alias("path"),
         F.col("length").alias("size"),
         F.lit(False).alias("is_dir"),
@@ -122,6 +132,7 @@ def scan_manifest_lines(spark: SparkSession, root: str) -> DataFrame:
     """Raw payload-manifest lines (deposit_id, algorithm, line_no, raw), splittable."""
     return spark.read.text(f"{root}/*/*/manifest-*.txt").select(
         _deposit_of(_file_path(), root).alias("deposit_id"),
+        _bag_of(_file_path(), root).alias("bag"),
         F.regexp_extract(_file_path(), r"manifest-([^/]+)\.txt$", 1).alias("algorithm"),
         _line_order().alias("line_no"),
         F.col("value").alias("raw"),
@@ -177,6 +188,7 @@ def scan_file_metadata(spark: SparkSession, root: str) -> DataFrame:
 
     return df.select(
         _deposit_of(_file_path(), root).alias("deposit_id"),
+        _bag_of(_file_path(), root).alias("bag"),
         F.col("_filepath").alias("filepath"),
         arr("format").alias("format"),
         arr("title").alias("title"),
@@ -253,7 +265,7 @@ def parse_dataset_metadata(raw: DataFrame, xml: str = "xml") -> DataFrame:
 def scan_dataset_metadata(spark: SparkSession, root: str) -> DataFrame:
     """S05 on files: every ``metadata/dataset.xml`` of the corpus."""
     raw = spark.read.text(f"{root}/*/*/metadata/dataset.xml", wholetext=True).select(
-        _deposit_of(_file_path(), root).alias("deposit_id"), F.col("value").alias("xml")
+        _deposit_of(_file_path(), root).alias("deposit_id"), _bag_of(_file_path(), root).alias("bag"), F.col("value").alias("xml")
     )
     return parse_dataset_metadata(raw)
 
@@ -280,8 +292,9 @@ def parse_agreements(raw: DataFrame, xml: str = "xml") -> DataFrame:
     well_formed = F.col(xml).rlike(r"(?s)^\s*(<\?xml[^>]*\?>)?\s*<")
     valid = F.col("a").isNotNull() & F.col("a._corrupt").isNull() & well_formed
     signer = F.when(valid, F.element_at(F.col("a.depositAgreement.signerId"), 1))
+    keep = [c for c in raw.columns if c != xml]
     return parsed.select(
-        "deposit_id",
+        *keep,
         valid.alias("is_valid"),
         F.when(~valid, F.lit("the document is not well-formed XML")).alias("parse_error"),
         F.when(valid, F.element_at(F.col("a.depositAgreement.depositAgreementAccepted"), 1)).alias("accepted_text"),
@@ -296,7 +309,7 @@ def scan_agreements(spark: SparkSession, root: str) -> DataFrame:
     """Agreements per deposit; *missing* (no row) is told apart from *not
     parseable* (``is_valid`` false) — the document is read raw (no trimming)."""
     raw = spark.read.text(f"{root}/*/*/metadata/depositor-info/agreements.xml", wholetext=True).select(
-        _deposit_of(_file_path(), root).alias("deposit_id"), F.col("value").alias("xml")
+        _deposit_of(_file_path(), root).alias("deposit_id"), _bag_of(_file_path(), root).alias("bag"), F.col("value").alias("xml")
     )
     return parse_agreements(raw)
 
@@ -305,7 +318,7 @@ def scan_agreements(spark: SparkSession, root: str) -> DataFrame:
 def scan_messages(spark: SparkSession, root: str) -> DataFrame:
     """Message from the depositor as UTF-8 whole text (missing -> no row)."""
     return spark.read.text(f"{root}/*/*/metadata/depositor-info/message-from-depositor.txt", wholetext=True).select(
-        _deposit_of(_file_path(), root).alias("deposit_id"), F.col("value").alias("text")
+        _deposit_of(_file_path(), root).alias("deposit_id"), _bag_of(_file_path(), root).alias("bag"), F.col("value").alias("text")
     )
 
 
@@ -327,14 +340,12 @@ def scan_bag_documents(spark: SparkSession, root: str) -> DataFrame:
         "metadata/depositor-info/agreements.xml",
         "metadata/depositor-info/message-from-depositor.txt",
     ]
-    globs = [f"{root}/*/*/{n}" for n in names]
-    files = (
-        spark.read.format("binaryFile")
-        .option("ignoreMissingFiles", "true")
-        .load(globs)
-        .select("path", "length")
-    )
-    return files.select(_deposit_of(F.col("path"), root).alias("deposit_id"), _in_bag(F.col("path"), root).alias("name"), "length")
+    globs = [g for g in (f"{root}/*/*/{n}" for n in names) if glob_exists(spark, g)]
+    if not globs:
+        return spark.createDataFrame([], "deposit_id bigint, bag string, name string, length bigint")
+    files = spark.read.format("binaryFile").load(globs).select("path", "length")
+    return files.select(_deposit_of(F.col("path"), root).alias("deposit_id"), _bag_of(F.col("path"), root).alias("bag"),
+                        _in_bag(F.col("path"), root).alias("name"), "length")
 
 
 # ------------------------------------------------------------------ S08

@@ -245,3 +245,26 @@ def test_item_requests_csv_end_to_end(spark, tmp_path):
     assert res.requests.count() == 4
     folders = {(r.path, r.parent_object) for r in res.folders.collect()}
     assert folders == {("a", "easy-dataset_1"), ("a/b", "a"), ("a/x", "a")}
+
+
+def test_only_the_first_bag_is_staged(spark, tmp_path):
+    from bagyard.plans.corpus import corpus_inputs
+
+    root = str(tmp_path / "c")
+    _write(f"{root}/7/deposit.properties", "depositor.userId=u7\n")
+    for bag, f in [("abag", "data/first.txt"), ("bbag", "data/second.txt")]:
+        _write(f"{root}/7/{bag}/bagit.txt", "BagIt-Version: 0.97\n")
+        _write(f"{root}/7/{bag}/{f}", "x")
+        _write(f"{root}/7/{bag}/manifest-sha1.txt", f"abc {f}\n")
+    empty_xml = spark.createDataFrame([], "pid string, xml string")
+    empty_cat = spark.createDataFrame([], "uri string, file_name string, content string")
+    settings = _settings(spark, False).where("deposit_id = 1").withColumn("deposit_id", F.lit(7).cast("long"))
+    inp = corpus_inputs(spark, root, settings, empty_xml, empty_cat)
+    assert [r.path for r in inp.payload_files.collect()] == ["data/first.txt"]
+    assert [r.raw for r in inp.sha1_manifest_lines.collect()] == ["abc data/first.txt"]
+    # no dataset.xml anywhere: an empty table, and the deposit is rejected instead of the run failing
+    from bagyard.operators.aggs import first_failure
+    from bagyard.plans import dataset_job as DJ
+
+    res = DJ.stage_datasets(inp)
+    assert [r.code for r in first_failure(res.rejects).collect()] == ["dataset_xml_missing"]

@@ -113,3 +113,45 @@ def test_jvm_trim_bruteforce(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(TX.jtrim(F.col("t"))).collect()]
     assert got == [t.strip("".join(chr(c) for c in range(0x21))) for t in texts]
+
+
+def test_first_failure_and_collect_bruteforce(spark):
+    rng = random.Random(13)
+    codes = [("invalid_state", 1), ("urn_missing", 10), ("format_not_unique", 14), ("bad_url", 14), ("license_count", 9)]
+    rows = []
+    for _ in range(500):
+        code, stage = rng.choice(codes)
+        rows.append((rng.randint(1, 40), rng.choice([None, f"f{rng.randint(0, 5)}"]), stage, code, f"m{rng.randint(0, 9)}"))
+    df = spark.createDataFrame(rows, "deposit_id long, item string, stage int, code string, message string")
+    got = {r.deposit_id: (r.stage, r.code, r.message, r.item) for r in aggs.first_failure(df).collect()}
+    want = {}
+    for d, item, stage, code, msg in rows:
+        key = (stage, code, item or "", msg)
+        if d not in want or key < want[d][0]:
+            want[d] = (key, (stage, code, msg, item))
+    assert got == {d: v for d, (_, v) in want.items()}
+    counts = {r.deposit_id: (r.n_failures, r.n_codes, r.first_message) for r in aggs.collect_failures(df).collect()}
+    for d in want:
+        mine = [r for r in rows if r[0] == d]
+        assert counts[d] == (len(mine), len({r[3] for r in mine}), min(r[4] for r in mine))
+
+
+def test_header_audit_bruteforce(spark):
+    from bagyard import constants as K
+    from bagyard.operators import sets
+
+    rng = random.Random(17)
+    cells = []
+    for f in range(30):
+        cols = [o.upper() if rng.random() < 0.3 else o for o in K.REQUEST_OPTIONS if rng.random() < 0.8]
+        cols += [c for c in ["note", "Extra"] if rng.random() < 0.4]
+        cells += [(f, i, c) for i, c in enumerate(cols)]
+    df = spark.createDataFrame(cells, "file_id long, col_pos int, column string")
+    got = {(r.file_id, r.column, r.kind) for r in sets.header_audit(df).collect()}
+    want = set()
+    req = {o.lower() for o in K.REQUEST_OPTIONS}
+    for f in {c[0] for c in cells}:
+        actual = {c[2].lower() for c in cells if c[0] == f}
+        want |= {(f, m, "missing") for m in req - actual}
+        want |= {(f, i, "ignored") for i in actual - req}
+    assert got == want

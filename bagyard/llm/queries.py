@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagyard.llm import mixing, packing, token_records, warc
+from bagyard.llm import mixing, packing, quality, token_records, toxicity, warc
 from bagyard.llm.frames import scratch_path, ship, table, tokenizer_file
+from bagyard.llm.labelled import held_out
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,18 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -48,9 +61,11 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 _ALL = {
     "op1_warc": op1_warc,
+    "op4_toxicity": op4_toxicity,
     "op5_source_mix": op5_source_mix,
     "op7_token_records": op7_token_records,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_quality": op9_quality,
 }
 
 QUERIES = {name: _shipped(fn) for name, fn in _ALL.items()}

@@ -6,7 +6,7 @@ All helpers take the bytes of several texts laid end to end and ``offsets``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,31 +74,35 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of bytes; equal spans have equal hashes wherever they stand."""
+def span_hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """64-bit hashes of spans (starts, ends) of bytes; equal spans have equal hashes wherever they stand."""
     up, down = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return lambda starts, ends: mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words (runs of bytes other than ASCII white space): start, end, and per text the index of its first word (n + 1 entries)."""
-    inside = np.zeros(len(data) + 2, dtype=bool)
-    inside[1:-1] = ~SPACE[data]
-    step = inside[1:] != inside[:-1]
-    edges = np.flatnonzero(step)
-    starts, ends = edges[0::2], edges[1::2]
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return span_hasher(data)(starts, ends)
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of set flags, cut at the ends of texts: start, end, and per text the index of its first run (n + 1 entries)."""
+    step = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
+    starts, ends = step[0::2], step[1::2]
     cuts = offsets[1:-1]
-    if len(cuts):  # a word that would run over the end of a text is two
+    if len(cuts) and len(starts):
         at = np.searchsorted(starts, cuts, side="left") - 1
-        over = (at >= 0) & (ends[np.maximum(at, 0)] > cuts) if len(starts) else np.zeros(len(cuts), bool)
+        over = (at >= 0) & (ends[np.maximum(at, 0)] > cuts)
         extra = np.unique(cuts[over])
         if len(extra):
-            starts = np.sort(np.concatenate([starts, extra]))
-            ends = np.sort(np.concatenate([ends, extra]))
-    first = np.searchsorted(starts, offsets, side="left")
-    return starts, ends, first
+            starts, ends = np.sort(np.concatenate([starts, extra])), np.sort(np.concatenate([ends, extra]))
+    return starts, ends, np.searchsorted(starts, offsets, side="left")
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs of bytes other than ASCII white space): start, end, and per text the index of its first word (n + 1 entries)."""
+    return runs(~SPACE[data], offsets)
 
 
 def window_hashes(h: np.ndarray, k: int) -> np.ndarray:

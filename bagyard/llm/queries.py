@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagyard.llm import mixing, packing, quality, token_records, toxicity, warc
+from bagyard.llm import chunking, mixing, packing, quality, token_records, toxicity, warc
 from bagyard.llm.frames import scratch_path, ship, table, tokenizer_file
 from bagyard.llm.labelled import held_out
 
@@ -50,6 +50,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests, 2048)
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +70,7 @@ _ALL = {
     "op7_token_records": op7_token_records,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality": op9_quality,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 QUERIES = {name: _shipped(fn) for name, fn in _ALL.items()}

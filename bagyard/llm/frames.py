@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from bagyard.llm.textbytes import mix
 from bagyard.session import checkpoint_dir, cut_lineage
 
-__all__ = ["cut_lineage", "rank_within", "running", "scratch_path", "ship", "table", "tokenizer_file"]
+__all__ = ["bloom", "cut_lineage", "in_bloom", "rank_within", "running", "scratch_path", "ship", "table", "tokenizer_file"]
 
 
 def ship(spark: SparkSession) -> None:
@@ -72,3 +76,38 @@ def rank_within(df: DataFrame, keys: Sequence[str], seed: Column, order: Sequenc
     inner = W.partitionBy("_group", "_bucket").orderBy("_seed", *order)
     out = df.join(counts, ["_group", "_bucket"]).withColumn(name, F.row_number().over(inner) - F.lit(1) + F.col("_first"))
     return out.drop("_group", "_bucket", "_seed", "_first")
+
+
+BLOOM_BITS = 1 << 23
+
+
+def _bloom_places(ids: np.ndarray) -> list[np.ndarray]:
+    h = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    return [((h >> np.uint64(s)) & np.uint64(BLOOM_BITS - 1)).astype(np.int64) for s in (0, 20, 40)]
+
+
+def bloom(df: DataFrame, column: str) -> Broadcast:
+    """A Bloom filter of fixed size (1 MiB) over a long column, as a broadcast variable.
+
+    Built by a bitwise-or per 64-bit word before anything reaches the driver; a
+    crowded filter lets more rows pass, never fewer."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(BLOOM_BITS // 64, np.uint64)
+        for batch in batches:
+            for at in _bloom_places(batch.column(0).drop_null().to_numpy()):
+                np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        full = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(words[full].view(np.int64))], ["word", "bits"])
+
+    found = df.select(F.col(column).cast("long")).mapInArrow(places, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    words = np.zeros(BLOOM_BITS // 64, np.uint64)
+    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return df.sparkSession.sparkContext.broadcast(words)
+
+
+def in_bloom(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    keep = np.ones(len(ids), bool)
+    for at in _bloom_places(ids):
+        keep &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return keep

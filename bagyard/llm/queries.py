@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagyard.llm import chunking, mixing, packing, quality, token_records, toxicity, warc
+from bagyard.llm import chunking, minhash, mixing, packing, quality, token_records, toxicity, warc
 from bagyard.llm.frames import scratch_path, ship, table, tokenizer_file
 from bagyard.llm.labelled import held_out
 
@@ -50,6 +50,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests, 2048)
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ _ALL = {
     "op1_warc": op1_warc,
     "op4_toxicity": op4_toxicity,
     "op5_source_mix": op5_source_mix,
+    "op6_minhash": op6_minhash,
     "op7_token_records": op7_token_records,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality": op9_quality,
@@ -88,5 +93,26 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d
+""",
+    "op6_minhash": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN ws IS NULL OR len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w
+), x AS (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM x a JOIN x b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p WHERE 100 * k >= 75 * (na + nb - k)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, e.b FROM reach JOIN e ON reach.r = e.a
+), c AS (
+  SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
 """,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagyard.llm import chunking, minhash, mixing, packing, quality, token_records, toxicity, warc
+from bagyard.llm import chunking, minhash, mixing, packing, quality, suffixes, token_records, toxicity, warc
 from bagyard.llm.frames import scratch_path, ship, table, tokenizer_file
 from bagyard.llm.labelled import held_out
 
@@ -19,6 +19,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).alias("repeated_words"), "spans", "cuts")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scores = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -69,6 +74,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 _ALL = {
     "op1_warc": op1_warc,
+    "op3_suffix_array": op3_suffix_array,
     "op4_toxicity": op4_toxicity,
     "op5_source_mix": op5_source_mix,
     "op6_minhash": op6_minhash,

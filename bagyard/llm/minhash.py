@@ -65,7 +65,7 @@ def class_hashes(members: np.ndarray, first: np.ndarray, full: np.ndarray) -> np
 
 
 def describe(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, cls, sig) per row; cls and sig are null for empty sets."""
+    """(doc_id, text_hash, n_shingles, cls, sig) per row; cls and sig are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,9 +82,10 @@ def describe(docs: DataFrame, k: int = 5) -> DataFrame:
                     total = class_hashes(members, first, full)
                     for i, c, s in zip(full.tolist(), total.tolist(), found, strict=True):
                         cls[i], sig[i] = c, s.tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "cls", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("text_hash").slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "text_hash", "n_shingles", "cls", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, cls long, sig binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, cls long, sig binary")
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
@@ -187,7 +188,7 @@ def later_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row; text_hash is xxhash64 of the text."""
     rows = cut_lineage(describe(docs), "signatures")
     classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
     classes = cut_lineage(classes, "classes")
@@ -207,6 +208,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     named = cut_lineage(named, "named")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = named.join(smallest, "component").select("cls", "component_id")
-    out = rows.select("doc_id", "n_shingles", "cls").join(of_class, "cls", "left")
+    out = rows.select("doc_id", "text_hash", "n_shingles", "cls").join(of_class, "cls", "left")
     out = out.withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """``docs`` without the rows that are not kept: of each component the rows of the smallest id stay."""
+    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
+    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")), "left_anti")

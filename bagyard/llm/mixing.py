@@ -97,8 +97,8 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 11) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, copies, taken (= copies * size)."""
-    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    """Per document: doc_id, text_hash, source, size, source_size, target, copies, taken (= copies * size)."""
+    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     sizes = cut_lineage(sizes, "sizes")
     goal = cut_lineage(targets(sizes, weights, share, most), "targets")
     groups = sizes.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
@@ -117,4 +117,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     out = ranked.join(renamed, F.col("source").eqNullSafe(F.col("_cs")) & (F.col("size") == F.col("_cz")), "left")
     out = out.withColumn("copies", F.coalesce(F.col("base") + (F.col("_rank") < F.col("more")).cast("long"), F.lit(0)))
     out = out.join(goals, F.col("source").eqNullSafe(F.col("_source")))
-    return out.select("doc_id", "source", "size", "source_size", "target", F.col("copies").cast("long").alias("copies"), (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return out.select("doc_id", "text_hash", "source", "size", "source_size", "target", F.col("copies").cast("long").alias("copies"), (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 11) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it, rows without words left out.
+
+    Rows that repeat an id and a text share their copies out evenly, rounded up."""
+    copies = mix(docs, weights, share, most, seed).groupBy("doc_id", "text_hash").agg(F.ceil(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("_copies")).where("_copies > 0")
+    copies = copies.withColumnsRenamed({"doc_id": "_id", "text_hash": "_h"})
+    out = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

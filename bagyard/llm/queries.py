@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagyard.llm import chunking, minhash, mixing, packing, quality, suffixes, token_records, toxicity, warc
+from bagyard.llm import chunking, covertree, minhash, mixing, packing, quality, suffixes, token_records, toxicity, warc
 from bagyard.llm.frames import scratch_path, ship, table, tokenizer_file
 from bagyard.llm.labelled import held_out
 
@@ -19,6 +19,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).alias("repeated_words"), "spans", "cuts")
@@ -56,7 +60,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +78,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 _ALL = {
     "op1_warc": op1_warc,
+    "op2_cover_tree": op2_cover_tree,
     "op3_suffix_array": op3_suffix_array,
     "op4_toxicity": op4_toxicity,
     "op5_source_mix": op5_source_mix,
@@ -120,5 +125,22 @@ WITH RECURSIVE w AS (
   SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id
 )
 SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+""",
+    "op2_cover_tree": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+), g AS (
+  SELECT vec_id, label, x, sqrt(list_inner_product(x, x)) AS n FROM v
+  WHERE label IS NOT NULL AND x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND list_inner_product(x, x) > 0
+), e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_inner_product(a.x, b.x) / (a.n * b.n) >= 0.93
+), reach AS (
+  SELECT vec_id, vec_id AS r FROM v UNION SELECT reach.vec_id, e.b FROM reach JOIN e ON reach.r = e.a
+), c AS (
+  SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id
+), d AS (
+  SELECT a, count(*) AS n_links FROM e GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN d ON a = vec_id
 """,
 }

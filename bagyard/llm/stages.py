@@ -1,37 +1,44 @@
-"""Stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame."""
+"""Stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame.
+
+All but packing take and return the columns of ``documents``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bagyard.llm import mixing, packing
-from bagyard.llm.frames import ship, tokenizer_file
-
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+from bagyard.llm import minhash, mixing, packing, suffixes
+from bagyard.llm import toxicity as tox
+from bagyard.llm.frames import ship, table, tokenizer_file
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that score 0.3 or more go; the model is fitted on labelled documents outside the held-out fold."""
+    ship(spark)
+    return tox.clean(docs, tox.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Of each component of near copies the document with the smallest id stays."""
+    ship(spark)
+    return minhash.one_of_each(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Passages of 50 words or more that another document keeps are cut out; all documents stay."""
+    ship(spark)
+    cut = suffixes.without_repeats(docs)
+    return cut.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast("long")))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat each document as often as the mix takes it; documents without words stay once."""
+    """Each document as often as the mix takes it: not at all, once or more."""
     ship(spark)
-    taken = mixing.mix(docs).select(F.col("doc_id").alias("_id"), "copies", "size").distinct()
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return mixing.mixed(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the encoded documents into sequences of 2048 tokens."""
+    """The encoded documents packed into sequences of 2048 tokens."""
     ship(spark)
     pieces = packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"), 2048)
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), 2048)

@@ -121,26 +121,40 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4
     return train(rows, weight)
 
 
+def _scores(m: Model, column: pa.Array) -> np.ndarray:
+    data, offsets = B.text_bytes(column)
+    scores = np.zeros(len(offsets) - 1)
+    for lo, hi, part, offs in B.slices(data, offsets):
+        s_start, _, s_first, sentence, buckets = instances(part, offs)
+        p = sentence_scores(m, len(s_start), sentence, buckets)
+        p[np.bincount(sentence, minlength=len(p)) == 0] = 0  # no word, no score
+        none = np.concatenate(([0.0], np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-9)))))
+        scores[lo:hi] = 1 - np.exp(np.minimum(0.0, none[s_first[1:]] - none[s_first[:-1]]))
+    return scores
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row, whole texts."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for batch in batches:
-            data, offsets = B.text_bytes(batch.column("text"))
-            scores = np.zeros(len(offsets) - 1)
-            for lo, hi, part, offs in B.slices(data, offsets):
-                s_start, _, s_first, sentence, buckets = instances(part, offs)
-                p = sentence_scores(m, len(s_start), sentence, buckets)
-                p[np.bincount(sentence, minlength=len(p)) == 0] = 0  # no word, no score
-                none = np.concatenate(([0.0], np.cumsum(np.log1p(-np.minimum(p, 1 - 1e-9)))))
-                scores[lo:hi] = 1 - np.exp(np.minimum(0.0, none[s_first[1:]] - none[s_first[:-1]]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(shared.value, batch.column("text")))], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 
+def clean(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFrame:
+    """The rows that score below ``limit``, all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(shared.value, batch.column("text")) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def sentences(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     """Offending sentences: (doc_id, start, length, sentence, score), places in bytes of the UTF-8 text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -8,11 +8,12 @@
    so all pairs under the distance share a key.  At the similarity 0.75 more errors
    are about as likely as 1 in 100,000, above it far less.
 3. First every class is compared with the one class (the smallest of a key) that
-   it shares most keys with, which joins large groups of near copies without
-   pairing them up.  Then all pairs of a key that are still in different
-   components and within the signature distance are compared, large keys in
-   blocks of ``BLOCK`` classes, until none is left.  A link needs
-   100 * intersection >= 75 * union of the full sets.
+   it shares most keys with, then ``NEAREST_ROUNDS`` times with the class of
+   smallest signature distance in another component.  That joins large groups of
+   near copies by a few comparisons per class.  At last all pairs of a key that are
+   still in different components and within the signature distance are compared.
+   Keys of more than ``SMALL_KEY`` classes are searched in blocks of ``BLOCK``.  A link
+   needs 100 * intersection >= 75 * union of the full sets.
 
 Sets are made again from the text for the classes that have candidates; a Bloom
 filter of fixed size keeps the others out at the scan.
@@ -42,6 +43,7 @@ SYMBOLS, CHUNKS = 64, 16
 WIDTH = SYMBOLS // CHUNKS
 MOST_ERRORS = 2 * CHUNKS - 1
 BLOCK = 512
+NEAREST_ROUNDS = 2
 SMALL_KEY = 16  # keys of at most so many classes are paired by a plain join
 _RNG = np.random.Generator(np.random.PCG64(6))
 _A = _RNG.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -143,16 +145,16 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: in
     return both.where(100 * F.col("n") >= percent * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
 
 
-def _near(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Whether signatures (rows) of two blocks are within the distance."""
+def _errors(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Symbols in which signatures (rows) of two blocks differ."""
     errors = np.zeros((len(left), len(right)), np.uint8)
     for i in range(SYMBOLS):
         errors += left[:, i][:, None] != right[:, i][None, :]
-    return errors <= MOST_ERRORS
+    return errors
 
 
-def later_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a key, lie in different components and are within the signature distance.
+def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs (a, b) that share a key, lie in different components and are within the signature distance; with ``nearest`` one for each class.
 
     members: (key, cls, component, n), n being the classes of the key."""
     few = members.where(F.col("n") <= SMALL_KEY).select("key", "cls", "component")
@@ -164,10 +166,11 @@ def later_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for c in ("as", "bs"))
-            keep = pa.array((a != b).sum(axis=1) <= MOST_ERRORS)
-            yield batch.select(["a", "b"]).filter(keep)
+            errors = (a != b).sum(axis=1).astype(np.int32)
+            found = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(errors)], ["a", "b", "errors"])
+            yield found.filter(pa.array(errors <= MOST_ERRORS))
 
-    pairs = pairs.select("a", "b", "as", "bs").mapInArrow(near, "a long, b long")
+    pairs = pairs.select("a", "b", "as", "bs").mapInArrow(near, "a long, b long, errors int")
 
     many = members.where(F.col("n") > SMALL_KEY).join(sig, "cls")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
@@ -179,12 +182,26 @@ def later_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
         sig = np.frombuffer(b"".join(frame["sig"]), np.uint16).reshape(-1, SYMBOLS)
         block, comp, cls = (frame[c].to_numpy() for c in ("block", "component", "cls"))
         left, right = (np.flatnonzero(block == frame[c].iloc[0]) for c in ("lo", "hi"))
-        i, j = np.nonzero(_near(sig[left], sig[right]) & (comp[left][:, None] != comp[right][None, :])) if len(left) and len(right) else (np.zeros(0, int),) * 2
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": [], "errors": []}).astype("int64")
+        errors = _errors(sig[left], sig[right])
+        errors[comp[left][:, None] == comp[right][None, :]] = SYMBOLS + 1
+        if nearest:
+            i = np.concatenate([np.arange(len(left)), errors.argmin(axis=0)])
+            j = np.concatenate([errors.argmin(axis=1), np.arange(len(right))])
+            near = errors[i, j] <= MOST_ERRORS
+            i, j = i[near], j[near]
+        else:
+            i, j = np.nonzero(errors <= MOST_ERRORS)
         a, b = cls[left[i]], cls[right[j]]
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        return pd.DataFrame({"a": low, "b": high}).drop_duplicates()
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "errors": errors[i, j].astype(np.int32)}).drop_duplicates()
 
-    return pairs.union(many.groupBy("key", "lo", "hi").applyInPandas(meet, "a long, b long")).distinct()
+    found = pairs.union(many.groupBy("key", "lo", "hi").applyInPandas(meet, "a long, b long, errors int"))
+    if not nearest:
+        return found.select("a", "b").distinct()
+    both = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "errors"))
+    best = both.groupBy("a").agg(F.min(F.struct("errors", "b")).alias("best"))
+    return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -199,11 +216,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     stars = stars.groupBy("cls").agg(F.max(F.struct("shared", "hub")).alias("best")).select(F.col("cls").alias("a"), F.col("best.hub").alias("b"))
     links = cut_lineage(confirmed(docs, stars, classes, percent), "links")
     groups = cut_lineage(components(links), "groups")
-
-    placed = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n")).where("c0 <> c1").select("key", "n")
-    more = confirmed(docs, later_pairs(placed.join(mixed, "key"), classes), classes, percent)
-    groups = components(links.union(more))
+    for nearest in [True] * NEAREST_ROUNDS + [False]:
+        placed = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n")).where("c0 <> c1").select("key", "n")
+        more = cut_lineage(confirmed(docs, later_pairs(placed.join(mixed, "key"), classes, nearest), classes, percent), "more")
+        if not more.isEmpty():
+            links = cut_lineage(links.union(more), "links")
+            groups = cut_lineage(components(links), "groups")
     named = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     named = cut_lineage(named, "named")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))

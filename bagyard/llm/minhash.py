@@ -43,6 +43,7 @@ SYMBOLS, CHUNKS = 64, 16
 WIDTH = SYMBOLS // CHUNKS
 MOST_ERRORS = 2 * CHUNKS - 1
 BLOCK = 512
+CELL_BYTES = 16 << 20
 NEAREST_ROUNDS = 2
 SMALL_KEY = 16  # keys of at most so many classes are paired by a plain join
 _RNG = np.random.Generator(np.random.PCG64(6))
@@ -91,7 +92,7 @@ def describe(docs: DataFrame, k: int = 5) -> DataFrame:
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
-    """(key, cls): every chunk of every signature with each of its symbols left out."""
+    """(key, slot, cls): every chunk of every signature with each of its symbols left out; slot = symbol * CHUNKS + chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,13 +107,14 @@ def index_keys(classes: DataFrame) -> DataFrame:
                 label = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(out)
                 keys.append(B.mix(packed + label[None, :] * np.uint64(0x9E3779B97F4A7C15)))
             flat = np.concatenate(keys, axis=1).ravel().view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(batch.column("cls").to_numpy(), CHUNKS * WIDTH))], ["key", "cls"])
+            slot = np.tile(np.arange(CHUNKS * WIDTH, dtype=np.int8), n)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(slot), pa.array(np.repeat(batch.column("cls").to_numpy(), CHUNKS * WIDTH))], ["key", "slot", "cls"])
 
-    return classes.select("cls", "sig").mapInArrow(run, "key long, cls long")
+    return classes.select("cls", "sig").mapInArrow(run, "key long, slot byte, cls long")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int = 5) -> DataFrame:
-    """(cls, members) of the classes of ``wanted`` (cls, rep), made from the text of their representative."""
+    """(cls, members) of the classes of ``wanted`` (cls, rep), made from the text of their representative; members are sorted 64-bit hashes."""
     shared = bloom(wanted, "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,24 +127,44 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int = 5) -> DataFrame:
                 members, first = shingle_sets(part, offs, k)
                 full = np.flatnonzero(np.diff(first))
                 if len(full):
-                    bounds = np.append(first[full], len(members))
-                    arrays = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(members.view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(class_hashes(members, first, full)), arrays], ["cls", "members"])
+                    sets = [members[first[i] : first[i + 1]].tobytes() for i in full]
+                    yield pa.RecordBatch.from_arrays([pa.array(class_hashes(members, first, full)), pa.array(sets, pa.binary())], ["cls", "members"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "cls long, members array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "cls long, members binary")
     return rows.join(wanted.select("cls"), "cls").groupBy("cls").agg(F.first("members").alias("members"))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: int = 75) -> DataFrame:
-    """Those of ``pairs`` (a, b; classes) whose full sets are alike enough."""
+    """Those of ``pairs`` (a, b; classes) whose full sets are alike enough.
+
+    Pairs are dealt to the cells of a square grid by the hashes of a and b, each set goes once to every cell that
+    needs it: among classes with many pairs to each other a set travels at most as often as the grid has rows.
+    The grid grows with the sets, so that a cell holds about ``CELL_BYTES``."""
     pairs = cut_lineage(pairs, "pairs")
-    wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls").select("cls", "rep"), "wanted")
-    sets = cut_lineage(full_sets(docs, wanted), "sets")
-    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("members").alias("am")), "a")
-    both = left.join(sets.select(F.col("cls").alias("b"), F.col("members").alias("bm")), "b")
-    shared = F.size(F.array_intersect("am", "bm"))
-    both = both.select("a", "b", F.size("am").alias("na"), F.size("bm").alias("nb"), shared.alias("n"))
-    return both.where(100 * F.col("n") >= percent * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
+    wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls").select("cls", "rep", "n_shingles"), "wanted")
+    size = 8 * (wanted.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0)
+    side = max(4, -(-2 * size // CELL_BYTES))
+    place = lambda c, seed: F.pmod(F.xxhash64(F.lit(seed), c), F.lit(side))
+    cells = pairs.withColumn("cell", place("a", 1) * side + place("b", 2))
+    needs = cells.select((F.col("cell") + 0).alias("place"), F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = needs.join(full_sets(docs, wanted.select("cls", "rep")), "cls")
+
+    def compare(found: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        by = {c: np.frombuffer(m, np.uint64) for c, m in zip(held["cls"], held["members"], strict=True)}
+        keep = []
+        for a, b in zip(found["a"], found["b"], strict=True):
+            x, y = by[a], by[b]
+            n = len(x) + len(y)
+            if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+                both = np.concatenate((x, y))
+                both.sort()
+                shared = int((both[1:] == both[:-1]).sum())
+                if 100 * shared >= percent * (n - shared):
+                    keep.append((a, b))
+        return pd.DataFrame(keep, columns=["a", "b"], dtype="int64")
+
+    sets = sets.select("place", "cls", "members")
+    return cells.groupBy("cell").cogroup(sets.groupBy("place")).applyInPandas(compare, "a long, b long")
 
 
 def _errors(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -153,10 +175,19 @@ def _errors(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return errors
 
 
+def _first_slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first slot that each pair of signatures (rows) shares."""
+    same = (a == b).reshape(-1, CHUNKS, WIDTH)
+    errors = WIDTH - same.sum(axis=2)
+    shares = (errors == 0)[:, None, :] | ((errors == 1)[:, None, :] & ~same.transpose(0, 2, 1))
+    return shares.reshape(len(a), -1).argmax(axis=1)
+
+
 def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool) -> DataFrame:
     """Pairs (a, b) that share a key, lie in different components and are within the signature distance; with ``nearest`` one for each class.
 
-    members: (key, cls, component, n), n being the classes of the key."""
+    members: (key, slot, cls, component, n), n being the classes of the key.  A pair of a large key
+    is reported for the first slot that it shares, so that sharing many keys does not multiply it."""
     few = members.where(F.col("n") <= SMALL_KEY).select("key", "cls", "component")
     other = few.select("key", F.col("cls").alias("b"), F.col("component").alias("bc"))
     pairs = few.select("key", F.col("cls").alias("a"), F.col("component").alias("ac")).join(other, "key").where("a < b AND ac <> bc").select("a", "b").distinct()
@@ -176,7 +207,7 @@ def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool) -> DataFr
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     many = many.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cls", "key"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, F.col("block")).alias("lo"), F.greatest(i, F.col("block")).alias("hi")))
-    many = many.withColumn("meet", F.explode(meets)).select("key", "meet.lo", "meet.hi", "block", "cls", "component", "sig")
+    many = many.withColumn("meet", F.explode(meets)).select("key", "slot", "meet.lo", "meet.hi", "block", "cls", "component", "sig")
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(frame["sig"]), np.uint16).reshape(-1, SYMBOLS)
@@ -193,6 +224,10 @@ def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool) -> DataFr
             i, j = i[near], j[near]
         else:
             i, j = np.nonzero(errors <= MOST_ERRORS)
+            parts = range(0, len(i), 65536)
+            own = [np.flatnonzero(_first_slot(sig[left[i[p : p + 65536]]], sig[right[j[p : p + 65536]]]) == frame["slot"].iloc[0]) + p for p in parts]
+            own = np.concatenate(own) if own else np.zeros(0, np.int64)
+            i, j = i[own], j[own]
         a, b = cls[left[i]], cls[right[j]]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "errors": errors[i, j].astype(np.int32)}).drop_duplicates()
 
@@ -217,7 +252,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     links = cut_lineage(confirmed(docs, stars, classes, percent), "links")
     groups = cut_lineage(components(links), "groups")
     for nearest in [True] * NEAREST_ROUNDS + [False]:
-        placed = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
+        placed = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("key", "slot", "cls", F.coalesce("component", "cls").alias("component"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n")).where("c0 <> c1").select("key", "n")
         more = cut_lineage(confirmed(docs, later_pairs(placed.join(mixed, "key"), classes, nearest), classes, percent), "more")
         if not more.isEmpty():

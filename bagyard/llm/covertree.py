@@ -37,7 +37,7 @@ from bagyard.llm.textbytes import mix
 
 BLOCK = 1024
 CENTRES = 4096
-LEAF = 24
+LEAF = 128
 SLACK = 1e-9  # bounds are widened by this, so that rounding never prunes a pair
 
 

@@ -10,7 +10,7 @@ ISO_MILLIS_ZONE = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 # ISO-8601 date / date-time as the creation date may be written:
 # year, year-month, date, date-time with optional fraction and offset.
 _ISO_DATE = (
-    r"^\d{4}(-\d{2}(-\d{2}(T\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?)?)?$"
+    r"^\d{4}(-\d{2}(-\d{2}(T\d{2}(:[0-5]\d(:[0-5]\d(\.\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?)?)?$"
 )
 
 
@@ -28,7 +28,8 @@ def created_year(text) -> Column:
 
     The year is read from the text itself, so a date-time with an offset keeps
     the year of that offset.  Validity: the ISO shape, and a real calendar date
-    for the date part (month 1-12, day within the month).
+    for the date part (month 1-12, day within the month), hours to 23, minutes
+    and seconds to 59.  Week and ordinal dates and one-digit parts are not accepted.
     """
     t = _c(text)
     date_part = F.regexp_extract(t, r"^(\d{4}(-\d{2}(-\d{2})?)?)", 1)

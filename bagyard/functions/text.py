@@ -75,8 +75,8 @@ def relation_object(kind, value) -> Column:
 
 
 def has_http_protocol(url) -> Column:
-    """The protocol of a URL must start with ``http``; not a URL = false."""
-    proto = F.try_parse_url(_c(url), F.lit("PROTOCOL"))
+    """The protocol of a URL must start with ``http``, in any case; not a URL = false."""
+    proto = F.lower(F.try_parse_url(_c(url), F.lit("PROTOCOL")))
     return F.coalesce(proto.startswith("http"), F.lit(False))
 
 

@@ -50,10 +50,15 @@ def content_kind(files: DataFrame, uri: str = "uri") -> DataFrame:
 KNOWN_URL_PROTOCOLS = ["http", "https", "ftp", "file", "jar", "mailto"]
 
 
+def has_known_protocol(uri: str) -> Column:
+    """Whether a column holds an absolute URL of a known protocol, written in any case."""
+    proto = F.lower(F.try_parse_url(F.col(uri), F.lit("PROTOCOL")))
+    return F.coalesce(proto.isin(*KNOWN_URL_PROTOCOLS), F.lit(False))
+
+
 def check_url(files: DataFrame, uri: str = "uri") -> DataFrame:
     """Dataset stage: an external location must be an absolute URL of a known protocol."""
-    proto = F.try_parse_url(F.col(uri), F.lit("PROTOCOL"))
-    bad = files.where(F.col(uri).isNotNull() & ~F.coalesce(proto.isin(*KNOWN_URL_PROTOCOLS), F.lit(False)))
+    bad = files.where(F.col(uri).isNotNull() & ~has_known_protocol(uri))
     return reject(bad, "bad_url", F.concat(F.lit(K.MSG_BAD_URL), F.col(uri)), item=F.col("path"))
 
 

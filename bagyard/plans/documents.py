@@ -211,26 +211,31 @@ def _workflow_xml() -> str:
     return "".join(render(c) for c in children.get("dataset", []))
 
 
+def _text(c) -> Column:
+    """Escaped text; an absent value is empty, so that it does not empty the whole document."""
+    return F.coalesce(xml_escape(c), F.lit(""))
+
+
 def render_amd(facts: DataFrame, remark_date: str) -> DataFrame:
     """N04 rendering; the remark date is a parameter (the reference uses wall-clock now)."""
     state_change = F.when(
         F.col("previous_state").isNotNull(),
-        F.concat(F.lit("<previousState>DRAFT</previousState><lastStateChange>"), F.col("last_state_change"), F.lit("</lastStateChange>")),
+        F.concat(F.lit("<previousState>DRAFT</previousState><lastStateChange>"), F.coalesce("last_state_change", F.lit("")), F.lit("</lastStateChange>")),
     ).otherwise(F.lit(""))
     dates = F.when(
         F.col("previous_state").isNotNull(),
-        F.concat(F.lit("<stateChangeDates><damd:stateChangeDate><fromState>DRAFT</fromState><toState>"), xml_escape(F.col("dataset_state")),
-                 F.lit("</toState><changeDate>"), F.col("last_state_change"), F.lit("</changeDate></damd:stateChangeDate></stateChangeDates>")),
+        F.concat(F.lit("<stateChangeDates><damd:stateChangeDate><fromState>DRAFT</fromState><toState>"), _text(F.col("dataset_state")),
+                 F.lit("</toState><changeDate>"), F.coalesce("last_state_change", F.lit("")), F.lit("</changeDate></damd:stateChangeDate></stateChangeDates>")),
     ).otherwise(F.lit("<stateChangeDates/>"))
     remark = F.when(
         F.col("remark_text").isNotNull(),
-        F.concat(F.lit("<remark><text>"), xml_escape(F.col("remark_text")), F.lit("</text><remarkerId>"), xml_escape(F.col("depositor_id")),
+        F.concat(F.lit("<remark><text>"), _text(F.col("remark_text")), F.lit("</text><remarkerId>"), _text(F.col("depositor_id")),
                  F.lit(f"</remarkerId><remarkDate>{remark_date}</remarkDate></remark>")),
     ).otherwise(F.lit(""))
     content = F.concat(
         F.lit(f'<damd:administrative-md xmlns:damd="{K.NS_AMD}" version="0.1"><datasetState>'),
-        xml_escape(F.col("dataset_state")), F.lit("</datasetState>"), state_change,
-        F.lit("<depositorId>"), xml_escape(F.col("depositor_id")), F.lit("</depositorId>"), dates,
+        _text(F.col("dataset_state")), F.lit("</datasetState>"), state_change,
+        F.lit("<depositorId>"), _text(F.col("depositor_id")), F.lit("</depositorId>"), dates,
         F.lit(f'<groupIds/><damd:workflowData version="0.1"><assigneeId>{K.WORKFLOW_ASSIGNEE}</assigneeId>'
               f'<wfs:workflow xmlns:wfs="{K.NS_WORKFLOW}"><id>dataset</id><remarks>'),
         remark, F.lit(f"</remarks><steps>{_workflow_xml()}</steps></wfs:workflow></damd:workflowData></damd:administrative-md>"),
@@ -241,7 +246,7 @@ def render_amd(facts: DataFrame, remark_date: str) -> DataFrame:
 # ------------------------------------------------------------------ N05
 def render_foxml(sdos: DataFrame, label: str = "label", owner: str = "owner_id", mime: str | None = "mime_type") -> DataFrame:
     """Object document — state Active, label (255), owner, DC title / type."""
-    dc_type = F.concat(F.lit("<dc:type>"), xml_escape(F.col(mime)), F.lit("</dc:type>")) if mime else F.lit("")
+    dc_type = F.concat(F.lit("<dc:type>"), _text(F.col(mime)), F.lit("</dc:type>")) if mime else F.lit("")
     dc_type = F.when(F.col(mime).isNotNull(), dc_type).otherwise(F.lit("")) if mime else dc_type
     content = F.concat(
         F.lit(f'<foxml:digitalObject VERSION="1.1" xmlns:foxml="{K.NS_FOXML}" '
@@ -249,15 +254,15 @@ def render_foxml(sdos: DataFrame, label: str = "label", owner: str = "owner_id",
               f'xsi:schemaLocation="{K.NS_FOXML} http://www.fedora.info/definitions/1/0/foxml1-1.xsd">'
               '<foxml:objectProperties><foxml:property NAME="info:fedora/fedora-system:def/model#state" VALUE="Active"/>'
               '<foxml:property NAME="info:fedora/fedora-system:def/model#label" VALUE="'),
-        xml_escape(fox_label(F.col(label))),
+        _text(fox_label(F.col(label))),
         F.lit('"/><foxml:property NAME="info:fedora/fedora-system:def/model#ownerId" VALUE="'),
-        xml_escape(F.col(owner)),
+        _text(F.col(owner)),
         F.lit('"/></foxml:objectProperties><foxml:datastream ID="DC" STATE="A" CONTROL_GROUP="X" VERSIONABLE="true">'
               f'<foxml:datastreamVersion ID="DC1.0" LABEL="Dublin Core Record" MIMETYPE="text/xml" FORMAT_URI="{K.NS_OAI_DC}">'
               f'<foxml:xmlContent><oai_dc:dc xmlns:oai_dc="{K.NS_OAI_DC}" xmlns:dc="{K.NS_DC}" '
               f'xmlns:xsi="{K.NS_XSI}" xsi:schemaLocation="{K.NS_OAI_DC} http://www.openarchives.org/OAI/2.0/oai_dc.xsd">'
               '<dc:title>'),
-        xml_escape(F.col(label)),
+        _text(F.col(label)),
         F.lit("</dc:title>"),
         dc_type,
         F.lit("</oai_dc:dc></foxml:xmlContent></foxml:datastreamVersion></foxml:datastream></foxml:digitalObject>"),

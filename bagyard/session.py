@@ -91,7 +91,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     if sc_dir:
         return sc_dir
-    # unset: tests and the local bench only
+    # unset: tests and the local bench only; executors elsewhere would not see this folder
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="bagyard-ckpt-")
     spark.sparkContext.setCheckpointDir(scratch)
     try:

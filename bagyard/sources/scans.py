@@ -64,12 +64,16 @@ def _in_bag(path: Column, root: str) -> Column:
 def scan_deposits(spark: SparkSession, root: str) -> DataFrame:
     """Owner from ``depositor.userId``; bag = first child directory (not
     ``.git``) holding a ``bagit.txt`` — smallest name when there are several."""
-    props = spark.read.text(f"{root}/*/deposit.properties").select(_deposit_of(_file_path(), root).alias("deposit_id"), "value")
+    props = spark.read.text(f"{root}/*/deposit.properties").select(
+        _deposit_of(_file_path(), root).alias("deposit_id"),
+        F.struct(F.input_file_block_start().alias("start"), F.monotonically_increasing_id().alias("n")).alias("line"),
+        "value",
+    )
     owner = (
         props.where(F.col("value").rlike(r"^\s*depositor\.userId\s*[=:]"))
-        .select("deposit_id", jtrim(F.regexp_extract("value", r"^\s*depositor\.userId\s*[=:]\s*(.*)$", 1)).alias("owner_id"))
+        .select("deposit_id", "line", jtrim(F.regexp_extract("value", r"^\s*depositor\.userId\s*[=:]\s*(.*)$", 1)).alias("owner_id"))
         .groupBy("deposit_id")
-        .agg(F.min("owner_id").alias("owner_id"))  # a duplicated key: deterministic choice
+        .agg(F.min_by("owner_id", "line").alias("owner_id"))  # of a repeated key the first line counts
     )
     bags = (
         spark.read.format("binaryFile")
@@ -258,7 +262,7 @@ def parse_dataset_metadata(raw: DataFrame, xml: str = "xml") -> DataFrame:
             F.coalesce(F.col("_d.dcmiMetadata.license"), F.array().cast("array<struct<_VALUE:string,_type:string>>")),
             lambda x: F.struct(jtrim(F.coalesce(x["_VALUE"], F.lit(""))).alias("text"), x["_type"].alias("xsi_type")),
         ).alias("license"),
-        F.array_join(F.regexp_extract_all(F.col(xml), F.lit(r'(xmlns:\w+="[^"]*")'), 1), " ").alias("ns_decls"),
+        F.array_join(F.regexp_extract_all(F.col(xml), F.lit(r"""(xmlns:[^\s=]+\s*=\s*(?:"[^"]*"|'[^']*'))"""), 1), " ").alias("ns_decls"),
     )
 
 

@@ -28,7 +28,8 @@ def main() -> None:
     from bagyard.session import configure
     from bagyard.sources import scans, sinks
 
-    spark = configure(SparkSession.builder.getOrCreate())
+    spark = SparkSession.builder.getOrCreate()
+    configure(spark, cluster=not spark.sparkContext.master.startswith("local["))
     inp = corpus_inputs(spark, a.root, spark.read.parquet(a.settings), spark.read.parquet(a.disciplines),
                         scans.license_catalog(spark, a.license_properties, a.license_dir))
     res = DJ.stage_datasets(inp)

@@ -327,3 +327,25 @@ def test_identifiers(spark):
     df = spark.createDataFrame([(1, "urn:1", "10.1/x", True), (2, None, None, False)], "deposit_id long, urn string, doi string, other_access_doi boolean")
     got = sorted(rows(checks.identifiers(df), "deposit_id", "pos", "value", "scheme"))
     assert got == [(1, 1, "urn:1", K.SCHEME_PID), (1, 2, "10.1/x", K.SCHEME_DOI_OTHER_ACCESS), (1, 3, "$sdo-id", K.SCHEME_DMO_ID), (2, 3, "$sdo-id", K.SCHEME_DMO_ID)]
+
+
+def test_counter_examples(spark):
+    from bagyard.functions.dates import created_year
+    from bagyard.functions.text import has_http_protocol
+    from bagyard.operators.checks import has_known_protocol
+    from bagyard.operators.licenses import is_uri_license
+    from bagyard.plans.documents import render_foxml
+    from pyspark.sql import functions as F
+
+    urls = spark.createDataFrame([("HTTP://x/a",), ("https://x",), ("ftp://x",), ("nope",), (None,)], "u string")
+    got = [tuple(r) for r in urls.select(has_http_protocol("u"), has_known_protocol("u")).collect()]
+    assert got == [(True, True), (True, True), (False, True), (False, False), (False, False)]
+    dates = ["2019-01-01T12:75:00", "2019-01-01T12:00:99Z", "2019-01-01T12:59:59Z", "2019", "2020-1-5"]
+    years = spark.createDataFrame([(d,) for d in dates], "d string").select(created_year("d")).collect()
+    assert [r[0] for r in years] == [None, None, 2019, 2019, None]
+    ns = "http://purl.org/dc/terms/"
+    rows = [("dcterms:URI", f"xmlns:dcterms='{ns}'"), ("dc-t:URI", f'xmlns:dc-t="{ns}"'), ("x:URI", f'xmlns:y="{ns}"')]
+    uri = spark.createDataFrame(rows, "t string, ns string").select(is_uri_license("t", "ns")).collect()
+    assert [r[0] for r in uri] == [True, True, False]
+    sdos = spark.createDataFrame([(1, "s", None, None, None)], "deposit_id long, sdo_name string, label string, owner_id string, mime_type string")
+    assert 'NAME="info:fedora/fedora-system:def/model#ownerId" VALUE=""' in render_foxml(sdos).first()["content"]

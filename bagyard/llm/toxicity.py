@@ -16,11 +16,13 @@ Without positive labels every score stays near 0.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,13 +71,17 @@ def train(bags: list[tuple[int, np.ndarray, np.ndarray]], weight: dict[int, floa
     for _, _, buckets in bags:
         seen[np.unique(buckets)] += 1
     used = seen >= least
-    ready = []
+    total = sum(buckets.size for _, _, buckets in bags)
+    words, places, features = np.empty(total, np.uint16), np.empty(total, np.int32), np.empty(total, np.int32)  # few large arrays: the driver gives them back
+    ready, n, m = [], 0, 0
     for y, sentence, buckets in bags:
-        known = used[buckets]
-        word, column = np.nonzero(known)
+        word, column = np.nonzero(used[buckets])
         if len(word):
             flat, at = np.unique(buckets[word, column], return_inverse=True)
-            ready.append((y, sentence[word], flat, at.ravel(), int(sentence[-1]) + 1))
+            here, known = slice(n, n + len(word)), slice(m, m + len(flat))
+            words[here], places[here], features[known] = sentence[word], at.ravel(), flat
+            ready.append((y, words[here], features[known], places[here], int(sentence[-1]) + 1))
+            n, m = here.stop, known.stop
     bias, squares, bias_square = -7.0, np.full(BUCKETS, 1e-2), 1.0
     rng = np.random.default_rng(seed)
     mean = sum(weight[y] for y, *_ in ready) / max(1, len(ready))
@@ -104,20 +110,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, y = batch.column("_id").to_pylist(), batch.column("label").to_pylist()
             data, offsets = B.text_bytes(batch.column("text"))
-            rows = []
-            for i in range(len(ids)):
-                part = data[offsets[i] : offsets[i + 1]]
-                _, _, _, sentence, buckets = instances(part, np.array([0, len(part)]))
-                rows.append((ids[i], y[i], sentence.astype("<u2").tobytes(), buckets.astype("<i4").tobytes()))
-            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["_id", "label", "sentence", "buckets"])
-
-    found = sample.mapInArrow(bags, "_id long, label int, sentence binary, buckets binary").collect()  # bounded by ``most`` and ``most_bytes``
-    found.sort(key=lambda r: (r["_id"], r["buckets"]))
-    rows = [(r["label"], np.frombuffer(r["sentence"], "<u2").astype(np.int64), np.frombuffer(r["buckets"], "<i4").reshape(-1, 1 + len(PREFIXES))) for r in found]
+            for lo, hi, part, offs in B.slices(data, offsets):
+                _, _, at = B.runs(_WORD[part], offs)
+                texts = [zlib.compress(part[a:b].tobytes()) for a, b in zip(offs[:-1], offs[1:], strict=True)]
+                columns = [batch.column(c).slice(lo, hi - lo) for c in ("_id", "label")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(at), pa.int64()), pa.array(texts, pa.binary())], ["_id", "label", "words", "text"])
+
+    found = sample.mapInArrow(bags, "_id long, label int, words long, text binary").toArrow()  # bounded by ``most`` and ``most_bytes``
+    order = pc.sort_indices(found, sort_keys=[("_id", "ascending"), ("text", "ascending")]).to_pylist()
+    size, label_of = found["words"].to_pylist(), found["label"].to_pylist()
+    sentence, buckets = np.empty(sum(size), np.uint16), np.empty((sum(size), 1 + len(PREFIXES)), np.int32)
+    rows, n = [], 0
+    for i in order:
+        part = np.frombuffer(zlib.decompress(found["text"][i].as_buffer()), np.uint8)
+        here = slice(n, n + size[i])
+        _, _, _, sentence[here], buckets[here] = instances(part, np.array([0, len(part)]))
+        rows.append((label_of[i], sentence[here], buckets[here]))
+        n = here.stop
     return train(rows, weight)
 
 

@@ -146,6 +146,7 @@ MSG_UNKNOWN_LICENSE_EXT = "Unknown extension for license: ."
 MSG_URN_MISSING = "URN must be provided"
 MSG_KEY_NOT_FOUND = "key not found: "
 MSG_FILE_MISSING = ("File ", " does not exist")
+MSG_BAD_URI_MAPPING_LINE = "Invalid line in input: "
 MSG_BAD_MANIFEST_LINE = "Invalid line in manifest-sha1.txt: "
 MSG_FILES_XML_MISSING = "Unable to find `metadata/files.xml` in bag."
 MSG_FORMAT_NOT_UNIQUE = "format element doesn't exist for the file, or isn't unique."
@@ -171,6 +172,7 @@ NS_XSI = "http://www.w3.org/2001/XMLSchema-instance"
 
 # failure order of the dataset stage (lower = earlier)
 STAGE = {
+    "bad_uri_mapping_line": 0,
     "invalid_state": 1,
     "uri_not_in_bag": 2,
     "no_data_dir": 3,

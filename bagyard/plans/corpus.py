@@ -29,7 +29,7 @@ EMPTY = {
     "files": "deposit_id bigint, bag string, filepath string, format array<string>, title array<string>, "
              "access_rights array<string>, accessible_to array<string>, visible_to array<string>",
     "payload": "deposit_id bigint, bag string, path string, size bigint, is_dir boolean",
-    "uris": "deposit_id bigint, path string, uri string",
+    "uris": "deposit_id bigint, line_no struct<block:bigint,row:bigint>, line string",
 }
 
 
@@ -58,14 +58,14 @@ def corpus_inputs(spark: SparkSession, root: str, settings: DataFrame, disciplin
                               lambda: scans.scan_agreements(spark, root), "agreements"))
     lic = ddm.select("deposit_id", F.posexplode("license").alias("pos", "l")).select(
         "deposit_id", "pos", F.col("l.text").alias("text"), F.col("l.xsi_type").alias("xsi_type"))
-    uris = _scan(spark, f"{root}/*/uri-mapping.txt", lambda: scans.scan_uri_mapping(spark, root).select("deposit_id", "path", "uri"), "uris")
+    mapping = _scan(spark, f"{root}/*/uri-mapping.txt", lambda: scans.uri_mapping_lines(spark, root), "uris")
     return DatasetInputs(
         deposits=deposits,
         payload_files=in_bag(_scan(spark, f"{root}/*/*/data", lambda: scans.scan_payload(spark, root), "payload")),
         file_metadata=in_bag(_scan(spark, f"{root}/*/*/metadata/files.xml", lambda: scans.scan_file_metadata(spark, root), "files")),
         sha1_manifest_lines=manifests.where(F.col("algorithm") == "sha1"),
         payload_manifest_lines=manifests,
-        file_uris=uris,
+        file_uris=scans.parse_uri_mapping(mapping).select("deposit_id", "path", "uri"),
         audiences=_exploded(ddm, "audience", "audience"),
         discipline_xml=discipline_xml,
         license_elements=lic,
@@ -79,4 +79,5 @@ def corpus_inputs(spark: SparkSession, root: str, settings: DataFrame, disciplin
         messages=in_bag(_scan(spark, f"{root}/*/*/metadata/depositor-info/message-from-depositor.txt",
                               lambda: scans.scan_messages(spark, root), "messages")),
         bag_documents=in_bag(scans.scan_bag_documents(spark, root)),
+        bad_uri_lines=scans.bad_uri_mapping_lines(mapping),
     )

@@ -353,6 +353,9 @@ def scan_bag_documents(spark: SparkSession, root: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ S08
+URI_LINE = r"^(.*)\s+(.*)$"
+
+
 def parse_uri_mapping(lines: DataFrame) -> DataFrame:
     """``<path><whitespace><uri>`` — the *last* whitespace run splits
     (greedy ``^(.*)\\s+(.*)$``), both sides trimmed; empty lines skipped; a line
@@ -361,13 +364,12 @@ def parse_uri_mapping(lines: DataFrame) -> DataFrame:
     Returns (deposit_id, path, uri, bad_lines) with ``bad_lines`` the number of
     bad lines of the deposit's mapping file (any bad line fails the file).
     """
-    pat = r"^(.*)\s+(.*)$"
     parsed = lines.where(F.col("line") != "").select(
         "deposit_id",
         "line_no",
-        F.col("line").rlike(pat).alias("ok"),
-        jtrim(F.regexp_extract("line", pat, 1)).alias("path"),
-        jtrim(F.regexp_extract("line", pat, 2)).alias("uri"),
+        F.col("line").rlike(URI_LINE).alias("ok"),
+        jtrim(F.regexp_extract("line", URI_LINE, 1)).alias("path"),
+        jtrim(F.regexp_extract("line", URI_LINE, 2)).alias("uri"),
     )
     from bagyard.operators.aggs import last_by
 
@@ -378,15 +380,24 @@ def parse_uri_mapping(lines: DataFrame) -> DataFrame:
     )
 
 
-def scan_uri_mapping(spark: SparkSession, root: str, file_name: str = "uri-mapping.txt") -> DataFrame:
-    """S08 on files: one mapping file per deposit, read line by line
-    (splittable); the in-file order key drives last-wins."""
-    lines = spark.read.text(f"{root}/*/{file_name}").select(
+def bad_uri_mapping_lines(lines: DataFrame) -> DataFrame:
+    """(deposit_id, line) of the lines that fail a deposit's mapping file, also
+    of files without a good line."""
+    return lines.where((F.col("line") != "") & ~F.col("line").rlike(URI_LINE)).select("deposit_id", "line")
+
+
+def uri_mapping_lines(spark: SparkSession, root: str, file_name: str = "uri-mapping.txt") -> DataFrame:
+    """Lines of one mapping file per deposit, read line by line (splittable)."""
+    return spark.read.text(f"{root}/*/{file_name}").select(
         _deposit_of(_file_path(), root).alias("deposit_id"),
         _line_order().alias("line_no"),
         F.col("value").alias("line"),
     )
-    return parse_uri_mapping(lines)
+
+
+def scan_uri_mapping(spark: SparkSession, root: str, file_name: str = "uri-mapping.txt") -> DataFrame:
+    """S08 on files; the in-file order key drives last-wins."""
+    return parse_uri_mapping(uri_mapping_lines(spark, root, file_name))
 
 
 # ------------------------------------------------------------------ S09

@@ -249,6 +249,7 @@ def test_uri_mapping_lines(spark):
     assert got == {(1, "data/a b"): ("http://x/5", 0), (1, "data/t"): ("http://x/2", 0), (1, "data/e http://x/3"): ("", 0)}
     bad = scans.parse_uri_mapping(lines.where("deposit_id = 2"))
     assert bad.count() == 0
+    assert [(r.deposit_id, r.line) for r in scans.bad_uri_mapping_lines(lines).collect()] == [(2, "nowhitespace")]
 
 
 def test_manifest_line_modes(spark):

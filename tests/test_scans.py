@@ -209,7 +209,8 @@ def test_stage_corpus_end_to_end(spark, corpus):
     assert first[1] == ("format_not_unique", "data/a/one.txt")
     assert first[2][0] == "dataset_xml_missing"
     # payload skipped: the dataset is staged, with its licence filled in
-    res = DJ.stage_datasets(corpus_inputs(spark, corpus, _settings(spark, True), disc, cat))
+    inp = corpus_inputs(spark, corpus, _settings(spark, True), disc, cat)
+    res = DJ.stage_datasets(inp)
     assert [r.deposit_id for r in res.accepted.collect()] == [1]
     lic = res.licenses.first()
     assert (lic.label, lic.mime_type, lic.content) == ("cc.txt", "text/plain", "By Alice, Bob, 2017")
@@ -217,6 +218,11 @@ def test_stage_corpus_end_to_end(spark, corpus):
     assert {"cfg.json", "AMD", "fo.xml", "PRSQL", "ADDITIONAL_LICENSE"} <= docs
     rels = {r.object for r in res.relations.collect()}
     assert {"info:fedora/d:1", "info:fedora/d:2", "urn:nbn:nl:ui:13-1"} <= rels
+    # a bad line of the URI mapping fails the deposit before all else
+    assert inp.bad_uri_lines.count() == 0
+    inp.bad_uri_lines = spark.createDataFrame([(1, "noblank")], "deposit_id bigint, line string")
+    first = {r.deposit_id: (r.code, r.message) for r in first_failure(DJ.stage_datasets(inp).rejects).collect()}
+    assert first[1] == ("bad_uri_mapping_line", "Invalid line in input: 'noblank'")
 
 
 def test_item_requests_csv_end_to_end(spark, tmp_path):

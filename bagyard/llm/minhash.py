@@ -15,6 +15,11 @@
    Keys of more than ``SMALL_KEY`` classes are searched in blocks of ``BLOCK``.  A link
    needs 100 * intersection >= 75 * union of the full sets.
 
+A class also has a parity sketch: bit i tells whether an odd number of its members
+falls into bucket i.  Each bit in which two sketches differ stands for at least one
+member that only one of the sets has, so a pair whose sketches differ in more bits
+than a link's sets may differ in members is no link for certain, and is left out.
+
 Sets are made again from the text for the classes that have candidates; a Bloom
 filter of fixed size keeps the others out at the scan.
 
@@ -45,6 +50,7 @@ MOST_ERRORS = 2 * CHUNKS - 1
 BLOCK = 512
 CELL_BYTES = 16 << 20
 NEAREST_ROUNDS = 2
+SKETCH_BITS = (8, 15)  # a sketch has 2^8 to 2^15 bits, at least four for each member up to the upper end
 SMALL_KEY = 16  # keys of at most so many classes are paired by a plain join
 _RNG = np.random.Generator(np.random.PCG64(6))
 _A = _RNG.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,6 +67,42 @@ def signatures(members: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def parity_sketch(members: np.ndarray) -> bytes:
+    """Parities of the numbers of members per bucket, a power of two of buckets that grows with the set."""
+    low, high = SKETCH_BITS
+    bits = min(max(low, (4 * len(members) - 1).bit_length()), high)
+    at = (members & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=1 << bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(a: np.ndarray, b: np.ndarray, left: list[bytes], right: list[bytes], n_left: np.ndarray, n_right: np.ndarray, percent: int) -> np.ndarray:
+    """False for the pairs (left[a], right[b]) that sizes or sketches prove to be no link.
+
+    The sets of a link of ``n`` members together differ in at most n * (100 - percent) / (100 + percent)."""
+    size_a, size_b = n_left[a].astype(np.int64), n_right[b].astype(np.int64)
+    able = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
+    words_left, words_right = (np.array([len(s) // 8 for s in side], np.int64) for side in (left, right))
+    words = np.minimum(words_left[a], words_right[b])
+
+    def folded(sketches: list[bytes], sizes: np.ndarray, to: int) -> tuple[np.ndarray, np.ndarray]:
+        # halves of a sketch laid over each other give the sketch of half the buckets
+        place, held = np.full(len(sketches), -1, np.int64), []
+        for i in np.flatnonzero(sizes >= to):
+            place[i] = len(held)
+            held.append(np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint64).reshape(-1, to), axis=0))
+        return place, np.array(held, np.uint64).reshape(-1, to)
+
+    for to in np.unique(words[able]).tolist():
+        (place_a, x), (place_b, y) = folded(left, words_left, to), folded(right, words_right, to)
+        these = np.flatnonzero(able & (words == to))
+        step = max(1, (4 << 20) // (8 * to))
+        for p in range(0, len(these), step):
+            part = these[p : p + step]
+            differ = np.bitwise_count(x[place_a[a[part]]] ^ y[place_b[b[part]]]).sum(axis=1, dtype=np.int64)
+            able[part] = (100 + percent) * differ <= (100 - percent) * (size_a[part] + size_b[part])
+    return able
+
+
 def class_hashes(members: np.ndarray, first: np.ndarray, full: np.ndarray) -> np.ndarray:
     """64-bit hash of each non-empty set (``full``: the texts that have one)."""
     size = np.diff(first)[full]
@@ -68,7 +110,7 @@ def class_hashes(members: np.ndarray, first: np.ndarray, full: np.ndarray) -> np
 
 
 def describe(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, cls, sig) per row; cls and sig are null for empty sets."""
+    """(doc_id, text_hash, n_shingles, cls, sig, sketch) per row; the last three are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,16 +121,17 @@ def describe(docs: DataFrame, k: int = 5) -> DataFrame:
                 full = np.flatnonzero(size)
                 cls: list[int | None] = [None] * (hi - lo)
                 sig: list[bytes | None] = [None] * (hi - lo)
+                sketch: list[bytes | None] = [None] * (hi - lo)
                 if len(full):
                     starts = first[full]
                     found = signatures(members, np.append(starts, len(members)))
                     total = class_hashes(members, first, full)
                     for i, c, s in zip(full.tolist(), total.tolist(), found, strict=True):
-                        cls[i], sig[i] = c, s.tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("text_hash").slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "text_hash", "n_shingles", "cls", "sig"])
+                        cls[i], sig[i], sketch[i] = c, s.tobytes(), parity_sketch(members[first[i] : first[i + 1]])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("text_hash").slice(lo, hi - lo), pa.array(size, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary()), pa.array(sketch, pa.binary())], ["doc_id", "text_hash", "n_shingles", "cls", "sig", "sketch"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, cls long, sig binary")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, cls long, sig binary, sketch binary")
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
@@ -183,31 +226,38 @@ def _first_slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return shares.reshape(len(a), -1).argmax(axis=1)
 
 
-def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs (a, b) that share a key, lie in different components and are within the signature distance; with ``nearest`` one for each class.
+def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool, percent: int = 75) -> DataFrame:
+    """Pairs (a, b) that share a key, lie in different components, are within the signature distance and not proven to be no link
+    by their sketches; with ``nearest`` one for each class.
 
     members: (key, slot, cls, component, n), n being the classes of the key.  A pair of a large key
     is reported for the first slot that it shares, so that sharing many keys does not multiply it."""
     few = members.where(F.col("n") <= SMALL_KEY).select("key", "cls", "component")
     other = few.select("key", F.col("cls").alias("b"), F.col("component").alias("bc"))
     pairs = few.select("key", F.col("cls").alias("a"), F.col("component").alias("ac")).join(other, "key").where("a < b AND ac <> bc").select("a", "b").distinct()
-    sig = classes.select("cls", "sig")
-    pairs = pairs.join(sig.withColumnsRenamed({"cls": "a", "sig": "as"}), "a").join(sig.withColumnsRenamed({"cls": "b", "sig": "bs"}), "b")
+    sig = classes.select("cls", "sig", "sketch", F.col("n_shingles").alias("size"))
+    of_a, of_b = (sig.withColumnsRenamed({"cls": c, "sig": f"{c}_sig", "sketch": f"{c}_sketch", "size": f"{c}_size"}) for c in "ab")
+    pairs = pairs.join(of_a, "a").join(of_b, "b")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for c in ("as", "bs"))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for c in ("a_sig", "b_sig"))
             errors = (a != b).sum(axis=1).astype(np.int32)
             found = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(errors)], ["a", "b", "errors"])
-            yield found.filter(pa.array(errors <= MOST_ERRORS))
+            close = np.flatnonzero(errors <= MOST_ERRORS)
+            left, right = (batch.column(c).take(pa.array(close)).to_pylist() for c in ("a_sketch", "b_sketch"))
+            sizes = (batch.column(c).to_numpy()[close] for c in ("a_size", "b_size"))
+            at = np.arange(len(close))
+            yield found.take(pa.array(close[may_link(at, at, left, right, *sizes, percent)]))
 
-    pairs = pairs.select("a", "b", "as", "bs").mapInArrow(near, "a long, b long, errors int")
+    columns = ["a", "b", "a_sig", "b_sig", "a_sketch", "b_sketch", "a_size", "b_size"]
+    pairs = pairs.select(*columns).mapInArrow(near, "a long, b long, errors int")
 
     many = members.where(F.col("n") > SMALL_KEY).join(sig, "cls")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     many = many.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cls", "key"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, F.col("block")).alias("lo"), F.greatest(i, F.col("block")).alias("hi")))
-    many = many.withColumn("meet", F.explode(meets)).select("key", "slot", "meet.lo", "meet.hi", "block", "cls", "component", "sig")
+    many = many.withColumn("meet", F.explode(meets)).select("key", "slot", "meet.lo", "meet.hi", "block", "cls", "component", "sig", "sketch", "size")
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(frame["sig"]), np.uint16).reshape(-1, SYMBOLS)
@@ -217,6 +267,10 @@ def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool) -> DataFr
             return pd.DataFrame({"a": [], "b": [], "errors": []}).astype("int64")
         errors = _errors(sig[left], sig[right])
         errors[comp[left][:, None] == comp[right][None, :]] = SYMBOLS + 1
+        sketch, size = frame["sketch"].to_numpy(), frame["size"].to_numpy()
+        i, j = np.nonzero(errors <= MOST_ERRORS)
+        able = may_link(i, j, list(sketch[left]), list(sketch[right]), size[left], size[right], percent)
+        errors[i[~able], j[~able]] = SYMBOLS + 1
         if nearest:
             i = np.concatenate([np.arange(len(left)), errors.argmin(axis=0)])
             j = np.concatenate([errors.argmin(axis=1), np.arange(len(right))])
@@ -242,7 +296,7 @@ def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool) -> DataFr
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) of every row; text_hash is xxhash64 of the text."""
     rows = cut_lineage(describe(docs), "signatures")
-    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
     classes = cut_lineage(classes, "classes")
     keys = index_keys(classes.where("rep IS NOT NULL"))
     heads = keys.groupBy("key").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -254,7 +308,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     for nearest in [True] * NEAREST_ROUNDS + [False]:
         placed = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("key", "slot", "cls", F.coalesce("component", "cls").alias("component"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n")).where("c0 <> c1").select("key", "n")
-        more = cut_lineage(confirmed(docs, later_pairs(placed.join(mixed, "key"), classes, nearest), classes, percent), "more")
+        more = cut_lineage(confirmed(docs, later_pairs(placed.join(mixed, "key"), classes, nearest, percent), classes, percent), "more")
         if not more.isEmpty():
             links = cut_lineage(links.union(more), "links")
             groups = cut_lineage(components(links), "groups")

@@ -241,6 +241,28 @@ def texts_copy(w):
     return "  ".join(w).upper()
 
 
+def test_op6_sketches_leave_out_no_link():
+    rng = np.random.default_rng(66)
+    sets = []
+    for n in (1, 2, 3, 6, 7, 8, 40, 100, 600, 3000, 20000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for share in (0.0, 0.05, 0.12, 0.14, 0.2, 0.3, 1.0):
+            other = base.copy()
+            other[: int(n * share)] = rng.integers(0, 1 << 63, int(n * share), dtype=np.uint64)
+            sets += [np.unique(other), np.unique(other[: max(1, int(n * 0.8))])]
+    sketches, sizes = [minhash.parity_sketch(m) for m in sets], np.array([len(m) for m in sets])
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    able = minhash.may_link(a, b, sketches, sketches, sizes, sizes, 75)
+    shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(a, b, strict=True)])
+    union = sizes[a] + sizes[b] - shared
+    linked = 100 * shared >= 75 * union
+    assert linked.sum() > len(sets) and able[linked].all()
+    far = (100 * shared < 60 * union) & (np.maximum(sizes[a], sizes[b]) <= 8000)
+    assert not able[far].all() and able[far].mean() < 0.02
+    none = np.zeros(0, np.int64)
+    assert len(minhash.may_link(none, none, [], [], none, none, 75)) == 0
+
+
 def test_op7_round_trip(spark):
     path = tokenizer_file("byte_bpe_50k.json")
     df = table(spark, ODD_TEXTS).repartition(3)

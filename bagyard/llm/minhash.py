@@ -9,8 +9,9 @@
    are about as likely as 1 in 100,000, above it far less.
 3. First every class is compared with the one class (the smallest of a key) that
    it shares most keys with, then ``NEAREST_ROUNDS`` times with the class of
-   smallest signature distance in another component.  That joins large groups of
-   near copies by a few comparisons per class.  At last all pairs of a key that are
+   smallest signature distance in another component, sought in its small keys and
+   its ``NEAREST_KEYS`` largest ones.  That joins large groups of near copies by a
+   few comparisons per class.  At last all pairs of a key that are
    still in different components and within the signature distance are compared.
    Keys of more than ``SMALL_KEY`` classes are searched in blocks of ``BLOCK``.  A link
    needs 100 * intersection >= 75 * union of the full sets.
@@ -37,6 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bagyard.llm import textbytes as B
@@ -50,6 +52,7 @@ MOST_ERRORS = 2 * CHUNKS - 1
 BLOCK = 512
 CELL_BYTES = 16 << 20
 NEAREST_ROUNDS = 2
+NEAREST_KEYS = 2
 SKETCH_BITS = (8, 15)  # a sketch has 2^8 to 2^15 bits, at least four for each member up to the upper end
 SMALL_KEY = 16  # keys of at most so many classes are paired by a plain join
 _RNG = np.random.Generator(np.random.PCG64(6))
@@ -253,7 +256,12 @@ def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool, percent:
     columns = ["a", "b", "a_sig", "b_sig", "a_sketch", "b_sketch", "a_size", "b_size"]
     pairs = pairs.select(*columns).mapInArrow(near, "a long, b long, errors int")
 
-    many = members.where(F.col("n") > SMALL_KEY).join(sig, "cls")
+    many = members.where(F.col("n") > SMALL_KEY)
+    if nearest:  # the last round looks through all keys
+        largest = W.partitionBy("cls").orderBy(F.desc("n"), "key", "slot")
+        many = many.withColumn("nth", F.row_number().over(largest)).where(F.col("nth") <= NEAREST_KEYS).drop("n", "nth")
+        many = many.join(many.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key").where("n > 1")
+    many = many.join(sig, "cls")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     many = many.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cls", "key"), F.col("blocks")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, F.col("block")).alias("lo"), F.greatest(i, F.col("block")).alias("hi")))

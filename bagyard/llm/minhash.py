@@ -49,7 +49,7 @@ from bagyard.llm.shingles import shingle_sets
 SYMBOLS, CHUNKS = 64, 16
 WIDTH = SYMBOLS // CHUNKS
 MOST_ERRORS = 2 * CHUNKS - 1
-BLOCK = 512
+BLOCK = 1024
 CELL_BYTES = 16 << 20
 NEAREST_ROUNDS = 2
 NEAREST_KEYS = 2

@@ -2,22 +2,22 @@
 
 1. Of all suffixes (word positions) those at minimisers are kept: the position of
    the smallest hash of ``GRAM`` words among ``WINDOW`` neighbours.  Positions are
-   chosen by content, so a passage of ``LEAST`` words or more has one among its
-   first ``WINDOW`` words in every document, with at least ``CORE`` of its words
-   to the right.
+   chosen by content: each window of ``LEAST`` words belongs to the minimiser of its
+   first ``WINDOW`` words, the same one in every document, with at least ``CORE`` of
+   its words to the right.  A suffix owns consecutive windows; the text they cover
+   is its context.
 2. Suffixes whose first ``CORE`` words stand in more than one document remain.
-   Those with equal context (``LEFT`` words to the left, ``LEAST`` to the right)
-   in several documents match over all of it.
-3. Of the others one suffix per context is sorted - range partitioned by its next
-   ``LEAST`` words, and once more by its left context - and compared with its
-   ``NEAR`` neighbours: the longest common prefix extends the match to the right,
-   the common left context to the left.  Rows at the borders of the sorted
-   partitions are compared once more with each other.  A match of ``LEAST`` words
-   or more counts.  Longer passages are tiled by several minimisers.
-
-Within a group of equal core the smallest (doc_id, position) is the copy that
-stays; of the others the matched words are marked to be cut.  Common passages are
-counted before they are shuffled, and joins are on keys that Spark can split.
+   Where they all have one context, all its windows are repeated.
+3. Of the others every context gives the hashes of its windows, with its first place
+   and its smallest and largest ``doc_id``.  Windows of more than one document are
+   matches, however many contexts share a core.  Longer passages are tiled by the
+   windows of several minimisers.
+
+Of each matched window the smallest (doc_id, position) is the copy that stays; of
+the others the window's words are marked to be cut.
+The copy that stays may lose words to a window whose copy stands at a smaller place,
+so a word that is cut always stands in the copy of some window that has it.  Contexts
+are counted before they are shuffled, and joins are on keys that Spark can split.
 
 Words are runs of characters other than ASCII white space, compared as they are.
 Only matches between different ``doc_id`` count.  Null and empty texts, texts of
@@ -40,9 +40,7 @@ from bagyard.llm import textbytes as B
 from bagyard.llm.frames import bloom, cut_lineage, in_bloom
 
 LEAST, GRAM, WINDOW = 50, 12, 25
-LEFT = WINDOW - 1
-CORE = LEAST - LEFT
-NEAR = 8
+CORE = LEAST - WINDOW + 1
 
 
 class _Slice:
@@ -50,40 +48,40 @@ class _Slice:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         hasher = B.span_hasher(data)
-        self.starts, self.ends, first = B.words(data, offsets)
-        self.h = hasher(self.starts, self.ends)
+        starts, ends, first = B.words(data, offsets)
+        h = hasher(starts, ends)
         self.row = (hasher(offsets[:-1], offsets[1:]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        n = len(self.h)
+        n = len(h)
         owner = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        grams = B.window_hashes(self.h, GRAM)
-        span = WINDOW + GRAM - 1
-        if len(grams) < WINDOW:
-            self.at = np.zeros(0, np.int64)
+        if n < LEAST:
+            self.at = self.begin = last = np.zeros(0, np.int64)
         else:
-            view = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
-            where = np.flatnonzero(owner[: len(view)] == owner[span - 1 :][: len(view)])
+            view = np.lib.stride_tricks.sliding_window_view(B.window_hashes(h, GRAM), WINDOW)[: n - LEAST + 1]
+            where = np.flatnonzero(owner[: len(view)] == owner[LEAST - 1 :])  # starts of the windows of LEAST words
             best = np.concatenate([view[part].argmin(axis=1) + part for part in np.array_split(where, len(where) // 65536 + 1)])
-            flag = np.zeros(n, bool)
-            flag[best] = True
-            self.at = np.flatnonzero(flag)
+            self.at, begin = np.unique(best, return_index=True)  # a minimiser's windows are consecutive
+            self.begin, last = where[begin], where[np.append(begin, len(where))[1:] - 1]
         self.text = owner[self.at]
-        begin, end = first[:-1][self.text], first[1:][self.text]
-        room = self.at + CORE <= end  # a passage has CORE words to the right of its first minimiser
-        self.at, self.text, begin, end = self.at[room], self.text[room], begin[room], end[room]
-        self.pos = self.at - begin
-        self.left = np.minimum(LEFT, self.pos)
-        self.right = np.minimum(LEAST, end - self.at)
+        self.pos = self.at - first[:-1][self.text]
+        self.most, self.least = self.at - self.begin, self.at - last  # words to the left in its first and last window
         up, down = B._powers(n + 1)
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.h * up[:n], out=total[1:])
-        spans = lambda a, b: B.mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
-        self.core = spans(self.at, self.at + CORE)
-        self.ctx = B.mix(spans(self.at - self.left, self.at + self.right) + self.left.astype(np.uint64))
+        np.cumsum(h * up[:n], out=total[1:])
+        self.spans = lambda a, b: B.mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
+        self.core = self.spans(self.at, self.at + CORE)
+        self.ctx = B.mix(self.spans(self.begin, last + LEAST) + self.most.astype(np.uint64))
 
     def keys(self, ids: np.ndarray) -> np.ndarray:
         """One long per suffix, for the Bloom filter."""
         return B.mix(self.core ^ B.mix(self.ctx + ids[self.text].view(np.uint64) + B.mix(self.pos.astype(np.uint64)))).view(np.int64)
 
+    def windows(self, chosen: np.ndarray) -> pa.ListArray:
+        """Hashes of the windows of the chosen suffixes, from the one with most words to the left."""
+        counts = (self.most - self.least)[chosen] + 1
+        offsets = np.append(0, np.cumsum(counts))
+        at = np.repeat(self.begin[chosen] - offsets[:-1], counts) + np.arange(offsets[-1])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(self.spans(at, at + LEAST).view(np.int64)))
+
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[_Slice, np.ndarray]]:
     batch = batch.filter(batch.column("doc_id").is_valid())
@@ -94,21 +92,21 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[_Slice, np.ndarray]]:
 
 
 def kept_suffixes(docs: DataFrame) -> DataFrame:
-    """(core, ctx, doc_id, row, pos, l, r) of the suffixes at minimisers."""
-    names = ["core", "ctx", "doc_id", "row", "pos", "l", "r", "key"]
+    """(core, ctx, doc_id, row, pos, most, least) of the suffixes at minimisers."""
+    names = ["core", "ctx", "doc_id", "row", "pos", "most", "least", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s, ids in _slices(batch):
-                columns = [s.core.view(np.int64), s.ctx.view(np.int64), ids[s.text], s.row[s.text], s.pos.astype(np.int32), s.left.astype(np.int8), s.right.astype(np.int8), s.keys(ids)]
+                columns = [s.core.view(np.int64), s.ctx.view(np.int64), ids[s.text], s.row[s.text], s.pos.astype(np.int32), s.most.astype(np.int8), s.least.astype(np.int8), s.keys(ids)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "core long, ctx long, doc_id long, row int, pos int, l byte, r byte, key long")
+    return rows.mapInArrow(run, "core long, ctx long, doc_id long, row int, pos int, most byte, least byte, key long")
 
 
-def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(core, ctx, doc_id, right, left) of the suffixes whose key is in ``wanted``: word hashes, big-endian, so that byte order sorts them; left ones nearest first."""
+def context_windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (one row per ctx, with the key of one suffix that has it) with the hashes of the context's windows."""
     shared = bloom(wanted, "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,83 +115,11 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for s, ids in _slices(batch):
                 keys = s.keys(ids)
                 chosen = np.flatnonzero(in_bloom(bits, keys))
-                word = (s.h >> np.uint64(32)).astype(">u4").tobytes()
-                back = (s.h[::-1] >> np.uint64(32)).astype(">u4").tobytes()
-                n, rows = len(s.h), []
-                for i in chosen.tolist():
-                    at, left, right = int(s.at[i]), int(s.left[i]), int(s.right[i])
-                    rows.append((word[4 * at : 4 * (at + right)], back[4 * (n - at) : 4 * (n - at + left)]))
-                right, left = zip(*rows, strict=True) if rows else ((), ())
-                arrays = [pa.array(s.core.view(np.int64)[chosen]), pa.array(s.ctx.view(np.int64)[chosen]), pa.array(ids[s.text[chosen]]), pa.array(keys[chosen]), pa.array(right, pa.binary()), pa.array(left, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["core", "ctx", "doc_id", "key", "right", "left"])
+                yield pa.RecordBatch.from_arrays([pa.array(s.ctx.view(np.int64)[chosen]), pa.array(keys[chosen]), s.windows(chosen)], ["ctx", "key", "windows"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = rows.mapInArrow(run, "core long, ctx long, doc_id long, key long, right binary, left binary")
-    return found.join(wanted.select("key", "core", "ctx"), ["key", "core", "ctx"]).drop("key").dropDuplicates(["core", "ctx"])
-
-
-def _matrix(values: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of word hashes, and how many each has."""
-    size = np.array([len(v) for v in values], np.int64) // 4
-    joined = np.frombuffer(b"".join(v.ljust(4 * width, b"\0") for v in values), ">u4").reshape(-1, width)
-    return joined, size
-
-
-def _common(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each pair of rows."""
-    differs = a != b
-    first = np.where(differs.any(axis=1), differs.argmax(axis=1), a.shape[1])
-    return np.minimum(first, np.minimum(na, nb))
-
-
-def _compare(rows: dict[str, list], borders: bool) -> pa.RecordBatch:
-    """Matches of sorted rows with their ``NEAR`` followers; with ``borders`` the first and last rows as well."""
-    n = len(rows["core"])
-    right, nr = _matrix(rows["right"], LEAST)
-    left, nl = _matrix(rows["left"], LEFT)
-    core, ctx, doc = (np.array(rows[c], np.int64) for c in ("core", "ctx", "doc_id"))
-    out: list[tuple[np.ndarray, ...]] = []
-    for step in range(1, NEAR + 1):
-        if n <= step:
-            break
-        i, j = np.arange(n - step), np.arange(step, n)
-        near = np.flatnonzero((core[i] == core[j]) & (doc[i] != doc[j]))
-        i, j = i[near], j[near]
-        r, l = _common(right[i], nr[i], right[j], nr[j]), _common(left[i], nl[i], left[j], nl[j])
-        ok = r + l >= LEAST
-        for k in (i[ok], j[ok]):
-            out.append((core[k], ctx[k], l[ok], r[ok]))
-    found = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4
-    edge = sorted({*range(min(NEAR, n)), *range(max(0, n - NEAR), n)}) if borders else []
-    m, e = len(found[0]), len(edge)
-    arrays = [
-        pa.array(np.concatenate([found[0], core[edge]])), pa.array(np.concatenate([found[1], ctx[edge]])),
-        pa.array([*found[2].tolist(), *[None] * e], pa.int32()), pa.array([*found[3].tolist(), *[None] * e], pa.int32()),
-        pa.array([None] * m + [rows["doc_id"][i] for i in edge], pa.int64()), pa.array([None] * m + [rows["right"][i] for i in edge], pa.binary()), pa.array([None] * m + [rows["left"][i] for i in edge], pa.binary()),
-    ]
-    return pa.RecordBatch.from_arrays(arrays, ["core", "ctx", "l", "r", "doc_id", "right", "left"])
-
-
-def neighbours(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Sort all rows by ``order`` and compare neighbours: (core, ctx, l, r)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {c: [] for c in ("core", "ctx", "doc_id", "right", "left")}
-        head = None  # border rows of the partition's start
-        for batch in batches:
-            for c in held:
-                held[c] += batch.column(c).to_pylist()
-            yield _compare(held, borders=head is None)
-            head = True
-            held = {c: v[-NEAR:] for c, v in held.items()}
-        if head:
-            yield _compare(held, borders=True)
-
-    schema = "core long, ctx long, l int, r int, doc_id long, right binary, left binary"
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    found = cut_lineage(ordered.select("core", "ctx", "doc_id", "right", "left").mapInArrow(run, schema), "neighbours")
-    borders = found.where("l IS NULL").select("core", "ctx", "doc_id", "right", "left").distinct().coalesce(1).sortWithinPartitions(*order)  # a few rows per partition
-    return found.where("l IS NOT NULL").select("core", "ctx", "l", "r").union(borders.mapInArrow(run, schema).where("l IS NOT NULL").select("core", "ctx", "l", "r"))
+    found = rows.mapInArrow(run, "ctx long, key long, windows array<long>")
+    return found.join(wanted, ["key", "ctx"]).drop("key").dropDuplicates(["ctx"])
 
 
 def _merged(spans: DataFrame, name: str) -> DataFrame:
@@ -210,33 +136,34 @@ def _merged(spans: DataFrame, name: str) -> DataFrame:
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, row, spans, cuts) of every document that shares a passage of ``LEAST`` words or more.
 
-    ``spans`` are all repeated passages, ``cuts`` those of which another document keeps a copy: sorted, disjoint word ranges (end exclusive)."""
+    ``spans`` are all repeated passages, ``cuts`` those of which another copy stays: sorted, disjoint word ranges (end exclusive)."""
     suffixes = cut_lineage(kept_suffixes(docs), "suffixes")
     cores = suffixes.groupBy("core").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).where("d0 <> d1").select("core")
     shared = cut_lineage(suffixes.join(cores, "core"), "shared")
     place = F.struct("doc_id", "row", "pos", "key")
-    groups = shared.groupBy("core", "ctx").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min(place).alias("first"), F.max("l").alias("gl"), F.max("r").alias("gr"))
-    groups = cut_lineage(groups, "contexts")
-    equal = groups.where((F.col("d0") != F.col("d1")) & (F.col("gl") + F.col("gr") >= LEAST))
-
-    several = groups.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
-    wanted = cut_lineage(groups.join(several, "core").select("core", "ctx", F.col("first.key").alias("key")), "wanted")
-    rows = cut_lineage(contexts(docs, wanted), "rows")
-    tie = ["core", "ctx"]
-    pairs = neighbours(rows, ["right", "left", *tie]).union(neighbours(rows, ["core", "left", "right", "ctx"]))
-    extended = pairs.groupBy("core", "ctx").agg(F.max("l").alias("l1"), F.max("r").alias("r1"), F.min("l").alias("l0"), F.min("r").alias("r0"))
-
-    whole = equal.select("core", "ctx", F.col("gl").cast("int").alias("l1"), F.col("gr").cast("int").alias("r1"), F.col("gl").cast("int").alias("l0"), F.col("gr").cast("int").alias("r0"), F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.pos").alias("pos")).alias("stays"))
-    firsts = groups.join(extended, ["core", "ctx"]).select("core", "ctx", "l1", "r1", "l0", "r0", "first")
-    stay = firsts.groupBy("core").agg(F.min(F.struct("first.doc_id", "first.row", "first.pos")).alias("stays"))
-    reached = firsts.drop("first").join(stay, "core").select(*whole.columns)
+    groups = shared.groupBy("core", "ctx").agg(F.max("doc_id").alias("d1"), F.min(place).alias("first"), F.max("most").alias("most"), F.min("least").alias("least"))
+    groups = cut_lineage(groups.select("core", "ctx", "d1", "first.*", "most", "least"), "contexts")
+    several = cut_lineage(groups.groupBy("core").agg((F.count(F.lit(1)) > 1).alias("several")), "several")  # written, so that a common core is split in the join
+    groups = cut_lineage(groups.join(several, "core").drop("core"), "counted")
+
+    whole = groups.where("NOT several").select("ctx", F.struct("doc_id", "row", "pos").alias("stays"), "most", "least")
+    wanted = groups.where("several").select("ctx", "key", "d1", "doc_id", "row", "pos", "most")
+    windows = cut_lineage(context_windows(docs, wanted), "windows")
+    windows = windows.select("ctx", "d1", "doc_id", "row", "pos", "most", F.posexplode("windows").alias("i", "window"))
+    windows = windows.withColumn("l", F.col("most") - F.col("i"))
+    begins = F.struct("doc_id", "row", (F.col("pos") - F.col("l")).alias("start"))
+    repeated = windows.groupBy("window").agg(F.max("d1").alias("d1"), F.min(begins).alias("stays")).where("stays.doc_id <> d1").select("window", "stays")
+    repeated = cut_lineage(repeated, "repeated")
+    stays = F.struct(F.col("stays.doc_id").alias("doc_id"), F.col("stays.row").alias("row"), (F.col("stays.start") + F.col("l")).alias("pos"))
+    reached = windows.select("ctx", "window", "l").join(repeated, "window").select("ctx", stays.alias("stays"), "l")
+    reached = reached.groupBy("ctx", "stays").agg(F.max("l").alias("most"), F.min("l").alias("least"))  # windows between two that are repeated there are repeated there, too
     matches = cut_lineage(whole.union(reached), "matches")
-    found = shared.select("core", "ctx", "doc_id", "row", "pos").join(matches, ["core", "ctx"])
-    here = F.struct("doc_id", "row", "pos")
-    found = found.withColumn("stay", here == F.col("stays"))
-    found = cut_lineage(found.select("doc_id", "row", "pos", "l0", "r0", "l1", "r1", "stay"), "found")
-    spans = found.select("doc_id", "row", (F.col("pos") - F.col("l1")).alias("start"), (F.col("pos") + F.col("r1")).alias("end"))
-    cuts = found.where("NOT stay").select("doc_id", "row", (F.col("pos") - F.col("l0")).alias("start"), (F.col("pos") + F.col("r0")).alias("end"))
+
+    found = shared.select("ctx", "doc_id", "row", "pos").join(matches, "ctx")
+    stay = (F.col("doc_id") == F.col("stays.doc_id")) & (F.col("row") == F.col("stays.row")) & (F.col("pos") == F.col("stays.pos"))
+    found = found.select("doc_id", "row", (F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("least") + LEAST).alias("end"), stay.alias("stay"))
+    found = cut_lineage(found, "found")
+    spans, cuts = found.drop("stay"), found.where("NOT stay").drop("stay")
     out = _merged(spans.distinct(), "spans").join(_merged(cuts.distinct(), "cuts"), ["doc_id", "row"], "left")
     return out.select("doc_id", "row", "spans", F.coalesce("cuts", F.array().cast("array<struct<start:int,end:int>>")).alias("cuts"))
 

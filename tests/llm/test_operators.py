@@ -148,6 +148,33 @@ def test_op3_brute_force(spark):
     assert suffixes.repeated_passages(df.limit(0)).count() == 0
 
 
+def held_spans(rows):
+    return {r.doc_id: {x for s in r.spans for x in range(s.start, s.end)} for r in rows}
+
+
+def repeats(docs):
+    """Words of each document that lie in a run of 50 words of another document, too."""
+    grams = defaultdict(set)
+    for i, w in enumerate(docs):
+        for k in range(len(w) - 49):
+            grams[tuple(w[k : k + 50])].add(i)
+    found = {i: {x for k in range(len(w) - 49) if len(grams[tuple(w[k : k + 50])]) > 1 for x in range(k, k + 50)} for i, w in enumerate(docs)}
+    return {i: f for i, f in found.items() if f}
+
+
+def test_op3_passages_with_many_surroundings(spark):
+    rng = random.Random(31)
+    passage = words(rng, 60, 5000)
+    long = [x for _ in range(300) for x in words(rng, 30, 5000) + passage]  # one document has most occurrences
+    core = words(rng, 30, 5000)
+    lefts, rights = ([words(rng, 12, 5000) for _ in range(40)] for _ in range(2))
+    variants = [words(rng, 20, 5000) + a + core + b + words(rng, 20, 5000) for a in lefts for b in rights if rng.random() < 0.5]
+    docs = [long, words(rng, 40, 5000) + passage + words(rng, 40, 5000), *variants]
+    want = repeats(docs)
+    assert len(want[0]) >= 300 * 60
+    assert held_spans(suffixes.repeated_passages(table(spark, [" ".join(w) for w in docs])).collect()) == want
+
+
 def test_op4_learns_from_documents_and_locates_sentences(spark):
     rng = random.Random(4)
     texts, toxic = [], []

@@ -14,7 +14,8 @@
    windows of several minimisers.
 
 Of each matched window the smallest (doc_id, position) is the copy that stays; of
-the others the window's words are marked to be cut.
+the others the window's words are marked to be cut, except where they overlap the
+copy itself (a text that repeats itself with a period of less than ``LEAST`` words).
 The copy that stays may lose words to a window whose copy stands at a smaller place,
 so a word that is cut always stands in the copy of some window that has it.  Contexts
 are counted before they are shuffled, and joins are on keys that Spark can split.
@@ -160,7 +161,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     matches = cut_lineage(whole.union(reached), "matches")
 
     found = shared.select("ctx", "doc_id", "row", "pos").join(matches, "ctx")
-    stay = (F.col("doc_id") == F.col("stays.doc_id")) & (F.col("row") == F.col("stays.row")) & (F.col("pos") == F.col("stays.pos"))
+    stay = (F.col("doc_id") == F.col("stays.doc_id")) & (F.col("row") == F.col("stays.row")) & (F.abs(F.col("pos") - F.col("stays.pos")) < LEAST)
     found = found.select("doc_id", "row", (F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("least") + LEAST).alias("end"), stay.alias("stay"))
     found = cut_lineage(found, "found")
     spans, cuts = found.drop("stay"), found.where("NOT stay").drop("stay")

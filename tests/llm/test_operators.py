@@ -175,6 +175,25 @@ def test_op3_passages_with_many_surroundings(spark):
     assert held_spans(suffixes.repeated_passages(table(spark, [" ".join(w) for w in docs])).collect()) == want
 
 
+def test_op3_passages_that_share_a_core(spark):
+    rng = random.Random(32)
+    for n in (30, 49):
+        x, common, y = words(rng, 40, 5000), words(rng, n, 5000), words(rng, 40, 5000)
+        around = lambda w: words(rng, 30, 5000) + w + words(rng, 30, 5000)
+        docs = [around(x + common), around(x + common), around(common + y), around(common + y)]
+        df = table(spark, [" ".join(w) for w in docs])
+        assert held_spans(suffixes.repeated_passages(df).collect()) == repeats(docs)
+        cleaned = {r.doc_id: r.text for r in suffixes.without_repeats(df).collect()}
+        for passage in (x + common, common + y):
+            assert sum(" ".join(passage) in t for t in cleaned.values()) == 1
+
+
+def test_op3_text_that_repeats_itself(spark):
+    df = table(spark, ["a " * 200, "a " * 120])
+    cleaned = {r.doc_id: r.text.split() for r in suffixes.without_repeats(df).collect()}
+    assert cleaned == {0: ["a"] * 50, 1: []}
+
+
 def test_op4_learns_from_documents_and_locates_sentences(spark):
     rng = random.Random(4)
     texts, toxic = [], []

@@ -51,7 +51,6 @@ class _Slice:
         hasher = B.span_hasher(data)
         starts, ends, first = B.words(data, offsets)
         h = hasher(starts, ends)
-        self.row = (hasher(offsets[:-1], offsets[1:]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
         n = len(h)
         owner = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         if n < LEAST:
@@ -84,12 +83,16 @@ class _Slice:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(self.spans(at, at + LEAST).view(np.int64)))
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[_Slice, np.ndarray]]:
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[_Slice, np.ndarray, np.ndarray]]:
     batch = batch.filter(batch.column("doc_id").is_valid())
-    ids = batch.column("doc_id").to_numpy()
+    ids, row = (batch.column(c).to_numpy() for c in ("doc_id", "row"))
     data, offsets = B.text_bytes(batch.column("text"))
     for lo, hi, part, offs in B.slices(data, offsets):
-        yield _Slice(part, offs), np.ascontiguousarray(ids[lo:hi])
+        yield _Slice(part, offs), np.ascontiguousarray(ids[lo:hi]), row[lo:hi]
+
+
+def _identified(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
 
 
 def kept_suffixes(docs: DataFrame) -> DataFrame:
@@ -98,12 +101,11 @@ def kept_suffixes(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s, ids in _slices(batch):
-                columns = [s.core.view(np.int64), s.ctx.view(np.int64), ids[s.text], s.row[s.text], s.pos.astype(np.int32), s.most.astype(np.int8), s.least.astype(np.int8), s.keys(ids)]
+            for s, ids, row in _slices(batch):
+                columns = [s.core.view(np.int64), s.ctx.view(np.int64), ids[s.text], row[s.text], s.pos.astype(np.int32), s.most.astype(np.int8), s.least.astype(np.int8), s.keys(ids)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "core long, ctx long, doc_id long, row int, pos int, most byte, least byte, key long")
+    return _identified(docs).mapInArrow(run, "core long, ctx long, doc_id long, row long, pos int, most byte, least byte, key long")
 
 
 def context_windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -113,13 +115,12 @@ def context_windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            for s, ids in _slices(batch):
+            for s, ids, _ in _slices(batch):
                 keys = s.keys(ids)
                 chosen = np.flatnonzero(in_bloom(bits, keys))
                 yield pa.RecordBatch.from_arrays([pa.array(s.ctx.view(np.int64)[chosen]), pa.array(keys[chosen]), s.windows(chosen)], ["ctx", "key", "windows"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = rows.mapInArrow(run, "ctx long, key long, windows array<long>")
+    found = _identified(docs).mapInArrow(run, "ctx long, key long, windows array<long>")
     return found.join(wanted, ["key", "ctx"]).drop("key").dropDuplicates(["ctx"])
 
 
@@ -176,22 +177,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            rows, ranges = batch.column("_row").to_pylist(), batch.column("_cuts").to_pylist()
-            keep = []
-            for i, (text, row, cuts) in enumerate(zip(texts, rows, ranges, strict=True)):
+            for i, (text, cuts) in enumerate(zip(texts, batch.column("_cuts").to_pylist(), strict=True)):
                 if cuts:
                     data = np.frombuffer(text.encode(), np.uint8)
-                    offsets = np.array([0, len(data)])
-                    if int((B.span_hashes(data, offsets[:1], offsets[1:]) >> np.uint64(32)).astype(np.uint32).view(np.int32)[0]) == row:
-                        starts, ends, _ = B.words(data, offsets)
-                        at, parts = 0, []
-                        for c in cuts:
-                            parts.append(data[at : starts[c["start"]]].tobytes())
-                            at = int(starts[c["end"]]) if c["end"] < len(starts) else len(data)
-                        texts[i] = (b"".join(parts) + data[at:].tobytes()).decode()
-                keep.append(i)
+                    starts, _, _ = B.words(data, np.array([0, len(data)]))
+                    at, parts = 0, []
+                    for c in cuts:
+                        parts.append(data[at : starts[c["start"]]].tobytes())
+                        at = int(starts[c["end"]]) if c["end"] < len(starts) else len(data)
+                    texts[i] = (b"".join(parts) + data[at:].tobytes()).decode()
             out = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
-            yield out.select([c for c in out.schema.names if c not in ("_row", "_cuts")])
+            yield out.select([c for c in out.schema.names if c != "_cuts"])
 
-    joined = docs.join(passages, F.col("doc_id") == F.col("_id"), "left").select(*docs.columns, "_row", "_cuts")
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_row"))
+    joined = docs.join(passages, same, "left").select(*docs.columns, "_cuts")
     return joined.mapInArrow(cut, docs.schema)

@@ -194,6 +194,14 @@ def test_op3_text_that_repeats_itself(spark):
     assert cleaned == {0: ["a"] * 50, 1: []}
 
 
+def test_op3_id_with_two_texts(spark):
+    rng = random.Random(33)
+    a, b = words(rng, 60, 5000), words(rng, 60, 5000)
+    texts = [" ".join(w) for w in (a, b, ["x", *a], ["y", *b], ["y", *b], ["z"])]
+    cleaned = suffixes.without_repeats(table(spark, texts, ids=[1, 2, 7, 7, 7, 7])).collect()
+    assert sorted((r.doc_id, r.text.strip()) for r in cleaned) == sorted([(1, texts[0]), (2, texts[1]), (7, "x"), (7, "y"), (7, "y"), (7, "z")])
+
+
 def test_op4_learns_from_documents_and_locates_sentences(spark):
     rng = random.Random(4)
     texts, toxic = [], []

@@ -10,13 +10,15 @@ Every document is taken ``floor(target / source words)`` times or once more.
 Who is taken once more is a subset-sum problem per source: its documents are
 counted by exact length, a share of each length's count is taken first, and a
 bounded-knapsack dynamic program over what is left of the counts meets the
-remaining budget (at most ``DP_WORDS`` words plus a longest document, so its table does
-not grow with the source).  Within a length the seeded hash of the document
-decides, by rank, who is taken.
+remaining budget (its table is at most ``DP_WORDS`` longer than that; one document
+above the table is compared, too).  Where that misses the budget, the sums of all
+documents are listed while there are at most ``MOST_SUMS`` of them.  Within a length
+the seeded hash of the document decides, by rank, who is taken.
 
 Null text has size 0; documents of size 0 are kept with 0 words taken.  Rows
 that repeat are single documents each.  An empty table gives no rows.  Sums are
-exact; a source takes the reachable number of words nearest to its target.
+exact; a source takes the reachable number of words nearest to its target, or, where
+it has more than ``MOST_SUMS`` sums and the share misses, the nearest that the search finds.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from bagyard.llm.frames import cut_lineage, rank_within, running
 
 WORD = r"[^\x20\x09-\x0D]+"
 DP_WORDS = 1 << 16
+MOST_SUMS = 1 << 17
 
 
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -43,6 +46,14 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
         return taken
     if budget >= total:
         return counts.copy()
+    taken = _share_and_rest(sizes, counts, budget, total)
+    if int((sizes * taken).sum()) != budget and (nearest := _nearest_sum(sizes, counts, budget)) is not None:
+        return nearest
+    return taken
+
+
+def _share_and_rest(sizes: np.ndarray, counts: np.ndarray, budget: int, total: int) -> np.ndarray:
+    """A share of each length's count, and the rest of the budget by a table."""
     taken = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
     left = budget - int((sizes * taken).sum())
     order = np.argsort(-sizes, kind="stable")
@@ -72,6 +83,10 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
             break
     sums = np.flatnonzero(reach)
     at = int(sums[np.argmin(np.abs(sums - left))])
+    over = sizes[(free > 0) & (sizes > top)]
+    if over.size and int(over.min()) - left < abs(at - left):  # a sum above the table that is nearest is one such document
+        taken[np.flatnonzero((free > 0) & (sizes == over.min()))[0]] += 1
+        return taken
     while at:
         i, k = steps[by[at]]
         taken[i] += k
@@ -79,6 +94,35 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     return taken
 
 
+def _nearest_sum(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray | None:
+    """The numbers to take whose words are nearest to ``budget``, or None where more than ``MOST_SUMS`` sums are below the nearest."""
+    sums, by = np.zeros(1, np.int64), np.full(1, -1, np.int64)  # sorted, and the step that first reached each
+    above = int((sizes * counts).sum())
+    steps: list[tuple[int, int]] = []
+    for i in np.argsort(sizes, kind="stable").tolist():
+        n, part = int(counts[i]), 1
+        while n > 0 and sums[np.searchsorted(sums, budget, side="right") - 1] != budget:
+            k = min(part, n)
+            new = sums + k * int(sizes[i])
+            new = np.setdiff1d(new[new <= above], sums, assume_unique=True)
+            sums, by = np.append(sums, new), np.append(by, np.full(len(new), len(steps)))
+            order = np.argsort(sums, kind="stable")
+            sums, by = sums[order], by[order]
+            steps.append((i, k))
+            if (over := sums[np.searchsorted(sums, budget) :]).size:
+                above = min(above, int(over[0]))
+                sums, by = sums[sums <= above], by[sums <= above]  # nearer to the budget is none above it
+            if len(sums) > MOST_SUMS:
+                return None
+            n, part = n - k, part * 2
+    at, taken = int(sums[np.argmin(np.abs(sums - budget))]), np.zeros(len(sizes), np.int64)
+    while at:
+        i, k = steps[by[np.searchsorted(sums, at)]]
+        taken[i] += k
+        at -= k * int(sizes[i])
+    return taken
+
+
 def targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """(source, source_size, target) from rows with source and size."""
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))

@@ -262,6 +262,29 @@ def test_op5_budgets_against_brute_force():
         assert all(0 <= t <= c for t, c in zip(taken, counts))
 
 
+def test_op5_takes_the_nearest_sum():
+    rng = random.Random(61)
+    cases = [([300_000], [1], 200_000), ([150_000, 100_000, 99_000], [1, 1, 1], 199_000), ([10, 15, 16], [2, 1, 1], 31)]
+    for longest in (30, 400_000):
+        for _ in range(60):
+            sizes = sorted(rng.sample(range(1, longest), rng.randrange(1, 5)))
+            counts = [rng.randrange(1, 4) for _ in sizes]
+            cases.append((sizes, counts, rng.randrange(0, sum(s * c for s, c in zip(sizes, counts)) + 3)))
+    for sizes, counts, budget in cases:
+        taken = mixing.fit_budget(np.array(sizes), np.array(counts), budget)
+        assert all(0 <= t <= c for t, c in zip(taken, counts))
+        sums = {0}
+        for s, c in zip(sizes, counts):
+            sums = {a + s * k for a in sums for k in range(c + 1)}
+        assert abs(int(np.dot(sizes, taken)) - budget) == min(abs(a - budget) for a in sums), (sizes, counts, budget)
+
+
+def test_op5_one_document_above_the_table(monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SUMS", 0)  # the search of large sources
+    assert mixing.fit_budget(np.array([300_000]), np.array([1]), 200_000).tolist() == [1]
+    assert mixing.fit_budget(np.array([300_000]), np.array([1]), 100_000).tolist() == [0]
+
+
 def test_op6_brute_force(spark):
     rng = random.Random(7)
     base = words(rng, 120, 3000)

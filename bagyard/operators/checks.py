@@ -14,25 +14,52 @@ from bagyard.functions import paths as P
 from bagyard.functions import text as T
 from bagyard.functions.dates import iso_timestamp
 from bagyard.functions.rights import parse_rights
-from bagyard.operators.rejects import reject
+from bagyard.operators.rejects import candidate, explode_candidates
 
 
 # ---------------------------------------------------------------- dataset checks
+# one candidate reject (a struct, null if the rule holds) per rule: the operators below and the staging job both use it
+def _or_null(c: str) -> Column:
+    return F.coalesce(F.col(c), F.lit("null"))
+
+
+def state_failure() -> Column:
+    bad = ~F.coalesce(F.col("state").isin(*K.STATES), F.lit(False))
+    return candidate(bad, "invalid_state", F.concat(F.lit(K.MSG_INVALID_STATE), _or_null("state")))
+
+
+def urn_failure() -> Column:
+    return candidate(F.col("urn").isNull(), "urn_missing", F.lit(K.MSG_URN_MISSING))
+
+
+def archive_failure() -> Column:
+    bad = ~F.coalesce(F.col("archive").isin(*K.ARCHIVES), F.lit(False))
+    return candidate(bad, "invalid_archive", F.concat(F.lit(K.MSG_INVALID_ARCHIVE), _or_null("archive")))
+
+
+def category_failure() -> Column:
+    """The access category has no default right (``default_accessible`` is null)."""
+    return candidate(F.col("default_accessible").isNull(), "unknown_access_category", F.concat(F.lit(K.MSG_KEY_NOT_FOUND), _or_null("access_category")))
+
+
+def url_failure(uri: str = "uri") -> Column:
+    bad = F.col(uri).isNotNull() & ~has_known_protocol(uri)
+    return candidate(bad, "bad_url", F.concat(F.lit(K.MSG_BAD_URL), F.col(uri)), F.col("path"))
+
+
 def check_state(deposits: DataFrame) -> DataFrame:
     """State must be one of four values (the code also accepts MAINTENANCE)."""
-    bad = deposits.where(~F.coalesce(F.col("state").isin(*K.STATES), F.lit(False)))
-    return reject(bad, "invalid_state", F.concat(F.lit(K.MSG_INVALID_STATE), F.coalesce(F.col("state"), F.lit("null"))))
+    return explode_candidates(deposits, [state_failure()])
 
 
 def check_urn(deposits: DataFrame) -> DataFrame:
     """The URN is mandatory."""
-    return reject(deposits.where(F.col("urn").isNull()), "urn_missing", F.lit(K.MSG_URN_MISSING))
+    return explode_candidates(deposits, [urn_failure()])
 
 
 def check_archive(deposits: DataFrame) -> DataFrame:
     """Archive is EASY or DATAVAULT."""
-    bad = deposits.where(~F.coalesce(F.col("archive").isin(*K.ARCHIVES), F.lit(False)))
-    return reject(bad, "invalid_archive", F.concat(F.lit(K.MSG_INVALID_ARCHIVE), F.coalesce(F.col("archive"), F.lit("null"))))
+    return explode_candidates(deposits, [archive_failure()])
 
 
 def payload_gate(deposits: DataFrame) -> DataFrame:
@@ -56,12 +83,6 @@ def has_known_protocol(uri: str) -> Column:
     return F.coalesce(proto.isin(*KNOWN_URL_PROTOCOLS), F.lit(False))
 
 
-def check_url(files: DataFrame, uri: str = "uri") -> DataFrame:
-    """Dataset stage: an external location must be an absolute URL of a known protocol."""
-    bad = files.where(F.col(uri).isNotNull() & ~has_known_protocol(uri))
-    return reject(bad, "bad_url", F.concat(F.lit(K.MSG_BAD_URL), F.col(uri)), item=F.col("path"))
-
-
 # ---------------------------------------------------------------- request checks
 REQUEST_COLS = [
     "path_in_dataset", "format", "datastream_location", "size", "file_location",

@@ -51,3 +51,9 @@ def explode_candidates(df: DataFrame, candidates: list[Column], key: str = "depo
     return df.select(F.col(key).cast("bigint").alias("deposit_id"), F.inline(arr)).select(
         "deposit_id", "item", F.col("stage").cast("int").alias("stage"), "code", "message"
     )
+
+
+def failures(df: DataFrame, key: str = "deposit_id") -> DataFrame:
+    """Reject rows of the rows whose ``failure`` (a candidate) is not null."""
+    f = df.where(F.col("failure").isNotNull())
+    return f.select(F.col(key).cast("bigint").alias("deposit_id"), "failure.item", F.col("failure.stage").cast("int").alias("stage"), "failure.code", "failure.message")

@@ -12,10 +12,14 @@ line and configuration comes in as tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bagyard.plans.dataset_job import DatasetInputs
+from bagyard.session import checkpoint_dir, cut_lineage
+from bagyard.sources import listing as L
 from bagyard.sources import scans
 
 
@@ -28,41 +32,56 @@ EMPTY = {
     "messages": "deposit_id bigint, bag string, text string",
     "files": "deposit_id bigint, bag string, filepath string, format array<string>, title array<string>, "
              "access_rights array<string>, accessible_to array<string>, visible_to array<string>",
-    "payload": "deposit_id bigint, bag string, path string, size bigint, is_dir boolean",
+    "properties": "deposit_id bigint, line_no struct<block:bigint,row:bigint>, value string",
     "uris": "deposit_id bigint, line_no struct<block:bigint,row:bigint>, line string",
 }
 
 
-def _scan(spark: SparkSession, pattern: str, scan, kind: str) -> DataFrame:
-    """A scan, or an empty table of its schema when no deposit has the document."""
-    return scan() if scans.glob_exists(spark, pattern) else spark.createDataFrame([], EMPTY[kind])
-
-
 def _exploded(md: DataFrame, col: str, name: str) -> DataFrame:
     return md.select("deposit_id", F.posexplode(col).alias("pos", name))
 
 
 def corpus_inputs(spark: SparkSession, root: str, settings: DataFrame, discipline_xml: DataFrame,
-                  license_catalog: DataFrame) -> DatasetInputs:
-    dep = scans.scan_deposits(spark, root)
-    deposits = settings.join(dep.select("deposit_id", "owner_id"), "deposit_id", "left")
-    chosen_bag = dep.select("deposit_id", F.col("bag_dir").alias("bag"))
-
-    def in_bag(df: DataFrame) -> DataFrame:
-        """Only the deposit's first bag is staged."""
-        return df.join(chosen_bag, ["deposit_id", "bag"], "left_semi").drop("bag")
-
-    manifests = in_bag(_scan(spark, f"{root}/*/*/manifest-*.txt", lambda: scans.scan_manifest_lines(spark, root), "manifests"))
-    ddm = in_bag(_scan(spark, f"{root}/*/*/metadata/dataset.xml", lambda: scans.scan_dataset_metadata(spark, root), "ddm"))
-    agreements = in_bag(_scan(spark, f"{root}/*/*/metadata/depositor-info/agreements.xml",
-                              lambda: scans.scan_agreements(spark, root), "agreements"))
+                  license_catalog: DataFrame, listing: DataFrame | None = None) -> DatasetInputs:
+    """Inputs of the dataset job over the deposits of ``settings``.
+
+    ``listing`` is the stored listing (``listing.open_listing``), restricted to the
+    buckets of these deposits if the job takes only some; without one the
+    deposits' directories are listed first and the listing is kept under the shared
+    checkpoint folder.  Only documents that it names are read, and only those of a
+    deposit's first bag (S01/T02)."""
+    if listing is None:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/listing-{uuid.uuid4().hex}"
+        L.store_listing(L.crawl(root, settings), path)
+        listing = L.open_listing(spark, path)
+    bags = cut_lineage(L.bag_dirs(listing), "bags")
+    entries = listing.where(~F.col("is_dir"))
+
+    def beside(name: str) -> list[str]:
+        return L.file_paths(entries.where(F.col("entry") == name), root)
+
+    def inside(name: Column) -> list[str]:
+        in_bag = L.in_bags(listing).where(~F.col("is_dir") & name).join(bags, ["deposit_id", "bag"])
+        return L.file_paths(in_bag.select("deposit_id", F.concat("bag", F.lit("/"), "path").alias("entry")), root)
+
+    def named(name: str) -> list[str]:
+        return inside(F.col("path") == name)
+
+    def scan(files: list[str], reader, kind: str) -> DataFrame:
+        """The files' rows, or an empty table of their schema when no deposit has the document."""
+        return reader(spark, root, files=files) if files else spark.createDataFrame([], EMPTY[kind])
+
+    owners = scans.owners(scan(beside("deposit.properties"), scans.property_lines, "properties"))
+    manifests = scan(inside(F.col("path").rlike(r"^manifest-[^/]+\.txt$")), scans.scan_manifest_lines, "manifests").drop("bag")
+    ddm = scan(named("metadata/dataset.xml"), scans.scan_dataset_metadata, "ddm").drop("bag")
+    agreements = scan(named("metadata/depositor-info/agreements.xml"), scans.scan_agreements, "agreements").drop("bag")
     lic = ddm.select("deposit_id", F.posexplode("license").alias("pos", "l")).select(
         "deposit_id", "pos", F.col("l.text").alias("text"), F.col("l.xsi_type").alias("xsi_type"))
-    mapping = _scan(spark, f"{root}/*/uri-mapping.txt", lambda: scans.uri_mapping_lines(spark, root), "uris")
+    mapping = scan(beside("uri-mapping.txt"), scans.uri_mapping_lines, "uris")
     return DatasetInputs(
-        deposits=deposits,
-        payload_files=in_bag(_scan(spark, f"{root}/*/*/data", lambda: scans.scan_payload(spark, root), "payload")),
-        file_metadata=in_bag(_scan(spark, f"{root}/*/*/metadata/files.xml", lambda: scans.scan_file_metadata(spark, root), "files")),
+        deposits=settings.join(owners, "deposit_id", "left"),
+        payload_files=scans.scan_payload(listing).drop("bag"),
+        file_metadata=scan(named("metadata/files.xml"), scans.scan_file_metadata, "files").drop("bag"),
         sha1_manifest_lines=manifests.where(F.col("algorithm") == "sha1"),
         payload_manifest_lines=manifests,
         file_uris=scans.parse_uri_mapping(mapping).select("deposit_id", "path", "uri"),
@@ -76,8 +95,7 @@ def corpus_inputs(spark: SparkSession, root: str, settings: DataFrame, disciplin
         agreements=agreements.select("deposit_id", "is_valid", "parse_error", "accepted_text", "privacy_text"),
         agreement_signers=agreements.where(F.col("name").isNotNull()).select(
             "deposit_id", F.lit(0).alias("pos"), "name", "account", "email"),
-        messages=in_bag(_scan(spark, f"{root}/*/*/metadata/depositor-info/message-from-depositor.txt",
-                              lambda: scans.scan_messages(spark, root), "messages")),
-        bag_documents=in_bag(scans.scan_bag_documents(spark, root)),
+        messages=scan(named("metadata/depositor-info/message-from-depositor.txt"), scans.scan_messages, "messages").drop("bag"),
+        bag_documents=scans.scan_bag_documents(listing).drop("bag"),
         bad_uri_lines=scans.bad_uri_mapping_lines(mapping),
     )

@@ -318,6 +318,11 @@ def render_prsql(datasets: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ N08
+def payload_entries(payload: DataFrame) -> DataFrame:
+    """Payload rows below ``data``: the directory ``data`` itself only tells that there is one."""
+    return payload.where(F.col("path") != "data").withColumn("is_dir", F.coalesce(F.col("is_dir"), F.lit(False)))
+
+
 def folder_sdos(files: DataFrame) -> DataFrame:
     """Every directory below ``data``: explode the ancestors of the file
     paths (plus explicit directory rows) and deduplicate on (deposit, path) —

@@ -16,6 +16,15 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# the oracles' own values, so that a wrong constant of the engine does not pass on both sides
+STATES = ("DRAFT", "SUBMITTED", "PUBLISHED", "MAINTENANCE")
+ARCHIVES = ("EASY", "DATAVAULT")
+STAGES = {
+    "invalid_state": 1, "uri_not_in_bag": 2, "no_data_dir": 3, "dataset_xml_missing": 4, "invalid_archive": 6, "urn_missing": 10, "unknown_audience": 11,
+    "unknown_access_category": 11, "bag_metadata_missing": 12, "bad_manifest_line": 13, "files_xml_missing": 14, "format_not_unique": 14, "bad_url": 14,
+}
+
+
 def _in(values) -> str:
     return "(" + ", ".join(_q(v) for v in values) + ")"
 
@@ -222,8 +231,10 @@ PAYLOAD_ITEMS = f"""SELECT deposit_id, path, size, is_dir, {DREL('path')} AS dat
   CASE WHEN {PARENT(DREL('path'))} IS NULL THEN '{K.DATASET_SDO}' ELSE {SDO(PARENT(DREL('path')))} END AS parent_sdo
 FROM payload_files"""
 
+PAYLOAD_ENTRIES = f"""SELECT deposit_id, path, is_dir, {DREL('path')} AS dataset_path FROM payload_listing WHERE path <> 'data'"""
+
 FOLDERS_FROM = """SELECT DISTINCT deposit_id, array_to_string(list_slice(parts, 1, i), '/') AS dataset_path
-FROM (SELECT deposit_id, parts, unnest(range(1, len(parts))) AS i FROM (SELECT deposit_id, string_split(dataset_path, '/') AS parts FROM {src}))"""
+FROM (SELECT deposit_id, parts, unnest(range(1, len(parts) + CAST(is_dir AS INTEGER))) AS i FROM (SELECT deposit_id, is_dir, string_split(dataset_path, '/') AS parts FROM {src}))"""
 
 
 def FOLDERS(src: str) -> str:
@@ -279,7 +290,7 @@ ITEM_BINDINGS = ("item_requests", "folder_catalog", "object_catalog")
 
 # ---------------------------------------------------------------- dataset job
 def _stage(code: str) -> int:
-    return K.STAGE[code]
+    return STAGES[code]
 
 
 N10_CTES = f"""flags AS ({FLAGS}),
@@ -295,44 +306,50 @@ aud AS (SELECT a.deposit_id, a.pos, a.audience, disc.pid AS discipline_pid FROM
 {LIC_CTES},
 md AS ({MD}),
 sha1 AS ({SHA1}),
-gfiles AS (SELECT pf.deposit_id, pf.path, pf.size, {DREL('pf.path')} AS dataset_path, d.default_accessible, d.has_files_xml,
+gfiles AS (SELECT pf.deposit_id, pf.path, pf.size, pf.is_dir, {DREL('pf.path')} AS dataset_path, d.default_accessible, d.has_files_xml,
                   md.format AS mime_type, md.title, md.access_rights, md.accessible_to AS acc, md.visible_to AS vis, s.checksum, u.uri
-           FROM payload_files pf JOIN d ON pf.deposit_id = d.deposit_id AND d.stage_payload
+           FROM payload_listing pf JOIN d ON pf.deposit_id = d.deposit_id AND d.stage_payload
            LEFT JOIN md ON md.deposit_id = pf.deposit_id AND md.filepath = pf.path
            LEFT JOIN sha1 s ON s.deposit_id = pf.deposit_id AND s.path = pf.path
-           LEFT JOIN payload_uris u ON u.deposit_id = pf.deposit_id AND u.path = pf.path),
-rejects AS (
-  SELECT deposit_id, NULL AS item, {_stage('invalid_state')} AS stage, 'invalid_state' AS code, 'Not a valid state: ' || coalesce(state, 'null') AS message
-  FROM d WHERE coalesce(state NOT IN {_in(K.STATES)}, true)
+           LEFT JOIN payload_uris u ON u.deposit_id = pf.deposit_id AND u.path = pf.path
+           WHERE NOT pf.is_dir),
+found AS (
+  SELECT deposit_id, NULL AS item, {_stage('invalid_state')} AS stage, 'invalid_state' AS code, 'Not a valid state: ' || coalesce(state, 'null') AS message, '' AS ord
+  FROM d WHERE coalesce(state NOT IN {_in(STATES)}, true)
   UNION ALL SELECT u.deposit_id, u.path, {_stage('uri_not_in_bag')}, 'uri_not_in_bag',
-    'The fileUris map must reference a subset of all files in the bag. Not found in bag: ' || u.path
+    'The fileUris map must reference a subset of all files in the bag. Not found in bag: ' || u.path, u.path
   FROM (SELECT DISTINCT deposit_id, path FROM payload_uris WHERE deposit_id IN (SELECT deposit_id FROM d)) u
   WHERE NOT EXISTS (SELECT 1 FROM bag_paths b WHERE b.deposit_id = u.deposit_id AND b.path = u.path)
-  UNION ALL SELECT deposit_id, NULL, {_stage('no_data_dir')}, 'no_data_dir', 'Bag doesn''t contain data directory.'
-  FROM d WHERE deposit_id NOT IN (SELECT deposit_id FROM payload_files)
-  UNION ALL SELECT deposit_id, NULL, {_stage('dataset_xml_missing')}, 'dataset_xml_missing', 'Couldn''t find metadata/dataset.xml' FROM d WHERE NOT has_dataset_xml
-  UNION ALL SELECT deposit_id, NULL, {_stage('invalid_archive')}, 'invalid_archive', 'Not a valid archive: ' || coalesce(archive, 'null')
-  FROM d WHERE coalesce(archive NOT IN {_in(K.ARCHIVES)}, true)
-  UNION ALL SELECT deposit_id, item, stage, code, message FROM lic_rejects WHERE deposit_id IN (SELECT deposit_id FROM d)
-  UNION ALL SELECT deposit_id, NULL, {_stage('urn_missing')}, 'urn_missing', 'URN must be provided' FROM d WHERE urn IS NULL
-  UNION ALL SELECT deposit_id, audience, {_stage('unknown_audience')}, 'unknown_audience', 'key not found: ' || audience FROM aud WHERE discipline_pid IS NULL
-  UNION ALL SELECT deposit_id, NULL, {_stage('unknown_access_category')}, 'unknown_access_category', 'key not found: ' || coalesce(access_category, 'null')
+  UNION ALL SELECT deposit_id, NULL, {_stage('no_data_dir')}, 'no_data_dir', 'Bag doesn''t contain data directory.', ''
+  FROM d WHERE deposit_id NOT IN (SELECT deposit_id FROM payload_listing)
+  UNION ALL SELECT deposit_id, NULL, {_stage('dataset_xml_missing')}, 'dataset_xml_missing', 'Couldn''t find metadata/dataset.xml', '' FROM d WHERE NOT has_dataset_xml
+  UNION ALL SELECT deposit_id, NULL, {_stage('invalid_archive')}, 'invalid_archive', 'Not a valid archive: ' || coalesce(archive, 'null'), ''
+  FROM d WHERE coalesce(archive NOT IN {_in(ARCHIVES)}, true)
+  UNION ALL SELECT deposit_id, item, stage, code, message, code FROM lic_rejects WHERE deposit_id IN (SELECT deposit_id FROM d)
+  UNION ALL SELECT deposit_id, NULL, {_stage('urn_missing')}, 'urn_missing', 'URN must be provided', '' FROM d WHERE urn IS NULL
+  UNION ALL SELECT deposit_id, audience, {_stage('unknown_audience')}, 'unknown_audience', 'key not found: ' || audience, 'a' || CAST(pos AS VARCHAR) FROM aud WHERE discipline_pid IS NULL
+  UNION ALL SELECT deposit_id, NULL, {_stage('unknown_access_category')}, 'unknown_access_category', 'key not found: ' || coalesce(access_category, 'null'), 'b'
   FROM d WHERE default_accessible IS NULL
-  UNION ALL SELECT deposit_id, 'metadata/dataset.xml', {_stage('bag_metadata_missing')}, 'bag_metadata_missing', 'File metadata/dataset.xml does not exist'
-  FROM d WHERE include_bag_metadata AND NOT has_dataset_xml
-  UNION ALL SELECT deposit_id, 'metadata/files.xml', {_stage('bag_metadata_missing')}, 'bag_metadata_missing', 'File metadata/files.xml does not exist'
+  UNION ALL SELECT deposit_id, 'metadata/files.xml', {_stage('bag_metadata_missing')}, 'bag_metadata_missing', 'File metadata/files.xml does not exist', ''
   FROM d WHERE include_bag_metadata AND NOT has_files_xml
-  UNION ALL SELECT deposit_id, CAST(line_no AS VARCHAR), {_stage('bad_manifest_line')}, 'bad_manifest_line',
-    'Invalid line in manifest-sha1.txt: ' || checksum || coalesce(' ' || path, '')
-  FROM pm WHERE NOT {OK_DEFAULT} AND deposit_id IN (SELECT deposit_id FROM d WHERE stage_payload)
-  UNION ALL SELECT deposit_id, path, {_stage('files_xml_missing')}, 'files_xml_missing', 'Unable to find `metadata/files.xml` in bag.' FROM gfiles WHERE NOT has_files_xml
-  UNION ALL SELECT deposit_id, path, {_stage('format_not_unique')}, 'format_not_unique', 'format element doesn''t exist for the file, or isn''t unique.'
+  UNION ALL SELECT deposit_id, raw, {_stage('bad_manifest_line')}, 'bad_manifest_line',
+    'Invalid line in manifest-sha1.txt: ' || checksum || coalesce(' ' || path, ''), lpad(CAST(line_no AS VARCHAR), 19, '0')
+  FROM (SELECT p.*, m.raw FROM pm p JOIN payload_manifest m USING (deposit_id, algorithm, line_no))
+  WHERE NOT {OK_DEFAULT} AND deposit_id IN (SELECT deposit_id FROM d WHERE stage_payload)
+  UNION ALL SELECT deposit_id, path, {_stage('files_xml_missing')}, 'files_xml_missing', 'Unable to find `metadata/files.xml` in bag.', '1' FROM gfiles WHERE NOT has_files_xml
+  UNION ALL SELECT deposit_id, path, {_stage('format_not_unique')}, 'format_not_unique', 'format element doesn''t exist for the file, or isn''t unique.', '2'
   FROM gfiles WHERE has_files_xml AND mime_type IS NULL
-  UNION ALL SELECT deposit_id, path, {_stage('bad_url')}, 'bad_url', 'Not a valid URL: ' || uri FROM gfiles
+  UNION ALL SELECT deposit_id, path, {_stage('bad_url')}, 'bad_url', 'Not a valid URL: ' || uri, '3' FROM gfiles
   WHERE uri IS NOT NULL AND {PROTO.format(x='uri')} NOT IN ('http', 'https', 'ftp', 'file', 'jar', 'mailto')),
+rejects AS (SELECT deposit_id, item, stage, code, message FROM (
+  SELECT *, min(stage) OVER (PARTITION BY deposit_id) AS least, row_number() OVER (PARTITION BY deposit_id, stage ORDER BY ord) AS nth,
+    row_number() OVER (PARTITION BY deposit_id, stage, item ORDER BY ord) AS nth_of_file FROM found)
+  WHERE stage = least AND CASE WHEN stage = 14 THEN nth_of_file ELSE nth END = 1),
 acc AS (SELECT * FROM d WHERE deposit_id NOT IN (SELECT deposit_id FROM rejects)),
-afiles AS (SELECT * FROM gfiles WHERE deposit_id IN (SELECT deposit_id FROM acc))"""
-N10_BINDINGS = ("deposits", "payload_files", "file_metadata", "payload_manifest", "payload_uris", "audiences", "discipline_xml",
+afiles AS (SELECT * FROM gfiles WHERE deposit_id IN (SELECT deposit_id FROM acc)),
+aentries AS (SELECT deposit_id, path, is_dir, {DREL('path')} AS dataset_path FROM payload_listing
+             WHERE path <> 'data' AND deposit_id IN (SELECT deposit_id FROM acc WHERE stage_payload))"""
+N10_BINDINGS = ("deposits", "payload_listing", "file_metadata", "payload_manifest", "payload_uris", "audiences", "discipline_xml",
                 "bag_documents") + LIC_BINDINGS
 
 
@@ -347,6 +364,16 @@ def _with(ctes: str, body: str, *bindings: str) -> str:
 
 ORACLES: dict[str, str] = {
     # ---------------------------------------------------------------- sources / sinks
+    "S01_scan_deposits": _with(
+        r"""own AS (SELECT deposit_id, arg_min(trim(regexp_extract(value, '^\s*depositor\.userId\s*[=:]\s*(.*)$', 1)), line_no) AS owner_id
+  FROM property_lines WHERE regexp_matches(value, '^\s*depositor\.userId\s*[=:]') GROUP BY deposit_id)""",
+        """SELECT b.deposit_id, owner_id, bag_dir FROM (SELECT deposit_id, min(name) AS bag_dir FROM deposit_dirs WHERE is_dir AND name <> '.git' GROUP BY deposit_id) b
+LEFT JOIN own ON own.deposit_id = b.deposit_id""",
+        "property_lines", "deposit_dirs"),
+    "S02_scan_payload": _with(
+        "bags AS (SELECT deposit_id, min(name) AS bag FROM deposit_dirs WHERE is_dir AND name <> '.git' GROUP BY deposit_id)",
+        "SELECT deposit_id, bag, path, size, is_dir FROM payload_listing JOIN bags USING (deposit_id)",
+        "payload_listing", "deposit_dirs"),
     "S03_scan_manifests": with_bindings(PARSED("manifest_lines"), "manifest_lines"),
     "S04_parse_file_records": with_bindings(
         "SELECT deposit_id, filepath, " + ", ".join(
@@ -423,11 +450,11 @@ UNION ALL SELECT deposit_id, 'message-from-depositor.txt', 'copy' FROM dd WHERE
         f"SELECT request_id, {SDO('path_in_dataset')} AS sdo_name, replace(dataset_id, ':', '_') AS set_name FROM item_requests WHERE path_in_dataset <> ''",
         "item_requests"),
     "P03_check_state": with_bindings(
-        f"SELECT deposit_id, 'invalid_state' AS code, 'Not a valid state: ' || coalesce(state, 'null') AS message FROM deposits WHERE coalesce(state NOT IN {_in(K.STATES)}, true)",
+        f"SELECT deposit_id, 'invalid_state' AS code, 'Not a valid state: ' || coalesce(state, 'null') AS message FROM deposits WHERE coalesce(state NOT IN {_in(STATES)}, true)",
         "deposits"),
     "P04_check_urn": with_bindings("SELECT deposit_id, 'urn_missing' AS code, 'URN must be provided' AS message FROM deposits WHERE urn IS NULL", "deposits"),
     "P05_check_archive": with_bindings(
-        f"SELECT deposit_id, 'invalid_archive' AS code, 'Not a valid archive: ' || coalesce(archive, 'null') AS message FROM deposits WHERE coalesce(archive NOT IN {_in(K.ARCHIVES)}, true)",
+        f"SELECT deposit_id, 'invalid_archive' AS code, 'Not a valid archive: ' || coalesce(archive, 'null') AS message FROM deposits WHERE coalesce(archive NOT IN {_in(ARCHIVES)}, true)",
         "deposits"),
     "P06_payload_gate": with_bindings(
         "SELECT pf.deposit_id, pf.path FROM payload_files pf JOIN deposits dp ON pf.deposit_id = dp.deposit_id WHERE NOT dp.skip_payload AND dp.doi IS NOT NULL",
@@ -588,11 +615,11 @@ WHERE r.col NOT IN (SELECT col FROM hc WHERE hc.file_id = f.file_id)
 UNION ALL SELECT DISTINCT file_id, col, 'ignored' FROM hc WHERE col NOT IN (SELECT col FROM req)""",
         "header_columns"),
     "U04_all_sdos": _with(
-        f"items AS ({PAYLOAD_ITEMS})",
+        f"items AS ({PAYLOAD_ITEMS}), entries AS ({PAYLOAD_ENTRIES})",
         f"""SELECT deposit_id, '{K.DATASET_SDO}' AS sdo_name, 'dataset' AS kind FROM deposits
-UNION ALL SELECT deposit_id, sdo_name, 'folder' FROM ({FOLDERS('items')})
+UNION ALL SELECT deposit_id, sdo_name, 'folder' FROM ({FOLDERS('entries')})
 UNION ALL SELECT deposit_id, sdo_name, 'file' FROM items""",
-        "deposits", "payload_files"),
+        "deposits", "payload_files", "payload_listing"),
     # ---------------------------------------------------------------- scalar functions
     "F01_signer_display_name": _with(f"signer AS ({SIGNER})", f"SELECT deposit_id, {DISPLAY()} AS display_name FROM signer", "agreement_signers"),
     "F02_privacy_sentence": _with(f"signer AS ({SIGNER}), info AS ({INFO})", "SELECT deposit_id, privacy_remark FROM info", *INFO_BINDINGS),
@@ -616,8 +643,8 @@ UNION ALL SELECT deposit_id, sdo_name, 'file' FROM items""",
                                       "license_elements", "ns_decls"),
     "F14_last_segment": with_bindings("SELECT pid, regexp_extract(pid, '([^:]*)$', 1) AS segment FROM discipline_xml", "discipline_xml"),
     "F15_relation_object": with_bindings("SELECT request_id, 'info:fedora/' || dataset_id AS subordinate_object FROM item_requests WHERE dataset_id <> ''", "item_requests"),
-    "F16_folder_name": _with(f"items AS ({PAYLOAD_ITEMS})", f"SELECT deposit_id, dataset_path AS path, {NAME('dataset_path')} AS name FROM ({FOLDERS('items')})",
-                             "payload_files"),
+    "F16_folder_name": _with(f"entries AS ({PAYLOAD_ENTRIES})", f"SELECT deposit_id, dataset_path AS path, {NAME('dataset_path')} AS name FROM ({FOLDERS('entries')})",
+                             "payload_listing"),
     "F17_ancestor_paths": with_bindings(
         """SELECT request_id, CAST(i - 1 AS INTEGER) AS depth, array_to_string(list_slice(parts, 1, i), '/') AS ancestor
 FROM (SELECT request_id, parts, unnest(range(1, len(parts))) AS i FROM (SELECT request_id, string_split(path_in_dataset, '/') AS parts FROM item_requests WHERE path_in_dataset <> ''))""",
@@ -642,13 +669,13 @@ UNION ALL SELECT deposit_id, sdo_name, 'relation', 3, '{K.HAS_MODEL}', '{K.MODEL
 UNION ALL SELECT deposit_id, sdo_name, 'relation', 4, '{K.HAS_MODEL}', '{K.MODEL_CONTAINER_ITEM}' FROM f""",
         "payload_files", "payload_uris", "payload_manifest", "file_metadata"),
     "N03_folder_config": _with(
-        f"items AS ({PAYLOAD_ITEMS}), fo AS ({FOLDERS('items')})",
+        f"entries AS ({PAYLOAD_ENTRIES}), fo AS ({FOLDERS('entries')})",
         f"""SELECT deposit_id, sdo_name, 'datastream' AS element, 1 AS ord, 'EASY_ITEM_CONTAINER_MD' AS name, 'text/xml' AS value FROM fo
 UNION ALL SELECT deposit_id, sdo_name, 'relation', 1, '{K.IS_MEMBER_OF}', parent_sdo FROM fo
 UNION ALL SELECT deposit_id, sdo_name, 'relation', 2, '{K.IS_SUBORDINATE_TO}', '{K.DATASET_SDO}' FROM fo
 UNION ALL SELECT deposit_id, sdo_name, 'relation', 3, '{K.HAS_MODEL}', '{K.MODEL_FOLDER}' FROM fo
 UNION ALL SELECT deposit_id, sdo_name, 'relation', 4, '{K.HAS_MODEL}', '{K.MODEL_CONTAINER_ITEM}' FROM fo""",
-        "payload_files"),
+        "payload_listing"),
     "N04_admin_metadata": _with(
         f"signer AS ({SIGNER}), info AS ({INFO})",
         f"""SELECT dp.deposit_id, dp.state AS dataset_state, CASE WHEN dp.state <> 'DRAFT' THEN 'DRAFT' END AS previous_state,
@@ -663,9 +690,9 @@ FROM deposits dp JOIN info USING (deposit_id)""",
   coalesce({RIGHTS('coalesce(md.access_rights, md.accessible_to)')}, {CATEGORY.replace('access_category', 'dp.access_category')}) AS accessible_to
 FROM items i JOIN deposits dp USING (deposit_id) LEFT JOIN md ON md.deposit_id = i.deposit_id AND md.filepath = i.path""",
         "payload_files", "deposits", "file_metadata"),
-    "N07_folder_metadata": _with(f"items AS ({PAYLOAD_ITEMS})",
-                                 f"SELECT deposit_id, sdo_name, {NAME('dataset_path')} AS name, dataset_path AS path FROM ({FOLDERS('items')})", "payload_files"),
-    "N08_folder_sdos": _with(f"items AS ({PAYLOAD_ITEMS})", f"SELECT deposit_id, dataset_path, sdo_name, parent_sdo FROM ({FOLDERS('items')})", "payload_files"),
+    "N07_folder_metadata": _with(f"entries AS ({PAYLOAD_ENTRIES})",
+                                 f"SELECT deposit_id, sdo_name, {NAME('dataset_path')} AS name, dataset_path AS path FROM ({FOLDERS('entries')})", "payload_listing"),
+    "N08_folder_sdos": _with(f"entries AS ({PAYLOAD_ENTRIES})", f"SELECT deposit_id, dataset_path, sdo_name, parent_sdo FROM ({FOLDERS('entries')})", "payload_listing"),
     "N09_ancestor_sdos": _with(
         ITEM_CTES,
         f"""SELECT DISTINCT dataset_id, anc AS path, {SDO('anc')} AS sdo_name, 'objectSDO' AS parent_kind,
@@ -677,7 +704,7 @@ FROM (SELECT dataset_id, array_to_string(list_slice(parts, 1, i), '/') AS anc
         N10_CTES,
         f"""SELECT deposit_id, '{K.DATASET_SDO}' AS sdo_name, 'dataset' AS kind, NULL AS parent_sdo, NULL AS path, NULL AS mime_type, NULL AS accessible_to,
   NULL AS visible_to, NULL AS checksum, NULL AS control_group, NULL AS title FROM acc
-UNION ALL SELECT deposit_id, sdo_name, 'folder', parent_sdo, dataset_path, NULL, NULL, NULL, NULL, NULL, NULL FROM ({FOLDERS('afiles')})
+UNION ALL SELECT deposit_id, sdo_name, 'folder', parent_sdo, dataset_path, NULL, NULL, NULL, NULL, NULL, NULL FROM ({FOLDERS('aentries')})
 UNION ALL SELECT deposit_id, {SDO('dataset_path')}, 'file',
   CASE WHEN {PARENT('dataset_path')} IS NULL THEN '{K.DATASET_SDO}' ELSE {SDO(PARENT('dataset_path'))} END, dataset_path, mime_type,
   coalesce({RIGHTS('coalesce(access_rights, acc)')}, default_accessible), coalesce({RIGHTS('vis')}, 'ANONYMOUS'), checksum,

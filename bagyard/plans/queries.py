@@ -7,6 +7,7 @@ aliased columns; the DuckDB twin of each is in :mod:`bagyard.plans.oracles`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,8 @@ from bagyard.operators.licenses import extension_mime, is_uri_license, license_o
 from bagyard.plans import dataset_job as DJ
 from bagyard.plans import documents as D
 from bagyard.plans import item_job as IJ
+from bagyard.session import checkpoint_dir
+from bagyard.sources import listing as L
 from bagyard.sources import scans, sinks
 from bagyard.sources import testdata as T
 
@@ -82,7 +85,36 @@ def _payload_items(s, d) -> DataFrame:
     return joins.parent_sdo(checks.with_paths(T.payload_files(s, d))).withColumn("sdo_name", P.sdo_name(F.col("dataset_path")))
 
 
+def _payload_entries(s, d) -> DataFrame:
+    """Payload files and directories with dataset path, SDO name and parent (no accept gate)."""
+    return joins.parent_sdo(checks.with_paths(D.payload_entries(T.payload_listing(s, d)))).withColumn("sdo_name", P.sdo_name(F.col("dataset_path")))
+
+
+def _stored_listing(s, d) -> DataFrame:
+    """The corpus listing, written as a storage inventory to the shared checkpoint folder, read and stored."""
+    base, root = _scratch(s, "listing"), "store://corpus"
+    L.inventory_lines(T.corpus_listing(s, d), root).write.text(f"{base}/inventory")
+    L.store_listing(L.read_inventory(s, f"{base}/inventory", root), f"{base}/stored")
+    return L.open_listing(s, f"{base}/stored")
+
+
+def _scratch(s, name: str) -> str:
+    return f"{checkpoint_dir(s).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 # ================================================================ sources / sinks
+@q("S01_scan_deposits")
+def s01(s, d):
+    """Owner and bag of every deposit: bags from the stored listing, owners from the properties' lines."""
+    return scans.scan_deposits(_stored_listing(s, d), T.property_lines(s, d))
+
+
+@q("S02_scan_payload")
+def s02(s, d):
+    """Files and directories of every deposit's payload, from the stored listing."""
+    return scans.scan_payload(_stored_listing(s, d))
+
+
 @q("S03_scan_manifests")
 def s03(s, d):
     return scans.parse_manifest_lines(T.manifest_lines(s, d))
@@ -120,11 +152,7 @@ def s06(s, d):
 def s07(s, d):
     """Messages written by Spark as one text file per deposit to the shared
     checkpoint folder, read back whole and cleaned (F05)."""
-    import uuid
-
-    from bagyard.session import checkpoint_dir
-
-    path = f"{checkpoint_dir(s).rstrip('/')}/s07-{uuid.uuid4().hex}"
+    path = _scratch(s, "s07")
     (T.messages(s, d).select("deposit_id", F.col("text").alias("value"))
      .repartition(16, "deposit_id")  # each deposit's file written once, by one of many tasks
      .write.partitionBy("deposit_id").text(path))
@@ -167,13 +195,9 @@ def s11(s, d):
 def s12(s, d):
     """The licence catalogue written as a properties file (keys escaped) to
     the shared checkpoint folder by Spark and scanned back with its templates."""
-    import uuid
-
-    from bagyard.session import checkpoint_dir
-
     cat = T.license_catalog(s, d)
     line = F.concat(F.regexp_replace(F.col("uri"), r"([:=\\])", r"\\$1"), F.lit("="), F.col("file_name"))
-    path = f"{checkpoint_dir(s).rstrip('/')}/s12-{uuid.uuid4().hex}"
+    path = _scratch(s, "s12")
     cat.select(line.alias("value")).write.text(path)
     return scans.license_catalog(s, path, templates=cat)
 
@@ -512,7 +536,7 @@ def u03(s, d):
 @q("U04_all_sdos")
 def u04(s, d):
     items = _payload_items(s, d)
-    folders = D.folder_sdos(items)
+    folders = D.folder_sdos(_payload_entries(s, d))
     ds = T.deposits(s, d).select("deposit_id", F.lit(K.DATASET_SDO).alias("sdo_name"), F.lit("dataset").alias("kind"))
     return sets.all_sdos(
         ds,
@@ -605,7 +629,7 @@ def f15(s, d):
 
 @q("F16_folder_name")
 def f16(s, d):
-    return D.folder_md(D.folder_sdos(_payload_items(s, d))).select("deposit_id", "path", "name")
+    return D.folder_md(D.folder_sdos(_payload_entries(s, d))).select("deposit_id", "path", "name")
 
 
 @q("F17_ancestor_paths")
@@ -643,7 +667,7 @@ def n02(s, d):
 
 @q("N03_folder_config")
 def n03(s, d):
-    fo = D.folder_sdos(_payload_items(s, d)).withColumn("parent_kind", F.lit("objectSDO")).withColumn("parent_object", F.col("parent_sdo")).withColumn(
+    fo = D.folder_sdos(_payload_entries(s, d)).withColumn("parent_kind", F.lit("objectSDO")).withColumn("parent_object", F.col("parent_sdo")).withColumn(
         "subordinate_kind", F.lit("objectSDO")).withColumn("subordinate_object", F.lit(K.DATASET_SDO))
     ds = D.folder_datastreams(fo).select("deposit_id", "sdo_name", F.lit("datastream").alias("element"), "ord", F.col("ds_id").alias("name"), F.col("mime_type").alias("value"))
     rel = D.item_relations(fo, K.MODEL_FOLDER).select("deposit_id", "sdo_name", F.lit("relation").alias("element"), "ord",
@@ -667,12 +691,12 @@ def n06(s, d):
 
 @q("N07_folder_metadata")
 def n07(s, d):
-    return D.folder_md(D.folder_sdos(_payload_items(s, d)))
+    return D.folder_md(D.folder_sdos(_payload_entries(s, d)))
 
 
 @q("N08_folder_sdos")
 def n08(s, d):
-    return D.folder_sdos(_payload_items(s, d))
+    return D.folder_sdos(_payload_entries(s, d))
 
 
 @q("N09_ancestor_sdos")

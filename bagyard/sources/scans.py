@@ -11,9 +11,10 @@ Layout of one deposit below ``root``::
     <deposit>/<bag>/metadata/depositor-info/agreements.xml
     <deposit>/<bag>/metadata/depositor-info/message-from-depositor.txt
 
-All scans are Spark readers over globs of the whole corpus; the deposit and
-bag come from ``_metadata.file_path``.  Deposit directory names are the
-deposit ids and must be integers (the engine keys deposits by ``bigint``).
+What exists comes from the stored corpus listing (:mod:`bagyard.sources.listing`);
+contents come from Spark readers over the listed files (or a path pattern, where a
+caller gives none), with the deposit and bag from ``_metadata.file_path``.  Deposit
+directory names are the deposit ids and must be integers (the engine keys deposits by ``bigint``).
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from bagyard import constants as K
 from bagyard.functions.text import jtrim
+from bagyard.sources import listing as L
 
 
 def _root_re(root: str) -> str:
@@ -46,73 +49,49 @@ def _bag_of(path: Column, root: str) -> Column:
     return F.regexp_extract(path, _root_re(root) + r"/[^/]+/([^/]+)/", 1)
 
 
-def glob_exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether a path glob matches anything (a listing on the driver, no data read)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path)
-    return found is not None and len(found) > 0
-
-
 def _in_bag(path: Column, root: str) -> Column:
     """Bag-relative path of a file."""
     return F.regexp_extract(path, _root_re(root) + r"/[^/]+/[^/]+/(.*)$", 1)
 
 
 # ------------------------------------------------------------------ S01
-def scan_deposits(spark: SparkSession, root: str) -> DataFrame:
-    """Owner from ``depositor.userId``; bag = first child directory (not
-    ``.git``) holding a ``bagit.txt`` — smallest name when there are several."""
-    props = spark.read.text(f"{root}/*/deposit.properties").select(
-        _deposit_of(_file_path(), root).alias("deposit_id"),
-        F.struct(F.input_file_block_start().alias("start"), F.monotonically_increasing_id().alias("n")).alias("line"),
-        "value",
-    )
-    owner = (
-        props.where(F.col("value").rlike(r"^\s*depositor\.userId\s*[=:]"))
-        .select("deposit_id", "line", jtrim(F.regexp_extract("value", r"^\s*depositor\.userId\s*[=:]\s*(.*)$", 1)).alias("owner_id"))
-        .groupBy("deposit_id")
-        .agg(F.min_by("owner_id", "line").alias("owner_id"))  # of a repeated key the first line counts
-    )
-    bags = (
-        spark.read.format("binaryFile")
-        .load(f"{root}/*/*/bagit.txt")
-        .select(_deposit_of(F.col("path"), root).alias("deposit_id"), _bag_of(F.col("path"), root).alias("bag"))
-        .where(F.col("bag") != ".git")
-        .groupBy("deposit_id")
-        .agg(F.min("bag").alias("bag_dir"))
+OWNER_LINE = r"^\s*depositor\.userId\s*[=:]\s*(.*)$"
+
+
+def property_lines(spark: SparkSession, root: str, files: str | list[str] | None = None) -> DataFrame:
+    """Lines of the ``deposit.properties`` files: (deposit_id, line_no, value)."""
+    return spark.read.text(files or f"{root}/*/deposit.properties").select(
+        _deposit_of(_file_path(), root).alias("deposit_id"), _line_order().alias("line_no"), "value"
     )
-    return owner.join(bags, "deposit_id", "full")
+
+
+def owners(properties: DataFrame) -> DataFrame:
+    """The trimmed value of ``depositor.userId``; of a repeated key the first line counts."""
+    lines = properties.where(F.col("value").rlike(OWNER_LINE))
+    value = jtrim(F.regexp_extract("value", OWNER_LINE, 1))
+    return lines.select("deposit_id", "line_no", value.alias("owner_id")).groupBy("deposit_id").agg(F.min_by("owner_id", "line_no").alias("owner_id"))
+
+
+def scan_deposits(listing: DataFrame, properties: DataFrame) -> DataFrame:
+    """(deposit_id, owner_id, bag_dir); the bag is the first directory that is not ``.git``."""
+    return owners(properties).join(L.bag_dirs(listing).withColumnRenamed("bag", "bag_dir"), "deposit_id", "full")
 
 
 # ------------------------------------------------------------------ S02
-def scan_payload(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``data/`` of every bag: (deposit_id, path, size, is_dir).
+def scan_payload(listing: DataFrame) -> DataFrame:
+    """Everything below ``data`` of the deposit's bag, and ``data`` itself:
+    (deposit_id, bag, path, size, is_dir).
 
-    ``binaryFile`` with only ``path`` and ``length`` selected: the content
-    column is pruned from the scan, no payload byte is read.  Empty
-    directories are not listed by the file source (documented gap).
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "length")
-    )
-    rel = _in_bag(F.col("path"), root)
-    return files.where(rel.startswith("data/")).select(
-        _deposit_of(F.col("path"), root).alias("deposit_id"),
-        _bag_of(F.col("path"), root).alias("bag"),
-        rel.alias("path"),
-        F.col("length").alias("size"),
-        F.lit(False).alias("is_dir"),
-    )
+    Empty folders are rows with ``is_dir``; a bag with an empty ``data`` has the
+    one row of that directory, a bag without one has none.  One pass over the
+    listing for the bag, one for its entries; no payload byte is read."""
+    entries = L.in_bags(listing).where((F.col("path") == "data") | F.col("path").startswith("data/"))
+    return entries.join(L.bag_dirs(listing), ["deposit_id", "bag"]).select("deposit_id", "bag", "path", "size", "is_dir")
 
 
 # ------------------------------------------------------------------ S03
-def parse_manifest_lines(lines: DataFrame) -> DataFrame:
-    """S03 on raw lines: split once on horizontal whitespace; blank lines dropped."""
+def parse_manifest_lines(lines: DataFrame, raw: bool = False) -> DataFrame:
+    """S03 on raw lines: split once on horizontal whitespace; blank lines dropped.  ``raw`` keeps the line itself."""
     tokens = F.split(F.col("raw"), r"\h+", 2)
     return lines.where(F.col("raw") != "").select(
         "deposit_id",
@@ -120,6 +99,7 @@ def parse_manifest_lines(lines: DataFrame) -> DataFrame:
         "line_no",
         F.element_at(tokens, 1).alias("checksum"),
         F.when(F.size(tokens) == 2, F.element_at(tokens, 2)).alias("path"),
+        *(["raw"] if raw else []),
     )
 
 
@@ -132,9 +112,9 @@ def _line_order() -> Column:
     return F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
 
 
-def scan_manifest_lines(spark: SparkSession, root: str) -> DataFrame:
+def scan_manifest_lines(spark: SparkSession, root: str, files: str | list[str] | None = None) -> DataFrame:
     """Raw payload-manifest lines (deposit_id, algorithm, line_no, raw), splittable."""
-    return spark.read.text(f"{root}/*/*/manifest-*.txt").select(
+    return spark.read.text(files or f"{root}/*/*/manifest-*.txt").select(
         _deposit_of(_file_path(), root).alias("deposit_id"),
         _bag_of(_file_path(), root).alias("bag"),
         F.regexp_extract(_file_path(), r"manifest-([^/]+)\.txt$", 1).alias("algorithm"),
@@ -176,7 +156,7 @@ def _xml_text(c: Column) -> Column:
     return F.transform(c, lambda x: F.regexp_replace(jtrim(F.coalesce(x, F.lit(""))), r"\s+", " "))
 
 
-def scan_file_metadata(spark: SparkSession, root: str) -> DataFrame:
+def scan_file_metadata(spark: SparkSession, root: str, files: str | list[str] | None = None) -> DataFrame:
     """One row per ``<file>`` record of every ``files.xml`` (splittable XML source)."""
     df = (
         spark.read.format("xml")
@@ -184,7 +164,7 @@ def scan_file_metadata(spark: SparkSession, root: str) -> DataFrame:
         .option("ignoreNamespace", "true")
         .option("ignoreSurroundingSpaces", "false")
         .schema(FILE_MD_SCHEMA)
-        .load(f"{root}/*/*/metadata/files.xml")
+        .load(files or f"{root}/*/*/metadata/files.xml")
     )
 
     def arr(name: str) -> Column:
@@ -266,9 +246,9 @@ def parse_dataset_metadata(raw: DataFrame, xml: str = "xml") -> DataFrame:
     )
 
 
-def scan_dataset_metadata(spark: SparkSession, root: str) -> DataFrame:
+def scan_dataset_metadata(spark: SparkSession, root: str, files: str | list[str] | None = None) -> DataFrame:
     """S05 on files: every ``metadata/dataset.xml`` of the corpus."""
-    raw = spark.read.text(f"{root}/*/*/metadata/dataset.xml", wholetext=True).select(
+    raw = spark.read.text(files or f"{root}/*/*/metadata/dataset.xml", wholetext=True).select(
         _deposit_of(_file_path(), root).alias("deposit_id"), _bag_of(_file_path(), root).alias("bag"), F.col("value").alias("xml")
     )
     return parse_dataset_metadata(raw)
@@ -309,19 +289,19 @@ def parse_agreements(raw: DataFrame, xml: str = "xml") -> DataFrame:
     )
 
 
-def scan_agreements(spark: SparkSession, root: str) -> DataFrame:
+def scan_agreements(spark: SparkSession, root: str, files: str | list[str] | None = None) -> DataFrame:
     """Agreements per deposit; *missing* (no row) is told apart from *not
     parseable* (``is_valid`` false) — the document is read raw (no trimming)."""
-    raw = spark.read.text(f"{root}/*/*/metadata/depositor-info/agreements.xml", wholetext=True).select(
+    raw = spark.read.text(files or f"{root}/*/*/metadata/depositor-info/agreements.xml", wholetext=True).select(
         _deposit_of(_file_path(), root).alias("deposit_id"), _bag_of(_file_path(), root).alias("bag"), F.col("value").alias("xml")
     )
     return parse_agreements(raw)
 
 
 # ------------------------------------------------------------------ S07
-def scan_messages(spark: SparkSession, root: str) -> DataFrame:
+def scan_messages(spark: SparkSession, root: str, files: str | list[str] | None = None) -> DataFrame:
     """Message from the depositor as UTF-8 whole text (missing -> no row)."""
-    return spark.read.text(f"{root}/*/*/metadata/depositor-info/message-from-depositor.txt", wholetext=True).select(
+    return spark.read.text(files or f"{root}/*/*/metadata/depositor-info/message-from-depositor.txt", wholetext=True).select(
         _deposit_of(_file_path(), root).alias("deposit_id"), _bag_of(_file_path(), root).alias("bag"), F.col("value").alias("text")
     )
 
@@ -335,21 +315,10 @@ def read_whole_texts(spark: SparkSession, path: str, key: str = "deposit_id", wr
     return df.select(F.col(key).cast("bigint").alias(key), text.alias("text"))
 
 
-def scan_bag_documents(spark: SparkSession, root: str) -> DataFrame:
-    """(deposit_id, name, length) of the five bag documents that exist."""
-    names = [
-        "metadata/dataset.xml",
-        "metadata/files.xml",
-        "manifest-sha1.txt",
-        "metadata/depositor-info/agreements.xml",
-        "metadata/depositor-info/message-from-depositor.txt",
-    ]
-    globs = [g for g in (f"{root}/*/*/{n}" for n in names) if glob_exists(spark, g)]
-    if not globs:
-        return spark.createDataFrame([], "deposit_id bigint, bag string, name string, length bigint")
-    files = spark.read.format("binaryFile").load(globs).select("path", "length")
-    return files.select(_deposit_of(F.col("path"), root).alias("deposit_id"), _bag_of(F.col("path"), root).alias("bag"),
-                        _in_bag(F.col("path"), root).alias("name"), "length")
+def scan_bag_documents(listing: DataFrame) -> DataFrame:
+    """(deposit_id, bag, name, length) of the five bag documents that exist, read off the listing."""
+    entries = L.in_bags(listing).where(~F.col("is_dir") & F.col("path").isin(*[name for name, _ in K.BAG_DOCUMENTS]))
+    return entries.join(L.bag_dirs(listing), ["deposit_id", "bag"]).select("deposit_id", "bag", F.col("path").alias("name"), F.col("size").alias("length"))
 
 
 # ------------------------------------------------------------------ S08
@@ -386,9 +355,9 @@ def bad_uri_mapping_lines(lines: DataFrame) -> DataFrame:
     return lines.where((F.col("line") != "") & ~F.col("line").rlike(URI_LINE)).select("deposit_id", "line")
 
 
-def uri_mapping_lines(spark: SparkSession, root: str, file_name: str = "uri-mapping.txt") -> DataFrame:
+def uri_mapping_lines(spark: SparkSession, root: str, file_name: str = "uri-mapping.txt", files: str | list[str] | None = None) -> DataFrame:
     """Lines of one mapping file per deposit, read line by line (splittable)."""
-    return spark.read.text(f"{root}/*/{file_name}").select(
+    return spark.read.text(files or f"{root}/*/{file_name}").select(
         _deposit_of(_file_path(), root).alias("deposit_id"),
         _line_order().alias("line_no"),
         F.col("value").alias("line"),

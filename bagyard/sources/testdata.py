@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bagyard import constants as K
+from bagyard.functions import paths as P
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
@@ -95,6 +96,23 @@ def payload_files(spark: SparkSession, sf_dir: str, keys: DataFrame | None = Non
     return (keys if keys is not None else payload_keys(spark, sf_dir)).select("deposit_id", "path", "size", F.lit(False).alias("is_dir"))
 
 
+def payload_dirs(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    """Directories of the payload: those of the files, two empty folders in every sixth
+    deposit, and ``data`` itself; a deposit without files has an empty ``data`` if its key is even."""
+    files = payload_files(spark, sf_dir, keys)
+    above = files.select("deposit_id", F.explode(P.ancestor_paths(F.col("path"))).alias("path"))
+    k = F.col("o_orderkey")
+    own = F.concat(F.when(k % 2 == 0, _arr("data")).otherwise(_empty_str_array()),
+                   F.when(k % 6 == 0, _arr("data/empty.d", "data/empty.d/deep")).otherwise(_empty_str_array()))
+    return above.unionByName(table(spark, sf_dir, "orders").select(k.alias("deposit_id"), F.explode(own).alias("path"))).distinct()
+
+
+def payload_listing(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    """Files and directories of the payload, as S02 gives them."""
+    dirs = payload_dirs(spark, sf_dir, keys).select("deposit_id", "path", F.lit(None).cast("bigint").alias("size"), F.lit(True).alias("is_dir"))
+    return payload_files(spark, sf_dir, keys).unionByName(dirs)
+
+
 def file_metadata(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
     """One ``files.xml`` record per lineitem row; paths repeat over records."""
     li = table(spark, sf_dir, "lineitem")
@@ -365,6 +383,38 @@ def deposit_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(k.alias("deposit_id"), F.inline(rows))
 
 
+def property_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each ``deposit.properties``: the owner in several notations, sometimes repeated or missing."""
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    owner = (
+        F.when(k % 17 == 0, F.lit("depositor.userIdentity=none"))
+        .when(k % 3 == 0, F.concat(F.lit("depositor.userId=user"), c))
+        .when(k % 3 == 1, F.concat(F.lit("  depositor.userId :\tuser"), c, F.lit("  ")))
+        .otherwise(F.concat(F.lit("depositor.userId = user"), c))
+    )
+    rows = F.array(
+        F.struct(F.lit(1).alias("line_no"), F.lit("state.label=SUBMITTED").alias("value")),
+        F.struct(F.lit(2).alias("line_no"), owner.alias("value")),
+        F.struct(F.lit(3).alias("line_no"), F.when((k % 5 == 0) & (k % 17 != 0), F.lit("depositor.userId=second")).alias("value")),
+    )
+    return o.select(k.alias("deposit_id"), F.inline(rows)).where(F.col("value").isNotNull())
+
+
+def corpus_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file and some directories below the deposits, as a storage lists them: the
+    bag, a decoy in a second bag, ``.git``, bag documents and payload."""
+    dirs = deposit_dirs(spark, sf_dir)
+    top = dirs.select("deposit_id", F.col("name").alias("entry"), F.when(~F.col("is_dir"), F.lit(100)).cast("bigint").alias("size"), "is_dir")
+    bag = dirs.where(F.col("is_dir") & (F.col("name") != ".git")).groupBy("deposit_id").agg(F.min("name").alias("bag"), F.max("name").alias("last"))
+    within = F.concat("bag", F.lit("/"), "path").alias("entry")
+    payload = payload_listing(spark, sf_dir).join(bag, "deposit_id").select("deposit_id", within, "size", "is_dir")
+    docs = bag_documents(spark, sf_dir).withColumnRenamed("name", "path").join(bag, "deposit_id").select("deposit_id", within, F.col("length").alias("size"), F.lit(False).alias("is_dir"))
+    decoy = bag.where("bag <> last").select("deposit_id", F.concat("last", F.lit("/data/decoy.bin")).alias("entry"), F.lit(7).cast("bigint").alias("size"), F.lit(False).alias("is_dir"))
+    git = bag.select("deposit_id", F.lit(".git/data/x.bin").alias("entry"), F.lit(9).cast("bigint").alias("size"), F.lit(False).alias("is_dir"))
+    return top.unionByName(payload).unionByName(docs).unionByName(decoy).unionByName(git)
+
+
 # ------------------------------------------------------------------ item requests
 def _request_path() -> Column:
     e, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")

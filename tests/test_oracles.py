@@ -21,7 +21,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    from bagyard.plans.oracles import ORACLES as OWN_ORACLES
+    from bagyard.plans.queries import QUERIES as OWN_QUERIES
+
+    assert set(OWN_QUERIES) == set(OWN_ORACLES)
+    assert set(OWN_QUERIES) <= set(QUERIES) and set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

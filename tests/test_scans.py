@@ -1,10 +1,12 @@
-"""Scans (S01-S09, S12) and sinks (K01, K02) on a generated mini-corpus of bags."""
+"""The corpus listing, scans (S01-S09, S12) and sinks (K01, K02) on a generated mini-corpus of bags."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from bagyard.sources import listing as L
 from bagyard.sources import scans, sinks
 
 FILES_XML = """<?xml version="1.0" encoding="UTF-8"?>
@@ -81,20 +83,66 @@ def corpus(tmp_path_factory):
     _write(f"{root}/2/abag/bagit.txt", "BagIt-Version: 0.97\n")
     _write(f"{root}/2/abag/data/x.txt", "x")
     _write(f"{root}/2/abag/metadata/depositor-info/agreements.xml", "this is not xml")
+    os.makedirs(f"{root}/1/bag1/data/hollow/deep")
+    # deposit 3: an odd bag name, no bagit.txt, an empty data directory; deposit 4: no data directory, no properties
+    _write(f"{root}/3/deposit.properties", "depositor.userId:user003\n")
+    _write(f"{root}/3/b a[g]/metadata/dataset.xml", DDM.replace("    <dcterms:license", "    <!-- ").replace("by/4.0</dcterms:license>", "-->"))
+    os.makedirs(f"{root}/3/b a[g]/data")
+    _write(f"{root}/4/bag/metadata/x.txt", "x")
     return root
 
 
-def test_scan_deposits(spark, corpus):
-    got = {r.deposit_id: (r.owner_id, r.bag_dir) for r in scans.scan_deposits(spark, corpus).collect()}
-    assert got == {1: ("user001", "bag1"), 2: ("user002", "abag")}
-
-
-def test_scan_payload_prunes_content(spark, corpus):
-    df = scans.scan_payload(spark, corpus)
-    got = sorted((r.deposit_id, r.path, r.size) for r in df.collect())
-    assert got == [(1, "data/a/one.txt", 5), (1, "data/two.bin", 2), (2, "data/x.txt", 1)]
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+@pytest.fixture(scope="module")
+def listing(spark, corpus):
+    deposits = spark.createDataFrame([(1,), (2,), (3,), (4,), (99,)], "deposit_id long")  # 99 is not in the store
+    path = f"{corpus}-listing"
+    L.store_listing(L.crawl(corpus, deposits), path, buckets=4)
+    return L.open_listing(spark, path)
+
+
+def test_scan_deposits(spark, corpus, listing):
+    got = {r.deposit_id: (r.owner_id, r.bag_dir) for r in scans.scan_deposits(listing, scans.property_lines(spark, corpus)).collect()}
+    # the bag of 3 has no bagit.txt, 4 has no properties
+    assert got == {1: ("user001", "bag1"), 2: ("user002", "abag"), 3: ("user003", "b a[g]"), 4: (None, "bag")}
+
+
+def test_scan_payload_lists_folders(listing):
+    got = sorted((r.deposit_id, r.path, r.size, r.is_dir) for r in scans.scan_payload(listing).collect())
+    assert got == [
+        (1, "data", None, True), (1, "data/a", None, True), (1, "data/a/one.txt", 5, False), (1, "data/hollow", None, True),
+        (1, "data/hollow/deep", None, True), (1, "data/two.bin", 2, False),
+        (2, "data", None, True), (2, "data/x.txt", 1, False),
+        (3, "data", None, True),  # an empty data directory is one
+    ]  # 4 has no data directory
+
+
+def test_listing_crawled_equals_inventory(spark, corpus, listing, tmp_path):
+    """The same rows from a storage inventory, also from one that names files only (empty folders are unknown to it)."""
+    for name, lines in [("all", L.inventory_lines(listing, corpus)), ("files", L.inventory_lines(listing.where("NOT is_dir"), corpus))]:
+        lines.unionByName(lines).write.text(str(tmp_path / name))  # lines may repeat
+        L.store_listing(L.read_inventory(spark, str(tmp_path / name), corpus), str(tmp_path / f"{name}-stored"), buckets=4)
+        got = {tuple(r) for r in L.open_listing(spark, str(tmp_path / f"{name}-stored")).select("deposit_id", "entry", "size", "is_dir").collect()}
+        want = {tuple(r) for r in listing.select("deposit_id", "entry", "size", "is_dir").collect()}
+        if name == "files":
+            files = {w[1] for w in want if not w[3]}
+            want = {w for w in want if not w[3] or any(f.startswith(w[1] + "/") for f in files)}
+        assert got == want
+
+
+def test_listing_reads_and_replaces_only_its_buckets(spark, listing, tmp_path):
+    path = str(tmp_path / "stored")
+    L.store_listing(listing, path, buckets=4)
+    buckets = {r.deposit_id: r.deposit_bucket for r in listing.select("deposit_id", "deposit_bucket").distinct().collect()}
+    one = L.open_listing(spark, path, only=[buckets[1]])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*deposit_bucket", plan) and {r.deposit_bucket for r in one.collect()} == {buckets[1]}
+    # storing one deposit's bucket again replaces it, twice equals once, and the others stay
+    before = {tuple(r) for r in L.open_listing(spark, path).collect()}
+    mine = spark.createDataFrame(L.open_listing(spark, path, only=[buckets[1]]).collect(), L.SCHEMA + ", deposit_bucket int")
+    changed = mine.unionByName(spark.createDataFrame([(1, "bag1/data/new.txt", 3, False, buckets[1])], mine.schema))
+    for _ in range(2):
+        L.store_listing(changed, path, buckets=4)
+        assert {tuple(r) for r in L.open_listing(spark, path).collect()} == before | {(1, "bag1/data/new.txt", 3, False, buckets[1])}
 
 
 def test_scan_manifests(spark, corpus):
@@ -121,8 +169,7 @@ def test_scan_file_metadata(spark, corpus):
 
 
 def test_scan_dataset_metadata(spark, corpus):
-    r = scans.scan_dataset_metadata(spark, corpus).collect()[0]
-    assert r.deposit_id == 1
+    r = scans.scan_dataset_metadata(spark, corpus).where("deposit_id = 1").first()
     assert r.audience == ["D24000", "D30000"]
     assert r.created == ["2017-05-01"]
     assert r.rights_holder == ["Alice", "Bob"]
@@ -139,8 +186,8 @@ def test_scan_agreements_and_messages(spark, corpus):
     assert msgs == {1: "Hi <there>"}
 
 
-def test_scan_bag_documents_and_uri_mapping(spark, corpus):
-    docs = sorted((r.deposit_id, r.name) for r in scans.scan_bag_documents(spark, corpus).collect())
+def test_scan_bag_documents_and_uri_mapping(spark, corpus, listing):
+    docs = sorted((r.deposit_id, r.name) for r in scans.scan_bag_documents(listing).collect())
     assert (1, "manifest-sha1.txt") in docs and (2, "metadata/depositor-info/agreements.xml") in docs
     assert (2, "metadata/dataset.xml") not in docs
     m = scans.scan_uri_mapping(spark, corpus).collect()
@@ -188,7 +235,9 @@ def _settings(spark, skip_payload):
     rows = [(1, "SUBMITTED", "urn:nbn:nl:ui:13-1", "10.17026/x-1", False, "EASY", True, skip_payload, None,
              dt.datetime(2018, 1, 1), "Deposit one", "OPEN_ACCESS"),
             (2, "DRAFT", "urn:nbn:nl:ui:13-2", None, False, "EASY", False, False, None,
-             dt.datetime(2018, 1, 2), "Deposit two", "OPEN_ACCESS")]
+             dt.datetime(2018, 1, 2), "Deposit two", "OPEN_ACCESS"),
+            (3, "DRAFT", "urn:nbn:nl:ui:13-3", "10.1/x-3", False, "EASY", False, False, None,
+             dt.datetime(2018, 1, 3), "Deposit three", "OPEN_ACCESS")]
     return spark.createDataFrame(rows, "deposit_id long, state string, urn string, doi string, other_access_doi boolean, archive string, "
                                        "include_bag_metadata boolean, skip_payload boolean, extra_description string, submission_ts timestamp_ntz, "
                                        "title string, access_category string")
@@ -208,10 +257,11 @@ def test_stage_corpus_end_to_end(spark, corpus):
     first = {r.deposit_id: (r.code, r.item) for r in first_failure(res.rejects).collect()}
     assert first[1] == ("format_not_unique", "data/a/one.txt")
     assert first[2][0] == "dataset_xml_missing"
+    assert 3 not in first and [r.deposit_id for r in res.accepted.collect()] == [3]  # an empty data directory is accepted
     # payload skipped: the dataset is staged, with its licence filled in
     inp = corpus_inputs(spark, corpus, _settings(spark, True), disc, cat)
     res = DJ.stage_datasets(inp)
-    assert [r.deposit_id for r in res.accepted.collect()] == [1]
+    assert sorted(r.deposit_id for r in res.accepted.collect()) == [1, 3]
     lic = res.licenses.first()
     assert (lic.label, lic.mime_type, lic.content) == ("cc.txt", "text/plain", "By Alice, Bob, 2017")
     docs = {r.file_name for r in DJ.documents(res).collect()}
@@ -266,7 +316,7 @@ def test_only_the_first_bag_is_staged(spark, tmp_path):
     empty_cat = spark.createDataFrame([], "uri string, file_name string, content string")
     settings = _settings(spark, False).where("deposit_id = 1").withColumn("deposit_id", F.lit(7).cast("long"))
     inp = corpus_inputs(spark, root, settings, empty_xml, empty_cat)
-    assert [r.path for r in inp.payload_files.collect()] == ["data/first.txt"]
+    assert sorted(r.path for r in inp.payload_files.collect()) == ["data", "data/first.txt"]
     assert [r.raw for r in inp.sha1_manifest_lines.collect()] == ["abc data/first.txt"]
     # no dataset.xml anywhere: an empty table, and the deposit is rejected instead of the run failing
     from bagyard.operators.aggs import first_failure

@@ -132,6 +132,7 @@ NOT_KNOWN = "NOT KNOWN"
 EXTRA_DESCRIPTION_SCHEME = None
 
 # reject messages (text written before / after the offending value)
+MSG_MISSING_COLUMNS = "Missing columns: "
 MSG_INVALID_STATE = "Not a valid state: "
 MSG_URI_NOT_IN_BAG = "The fileUris map must reference a subset of all files in the bag. Not found in bag: "
 MSG_NO_DATA_DIR = "Bag doesn't contain data directory."

@@ -22,6 +22,7 @@ from bagyard.functions.text import fedora_object
 from bagyard.operators import checks, joins
 from bagyard.plans import documents as D
 from bagyard.session import cut_lineage
+from bagyard.sources import scans
 
 REQ_REJECT_SCHEMA = "request_id bigint, code string"
 
@@ -32,6 +33,7 @@ class ItemResult:
     rejects: DataFrame  # (request_id, code)
     files: DataFrame  # file SDO rows of accepted requests
     folders: DataFrame  # ancestor folder SDOs (N09)
+    file_rejects: DataFrame | None = None  # (file_id, code, message) of request files that were not read
 
 
 def prepare_requests(raw: DataFrame) -> DataFrame:
@@ -110,6 +112,17 @@ def stage_items(raw_requests: DataFrame, folder_catalog: DataFrame, objects: Dat
     return ItemResult(requests=r.drop("codes"), rejects=rej, files=files, folders=folders)
 
 
+def stage_request_files(spark, csv: str | list[str], folder_catalog: DataFrame, objects: DataFrame, only_missing: bool = False, id_column: str | None = None) -> ItemResult:
+    """N11 from request files: the header audit (U03) decides per file, then the requests of the accepted files are staged.
+
+    A file that lacks a required column is rejected as a whole, with the message of the command; the others go on."""
+    requests, files = scans.scan_request_batch(spark, csv, id_column)
+    res = stage_items(requests, folder_catalog, objects, only_missing)
+    missing = F.concat(F.lit(K.MSG_MISSING_COLUMNS), F.array_join(F.transform("missing", F.upper), ", "))
+    res.file_rejects = files.where("NOT accepted").select("file_id", F.lit("missing_columns").alias("code"), missing.alias("message"))
+    return res
+
+
 def testdata_items(spark, sf_dir: str, only_missing: bool = False) -> ItemResult:
     from bagyard.sources import testdata as T
 

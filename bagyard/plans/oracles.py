@@ -398,9 +398,7 @@ FROM deposits dp""",
   CASE WHEN a.is_valid THEN fs.email END AS email
 FROM agreements a LEFT JOIN fs USING (deposit_id)""",
         "agreements", "agreement_signers"),
-    "S09_scan_item_requests": with_bindings(
-        "SELECT path_in_dataset, format, datastream_location, size, file_location, dataset_id, accessible_to, visible_to, creator_role, owner_id FROM item_requests",
-        "item_requests"),
+    "S09_scan_item_requests": with_bindings("SELECT * FROM item_requests WHERE request_id % 20 <> 0", "item_requests"),
     "S07_scan_messages": with_bindings(
         f"SELECT deposit_id, text, CASE WHEN text IS NULL OR {BLANK('text')} THEN '' ELSE replace(replace(text, '<', '&lt;'), '>', '&gt;') END AS message FROM messages",
         "messages"),
@@ -614,6 +612,16 @@ FROM nl LEFT JOIN nc USING (deposit_id)""",
 WHERE r.col NOT IN (SELECT col FROM hc WHERE hc.file_id = f.file_id)
 UNION ALL SELECT DISTINCT file_id, col, 'ignored' FROM hc WHERE col NOT IN (SELECT col FROM req)""",
         "header_columns"),
+    "U03_request_files": """
+WITH o AS (SELECT ['path-in-dataset', 'format', 'datastream-location', 'size', 'file-location', 'dataset-id', 'accessible-to', 'visible-to', 'creator-role', 'owner-id'] AS n),
+f AS (
+  SELECT 0 AS kind, list_concat(n, ['my, comment', 'request-id']) AS h, '' AS missing, 'my, comment' AS ignored FROM o
+  UNION ALL SELECT 1, list_concat(['request-id'], list_reverse(n)), '', '' FROM o
+  UNION ALL SELECT 2, list_concat(n[5:], n[:4], ['request-id']), '', '' FROM o
+  UNION ALL SELECT 3, list_concat(['request-id'], n[:9]), 'owner-id', '' FROM o)
+SELECT CAST(kind AS INTEGER) AS kind, array_to_string(h, ',') AS signature, CAST(len(h) AS INTEGER) AS n_columns, missing, ignored, missing = '' AS accepted
+FROM f WHERE kind IN (SELECT CASE WHEN event_id % 20 = 0 THEN 3 ELSE event_id % 3 END FROM events)
+""",
     "U04_all_sdos": _with(
         f"items AS ({PAYLOAD_ITEMS}), entries AS ({PAYLOAD_ENTRIES})",
         f"""SELECT deposit_id, '{K.DATASET_SDO}' AS sdo_name, 'dataset' AS kind FROM deposits
@@ -711,6 +719,11 @@ UNION ALL SELECT deposit_id, {SDO('dataset_path')}, 'file',
   CASE WHEN uri IS NULL THEN 'M' ELSE 'R' END, coalesce(title, {NAME('dataset_path')}) FROM afiles""",
         *N10_BINDINGS),
     "N11_item_request_job": _with(ITEM_CTES, "SELECT * FROM ifiles", *ITEM_BINDINGS),
+    "N11_item_request_files": _with(
+        ITEM_CTES.replace("FROM item_requests\n", "FROM item_requests WHERE request_id % 20 <> 0\n", 1).replace("WHERE request_id % 20 <> 0\nWHERE", "WHERE request_id % 20 <> 0 AND", 1),
+        """SELECT *, NULL AS set_rejected FROM ifiles
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'missing_columns: Missing columns: OWNER-ID' WHERE EXISTS (SELECT 1 FROM events WHERE event_id % 20 = 0)""",
+        *ITEM_BINDINGS),
     "R01_arrival_staging": _with(ITEM_CTES, "SELECT * FROM ifiles", *ITEM_BINDINGS),
 }
 ORACLES["R01_deposit_arrival"] = ORACLES["N10_staging_job"]

@@ -165,20 +165,17 @@ def s08(s, d):
     return scans.parse_uri_mapping(T.uri_lines(s, d))
 
 
-@q("S09_scan_item_requests")
-def s09(s, d):
-    """Requests written as RFC-4180 CSV (mixed-case headers, one extra column)
-    to the shared checkpoint folder by Spark, then scanned back."""
-    import uuid
+def _request_files(s, d) -> str:
+    """Request files of four headers, written by Spark to the shared checkpoint folder; a glob over all of them."""
+    path = _scratch(s, "requests")
+    T.write_request_files(s, d, path)
+    return f"{path}/*"
 
-    from bagyard.session import checkpoint_dir
 
-    reqs = T.item_requests(s, d)
-    cols = [F.col(c).alias(opt.upper() if i % 2 == 0 else opt) for i, (c, opt) in enumerate(zip(checks.REQUEST_COLS, K.REQUEST_OPTIONS))]
-    path = f"{checkpoint_dir(s).rstrip('/')}/s09-{uuid.uuid4().hex}"
-    (reqs.select(*cols, F.lit("ignored").alias("Comment")).write.option("header", "true")
-     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
-    return scans.scan_item_requests(s, path).drop("request_id")
+@q("S09_scan_item_requests")
+def s09(s, d):
+    """The requests of all files that have every required column, whatever their column order."""
+    return scans.scan_request_batch(s, _request_files(s, d), "request-id")[0]
 
 
 @q("S10_scan_folder_catalog")
@@ -533,6 +530,14 @@ def u03(s, d):
     return sets.header_audit(T.header_columns(s, d))
 
 
+@q("U03_request_files")
+def u03f(s, d):
+    """The audit of request files on their own headers: what each kind of file lacks and what is ignored."""
+    files = scans.scan_request_batch(s, _request_files(s, d), "request-id")[1]
+    kind = F.regexp_extract("file_id", "/kind=([0-9]+)/", 1).cast("int").alias("kind")
+    return files.select(kind, "signature", "n_columns", F.array_join("missing", "|").alias("missing"), F.array_join("ignored", "|").alias("ignored"), "accepted").distinct()
+
+
 @q("U04_all_sdos")
 def u04(s, d):
     items = _payload_items(s, d)
@@ -722,6 +727,14 @@ def n11(s, d):
     return item_files(IJ.testdata_items(s, d))
 
 
+@q("N11_item_request_files")
+def n11f(s, d):
+    """N11 from files of three column orders; a fourth kind of file lacks a column and is rejected whole."""
+    it = IJ.stage_request_files(s, _request_files(s, d), T.folder_catalog(s, d), T.object_catalog(s, d), id_column="request-id")
+    rejected = it.file_rejects.select(F.concat_ws(": ", "code", "message").alias("set_rejected")).distinct()
+    return item_files(it).unionByName(rejected, allowMissingColumns=True)
+
+
 def item_files(it: IJ.ItemResult) -> DataFrame:
     return it.files.select("request_id", "dataset_id", "sdo_name", "control_group", "ds_location", "mime_type", "size",
                            "parent_kind", "parent_object", "accessible_to", "visible_to", "creator_role", "owner_id")

@@ -27,6 +27,7 @@ from pyspark.sql import types as Ty
 
 from bagyard import constants as K
 from bagyard.functions.text import jtrim
+from bagyard.session import cut_lineage
 from bagyard.sources import listing as L
 
 
@@ -370,45 +371,85 @@ def scan_uri_mapping(spark: SparkSession, root: str, file_name: str = "uri-mappi
 
 
 # ------------------------------------------------------------------ S09
-def scan_item_requests(spark: SparkSession, csv_path: str) -> DataFrame:
-    """RFC-4180 request CSV (multi-line cells, ``""`` escapes), header
-    matched case-insensitively; unknown columns ignored; empty cells ''.
+HEADER_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # a comma outside quotes
 
-    Cells may hold line breaks, so a file is parsed by one task (``multiLine``);
-    the unit of parallelism is the file — a large batch should come as many
-    request files, which are read in parallel."""
-    df = (
-        spark.read.option("header", "true")
-        .option("multiLine", "true")
-        .option("escape", '"')
-        .option("quote", '"')
-        .option("mode", "PERMISSIVE")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .csv(csv_path)
-    )
-    from bagyard import constants as K
-
-    lower = {c.lower(): c for c in df.columns}
-    cols = []
-    for opt in K.REQUEST_OPTIONS:
-        name = opt.replace("-", "_")
-        src = lower.get(opt)
-        cols.append((F.coalesce(F.col(f"`{src}`"), F.lit("")) if src else F.lit("")).alias(name))
-    return df.select(F.monotonically_increasing_id().alias("request_id"), *cols)
 
-
-def scan_request_headers(spark: SparkSession, csv_glob: str) -> DataFrame:
+def scan_request_headers(spark: SparkSession, csv: str | list[str]) -> DataFrame:
     """Header cells of many request CSVs as (file_id, col_pos, column) for U03.
     Only the first split of each file is considered, and the first line is
     its smallest in-file order key (a partial aggregate, no whole-file read)."""
-    lines = spark.read.text(csv_glob).select(
+    lines = spark.read.text(csv).select(
         F.col("_metadata.file_path").alias("file_id"), _line_order().alias("o"), F.col("value")
     ).where(F.col("o.block") == 0)
     first = lines.groupBy("file_id").agg(F.min_by("value", "o").alias("header"))
-    return first.select("file_id", F.posexplode(F.split(jtrim(F.col("header")), ",")).alias("col_pos", "column")).select(
-        "file_id", "col_pos", F.regexp_replace(jtrim(F.col("column")), r'^"|"$', "").alias("column")
+    cells = F.posexplode(F.split(jtrim(F.regexp_replace("header", "^\ufeff", "")), HEADER_COMMA))
+    return first.select("file_id", cells.alias("col_pos", "column")).select(
+        "file_id", "col_pos", F.replace(F.regexp_replace(jtrim(F.col("column")), r'^"|"$', ""), F.lit('""'), F.lit('"')).alias("column")
+    )
+
+
+def header_signatures(headers: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """Files grouped by what their header says: (file_id, signature, n_columns, positions, missing, ignored).
+
+    ``signature`` is the lower-cased column list; ``positions`` has, for each required
+    column in order, its first place in the file (-1 if it lacks it), ``missing`` and
+    ``ignored`` are U03's findings.  One aggregate over the few header cells of each file."""
+    req = [r.lower() for r in (required or K.REQUEST_OPTIONS)]
+    cell = F.lower("column")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("col_pos", cell.alias("c")))), lambda x: x["c"])
+    files = headers.groupBy("file_id").agg(ordered.alias("cells"))
+    positions = F.array(*[F.array_position("cells", r).cast("int") - 1 for r in req])
+    names = F.array(*[F.lit(r) for r in req])
+    return files.select(
+        "file_id",
+        F.array_join("cells", ",").alias("signature"),
+        F.size("cells").alias("n_columns"),
+        positions.alias("positions"),
+        F.array_except(names, F.col("cells")).alias("missing"),
+        F.array_except(F.col("cells"), names).alias("ignored"),
+    )
+
+
+def scan_request_batch(spark: SparkSession, csv: str | list[str], id_column: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S09 + U03 over a batch of RFC-4180 request CSVs, each with a column order of its own.
+
+    Returns ``(requests, files)``.  ``files`` has one row per file: its signature, the
+    missing and the ignored columns, and ``accepted`` (no required column is missing).
+    ``requests`` has the rows of the accepted files, every cell by its own file's header,
+    matched case-insensitively; unknown columns are ignored and empty cells are ''.
+
+    All files are read in one scan whose columns are places, not names, so any number of
+    signatures costs one pass: a row picks its cells by the positions of its file's
+    signature (one small row per file).  Each file's header line is skipped by the reader.
+    Cells may hold line breaks, so a file is parsed by one task (``multiLine``); the unit
+    of parallelism is the file.  ``id_column`` names a further column that identifies a
+    row in the outcome log; without one, rows are numbered."""
+    options = K.REQUEST_OPTIONS + ([id_column] if id_column else [])
+    found = header_signatures(scan_request_headers(spark, csv), options)
+    missing = F.array_except("missing", F.array(F.lit(id_column))) if id_column else F.col("missing")
+    files = cut_lineage(found.withColumn("missing", missing).withColumn("accepted", F.size("missing") == 0), "request_files")
+    width = files.agg(F.max("n_columns")).first()[0]
+    names = [o.replace("-", "_") for o in K.REQUEST_OPTIONS]
+    if not width:  # no file with a header
+        return spark.createDataFrame([], "request_id bigint, " + ", ".join(f"{n} string" for n in names)), files
+    places = [f"c{i}" for i in range(width)]
+    rows = (
+        spark.read.schema(", ".join(f"{c} string" for c in places))
+        .option("header", "true").option("enforceSchema", "true").option("multiLine", "true")
+        .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE")
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+        .csv(csv)
     )
+    rows = rows.select(F.col("_metadata.file_path").alias("file_id"), F.array(*places).alias("cells"))
+    rows = rows.join(files.where("accepted").select("file_id", "positions"), "file_id")
+    cell = lambda i: F.coalesce(F.get("cells", F.get("positions", F.lit(i))), F.lit(""))
+    number = cell(len(names)).try_cast("bigint") if id_column else F.monotonically_increasing_id()
+    return rows.select(number.alias("request_id"), *[cell(i).alias(n) for i, n in enumerate(names)]), files
+
+
+def scan_item_requests(spark: SparkSession, csv_path: str | list[str]) -> DataFrame:
+    """The requests of the accepted files of a batch."""
+    return scan_request_batch(spark, csv_path)[0]
 
 
 # ------------------------------------------------------------------ S10, S13

@@ -461,6 +461,24 @@ def item_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_request_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The item requests as RFC-4180 CSV files below ``path/kind=<k>``, with their number in a column ``Request-Id``:
+    kind 0 in the order of the options in mixed case with a column that no option knows, kind 1 backwards,
+    kind 2 rotated and in upper case, and kind 3 (every twentieth request) without ``owner-id``."""
+    reqs = item_requests(spark, sf_dir).withColumn("kind", F.when(F.col("request_id") % 20 == 0, 3).otherwise(F.col("request_id") % 3))
+    cells = [(F.col(o.replace("-", "_")), o) for o in K.REQUEST_OPTIONS]
+    number = (F.col("request_id"), "Request-Id")
+    orders = [
+        [(c, o.upper() if i % 2 == 0 else o) for i, (c, o) in enumerate(cells)] + [(F.lit('a "b", c'), "My, comment"), number],
+        [number, *cells[::-1]],
+        [(c, o.upper()) for c, o in cells[4:] + cells[:4]] + [number],
+        [number, *cells[:-1]],
+    ]
+    for kind, columns in enumerate(orders):
+        rows = reqs.where(F.col("kind") == kind).select(*[c.alias(o) for c, o in columns])
+        rows.write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(f"{path}/kind={kind}")
+
+
 def folder_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing folders: parents (or grand-parents) of every third request path."""
     ev = table(spark, sf_dir, "events").where(F.col("event_id") % 3 == 0)

@@ -194,17 +194,41 @@ def test_scan_bag_documents_and_uri_mapping(spark, corpus, listing):
     assert [(r.deposit_id, r.path, r.uri) for r in m] == [(1, "data/two.bin", "http://store/two")]
 
 
-def test_scan_item_requests_csv(spark, tmp_path):
-    p = tmp_path / "req.csv"
-    p.write_text('DATASET-ID,Path-In-Dataset,format,size,file-location,comment\n'
-                 'easy-dataset:1,"a/b,c.txt",text/plain,12,/x/y,"multi\nline"\n'
-                 ',,,,,\n')
-    df = scans.scan_item_requests(spark, str(p))
-    rows = df.collect()
-    assert rows[0].dataset_id == "easy-dataset:1" and rows[0].path_in_dataset == "a/b,c.txt" and rows[0].accessible_to == ""
-    assert "comment" not in df.columns
-    heads = scans.scan_request_headers(spark, str(p)).collect()
-    assert [h.column for h in sorted(heads, key=lambda h: h.col_pos)][:2] == ["DATASET-ID", "Path-In-Dataset"]
+FULL = "dataset-id,path-in-dataset,format,size,file-location,datastream-location,accessible-to,visible-to,creator-role,owner-id"
+
+
+def test_scan_request_batch(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(FULL.upper() + ',"a ""note"", or two"\n'
+                                    'easy-dataset:1,"a/b,c.txt",text/plain,12,/x/y,,,,,u1,"multi\nline"\n'
+                                    ',,,,,,,,,,\n'
+                                    'easy-dataset:1,short\n')  # a row with few cells
+    (tmp_path / "b.csv").write_text(",".join(FULL.split(",")[::-1]) + "\nu2,,,,,,7,t,p2,easy-dataset:2\n" + ",".join(FULL.split(",")[::-1]) + "\n")  # a row that equals its header
+    (tmp_path / "c.csv").write_text("size," + FULL + "\n1,easy-dataset:3,p3,t,2,,,,,,u3\n")  # a column twice: the first counts
+    (tmp_path / "d.csv").write_text("dataset-id,Path-In-Dataset,format,size,file-location,comment\neasy-dataset:9,x,t,1,/x,\n")  # lacks five columns
+    (tmp_path / "e.csv").write_text("")  # no header at all
+    rows, files = scans.scan_request_batch(spark, str(tmp_path / "*.csv"))
+    got = sorted((r.dataset_id, r.path_in_dataset, r.size, r.file_location, r.owner_id) for r in rows.collect())
+    assert got == [("", "", "", "", ""), ("dataset-id", "path-in-dataset", "size", "file-location", "owner-id"), ("easy-dataset:1", "a/b,c.txt", "12", "/x/y", "u1"),
+                   ("easy-dataset:1", "short", "", "", ""), ("easy-dataset:2", "p2", "7", "", "u2"), ("easy-dataset:3", "p3", "1", "", "u3")]
+    assert "comment" not in rows.columns
+    audit = {r.file_id[-5]: (r.accepted, r.missing, r.ignored) for r in files.collect()}
+    assert audit["a"] == (True, [], ['a "note", or two']) and audit["b"] == audit["c"] == (True, [], [])
+    assert audit["d"] == (False, ["datastream-location", "accessible-to", "visible-to", "creator-role", "owner-id"], ["comment"]) and "e" not in audit
+    from bagyard.operators import sets
+
+    heads = scans.scan_request_headers(spark, str(tmp_path / "*.csv"))
+    audited = {(r.file_id[-5], r.column, r.kind) for r in sets.header_audit(heads).collect()}  # U03 says the same
+    assert audited == {(f, c, k) for f, (_, m, i) in audit.items() for k, cs in (("missing", m), ("ignored", i)) for c in cs}
+
+
+def test_request_batch_reads_files_once(spark, tmp_path):
+    """Any number of column orders is one CSV scan."""
+    for i in range(4):
+        cols = FULL.split(",")[i:] + FULL.split(",")[:i]
+        (tmp_path / f"{i}.csv").write_text(",".join(cols) + "\n" + ",".join(cols) + "\n")
+    rows, _ = scans.scan_request_batch(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan csv", plan)) == 1 and {r.owner_id for r in rows.collect()} == {"owner-id"} and rows.count() == 4
 
 
 def test_license_catalog(spark, tmp_path):
@@ -286,10 +310,12 @@ def test_item_requests_csv_end_to_end(spark, tmp_path):
         "easy-dataset:9,e.txt,text/plain,12,/in/e.txt,,,,,u1,x\n"               # unknown dataset
         "easy-dataset:1,f.txt,text/plain,13,/in/f.txt,http://files/f,,,,u1,x\n"  # location and file
         ",,,,,,,,,,only a note\n")                                               # empty row: dropped
-    reqs = scans.scan_item_requests(spark, str(p))
+    (tmp_path / "broken.csv").write_text("dataset-id,format\neasy-dataset:1,x\n")
     cat = spark.createDataFrame([("f:a", "a", "easy-dataset:1"), ("f:ab", "a/b/", "easy-dataset:1")], "pid string, path string, dataset_sid string")
     objs = spark.createDataFrame([("easy-dataset:1",)], "pid string")
-    res = IJ.stage_items(reqs, cat, objs)
+    res = IJ.stage_request_files(spark, [str(p), str(tmp_path / "broken.csv")], cat, objs)
+    assert [(r.file_id.split("/")[-1], r.code, r.message) for r in res.file_rejects.collect()] == [
+        ("broken.csv", "missing_columns", "Missing columns: PATH-IN-DATASET, DATASTREAM-LOCATION, SIZE, FILE-LOCATION, ACCESSIBLE-TO, VISIBLE-TO, CREATOR-ROLE, OWNER-ID")]
     files = {r.dataset_path: r for r in res.files.collect()}
     assert set(files) == {"a/b/c.txt", "a/x/d.txt"}
     assert (files["a/b/c.txt"].control_group, files["a/b/c.txt"].parent_kind, files["a/b/c.txt"].parent_object) == ("M", "object", "info:fedora/f:ab")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bagyard.llm.textbytes import mix
 from bagyard.session import checkpoint_dir, cut_lineage
 
-__all__ = ["bloom", "cut_lineage", "in_bloom", "rank_within", "running", "scratch_path", "ship", "table", "tokenizer_file"]
+__all__ = ["apart", "bloom", "cut_lineage", "in_bloom", "one_row_each", "rank_within", "running", "scratch_path", "ship", "table", "tokenizer_file"]
 
 
 def ship(spark: SparkSession) -> None:
@@ -40,6 +40,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
 
 
+def apart(docs: DataFrame, used: Sequence[str]) -> DataFrame:
+    """``docs`` with all but the ``used`` columns under names that no operator uses; ``toDF(*docs.columns)`` undoes it."""
+    return docs.toDF(*[c if c in used else f"extra {i}" for i, c in enumerate(docs.columns)])
+
+
+def one_row_each(rows: DataFrame, *keys: Column) -> DataFrame:
+    """The first row of each key by all its columns; map tasks send one row per key."""
+    first = W.partitionBy(*keys).orderBy(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 

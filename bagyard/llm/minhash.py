@@ -25,9 +25,9 @@ Sets are made again from the text for the classes that have candidates; a Bloom
 filter of fixed size keeps the others out at the scan.
 
 Null texts and texts without words have an empty set and link with nothing.
-Rows that repeat an id are rows of their own.  A row with a null id takes part in
-its class, but a component is named by the smallest id that is not null; without
-one it is null and kept.  Classes are told apart by 64-bit hashes of the set.
+Rows that repeat an id are rows of their own.  A row with a null id takes part and
+links others like any row; a component is named by the smallest id that is not null,
+without one it is null and its rows are kept.  Classes are told apart by 64-bit hashes of the set.
 """
 
 from __future__ import annotations
@@ -37,13 +37,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bagyard.llm import textbytes as B
 from bagyard.llm.components import components
-from bagyard.llm.frames import bloom, cut_lineage, in_bloom
+from bagyard.llm.frames import apart, bloom, cut_lineage, in_bloom, one_row_each
 from bagyard.llm.shingles import shingle_sets
 
 SYMBOLS, CHUNKS = 64, 16
@@ -159,14 +159,19 @@ def index_keys(classes: DataFrame) -> DataFrame:
     return classes.select("cls", "sig").mapInArrow(run, "key long, slot byte, cls long")
 
 
+def rep_key(doc_id: Column, text_hash: Column) -> Column:
+    """One long for a row, null ids included: tells the representative's row at the scan."""
+    return F.xxhash64(doc_id, text_hash)
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, k: int = 5) -> DataFrame:
-    """(cls, members) of the classes of ``wanted`` (cls, rep), made from the text of their representative; members are sorted 64-bit hashes."""
-    shared = bloom(wanted, "rep")
+    """(cls, members) of the classes of ``wanted`` (cls, rep_key), made from the text of their representative; members are sorted 64-bit hashes."""
+    shared = bloom(wanted, "rep_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            keep = in_bloom(bits, batch.column("doc_id").fill_null(0).to_numpy())
+            keep = in_bloom(bits, batch.column("rep_key").to_numpy())
             chosen = batch.filter(pa.array(keep))
             data, offsets = B.text_bytes(chosen.column("text"))
             for lo, hi, part, offs in B.slices(data, offsets):
@@ -176,7 +181,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, k: int = 5) -> DataFrame:
                     sets = [members[first[i] : first[i + 1]].tobytes() for i in full]
                     yield pa.RecordBatch.from_arrays([pa.array(class_hashes(members, first, full)), pa.array(sets, pa.binary())], ["cls", "members"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "cls long, members binary")
+    key = rep_key(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    rows = docs.select(key.alias("rep_key"), "text").mapInArrow(run, "cls long, members binary")
     return rows.join(wanted.select("cls"), "cls").groupBy("cls").agg(F.first("members").alias("members"))
 
 
@@ -187,13 +193,13 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: in
     needs it: among classes with many pairs to each other a set travels at most as often as the grid has rows.
     The grid grows with the sets, so that a cell holds about ``CELL_BYTES``."""
     pairs = cut_lineage(pairs, "pairs")
-    wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls").select("cls", "rep", "n_shingles"), "wanted")
+    wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls").select("cls", "rep_key", "n_shingles"), "wanted")
     size = 8 * (wanted.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0)
     side = max(4, -(-2 * size // CELL_BYTES))
     place = lambda c, seed: F.pmod(F.xxhash64(F.lit(seed), c), F.lit(side))
     cells = pairs.withColumn("cell", place("a", 1) * side + place("b", 2))
     needs = cells.select((F.col("cell") + 0).alias("place"), F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = needs.join(full_sets(docs, wanted.select("cls", "rep")), "cls")
+    sets = needs.join(full_sets(docs, wanted.select("cls", "rep_key")), "cls")
 
     def compare(found: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         by = {c: np.frombuffer(m, np.uint64) for c, m in zip(held["cls"], held["members"], strict=True)}
@@ -301,12 +307,14 @@ def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool, percent:
     return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, kept) of every row; text_hash is xxhash64 of the text."""
+def grouped(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component, component_id) of every row; ``component`` is a number of its own, null for empty sets."""
     rows = cut_lineage(describe(docs), "signatures")
-    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
-    classes = cut_lineage(classes, "classes")
-    keys = index_keys(classes.where("rep IS NOT NULL"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(first, F.max("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
+    key = rep_key(F.col("first.doc_id"), F.col("first.text_hash"))
+    classes = cut_lineage(classes.select("cls", F.col("first.doc_id").alias("rep"), key.alias("rep_key"), "n_shingles", "sig", "sketch"), "classes")
+    keys = index_keys(classes)
     heads = keys.groupBy("key").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = cut_lineage(keys.join(heads, "key"), "members")
     stars = members.where("cls <> hub").groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("shared"))
@@ -323,13 +331,29 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     named = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     named = cut_lineage(named, "named")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(smallest, "component").select("cls", "component_id")
+    of_class = named.join(smallest, "component").select("cls", "component", "component_id")
     out = rows.select("doc_id", "text_hash", "n_shingles", "cls").join(of_class, "cls", "left")
     out = out.withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+    return out.select("doc_id", "text_hash", "n_shingles", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every row; text_hash is xxhash64 of the text."""
+    out = grouped(docs, percent)
     return out.select("doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """``docs`` without the rows that are not kept: of each component the rows of the smallest id stay."""
-    dropped = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")), "left_anti")
+    """``docs`` with one row of each component, and all rows without words.
+
+    The row of the smallest id stays (a null id comes last), of rows that repeat it
+    the one with the smallest text hash, of equal texts the first by its other columns."""
+    mine = apart(docs, ("doc_id", "text"))
+    found = grouped(mine, percent).where("component IS NOT NULL").groupBy("doc_id", "text_hash", "component").agg(F.count(F.lit(1)).alias("n"))
+    found = cut_lineage(found.withColumn("place", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")), "places")
+    best = found.groupBy("component").agg(F.min("place").alias("best"))
+    told = found.join(best, "component").withColumn("stays", F.col("place") == F.col("best"))
+    told = cut_lineage(told.where("n > 1 OR NOT stays").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), "stays"), "dropped")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
+    repeats = one_row_each(mine.join(told.where("stays"), same, "left_semi"), F.col("doc_id"), F.xxhash64("text"))
+    return mine.join(told, same, "left_anti").unionByName(repeats).toDF(*docs.columns)

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bagyard.llm.frames import cut_lineage, rank_within, running
+from bagyard.llm.frames import apart, cut_lineage, one_row_each, rank_within, running
 
 WORD = r"[^\x20\x09-\x0D]+"
 DP_WORDS = 1 << 16
@@ -167,8 +167,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 11) -> DataFrame:
     """``docs`` with every row as often as the mix takes it, rows without words left out.
 
-    Rows that repeat an id and a text share their copies out evenly, rounded up."""
-    copies = mix(docs, weights, share, most, seed).groupBy("doc_id", "text_hash").agg(F.ceil(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("_copies")).where("_copies > 0")
-    copies = copies.withColumnsRenamed({"doc_id": "_id", "text_hash": "_h"})
-    out = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")))
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    Of rows that repeat an id, a text and a source, the first by its other columns stands for all: it comes as often as they do together."""
+    mine = apart(docs, ("doc_id", "text", "source"))
+    copies = mix(mine, weights, share, most, seed).groupBy("doc_id", "text_hash", "source").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_n")).where("_copies > 0")
+    copies = cut_lineage(copies.withColumnsRenamed({"doc_id": "_id", "text_hash": "_h", "source": "_source"}), "copies")
+    source = F.col("source").cast("string")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")) & source.eqNullSafe(F.col("_source"))
+    once = mine.join(copies.where("_n = 1"), same).drop("_id", "_h", "_source", "_n")
+    several = one_row_each(mine.join(copies.where("_n > 1"), same).drop("_id", "_h", "_source", "_n"), F.col("doc_id"), F.xxhash64("text"), source)
+    out = once.unionByName(several).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return out.select(*[F.col(f"`{c}`") for c in mine.columns]).toDF(*docs.columns)

@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bagyard.llm import textbytes as B
-from bagyard.llm.frames import bloom, cut_lineage, in_bloom
+from bagyard.llm.frames import apart, bloom, cut_lineage, in_bloom
 
 LEAST, GRAM, WINDOW = 50, 12, 25
 CORE = LEAST - WINDOW + 1
@@ -171,8 +171,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the cut passages taken out of ``text`` and ``n_chars`` counted anew; all rows stay."""
-    passages = repeated_passages(docs).where(F.size("cuts") > 0).select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("cuts").alias("_cuts"))
+    """``docs`` with the cut passages taken out of ``text``; all rows stay, and their other columns as they are."""
+    mine = apart(docs, ("doc_id", "text"))
+    passages = repeated_passages(mine).where(F.size("cuts") > 0).select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("cuts").alias("_cuts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,5 +191,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield out.select([c for c in out.schema.names if c != "_cuts"])
 
     same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_row"))
-    joined = docs.join(passages, same, "left").select(*docs.columns, "_cuts")
-    return joined.mapInArrow(cut, docs.schema)
+    joined = mine.join(passages, same, "left").select(*[F.col(f"`{c}`") for c in mine.columns], "_cuts")
+    return joined.mapInArrow(cut, mine.schema).toDF(*docs.columns)

@@ -218,3 +218,21 @@ def test_op13_stream_holds_open_windows_only():
     pairs = [(negatives._pack(1, 100, 0, 5, 0), 9), (negatives._pack(1, 100, 1, 4, 1), 9), (negatives._pack(1, 90, 0, None, 2), 9), (negatives._pack(1, 80, 1, 6, 3), 9), (negatives._pack(1, 79, 1, 7, 4), 9), (negatives._pack(2, 0, 0, 8, 5), 10), (negatives._pack(2, 0, 1, -3, 6), 10)]
     assert [p for p, _ in pairs] == sorted(p for p, _ in pairs)
     assert list(negatives.open_windows(iter(pairs), 2)) == [(9, 5, 1, 4, 100, 100), (9, 5, 2, 6, 100, 80), (9, None, 1, 6, 90, 80), (9, None, 2, 7, 90, 79), (10, 8, 1, -3, 0, 0)]
+
+
+def test_every_query_has_sql_or_a_brute_force_test():
+    """Queries that SQL can't express, and where they are held against brute force, an exact round trip or accuracy."""
+    import os
+
+    import __spark_entry__ as E
+    from bagyard.llm.queries import ORACLES, QUERIES
+
+    tested = {
+        "op3_suffix_array": "test_op3_brute_force", "op4_toxicity": "test_op4", "op5_source_mix": "test_op5", "op7_token_records": "test_op7",
+        "op8_best_fit_packing": "test_op8", "op9_quality": "test_op9", "op10_fingerprints": "test_op10", "pipeline": "test_stages",
+    }
+    assert set(QUERIES) | {"pipeline"} == set(ORACLES) | set(tested) and set(QUERIES) <= set(E.queries())
+    here = os.path.dirname(os.path.abspath(__file__))
+    source = "".join(open(os.path.join(here, name)).read() for name in os.listdir(here) if name.endswith(".py"))
+    for name in tested.values():
+        assert f"def {name}" in source, name

@@ -132,6 +132,7 @@ NOT_KNOWN = "NOT KNOWN"
 EXTRA_DESCRIPTION_SCHEME = None
 
 # reject messages (text written before / after the offending value)
+MSG_OWNER_MISSING = "depositor.userId is missing"
 MSG_MISSING_COLUMNS = "Missing columns: "
 MSG_INVALID_STATE = "Not a valid state: "
 MSG_URI_NOT_IN_BAG = "The fileUris map must reference a subset of all files in the bag. Not found in bag: "
@@ -173,6 +174,7 @@ NS_XSI = "http://www.w3.org/2001/XMLSchema-instance"
 
 # failure order of the dataset stage (lower = earlier)
 STAGE = {
+    "owner_missing": -1,
     "bad_uri_mapping_line": 0,
     "invalid_state": 1,
     "uri_not_in_bag": 2,

@@ -23,6 +23,11 @@ def _or_null(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit("null"))
 
 
+def owner_failure() -> Column:
+    """P18 on deposits: nothing is staged for an owner who is not known."""
+    return candidate(T.blank_to_null(F.col("owner_id")).isNull(), "owner_missing", F.lit(K.MSG_OWNER_MISSING))
+
+
 def state_failure() -> Column:
     bad = ~F.coalesce(F.col("state").isin(*K.STATES), F.lit(False))
     return candidate(bad, "invalid_state", F.concat(F.lit(K.MSG_INVALID_STATE), _or_null("state")))

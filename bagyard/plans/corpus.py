@@ -71,6 +71,12 @@ def corpus_inputs(spark: SparkSession, root: str, settings: DataFrame, disciplin
         """The files' rows, or an empty table of their schema when no deposit has the document."""
         return reader(spark, root, files=files) if files else spark.createDataFrame([], EMPTY[kind])
 
+    def contents(copies: DataFrame) -> DataFrame:
+        """What the copied bag documents hold; only their files are opened."""
+        files = copies.join(bags, "deposit_id").select("deposit_id", F.concat("bag", F.lit("/"), "source").alias("entry"))
+        paths = L.file_paths(files, root)
+        return scans.scan_contents(spark, root, paths) if paths else spark.createDataFrame([], "deposit_id bigint, name string, content binary")
+
     owners = scans.owners(scan(beside("deposit.properties"), scans.property_lines, "properties"))
     manifests = scan(inside(F.col("path").rlike(r"^manifest-[^/]+\.txt$")), scans.scan_manifest_lines, "manifests").drop("bag")
     ddm = scan(named("metadata/dataset.xml"), scans.scan_dataset_metadata, "ddm").drop("bag")
@@ -98,4 +104,5 @@ def corpus_inputs(spark: SparkSession, root: str, settings: DataFrame, disciplin
         messages=scan(named("metadata/depositor-info/message-from-depositor.txt"), scans.scan_messages, "messages").drop("bag"),
         bag_documents=scans.scan_bag_documents(listing).drop("bag"),
         bad_uri_lines=scans.bad_uri_mapping_lines(mapping),
+        bag_contents=contents,
     )

@@ -186,29 +186,45 @@ def admin_facts(datasets: DataFrame, info: DataFrame) -> DataFrame:
     )
 
 
-def workflow_tree(spark) -> DataFrame:
-    """The constant 19-node workflow tree as a static dimension."""
-    return spark.createDataFrame(K.WORKFLOW_TREE, "id string, parent string, required boolean, time_spent_writable boolean")
-
-
-def _workflow_xml() -> str:
-    children: dict[str | None, list] = {}
-    for node in K.WORKFLOW_TREE:
-        children.setdefault(node[1], []).append(node)
+WORKFLOW_SQL = """
+WITH RECURSIVE tree (id, parent, required, time_spent_writable, depth, path, place) AS (
+  SELECT id, parent, required, time_spent_writable, 0, id, lpad(CAST(nth AS STRING), 3, '0') FROM {nodes} WHERE parent IS NULL
+  UNION ALL
+  SELECT n.id, n.parent, n.required, n.time_spent_writable, t.depth + 1, concat(t.path, '>', n.id), concat(t.place, '.', lpad(CAST(n.nth AS STRING), 3, '0'))
+  FROM {nodes} n JOIN tree t ON n.parent = t.id
+)
+SELECT id, parent, required, time_spent_writable, depth, path, row_number() OVER (ORDER BY place) AS ord FROM tree
+"""
 
-    def render(node) -> str:
-        nid, _, required, writable = node
-        inner = "".join(render(c) for c in children.get(nid, []))
-        parts = [f"<id>{nid}</id>"]
-        if writable:
-            parts.append("<timeSpentWritable>true</timeSpentWritable>")
-        if required:
-            parts.append("<required>true</required>")
-        parts.append("<remarks></remarks>")
-        parts.append(f"<steps>{inner}</steps>")
-        return '<wfs:workflow>' + "".join(parts) + "</wfs:workflow>"
 
-    return "".join(render(c) for c in children.get("dataset", []))
+def workflow_tree(spark) -> DataFrame:
+    """The workflow dimension (19 rows) walked from its root: depth, path and document order of every node."""
+    rows = [(i, *node) for i, node in enumerate(K.WORKFLOW_TREE)]
+    nodes = spark.createDataFrame(rows, "nth int, id string, parent string, required boolean, time_spent_writable boolean")
+    return spark.sql(WORKFLOW_SQL, nodes=nodes)
+
+
+def workflow_steps(datasets: DataFrame) -> DataFrame:
+    """The workflow of every dataset, one row per step below the root, all still to be done."""
+    steps = [r for r in workflow_tree(datasets.sparkSession).orderBy("ord").collect() if r["depth"]]  # a constant dimension
+    row = lambda r: F.struct(*[F.lit(r[c]).alias(c) for c in ("ord", "id", "parent", "depth", "path", "required", "time_spent_writable")])
+    return datasets.select("deposit_id", F.inline(F.array(*[row(r) for r in steps])))
+
+
+def _workflow_xml(spark) -> str:
+    """The steps below the root in document order; a step closes when the next one is not below it."""
+    out, depths = [], []
+    for node in workflow_tree(spark).orderBy("ord").collect():
+        if not node["depth"]:
+            continue
+        while depths and depths[-1] >= node["depth"]:
+            out.append("</steps></wfs:workflow>")
+            depths.pop()
+        writable = "<timeSpentWritable>true</timeSpentWritable>" if node["time_spent_writable"] else ""
+        required = "<required>true</required>" if node["required"] else ""
+        out.append(f"<wfs:workflow><id>{node['id']}</id>{writable}{required}<remarks></remarks><steps>")
+        depths.append(node["depth"])
+    return "".join(out) + "</steps></wfs:workflow>" * len(depths)
 
 
 def _text(c) -> Column:
@@ -238,7 +254,7 @@ def render_amd(facts: DataFrame, remark_date: str) -> DataFrame:
         F.lit("<depositorId>"), _text(F.col("depositor_id")), F.lit("</depositorId>"), dates,
         F.lit(f'<groupIds/><damd:workflowData version="0.1"><assigneeId>{K.WORKFLOW_ASSIGNEE}</assigneeId>'
               f'<wfs:workflow xmlns:wfs="{K.NS_WORKFLOW}"><id>dataset</id><remarks>'),
-        remark, F.lit(f"</remarks><steps>{_workflow_xml()}</steps></wfs:workflow></damd:workflowData></damd:administrative-md>"),
+        remark, F.lit(f"</remarks><steps>{_workflow_xml(facts.sparkSession)}</steps></wfs:workflow></damd:workflowData></damd:administrative-md>"),
     )
     return facts.select("deposit_id", F.lit(K.DATASET_SDO).alias("sdo_name"), F.lit("AMD").alias("file_name"), content.alias("content"))
 
@@ -270,6 +286,22 @@ def render_foxml(sdos: DataFrame, label: str = "label", owner: str = "owner_id",
     return sdos.select("deposit_id", "sdo_name", F.lit("fo.xml").alias("file_name"), content.alias("content"))
 
 
+FOXML_SCHEMA = (
+    "objectProperties struct<property: array<struct<_NAME: string, _VALUE: string>>>,"
+    " datastream struct<datastreamVersion: struct<xmlContent: struct<dc: struct<title: string, type: string>>>>"
+)
+
+
+def parse_foxml(documents: DataFrame) -> DataFrame:
+    """N05 read back: state, label, owner, Dublin Core title and type of rendered object documents."""
+    options = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
+    d = documents.select("deposit_id", "sdo_name", F.from_xml("content", FOXML_SCHEMA, options).alias("d"))
+    value = lambda name: F.get(F.filter("d.objectProperties.property", lambda p: p["_NAME"].endswith(f"model#{name}")), F.lit(0))["_VALUE"]
+    dc = "d.datastream.datastreamVersion.xmlContent.dc"
+    return d.select("deposit_id", "sdo_name", value("state").alias("state"), value("label").alias("label"), value("ownerId").alias("owner_id"),
+                    F.col(f"{dc}.title").alias("title"), F.col(f"{dc}.type").alias("type"))
+
+
 # ------------------------------------------------------------------ N06 / N07
 def file_md(files: DataFrame) -> DataFrame:
     """File metadata projection."""

@@ -314,7 +314,8 @@ gfiles AS (SELECT pf.deposit_id, pf.path, pf.size, pf.is_dir, {DREL('pf.path')}
            LEFT JOIN payload_uris u ON u.deposit_id = pf.deposit_id AND u.path = pf.path
            WHERE NOT pf.is_dir),
 found AS (
-  SELECT deposit_id, NULL AS item, {_stage('invalid_state')} AS stage, 'invalid_state' AS code, 'Not a valid state: ' || coalesce(state, 'null') AS message, '' AS ord
+  SELECT deposit_id, CAST(NULL AS VARCHAR) AS item, -1 AS stage, 'owner_missing' AS code, 'depositor.userId is missing' AS message, '' AS ord FROM d WHERE {BLANK('owner_id')}
+  UNION ALL SELECT deposit_id, NULL AS item, {_stage('invalid_state')} AS stage, 'invalid_state' AS code, 'Not a valid state: ' || coalesce(state, 'null') AS message, '' AS ord
   FROM d WHERE coalesce(state NOT IN {_in(STATES)}, true)
   UNION ALL SELECT u.deposit_id, u.path, {_stage('uri_not_in_bag')}, 'uri_not_in_bag',
     'The fileUris map must reference a subset of all files in the bag. Not found in bag: ' || u.path, u.path
@@ -708,6 +709,48 @@ FROM items i JOIN deposits dp USING (deposit_id) LEFT JOIN md ON md.deposit_id =
 FROM (SELECT dataset_id, array_to_string(list_slice(parts, 1, i), '/') AS anc
       FROM (SELECT dataset_id, parts, unnest(range(1, len(parts))) AS i FROM (SELECT dataset_id, string_split(path_in_dataset, '/') AS parts FROM okreq)))""",
         *ITEM_BINDINGS),
+    "K01_staged_set": _with(
+        N10_CTES + f""", dflags AS (SELECT * FROM acc), ds AS ({DATASTREAMS}), rel AS ({RELATIONS.replace("FROM deposits", "FROM acc").replace("JOIN deposits", "JOIN acc")}),
+nds AS (SELECT deposit_id, count(*) AS n FROM ds GROUP BY deposit_id), nrel AS (SELECT deposit_id, count(*) AS n FROM rel GROUP BY deposit_id)""",
+        f"""SELECT deposit_id, '{K.DATASET_SDO}' AS sdo_name, 'dataset' AS kind, NULL AS parent_sdo, NULL AS path, nds.n AS n_datastreams, nrel.n AS n_relations
+FROM acc LEFT JOIN nds USING (deposit_id) LEFT JOIN nrel USING (deposit_id)
+UNION ALL SELECT f.deposit_id, f.sdo_name, 'folder', f.parent_sdo, f.dataset_path, c.n, 4 * c.n FROM ({FOLDERS('aentries')}) f
+  JOIN (SELECT deposit_id, sdo_name, count(*) AS n FROM ({FOLDERS('aentries')}) GROUP BY ALL) c USING (deposit_id, sdo_name)
+UNION ALL SELECT deposit_id, {SDO('dataset_path')}, 'file',
+  CASE WHEN {PARENT('dataset_path')} IS NULL THEN '{K.DATASET_SDO}' ELSE {SDO(PARENT('dataset_path'))} END, dataset_path, 2, 4 FROM afiles""",
+        *N10_BINDINGS),
+    "K02_outcome_log": _with(
+        N10_CTES,
+        """SELECT 'run-1' AS run_id, d.deposit_id, CASE WHEN r.deposit_id IS NULL THEN 'OK' ELSE 'FAILED' END AS status,
+  CASE WHEN r.deposit_id IS NULL THEN 'Completed succesfully' ELSE r.message END AS message
+FROM d LEFT JOIN (SELECT * FROM rejects QUALIFY row_number() OVER (PARTITION BY deposit_id ORDER BY stage, code, coalesce(item, ''), message) = 1) r USING (deposit_id)""",
+        *N10_BINDINGS),
+    "K03_bag_metadata_contents": with_bindings(
+        """SELECT b.deposit_id, regexp_extract(b.name, '([^/]*)$', 1) AS file_name, c.content, sha1(c.content) AS sha1, strlen(c.content) AS n_bytes
+FROM bag_documents b JOIN deposits p USING (deposit_id) JOIN bag_contents c ON c.deposit_id = b.deposit_id AND c.name = b.name
+WHERE p.include_bag_metadata AND (b.name <> 'manifest-sha1.txt' OR b.length > 0)""",
+        "bag_documents", "deposits", "bag_contents"),
+    "J09_staged_warnings": _with(
+        N10_CTES + f""", fo AS ({FOLDERS('aentries')}), it AS (SELECT deposit_id, dataset_path, sdo_name, parent_sdo FROM fo
+  UNION ALL SELECT deposit_id, dataset_path, {SDO('dataset_path')}, CASE WHEN {PARENT('dataset_path')} IS NULL THEN '{K.DATASET_SDO}' ELSE {SDO(PARENT('dataset_path'))} END FROM afiles)""",
+        f"""SELECT deposit_id, 'name_collision' AS kind, sdo_name, count(DISTINCT dataset_path) AS n FROM it GROUP BY deposit_id, sdo_name HAVING count(DISTINCT dataset_path) > 1
+UNION ALL SELECT deposit_id, 'orphan_parent', parent_sdo, count(*) FROM it WHERE parent_sdo <> '{K.DATASET_SDO}'
+  AND NOT EXISTS (SELECT 1 FROM fo WHERE fo.deposit_id = it.deposit_id AND fo.sdo_name = it.parent_sdo) GROUP BY deposit_id, parent_sdo""",
+        *N10_BINDINGS),
+    "N04_workflow_steps": _with(
+        "t(ord, id, required, time_spent_writable) AS (VALUES " + ", ".join(f"({i + 1}, {_q(n)}, {str(r).lower()}, {str(w).lower()})" for i, (n, _, r, w) in enumerate(K.WORKFLOW_TREE)) + ")",
+        """SELECT deposit_id, CAST(ord AS INTEGER) AS ord, id, regexp_extract(id, '^(.*)[.][^.]*$', 1) AS parent, CAST(len(string_split(id, '.')) - 1 AS INTEGER) AS depth,
+  array_to_string(list_transform(range(1, len(string_split(id, '.')) + 1), lambda i: array_to_string(string_split(id, '.')[1:i], '.')), '>') AS path, required, time_spent_writable
+FROM deposits, t WHERE id <> 'dataset'""",
+        "deposits"),
+    "N05_object_documents": _with(
+        N10_CTES,
+        f"""SELECT deposit_id, sdo_name, 'Active' AS state, substring(label, 1, 255) AS label, owner_id, label AS title, type FROM (
+  SELECT deposit_id, '{K.DATASET_SDO}' AS sdo_name, title AS label, CAST(NULL AS VARCHAR) AS type FROM acc
+  UNION ALL SELECT deposit_id, {SDO('dataset_path')}, coalesce(title, {NAME('dataset_path')}), mime_type FROM afiles
+  UNION ALL SELECT deposit_id, sdo_name, dataset_path, NULL FROM ({FOLDERS('aentries')}))
+JOIN (SELECT deposit_id, owner_id FROM acc) USING (deposit_id)""",
+        *N10_BINDINGS),
     "N10_staging_job": _with(
         N10_CTES,
         f"""SELECT deposit_id, '{K.DATASET_SDO}' AS sdo_name, 'dataset' AS kind, NULL AS parent_sdo, NULL AS path, NULL AS mime_type, NULL AS accessible_to,

@@ -212,6 +212,36 @@ def k03(s, d):
     )
 
 
+@q("K03_bag_metadata_contents")
+def k03c(s, d):
+    """The copied bag documents with their contents, digest and size."""
+    copies, _ = sinks.bag_metadata_documents(T.deposits(s, d), aggs.bag_flags(T.bag_documents(s, d)))
+    return sinks.bag_metadata_contents(copies, T.bag_contents(s, d)).select("deposit_id", "file_name", "content", "sha1", "n_bytes")
+
+
+@q("K01_staged_set")
+def k01(s, d):
+    """SDO, datastream and relation tables of the staged set, written, staged a second time and read back: one row per SDO."""
+    res, path = _n10(s, d), _scratch(s, "staged")
+    tables = {name: df for name, df in res.tables().items() if name in ("sdos", "datastreams", "relations")}
+    for _ in range(2):
+        sinks.write_staged_set(tables, path, T.deposits(s, d), buckets=8)
+    sdos, streams, rels = (sinks.read_staged(s, f"{path}/{name}") for name in tables)
+    count = lambda df, name: df.groupBy("deposit_id", "sdo_name").agg(F.count(F.lit(1)).alias(name))
+    keys = ["deposit_id", "sdo_name"]
+    out = sdos.join(count(streams, "n_datastreams"), keys, "left").join(count(rels, "n_relations"), keys, "left")
+    return out.select(*keys, "kind", "parent_sdo", "path", "n_datastreams", "n_relations")
+
+
+@q("K02_outcome_log")
+def k02(s, d):
+    """The outcome log of a run that was written twice, read back."""
+    res, path = _n10(s, d), _scratch(s, "log")
+    for _ in range(2):
+        sinks.write_outcome(T.deposits(s, d), res.rejects, path, "run-1")
+    return s.read.parquet(f"{path}/outcomes").select("run_id", "deposit_id", "status", "message")
+
+
 @q("K04_copy_plan")
 def k04(s, d):
     f = checks.content_kind(joins.join_external(_payload_items(s, d), T.payload_uris(s, d)))
@@ -389,6 +419,12 @@ def j09(s, d):
     return _payload_items(s, d).select("deposit_id", "path", "sdo_name", "parent_sdo")
 
 
+@q("J09_staged_warnings")
+def j09w(s, d):
+    """The constraints on the staged set: no orphan parent (J09), and the SDO names that paths share."""
+    return _n10(s, d).warnings
+
+
 @q("J10_check_dataset_exists")
 def j10(s, d):
     r = _requests(s, d).where(F.col("dataset_id") != "")
@@ -685,6 +721,17 @@ def n04(s, d):
     return D.admin_facts(T.deposits(s, d), _info(s, d))
 
 
+@q("N04_workflow_steps")
+def n04w(s, d):
+    return D.workflow_steps(T.deposits(s, d))
+
+
+@q("N05_object_documents")
+def n05(s, d):
+    """The object documents of the staged set, rendered and read back as XML."""
+    return D.parse_foxml(DJ.object_documents(_n10(s, d)))
+
+
 @q("N06_file_metadata")
 def n06(s, d):
     f = _file_items(s, d).withColumn("creator_role", F.lit(K.REQUEST_DEFAULT_CREATOR_ROLE)).join(

@@ -257,15 +257,23 @@ def scan_dataset_metadata(spark: SparkSession, root: str, files: str | list[str]
 
 # ------------------------------------------------------------------ S06
 AGREEMENTS_SCHEMA = (
-    "depositAgreement struct<signerId: array<struct<_VALUE: string, `_easy-account`: string, _email: string>>,"
-    " depositAgreementAccepted: array<string>>,"
-    " containsPrivacySensitiveData array<string>, _corrupt string"
+    "depositAgreement array<struct<signerId: array<struct<_VALUE: string, `_easy-account`: string, _email: string>>>>, _corrupt string"
 )
 
 
+def _anywhere(xml: str, name: str) -> Column:
+    """Text of the first element of this local name at any depth, the root included; null if there is none."""
+    found = f'//*[local-name()="{name}"]'
+    return F.when(F.expr(f"xpath_boolean({xml}, 'boolean({found})')"), F.expr(f"xpath_string({xml}, '({found})[1]')"))
+
+
 def parse_agreements(raw: DataFrame, xml: str = "xml") -> DataFrame:
     """S06 on a column of agreement documents: parse with a corrupt-record
-    column, so an unparseable document gives ``is_valid`` false instead of failing."""
+    column, so an unparseable document gives ``is_valid`` false instead of failing.
+
+    The acceptance and the privacy statement are sought among all descendants, the signer
+    is the first ``signerId`` of a ``depositAgreement`` that is a child of the root.  A
+    document with a document type is not valid: Spark's XML readers resolve none."""
     parsed = raw.withColumn(
         "a",
         F.from_xml(
@@ -274,16 +282,16 @@ def parse_agreements(raw: DataFrame, xml: str = "xml") -> DataFrame:
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"},
         ),
     )
-    well_formed = F.col(xml).rlike(r"(?s)^\s*(<\?xml[^>]*\?>)?\s*<")
-    valid = F.col("a").isNotNull() & F.col("a._corrupt").isNull() & well_formed
-    signer = F.when(valid, F.element_at(F.col("a.depositAgreement.signerId"), 1))
+    well_formed = F.col(xml).rlike(r"(?s)^\s*(<\?xml[^>]*\?>)?\s*<") & ~F.col(xml).contains("<!DOCTYPE")
+    valid = F.coalesce(F.col("a").isNotNull() & F.col("a._corrupt").isNull() & well_formed, F.lit(False))
+    signer = F.when(valid, F.try_element_at(F.flatten(F.transform("a.depositAgreement", lambda d: F.coalesce(d["signerId"], F.array()))), F.lit(1)))
     keep = [c for c in raw.columns if c != xml]
     return parsed.select(
         *keep,
         valid.alias("is_valid"),
         F.when(~valid, F.lit("the document is not well-formed XML")).alias("parse_error"),
-        F.when(valid, F.element_at(F.col("a.depositAgreement.depositAgreementAccepted"), 1)).alias("accepted_text"),
-        F.when(valid, F.element_at(F.col("a.containsPrivacySensitiveData"), 1)).alias("privacy_text"),
+        F.when(valid, _anywhere(xml, "depositAgreementAccepted")).alias("accepted_text"),
+        F.when(valid, _anywhere(xml, "containsPrivacySensitiveData")).alias("privacy_text"),
         F.when(signer.isNotNull(), F.coalesce(signer["_VALUE"], F.lit(""))).alias("name"),
         signer["_easy-account"].alias("account"),
         signer["_email"].alias("email"),
@@ -322,6 +330,13 @@ def scan_bag_documents(listing: DataFrame) -> DataFrame:
     return entries.join(L.bag_dirs(listing), ["deposit_id", "bag"]).select("deposit_id", "bag", F.col("path").alias("name"), F.col("size").alias("length"))
 
 
+def scan_contents(spark: SparkSession, root: str, files: list[str]) -> DataFrame:
+    """(deposit_id, name, content) of bag documents; a file that is not read as long as it is listed fails the job."""
+    df = spark.read.format("binaryFile").load(files)
+    whole = F.when(F.octet_length("content") == F.col("length"), F.col("content")).otherwise(F.raise_error(F.concat(F.lit("cut short: "), F.col("path"))).cast("binary"))
+    return df.select(_deposit_of(F.col("path"), root).alias("deposit_id"), _in_bag(F.col("path"), root).alias("name"), whole.alias("content"))
+
+
 # ------------------------------------------------------------------ S08
 URI_LINE = r"^(.*)\s+(.*)$"
 

@@ -57,7 +57,7 @@ def deposits(spark: SparkSession, sf_dir: str) -> DataFrame:
     categories = F.array(*[F.lit(c) for c, _ in K.ACCESS_CATEGORY_RIGHTS])
     return o.select(
         k.alias("deposit_id"),
-        F.concat(F.lit("user"), F.col("o_custkey")).alias("owner_id"),
+        F.when(k % 103 == 0, F.lit("  ")).when(k % 101 != 0, F.concat(F.lit("user"), F.col("o_custkey"))).alias("owner_id"),
         F.col("o_orderdate").alias("submission_ts"),
         F.when(k % 97 == 0, "UNKNOWN")
         .when(k % 89 == 0, "MAINTENANCE")
@@ -66,7 +66,7 @@ def deposits(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("DRAFT")
         .alias("state"),
         F.when(k % 53 != 0, F.concat(F.lit("urn:nbn:nl:ui:13-"), k)).alias("urn"),
-        F.when(k % 10 != 0, F.concat(F.lit("10.17026/dans-"), k)).alias("doi"),
+        F.when(k % 10 != 0, F.concat(F.lit("10.1234/set-"), k)).alias("doi"),
         (k % 4 == 1).alias("other_access_doi"),
         F.when(k % 41 == 0, "TAPE").when(k % 3 == 1, "DATAVAULT").otherwise("EASY").alias("archive"),
         (k % 4 != 0).alias("include_bag_metadata"),
@@ -97,13 +97,13 @@ def payload_files(spark: SparkSession, sf_dir: str, keys: DataFrame | None = Non
 
 
 def payload_dirs(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
-    """Directories of the payload: those of the files, two empty folders in every sixth
-    deposit, and ``data`` itself; a deposit without files has an empty ``data`` if its key is even."""
+    """Directories of the payload: those of the files, three empty folders in every sixth
+    deposit, two of them with one SDO name, and ``data`` itself; a deposit without files has an empty ``data`` if its key is even."""
     files = payload_files(spark, sf_dir, keys)
     above = files.select("deposit_id", F.explode(P.ancestor_paths(F.col("path"))).alias("path"))
     k = F.col("o_orderkey")
     own = F.concat(F.when(k % 2 == 0, _arr("data")).otherwise(_empty_str_array()),
-                   F.when(k % 6 == 0, _arr("data/empty.d", "data/empty.d/deep")).otherwise(_empty_str_array()))
+                   F.when(k % 6 == 0, _arr("data/empty.d", "data/empty.d/deep", "data/empty_d")).otherwise(_empty_str_array()))
     return above.unionByName(table(spark, sf_dir, "orders").select(k.alias("deposit_id"), F.explode(own).alias("path"))).distinct()
 
 
@@ -369,6 +369,12 @@ def bag_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.where(present).select("deposit_id", "name", length.alias("length"))
 
 
+def bag_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each bag document holds: (deposit_id, name, content)."""
+    text = F.concat("name", F.lit(" of "), "deposit_id", F.lit(" \u00e9\n"), F.repeat(F.lit("x"), (F.col("length") % 100).cast("int")))
+    return bag_documents(spark, sf_dir).select("deposit_id", "name", text.alias("content"))
+
+
 def deposit_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Children of each deposit directory (name, is_dir)."""
     o = table(spark, sf_dir, "orders")
@@ -578,12 +584,20 @@ def agreements_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", signer.alias("x")))), lambda t: t["x"]), "").alias("signers")
     )
     a = agreements(spark, sf_dir).join(signers, "deposit_id", "left")
+
+    def element(name: str, value: str) -> Column:
+        e = F.concat(F.lit(f"<{name}>"), _esc(F.col(value)), F.lit(f"</{name}>"))
+        return F.when(F.col(value).isNotNull(), F.concat(e, F.lit(f"<{name}>later</{name}>"))).otherwise(F.lit(""))
+
+    outside = F.col("deposit_id") % 2 == 0  # the same facts at the root or further down, by deposit
+    accepted, privacy = element("depositAgreementAccepted", "accepted_text"), element("containsPrivacySensitiveData", "privacy_text")
     doc = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?><agreements xmlns="http://easy.dans.knaw.nl/schemas/bag/metadata/agreements/"><depositAgreement>'),
         F.coalesce(F.col("signers"), F.lit("")),
-        F.when(F.col("accepted_text").isNotNull(), F.concat(F.lit("<depositAgreementAccepted>"), _esc(F.col("accepted_text")), F.lit("</depositAgreementAccepted>"))).otherwise(F.lit("")),
+        F.when(~outside, F.concat(F.lit("<terms><a:part xmlns:a='urn:a'>"), accepted, F.lit("</a:part></terms>"))).otherwise(F.lit("")),
         F.lit("</depositAgreement>"),
-        F.when(F.col("privacy_text").isNotNull(), F.concat(F.lit("<containsPrivacySensitiveData>"), _esc(F.col("privacy_text")), F.lit("</containsPrivacySensitiveData>"))).otherwise(F.lit("")),
+        F.when(outside, accepted).otherwise(F.lit("")),
+        F.when(outside, F.concat(F.lit("<statements><p>"), privacy, F.lit("</p></statements>"))).otherwise(privacy),
         F.lit("</agreements>"),
     )
     return a.select("deposit_id", F.when(F.col("is_valid"), doc).otherwise(F.lit("this is not xml")).alias("xml"))

@@ -1,8 +1,8 @@
-"""Stage a corpus of bag directories: write the staged documents (K01) and the
-outcome log (K02).
+"""Stage a corpus of bag directories: write the staged set (K01) and the outcome
+log (K02).
 
     python scripts/stage_corpus.py ROOT SETTINGS_PARQUET DISCIPLINES_PARQUET \\
-        LICENSES_PROPERTIES LICENSE_DIR OUT_DIR [--remark-date ISO]
+        LICENSES_PROPERTIES LICENSE_DIR OUT_DIR [--run-id ID] [--remark-date ISO]
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ def main() -> None:
     ap = argparse.ArgumentParser()
     for a in ["root", "settings", "disciplines", "license_properties", "license_dir", "out"]:
         ap.add_argument(a)
+    ap.add_argument("--run-id", default="1", help="a run that is repeated under its id replaces its log")
     ap.add_argument("--remark-date", default="1970-01-01T00:00:00.000Z")
     a = ap.parse_args()
 
@@ -33,9 +34,8 @@ def main() -> None:
     inp = corpus_inputs(spark, a.root, spark.read.parquet(a.settings), spark.read.parquet(a.disciplines),
                         scans.license_catalog(spark, a.license_properties, a.license_dir))
     res = DJ.stage_datasets(inp)
-    sinks.write_staged(DJ.documents(res, a.remark_date), f"{a.out}/staged")
-    sinks.outcome_log(inp.deposits, res.rejects).write.mode("overwrite").json(f"{a.out}/outcome")
-    sinks.write_rejects(res.rejects, f"{a.out}/rejects")
+    sinks.write_staged_set(res.tables(a.remark_date), f"{a.out}/staged", inp.deposits)
+    sinks.write_outcome(inp.deposits, res.rejects, f"{a.out}/log", a.run_id)
 
 
 if __name__ == "__main__":

@@ -1,6 +1,7 @@
 """Whole jobs: stream = batch (R01), documents render, failure order."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def test_documents_render(spark):
     cfg = docs.where((F.col("file_name") == "cfg.json") & (F.col("sdo_name") == K.DATASET_SDO)).first().content
     assert cfg.startswith('{"namespace":"easy-dataset","datastreams":[{"contentFile":"AMD"')
     amd = docs.where(F.col("file_name") == "AMD").first().content
-    assert amd.count("<wfs:workflow>") + amd.count("<wfs:workflow xmlns") == len(K.WORKFLOW_TREE)
+    assert amd.count("<wfs:workflow>") + amd.count("<wfs:workflow xmlns") == len(K.WORKFLOW_TREE) == amd.count("</wfs:workflow>")
     n_files = res.files.count()
     assert docs.where(F.col("file_name") == "EASY_FILE_METADATA").count() == n_files
 
@@ -112,6 +113,131 @@ def test_deposit_stream_equals_batch(spark):
     assert _rows(drained_deposit_stream(spark, SF)) == _rows(batch)
 
 
+def test_stored_inputs_are_pruned_and_not_shuffled(spark, tmp_path):
+    """A micro-batch reads its own buckets of all fourteen inputs and shuffles none of them to find its rows."""
+    from bagyard.sources.listing import bucket_of
+    from bagyard.streaming.arrival import DEPOSIT_KEYED, StoredInputs
+
+    inp = DJ.testdata_inputs(spark, SF)
+    stored = StoredInputs.store(inp, str(tmp_path), buckets=16)
+    some = inp.deposits.where("deposit_id IN (21, 42)")
+    mine = {r[0] for r in some.select(bucket_of(F.col("deposit_id"), 16)).collect()}
+    got = stored.of(some)
+    for name in DEPOSIT_KEYED:
+        df = getattr(got, name)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+        assert {int(n) for n in re.search(r"deposit_bucket#\d+ IN \(([\d,]+)\)", filters).group(1).split(",")} == mine, name
+        assert "Exchange hashpartitioning" not in plan and "Exchange SinglePartition" not in plan and "BroadcastExchange" in plan, name
+        want = getattr(inp, name).where("deposit_id IN (21, 42)")
+        assert _rows(df) == _rows(want), name
+
+
+def test_payload_that_arrives_late_is_seen(spark, tmp_path):
+    from dataclasses import replace
+
+    from bagyard.plans.queries import flagship
+    from bagyard.streaming.arrival import StoredInputs, run_deposit_stream
+
+    inp = DJ.testdata_inputs(spark, SF)
+    whole = flagship(DJ.stage_datasets(inp))
+    late = sorted(r[0] for r in whole.where("kind = 'file'").select("deposit_id").distinct().limit(3).collect())
+    is_late = F.col("deposit_id").isin(*late)
+    stored = StoredInputs.store(replace(inp, payload_files=inp.payload_files.where(~is_late)), f"{tmp_path}/inputs", buckets=4)
+    inp.deposits.where("deposit_id = 0").coalesce(1).write.parquet(f"{tmp_path}/arrivals")
+    run = lambda: run_deposit_stream(spark, f"{tmp_path}/arrivals", inp.deposits.schema, stored, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    run()
+    stored.append({"payload_files": inp.payload_files.where(is_late)})  # after the stream began
+    inp.deposits.where(is_late).coalesce(1).write.mode("append").parquet(f"{tmp_path}/arrivals")
+    run()
+    got = spark.read.parquet(f"{tmp_path}/out/sdos").where(is_late).drop("batch_id")
+    assert _rows(got) == _rows(whole.where(is_late))
+
+
+def test_waves_write_nothing_for_rejected_deposits(spark, monkeypatch):
+    """Every wave reads only the deposits alive; the file table holds accepted deposits only; a deposit has failures of one stage."""
+    written = {}
+    keep = DJ.cut_lineage
+
+    def spy(df, name="t"):
+        written[name] = keep(df, name)
+        return written[name]
+
+    monkeypatch.setattr(DJ, "cut_lineage", spy)
+    res = DJ.stage_datasets(DJ.testdata_inputs(spark, SF))
+    assert "files" not in written and "accepted" not in written  # rejects alone build no output
+    failed = lambda name: {r[0] for r in written[name].where("failure IS NOT NULL").select("deposit_id").collect()}
+    alive = {r[0] for r in written["wave2"].select("deposit_id").collect()}
+    assert alive == {r[0] for r in written["wave1"].select("deposit_id").collect()} - failed("wave1")
+    alive -= failed("wave2")
+    third = {r[0] for r in written["wave3"].select("deposit_id").collect()}
+    fourth = {r[0] for r in written["wave4"].select("deposit_id").collect()}
+    assert third <= alive and fourth <= alive - third
+    accepted = {r[0] for r in res.accepted.select("deposit_id").collect()}
+    assert accepted == alive - third - fourth
+    assert {r[0] for r in res.files.select("deposit_id").distinct().collect()} <= accepted and "files" in written
+    stages = res.rejects.groupBy("deposit_id").agg(F.countDistinct("stage").alias("n"), F.max("stage").alias("s"), F.count("*").alias("rows")).collect()
+    assert all(r.n == 1 and (r.s == 14 or r.rows == 1) for r in stages)
+
+
+def test_staged_set_replaces_only_its_deposits(spark, tmp_path):
+    from bagyard.sources import sinks
+
+    schema = "deposit_id long, sdo_name string, kind string"
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "deposit_id long")
+    path = str(tmp_path / "sdos")
+    read = lambda: sorted((r.deposit_id, r.sdo_name, r.kind) for r in sinks.read_staged(spark, path).collect())
+    first = spark.createDataFrame([(i, f"s{j}", "file") for i in range(1, 9) for j in range(2)], schema)
+    for _ in range(2):
+        sinks.write_staged(first, path, ids(*range(1, 9)), buckets=3)
+        assert len(read()) == 16
+    # a second run: deposit 1 changes, 2 is rejected now, 9 is new; the others stay
+    second = spark.createDataFrame([(1, "new", "file"), (9, "x", "dataset")], schema)
+    for _ in range(2):
+        sinks.write_staged(second, path, ids(1, 2, 9), buckets=3)
+        assert read() == sorted([(i, f"s{j}", "file") for i in range(3, 9) for j in range(2)] + [(1, "new", "file"), (9, "x", "dataset")])
+    # all deposits of all buckets are rejected: nothing is left, and nothing old comes back
+    sinks.write_staged(first.limit(0), path, ids(*range(1, 10)), buckets=3)
+    assert read() == []
+
+
+def test_outcome_log_of_a_replayed_run(spark, tmp_path):
+    from bagyard.sources import sinks
+
+    deposits = spark.createDataFrame([(1,), (2,)], "deposit_id long")
+    rejects = spark.createDataFrame([(1, None, 1, "invalid_state", "bad")], "deposit_id long, item string, stage int, code string, message string")
+    for run in ["a", "a", "b", "a"]:
+        sinks.write_outcome(deposits, rejects, str(tmp_path), run)
+    got = sorted((r.run_id, r.deposit_id, r.status, r.message) for r in spark.read.parquet(f"{tmp_path}/outcomes").collect())
+    assert got == [(run, i, s, m) for run in "ab" for i, s, m in [(1, "FAILED", "bad"), (2, "OK", "Completed succesfully")]]
+    assert spark.read.parquet(f"{tmp_path}/rejects").count() == 2
+
+
+def test_workflow_tree_in_document_order(spark):
+    from bagyard.plans import documents as D
+
+    rows = D.workflow_tree(spark).orderBy("ord").collect()
+    assert [r.id for r in rows] == [n[0] for n in K.WORKFLOW_TREE]  # the list is in document order
+    parents = {n[0]: n[1] for n in K.WORKFLOW_TREE}
+    for r in rows:
+        up, path = r.id, []
+        while up:
+            path.append(up)
+            up = parents[up]
+        assert (r.depth, r.path) == (len(path) - 1, ">".join(reversed(path)))
+    xml = D._workflow_xml(spark)
+    assert xml.count("<wfs:workflow>") == xml.count("</wfs:workflow>") == len(rows) - 1
+    assert "<id>dataset.sip.files.privacy</id><required>true</required><remarks></remarks><steps></steps></wfs:workflow></steps></wfs:workflow><wfs:workflow><id>dataset.sip.file-list</id>" in xml
+
+
+def test_warnings_of_the_staged_set(spark):
+    schema = "deposit_id long, dataset_path string, sdo_name string, parent_sdo string"
+    folders = spark.createDataFrame([(1, "a", "a", K.DATASET_SDO), (1, "a.b", "a_b", K.DATASET_SDO), (1, "a_b", "a_b", K.DATASET_SDO)], schema)
+    files = spark.createDataFrame([(1, "a/f", "a_f", "a"), (1, "lost/g", "lost_g", "lost"), (1, "lost/h", "lost_h", "lost"), (2, "a/f", "a_f", "a")], schema)
+    got = {tuple(r[c] for c in ("deposit_id", "kind", "sdo_name", "n")) for r in DJ.warnings(folders, files).collect()}
+    assert got == {(1, "name_collision", "a_b", 2), (1, "orphan_parent", "lost", 2), (2, "orphan_parent", "a", 1)}
+
+
 def test_quirks_q3_q4_q18(spark):
     from bagyard.operators import checks
     from bagyard.plans import documents as D

@@ -2,6 +2,7 @@
 
 import os
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,6 +187,19 @@ def test_scan_agreements_and_messages(spark, corpus):
     assert msgs == {1: "Hi <there>"}
 
 
+def test_agreements_are_searched_at_any_depth(spark):
+    docs = [
+        (1, "<agreements><a><b><n:depositAgreementAccepted xmlns:n='u'>yes</n:depositAgreementAccepted></b></a><containsPrivacySensitiveData>no</containsPrivacySensitiveData></agreements>"),
+        (2, "<containsPrivacySensitiveData>true</containsPrivacySensitiveData>"),  # the root itself
+        (3, "<x><depositAgreement><signerId email='e'>S</signerId><depositAgreementAccepted/></depositAgreement><y><signerId>other</signerId></y></x>"),
+        (4, "<x><y><depositAgreement><signerId>deep</signerId></depositAgreement></y></x>"),  # no child of the root: no signer
+        (5, "<!DOCTYPE x><x/>"), (6, "<x><unclosed></x>"), (7, ""), (8, None),
+    ]
+    got = {r.deposit_id: (r.is_valid, r.accepted_text, r.privacy_text, r.name, r.email) for r in scans.parse_agreements(spark.createDataFrame(docs, "deposit_id long, xml string")).collect()}
+    bad = (False, None, None, None, None)
+    assert got == {1: (True, "yes", "no", None, None), 2: (True, None, "true", None, None), 3: (True, "", None, "S", "e"), 4: (True, None, None, None, None), 5: bad, 6: bad, 7: bad, 8: bad}
+
+
 def test_scan_bag_documents_and_uri_mapping(spark, corpus, listing):
     docs = sorted((r.deposit_id, r.name) for r in scans.scan_bag_documents(listing).collect())
     assert (1, "manifest-sha1.txt") in docs and (2, "metadata/depositor-info/agreements.xml") in docs
@@ -243,12 +257,10 @@ def test_license_catalog(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame([(1, "s1", "cfg.json", "{}"), (2, "s2", "fo.xml", "<x/>")], "deposit_id long, sdo_name string, file_name string, content string")
     out = str(tmp_path / "staged")
-    sinks.write_staged(docs, out, buckets=4)
-    back = spark.read.parquet(out)
+    sinks.write_staged(docs, out, docs, buckets=4)
+    back = sinks.read_staged(spark, out)
     assert sorted(r.sdo_name for r in back.collect()) == ["s1", "s2"] and "deposit_bucket" in back.columns
     rej = spark.createDataFrame([(1, None, 1, "invalid_state", "bad")], "deposit_id long, item string, stage int, code string, message string")
-    sinks.write_rejects(rej, str(tmp_path / "rej"))
-    assert spark.read.json(str(tmp_path / "rej")).first().status == "FAILED"
     log = sinks.outcome_log(spark.createDataFrame([(1,), (2,)], "deposit_id long"), rej)
     assert sorted((r.deposit_id, r.status) for r in log.collect()) == [(1, "FAILED"), (2, "OK")]
 
@@ -290,6 +302,13 @@ def test_stage_corpus_end_to_end(spark, corpus):
     assert (lic.label, lic.mime_type, lic.content) == ("cc.txt", "text/plain", "By Alice, Bob, 2017")
     docs = {r.file_name for r in DJ.documents(res).collect()}
     assert {"cfg.json", "AMD", "fo.xml", "PRSQL", "ADDITIONAL_LICENSE"} <= docs
+    # the bag documents of flagged deposits are staged with what they hold
+    held = {(r.deposit_id, r.file_name): r.content for r in DJ.documents(res).where("file_name LIKE '%.xml' AND file_name <> 'fo.xml' OR file_name LIKE '%.txt'").collect()}
+    assert held == {(1, "dataset.xml"): DDM, (1, "files.xml"): FILES_XML, (1, "agreements.xml"): AGREEMENTS, (1, "message-from-depositor.txt"): "Hi <there>",
+                    (1, "manifest-sha1.txt"): "aaa  data/a/one.txt\nbbb\tdata/two.bin\n\nccc data/a/one.txt\n"}
+    # without an owner nothing is staged
+    none = DJ.stage_datasets(replace(inp, deposits=inp.deposits.withColumn("owner_id", F.lit(" "))))
+    assert {r.code for r in none.rejects.collect()} == {"owner_missing"} and none.accepted.count() == 0
     rels = {r.object for r in res.relations.collect()}
     assert {"info:fedora/d:1", "info:fedora/d:2", "urn:nbn:nl:ui:13-1"} <= rels
     # a bad line of the URI mapping fails the deposit before all else

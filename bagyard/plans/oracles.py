@@ -221,7 +221,7 @@ LOCATED = f"""SELECT r.request_id, r.dataset_id, r.path_in_dataset,
             WHERE fc.dataset_sid = r.dataset_id AND r.path_in_dataset LIKE regexp_replace(fc.path, '/$', '') || '/%'
               AND regexp_replace(fc.path, '/$', '') <> ''
             ORDER BY length(regexp_replace(fc.path, '/$', '')) DESC LIMIT 1), '') AS ancestor_path
-FROM item_requests r WHERE r.path_in_dataset <> '' AND r.dataset_id <> ''"""
+FROM item_requests r"""
 LOCATED_PID = """SELECT l.request_id, l.dataset_id, l.path_in_dataset, l.ancestor_path,
   CASE WHEN l.ancestor_path = '' THEN l.dataset_id ELSE
     (SELECT min(fc.pid) FROM folder_catalog fc WHERE fc.dataset_sid = l.dataset_id AND regexp_replace(fc.path, '/$', '') = l.ancestor_path) END AS ancestor_pid
@@ -274,7 +274,7 @@ rrej AS ({REQ_RULES.format(src='prep')}
   UNION ALL SELECT request_id, 'owner_missing' FROM prep WHERE owner_id IS NULL
   UNION ALL SELECT request_id, 'dataset_not_found' FROM prep WHERE dataset_id <> '' AND dataset_id NOT IN (SELECT pid FROM object_catalog)),
 okreq AS (SELECT * FROM prep WHERE request_id NOT IN (SELECT request_id FROM rrej)),
-located AS ({LOCATED.replace('FROM item_requests r WHERE', 'FROM okreq r WHERE')}),
+located AS ({LOCATED.replace('FROM item_requests r', 'FROM okreq r')}),
 lp AS ({LOCATED_PID}),
 ifiles AS (SELECT o.request_id, o.dataset_id, {SDO('o.path_in_dataset')} AS sdo_name,
     CASE WHEN o.file_location <> '' THEN 'M' ELSE 'R' END AS control_group,
@@ -413,15 +413,15 @@ bad AS (SELECT deposit_id, count(*) AS n FROM p WHERE NOT ok GROUP BY deposit_id
         "SELECT g.deposit_id, g.path, g.uri, CAST(coalesce(b.n, 0) AS BIGINT) AS bad_lines FROM good g LEFT JOIN bad b USING (deposit_id)",
         "uri_lines",
     ),
-    "S10_scan_folder_catalog": with_bindings("SELECT pid, path, dataset_sid, regexp_replace(path, '/$', '') AS norm_path FROM folder_catalog", "folder_catalog"),
+    "S10_scan_folder_catalog": with_bindings("SELECT pid, path, dataset_sid, regexp_replace(path, '/$', '') AS norm_path FROM all_folders", "all_folders"),
     "S11_discipline_catalog": with_bindings(
-        "SELECT regexp_extract(regexp_extract(xml, '<setSpec[^>]*>([^<]*)</setSpec>', 1), '([^:]*)$', 1) AS audience, pid FROM discipline_xml",
-        "discipline_xml"),
+        "SELECT regexp_extract(regexp_extract(xml, '<setSpec[^>]*>([^<]*)</setSpec>', 1), '([^:]*)$', 1) AS audience, pid FROM all_disciplines",
+        "all_disciplines"),
     "S12_license_catalog": with_bindings(
-        "SELECT c.uri, c.file_name, t.content FROM license_catalog c "
-        "LEFT JOIN (SELECT file_name, min(content) AS content FROM license_catalog GROUP BY file_name) t USING (file_name)",
-        "license_catalog"),
-    "S13_object_catalog": with_bindings("SELECT DISTINCT pid FROM object_catalog", "object_catalog"),
+        "SELECT c.uri, c.file_name, t.content FROM all_licenses c "
+        "LEFT JOIN (SELECT file_name, min(content) AS content FROM all_licenses GROUP BY file_name) t USING (file_name)",
+        "all_licenses"),
+    "S13_object_catalog": with_bindings("SELECT DISTINCT pid FROM all_objects", "all_objects"),
     "K03_bag_metadata_documents": _with(
         f"flags AS ({FLAGS}), dd AS (SELECT dp.deposit_id, f.* EXCLUDE (deposit_id) FROM deposits dp LEFT JOIN flags f USING (deposit_id) WHERE dp.include_bag_metadata)",
         """SELECT deposit_id, 'dataset.xml' AS file_name, CASE WHEN coalesce(has_dataset_xml, false) THEN 'copy' ELSE 'missing' END AS status FROM dd
@@ -446,7 +446,7 @@ UNION ALL SELECT deposit_id, 'message-from-depositor.txt', 'copy' FROM dd WHERE
         f"SELECT deposit_id, path, {DREL('path')} AS dataset_path, {NAME(DREL('path'))} AS name, {PARENT(DREL('path'))} AS parent_path FROM payload_files",
         "payload_files"),
     "P02_sdo_name": with_bindings(
-        f"SELECT request_id, {SDO('path_in_dataset')} AS sdo_name, replace(dataset_id, ':', '_') AS set_name FROM item_requests WHERE path_in_dataset <> ''",
+        f"SELECT request_id, {SDO('path_in_dataset')} AS sdo_name, replace(dataset_id, ':', '_') AS set_name FROM item_requests",
         "item_requests"),
     "P03_check_state": with_bindings(
         f"SELECT deposit_id, 'invalid_state' AS code, 'Not a valid state: ' || coalesce(state, 'null') AS message FROM deposits WHERE coalesce(state NOT IN {_in(STATES)}, true)",
@@ -541,7 +541,7 @@ FROM license_elements le""",
                                   "SELECT request_id, ancestor_path, ancestor_pid FROM lp", "item_requests", "folder_catalog"),
     "J09_parent_sdo": _with(f"items AS ({PAYLOAD_ITEMS})", "SELECT deposit_id, path, sdo_name, parent_sdo FROM items", "payload_files"),
     "J10_check_dataset_exists": with_bindings(
-        "SELECT request_id, dataset_id, dataset_id IN (SELECT pid FROM object_catalog) AS dataset_exists FROM item_requests WHERE dataset_id <> ''",
+        "SELECT request_id, dataset_id, dataset_id IN (SELECT pid FROM object_catalog) AS dataset_exists FROM item_requests",
         "item_requests", "object_catalog"),
     "J11_request_parent": _with(
         f"located AS ({LOCATED}), lp AS ({LOCATED_PID})",
@@ -574,7 +574,7 @@ FROM nl LEFT JOIN nc USING (deposit_id)""",
         f"flags AS ({FLAGS}), dflags AS (SELECT dp.*, f.* EXCLUDE (deposit_id) FROM deposits dp LEFT JOIN flags f USING (deposit_id)), {LIC_CTES.strip()}",
         DATASTREAMS, "deposits", "bag_documents", *LIC_BINDINGS),
     "A07_dataset_relations": _with(f"disc AS ({DISC})", RELATIONS, "deposits", "audiences", "discipline_xml"),
-    "A08_catalog": _with(f"disc AS ({DISC})", "SELECT audience, pid FROM disc", "discipline_xml"),
+    "A08_catalog": _with(f"disc AS ({DISC.replace('discipline_xml', 'all_disciplines')})", "SELECT audience, pid FROM disc", "all_disciplines"),
     "A09_collect_failures": _with(
         N10_CTES,
         "SELECT deposit_id, count(*) AS n_failures, count(DISTINCT code) AS n_codes, min(message) AS first_message FROM rejects GROUP BY deposit_id",
@@ -646,17 +646,18 @@ UNION ALL SELECT deposit_id, sdo_name, 'file' FROM items""",
     "F08_iso_timestamp": with_bindings("SELECT deposit_id, strftime(submission_ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS ts_text FROM deposits", "deposits"),
     "F09_created_year": with_bindings(f"SELECT deposit_id, pos, created, {YEAR} AS year FROM created", "created"),
     "F10_https_to_http": "SELECT page_id, regexp_replace(url, '^https:', 'http:') AS http_url FROM pages",
-    "F11_extension_mime": with_bindings(f"SELECT file_name, {MIME.format(x='file_name')} AS mime_type FROM license_catalog", "license_catalog"),
+    "F11_extension_mime": with_bindings(f"SELECT file_name, {MIME.format(x='file_name')} AS mime_type FROM all_licenses", "all_licenses"),
     "F12_template_fill": _with(LIC_CTES.strip(), "SELECT deposit_id, content FROM licenses WHERE is_uri AND mime_type IN ('text/plain', 'text/html')", *LIC_BINDINGS),
     "F13_license_kind": with_bindings(f"SELECT deposit_id, pos, xsi_type, {IS_URI} AS is_uri FROM license_elements LEFT JOIN ns_decls USING (deposit_id)",
                                       "license_elements", "ns_decls"),
-    "F14_last_segment": with_bindings("SELECT pid, regexp_extract(pid, '([^:]*)$', 1) AS segment FROM discipline_xml", "discipline_xml"),
-    "F15_relation_object": with_bindings("SELECT request_id, 'info:fedora/' || dataset_id AS subordinate_object FROM item_requests WHERE dataset_id <> ''", "item_requests"),
+    "F14_last_segment": with_bindings("SELECT pid, regexp_extract(pid, '([^:]*)$', 1) AS segment FROM all_disciplines", "all_disciplines"),
+    "F15_relation_object": with_bindings("SELECT request_id, 'info:fedora/' || dataset_id AS subordinate_object FROM item_requests", "item_requests"),
     "F16_folder_name": _with(f"entries AS ({PAYLOAD_ENTRIES})", f"SELECT deposit_id, dataset_path AS path, {NAME('dataset_path')} AS name FROM ({FOLDERS('entries')})",
                              "payload_listing"),
     "F17_ancestor_paths": with_bindings(
-        """SELECT request_id, CAST(i - 1 AS INTEGER) AS depth, array_to_string(list_slice(parts, 1, i), '/') AS ancestor
-FROM (SELECT request_id, parts, unnest(range(1, len(parts))) AS i FROM (SELECT request_id, string_split(path_in_dataset, '/') AS parts FROM item_requests WHERE path_in_dataset <> ''))""",
+        """SELECT r.request_id, depth, ancestor FROM item_requests r LEFT JOIN (
+  SELECT request_id, CAST(i - 1 AS INTEGER) AS depth, array_to_string(list_slice(parts, 1, i), '/') AS ancestor
+  FROM (SELECT request_id, parts, unnest(range(1, len(parts))) AS i FROM (SELECT request_id, string_split(path_in_dataset, '/') AS parts FROM item_requests))) a USING (request_id)""",
         "item_requests"),
     # ---------------------------------------------------------------- documents
     "N01_dataset_config": _with(

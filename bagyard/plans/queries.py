@@ -76,7 +76,7 @@ def _requests(s, d) -> DataFrame:
 
 
 def _located(s, d) -> DataFrame:
-    r = _requests(s, d).where((F.col("path_in_dataset") != "") & (F.col("dataset_id") != ""))
+    r = _requests(s, d)
     return r.join(joins.nearest_ancestor(r, T.folder_catalog(s, d)), "request_id")
 
 
@@ -180,19 +180,19 @@ def s09(s, d):
 
 @q("S10_scan_folder_catalog")
 def s10(s, d):
-    return scans.scan_folder_catalog(T.folder_catalog(s, d))
+    return scans.scan_folder_catalog(T.all_folders(s, d))
 
 
 @q("S11_discipline_catalog")
 def s11(s, d):
-    return scans.discipline_pairs(T.discipline_xml(s, d))
+    return scans.discipline_pairs(T.all_disciplines(s, d))
 
 
 @q("S12_license_catalog")
 def s12(s, d):
     """The licence catalogue written as a properties file (keys escaped) to
     the shared checkpoint folder by Spark and scanned back with its templates."""
-    cat = T.license_catalog(s, d)
+    cat = T.all_licenses(s, d)
     line = F.concat(F.regexp_replace(F.col("uri"), r"([:=\\])", r"\\$1"), F.lit("="), F.col("file_name"))
     path = _scratch(s, "s12")
     cat.select(line.alias("value")).write.text(path)
@@ -201,7 +201,7 @@ def s12(s, d):
 
 @q("S13_object_catalog")
 def s13(s, d):
-    return scans.object_catalog(T.object_catalog(s, d))
+    return scans.object_catalog(T.all_objects(s, d))
 
 
 @q("K03_bag_metadata_documents")
@@ -256,7 +256,7 @@ def p01(s, d):
 
 @q("P02_sdo_name")
 def p02(s, d):
-    r = _requests(s, d).where(F.col("path_in_dataset") != "")
+    r = _requests(s, d)
     return r.select("request_id", P.sdo_name(F.col("path_in_dataset")).alias("sdo_name"), P.sdo_set_name(F.col("dataset_id")).alias("set_name"))
 
 
@@ -427,7 +427,7 @@ def j09w(s, d):
 
 @q("J10_check_dataset_exists")
 def j10(s, d):
-    r = _requests(s, d).where(F.col("dataset_id") != "")
+    r = _requests(s, d)
     ok = joins.check_dataset_exists(r, T.object_catalog(s, d)).select("request_id", F.lit(True).alias("dataset_exists"))
     return r.select("request_id", "dataset_id").join(ok, "request_id", "left").select(
         "request_id", "dataset_id", F.coalesce(F.col("dataset_exists"), F.lit(False)).alias("dataset_exists")
@@ -499,7 +499,7 @@ def a07(s, d):
 
 @q("A08_catalog")
 def a08(s, d):
-    return scans.discipline_catalog(T.discipline_xml(s, d))
+    return scans.discipline_catalog(T.all_disciplines(s, d))
 
 
 def _n10(s, d):
@@ -642,7 +642,7 @@ def f10(s, d):
 
 @q("F11_extension_mime")
 def f11(s, d):
-    return T.license_catalog(s, d).select("file_name", extension_mime("file_name").alias("mime_type"))
+    return T.all_licenses(s, d).select("file_name", extension_mime("file_name").alias("mime_type"))
 
 
 @q("F12_template_fill")
@@ -659,12 +659,12 @@ def f13(s, d):
 
 @q("F14_last_segment")
 def f14(s, d):
-    return T.discipline_xml(s, d).select("pid", TX.last_segment(F.col("pid")).alias("segment"))
+    return T.all_disciplines(s, d).select("pid", TX.last_segment(F.col("pid")).alias("segment"))
 
 
 @q("F15_relation_object")
 def f15(s, d):
-    r = _requests(s, d).where(F.col("dataset_id") != "")
+    r = _requests(s, d)
     return r.select("request_id", TX.fedora_object(F.col("dataset_id")).alias("subordinate_object"))
 
 
@@ -675,8 +675,8 @@ def f16(s, d):
 
 @q("F17_ancestor_paths")
 def f17(s, d):
-    r = _requests(s, d).where(F.col("path_in_dataset") != "")
-    return r.select("request_id", F.posexplode(P.ancestor_paths(F.col("path_in_dataset"))).alias("depth", "ancestor"))
+    r = _requests(s, d)  # a path without ancestors (a blank one, too) is one row without an ancestor
+    return r.select("request_id", F.posexplode_outer(P.ancestor_paths(F.col("path_in_dataset"))).alias("depth", "ancestor"))
 
 
 # ================================================================ documents

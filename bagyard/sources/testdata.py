@@ -231,7 +231,15 @@ def audiences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def discipline_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "HOUSEHOLD")
+    """The disciplines that the jobs know: one segment is unknown, so that audiences miss."""
+    return _discipline_xml(table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "HOUSEHOLD"))
+
+
+def all_disciplines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _discipline_xml(table(spark, sf_dir, "customer"))
+
+
+def _discipline_xml(c: DataFrame) -> DataFrame:
     pid = F.concat(F.lit("easy-discipline:"), F.col("c_custkey"))
     xml = F.concat(
         F.lit('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#"><rdf:Description rdf:about="info:fedora/'),
@@ -245,9 +253,17 @@ def discipline_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ licences
 def license_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").where(F.col("page_id") % 2 == 0)
+    """The licences that the jobs know: every other page, so that licence URIs miss."""
+    return _license_catalog(table(spark, sf_dir, "pages").where(F.col("page_id") % 2 == 0))
+
+
+def all_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _license_catalog(table(spark, sf_dir, "pages"))
+
+
+def _license_catalog(p: DataFrame) -> DataFrame:
     m8 = F.col("page_id") % 8
-    ext = F.when(m8 == 0, ".txt").when(m8 == 2, ".html").when(m8 == 4, ".pdf").otherwise(".doc")
+    ext = F.when(m8 <= 1, ".txt").when(m8 <= 3, ".html").when(m8 <= 5, ".pdf").otherwise(".doc")
     uri = F.regexp_replace(F.regexp_replace(F.col("url"), r"^https:", "http:"), r"/$", "")
     return p.select(
         uri.alias("uri"),
@@ -339,7 +355,9 @@ def agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cv = table(spark, sf_dir, "conversations").where(F.col("turn") == 1)
+    """One message per conversation: all its turns in order, a line each."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    cv = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(turns, lambda t: t["text"]), "\n").alias("text"))
     m6 = F.col("conv_id") % 6
     return cv.select(
         (F.col("conv_id") * 3).alias("deposit_id"),
@@ -486,8 +504,15 @@ def write_request_files(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def folder_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Existing folders: parents (or grand-parents) of every third request path."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_id") % 3 == 0)
+    """Existing folders: parents (or grand-parents) of every third request path, so that requests miss."""
+    return _folder_catalog(table(spark, sf_dir, "events").where(F.col("event_id") % 3 == 0))
+
+
+def all_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _folder_catalog(table(spark, sf_dir, "events"))
+
+
+def _folder_catalog(ev: DataFrame) -> DataFrame:
     e = F.col("event_id")
     parts = F.split(_request_path(), "/")
     n = F.size(parts)
@@ -501,8 +526,13 @@ def folder_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").where(F.col("user_id") % 2 == 0)
-    return ev.select(F.concat(F.lit("easy-dataset:"), F.col("user_id")).alias("pid"))
+    """Known datasets: those of even users, so that requests miss."""
+    return all_objects(spark, sf_dir, F.col("user_id") % 2 == 0)
+
+
+def all_objects(spark: SparkSession, sf_dir: str, known: Column | None = None) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return (ev if known is None else ev.where(known)).select(F.concat(F.lit("easy-dataset:"), F.col("user_id")).alias("pid"))
 
 
 def header_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,21 @@ def count_per(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+def cardinality(licenses: DataFrame, created: DataFrame) -> DataFrame:
+    """(deposit_id, n_licenses, n_created, outcome) of deposits with a licence."""
+    n = count_per(licenses, "deposit_id", "n_licenses").join(count_per(created, "deposit_id", "n_created"), "deposit_id", "left")
+    n = n.withColumn("n_created", F.coalesce(F.col("n_created"), F.lit(0)).cast("bigint"))
+    return n.withColumn("outcome", F.when(too_many_licenses(), "license_count").when(not_one_created(), "created_not_one").otherwise("ok"))
+
+
+def too_many_licenses() -> Column:
+    return F.col("n_licenses") > 1
+
+
+def not_one_created() -> Column:
+    return F.coalesce(F.col("n_created"), F.lit(0)) != 1
+
+
 def catalog(df: DataFrame, key: str, value: str) -> DataFrame:
     """Key -> value, last wins; the reference order is undefined, so the
     greatest value wins."""

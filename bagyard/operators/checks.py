@@ -140,37 +140,38 @@ def check_request_rules(requests: DataFrame) -> DataFrame:
     return requests.select("request_id", F.explode(request_rule_codes(requests)).alias("code"))
 
 
-def check_location(requests: DataFrame) -> DataFrame:
+def location_codes() -> list[Column]:
     """A datastream location must have a protocol starting with ``http``
     (not a URL at all fails too); non-ASCII text is flagged separately."""
-    loc = F.col("datastream_location")
-    given = _given("datastream_location")
-    codes = F.filter(
-        F.array(
-            F.when(given & ~T.has_http_protocol(loc), F.lit("location_not_http")),
-            F.when(given & ~T.is_ascii(loc), F.lit("location_not_ascii")),
-        ),
-        lambda x: x.isNotNull(),
-    )
-    return requests.select("request_id", F.explode(codes).alias("code"))
+    loc, given = F.col("datastream_location"), _given("datastream_location")
+    return [F.when(given & ~T.has_http_protocol(loc), F.lit("location_not_http")), F.when(given & ~T.is_ascii(loc), F.lit("location_not_ascii"))]
 
 
-def check_creator_role(requests: DataFrame) -> DataFrame:
+def creator_role_codes() -> list[Column]:
     """P10: after defaults, the creator role is ARCHIVIST or DEPOSITOR (exact)."""
-    bad = requests.where(~F.col("creator_role").isin(*K.CREATOR_ROLES))
-    return bad.select("request_id", F.lit("invalid_creator_role").alias("code"))
+    return [F.when(~F.col("creator_role").isin(*K.CREATOR_ROLES), F.lit("invalid_creator_role"))]
 
 
-def check_request_rights(requests: DataFrame) -> DataFrame:
+def request_rights_codes() -> list[Column]:
     """P14 on request options: a non-default rights value must parse exactly."""
-    codes = F.filter(
-        F.array(
-            F.when(parse_rights(F.col("accessible_to")).isNull(), F.lit("invalid_accessible_to")),
-            F.when(parse_rights(F.col("visible_to")).isNull(), F.lit("invalid_visible_to")),
-        ),
-        lambda x: x.isNotNull(),
-    )
-    return requests.select("request_id", F.explode(codes).alias("code"))
+    return [F.when(parse_rights(F.col(c)).isNull(), F.lit(f"invalid_{c}")) for c in ("accessible_to", "visible_to")]
+
+
+def failed_codes(requests: DataFrame, codes: list[Column]) -> DataFrame:
+    """(request_id, code) of the codes that are not null."""
+    return requests.select("request_id", F.explode(F.filter(F.array(*codes), lambda x: x.isNotNull())).alias("code"))
+
+
+def check_location(requests: DataFrame) -> DataFrame:
+    return failed_codes(requests, location_codes())
+
+
+def check_creator_role(requests: DataFrame) -> DataFrame:
+    return failed_codes(requests, creator_role_codes())
+
+
+def check_request_rights(requests: DataFrame) -> DataFrame:
+    return failed_codes(requests, request_rights_codes())
 
 
 def clean_owner(requests: DataFrame) -> DataFrame:

@@ -107,46 +107,25 @@ def normalized_folders(folder_catalog: DataFrame) -> DataFrame:
     )
 
 
-def nearest_ancestor(requests: DataFrame, folder_catalog: DataFrame, key: str = "request_id", path: str = "path_in_dataset") -> DataFrame:
-    """Deepest known folder above a path in the same dataset; none -> ('', dataset).
-
-    Explodes the proper ancestors of each path (depth-bounded), equi-joins them
-    on (dataset, path) — a shuffle join keyed on the path, so a hot dataset is
-    spread — and keeps the deepest hit with ``max_by``.
-    """
-    anc = requests.select(key, "dataset_id", F.posexplode(P.ancestor_paths(F.col(path))).alias("depth", "anc_path"))
-    hits = anc.join(normalized_folders(folder_catalog), ["dataset_id", "anc_path"])
-    best = hits.groupBy(key).agg(F.max_by(F.struct("anc_path", "anc_pid"), F.col("depth")).alias("b"))
-    return (
-        requests.select(key, "dataset_id")
-        .join(best, key, "left")
-        .select(
-            key,
-            F.coalesce(F.col("b.anc_path"), F.lit("")).alias("ancestor_path"),
-            F.coalesce(F.col("b.anc_pid"), F.col("dataset_id")).alias("ancestor_pid"),
-        )
-    )
-
-
-def nearest_ancestor_wide(requests: DataFrame, folder_catalog: DataFrame, key: str = "request_id", path: str = "path_in_dataset") -> DataFrame:
-    """J08 keeping all request columns, without a join back to the requests:
-    ``explode_outer`` keeps requests without ancestors, the catalogue is
-    left-joined on (dataset, ancestor path), and one aggregate per request
-    keeps the deepest hit (``max_by`` ignores rows whose depth is null) and
-    carries the request's own columns along with ``any_value``."""
-    others = [c for c in requests.columns if c != key]
-    anc = requests.select("*", F.posexplode_outer(P.ancestor_paths(F.col(path))).alias("depth", "anc_path"))
-    hits = anc.join(normalized_folders(folder_catalog), ["dataset_id", "anc_path"], "left")
-    hit_depth = F.when(F.col("anc_pid").isNotNull(), F.col("depth"))
-    best = hits.groupBy(key).agg(
-        *[F.any_value(c).alias(c) for c in others],
-        F.max_by(F.struct("anc_path", "anc_pid"), hit_depth).alias("b"),
-    )
-    return best.select(
-        key,
-        *others,
-        F.coalesce(F.col("b.anc_path"), F.lit("")).alias("ancestor_path"),
-        F.coalesce(F.col("b.anc_pid"), F.col("dataset_id")).alias("ancestor_pid"),
+def nearest_ancestor(requests: DataFrame, folder_catalog: DataFrame, path: str = "path_in_dataset") -> DataFrame:
+    """The requests with ``ancestor_path`` and ``ancestor_pid``, the deepest known folder
+    above their path in the same dataset; none -> ('', dataset).
+
+    Requests share parents, so ancestors are resolved once per distinct (dataset, parent):
+    its ancestors, itself included, are exploded (depth-bounded) and equi-joined with the
+    catalogue on (dataset, path), and the deepest hit is kept by ``max_by``.  The requests
+    then join their parent's answer; they are never exploded nor grouped, and that join can
+    be split where one folder gets very many requests.  A path at top level has no parent."""
+    parent = P.parent_path(F.col(path))
+    parents = requests.select("dataset_id", parent.alias("_parent")).where("_parent IS NOT NULL").distinct()
+    within = F.posexplode(P.ancestor_paths(F.concat("_parent", F.lit("/")))).alias("depth", "anc_path")
+    hits = parents.select("dataset_id", "_parent", within).join(normalized_folders(folder_catalog), ["dataset_id", "anc_path"])
+    best = hits.groupBy("dataset_id", "_parent").agg(F.max_by(F.struct("anc_path", "anc_pid"), F.col("depth")).alias("_b"))
+    found = requests.withColumn("_parent", parent).join(best, ["dataset_id", "_parent"], "left")
+    return found.select(
+        *requests.columns,
+        F.coalesce(F.col("_b.anc_path"), F.lit("")).alias("ancestor_path"),
+        F.coalesce(F.col("_b.anc_pid"), F.col("dataset_id")).alias("ancestor_pid"),
     )
 
 
@@ -163,15 +142,12 @@ def orphans(items_with_parent: DataFrame, folders: DataFrame) -> DataFrame:
     return items_with_parent.where(F.col("parent_sdo") != K.DATASET_SDO).join(known, ["deposit_id", "parent_sdo"], "left_anti")
 
 
-def check_dataset_exists(requests: DataFrame, objects: DataFrame) -> DataFrame:
-    """Requests whose dataset exists (semi) — use ``how='left_anti'`` for the rest."""
-    obj = objects.select(F.col("pid").alias("dataset_id")).distinct()
-    return requests.join(obj, "dataset_id", "left_semi")
-
-
-def missing_datasets(requests: DataFrame, objects: DataFrame) -> DataFrame:
-    obj = objects.select(F.col("pid").alias("dataset_id")).distinct()
-    return requests.join(obj, "dataset_id", "left_anti")
+def dataset_exists(requests: DataFrame, objects: DataFrame) -> DataFrame:
+    """The requests with ``dataset_exists``, a left join against the distinct object ids:
+    one row per dataset, broadcast by AQE when small; a hot dataset on the request side is
+    split by AQE's skew handling otherwise."""
+    known = objects.select(F.col("pid").alias("dataset_id")).distinct().withColumn("_known", F.lit(True))
+    return requests.join(known, "dataset_id", "left").withColumn("dataset_exists", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
 def request_parent(req_with_ancestor: DataFrame, path: str = "path_in_dataset") -> DataFrame:

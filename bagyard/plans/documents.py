@@ -2,8 +2,8 @@
 projections, and their rendering to documents with ``concat`` templates.
 
 The tables are the primary output (normalised: one row per datastream /
-relation with an ``ord`` column, T03); documents are rendered from them only
-at the sink.  ``to_xml`` cannot print prefixed element names, hence concat.
+relation with an ``ord`` column, T03); documents are rendered only at the sink,
+from the same arrays.  ``to_xml`` cannot print prefixed element names, hence concat.
 """
 
 from __future__ import annotations
@@ -91,83 +91,107 @@ def dataset_relations(datasets: DataFrame, audience_pids: DataFrame) -> DataFram
 
 
 # ------------------------------------------------------------------ N02 / N03
-def file_datastreams(files: DataFrame) -> DataFrame:
-    """N02 datastreams: EASY_FILE (redirect R or managed M with SHA-1) + file metadata."""
+# the datastreams and relations of an item are arrays made from its own row: the tables inline
+# them, the documents print them, and nothing is exploded only to be grouped again
+_DATASTREAM = {c: "int" if c == "ord" else "string" for c in DS_COLS[2:]}
+
+
+def _datastream(**known) -> Column:
+    known = {k: v if isinstance(v, Column) else F.lit(v) for k, v in known.items()}
+    return F.struct(*[known.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in _DATASTREAM.items()])
+
+
+def file_datastream_array() -> Column:
+    """EASY_FILE (redirect R or managed M with SHA-1) and the file metadata."""
     managed = F.col("control_group") == "M"
-    rows = F.array(
-        F.struct(
-            F.lit(1).alias("ord"), F.lit("EASY_FILE").alias("ds_id"),
-            F.when(managed, F.lit("EASY_FILE")).alias("content_file"),
-            F.when(~managed, F.col("ds_location")).alias("ds_location"),
-            F.lit(None).cast("string").alias("label"), F.col("control_group").alias("control_group"),
-            F.col("mime_type").alias("mime_type"),
-            F.when(managed, F.lit("SHA-1")).alias("checksum_type"),
-            F.when(managed, F.col("checksum")).alias("checksum"),
-        ),
-        F.struct(
-            F.lit(2).alias("ord"), F.lit("EASY_FILE_METADATA").alias("ds_id"), F.lit("EASY_FILE_METADATA").alias("content_file"),
-            F.lit(None).cast("string").alias("ds_location"), F.lit(None).cast("string").alias("label"),
-            F.lit("X").alias("control_group"), F.lit("text/xml").alias("mime_type"),
-            F.lit(None).cast("string").alias("checksum_type"), F.lit(None).cast("string").alias("checksum"),
-        ),
+    return F.array(
+        _datastream(ord=1, ds_id="EASY_FILE", content_file=F.when(managed, "EASY_FILE"), ds_location=F.when(~managed, F.col("ds_location")), control_group=F.col("control_group"),
+                    mime_type=F.col("mime_type"), checksum_type=F.when(managed, "SHA-1"), checksum=F.when(managed, F.col("checksum"))),
+        _datastream(ord=2, ds_id="EASY_FILE_METADATA", content_file="EASY_FILE_METADATA", control_group="X", mime_type="text/xml"),
     )
-    return files.select("deposit_id", "sdo_name", F.inline(rows)).select(*DS_COLS)
 
 
-def item_relations(items: DataFrame, model: str) -> DataFrame:
-    """N02/N03 relations: member of parent, subordinate to dataset, 2 models.
+def folder_datastream_array() -> Column:
+    """The folder metadata."""
+    return F.array(_datastream(ord=1, ds_id="EASY_ITEM_CONTAINER_MD", content_file="EASY_ITEM_CONTAINER_MD", control_group="X", mime_type="text/xml"))
 
-    ``items`` carries parent_kind/parent_object and subordinate_kind/subordinate_object.
-    """
-    rows = F.array(
-        _rel(1, K.IS_MEMBER_OF, F.col("parent_kind"), F.col("parent_object")),
-        _rel(2, K.IS_SUBORDINATE_TO, F.col("subordinate_kind"), F.col("subordinate_object")),
+
+def item_relation_array(model: str) -> Column:
+    """N02/N03 in a dataset: member of the parent SDO, subordinate to the dataset SDO, two models."""
+    return F.array(
+        _rel(1, K.IS_MEMBER_OF, "objectSDO", F.col("parent_sdo")),
+        _rel(2, K.IS_SUBORDINATE_TO, "objectSDO", F.lit(K.DATASET_SDO)),
         _rel(3, K.HAS_MODEL, "object", F.lit(model)),
         _rel(4, K.HAS_MODEL, "object", F.lit(K.MODEL_CONTAINER_ITEM)),
     )
-    return items.select("deposit_id", "sdo_name", F.inline(rows)).select(*REL_COLS)
+
+
+def file_datastreams(files: DataFrame) -> DataFrame:
+    return files.select("deposit_id", "sdo_name", F.inline(file_datastream_array())).select(*DS_COLS)
 
 
 def folder_datastreams(folders: DataFrame) -> DataFrame:
-    row = F.array(F.struct(
-        F.lit(1).alias("ord"), F.lit("EASY_ITEM_CONTAINER_MD").alias("ds_id"), F.lit("EASY_ITEM_CONTAINER_MD").alias("content_file"),
-        F.lit(None).cast("string").alias("ds_location"), F.lit(None).cast("string").alias("label"), F.lit("X").alias("control_group"),
-        F.lit("text/xml").alias("mime_type"), F.lit(None).cast("string").alias("checksum_type"), F.lit(None).cast("string").alias("checksum"),
-    ))
-    return folders.select("deposit_id", "sdo_name", F.inline(row)).select(*DS_COLS)
-
-
-def config_json(namespace: Column | str, datastreams: DataFrame, relations: DataFrame, compat: bool = True) -> DataFrame:
-    """N01-N03 rendering: ``cfg.json`` per SDO from the normalised tables.
-
-    Arrays are collected per SDO (a handful of entries each, never per deposit);
-    ``to_json`` omits null fields, which gives the optional keys.  With
-    ``compat`` the manifest datastream keeps its key ``dsId`` (all others
-    ``dsID``), as the reference writes it (q2)."""
-    ds = datastreams.groupBy("deposit_id", "sdo_name").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "content_file", "ds_id", "ds_location", "label", "control_group", "mime_type", "checksum_type", "checksum"))).alias("ds")
-    )
-    rel = relations.groupBy("deposit_id", "sdo_name").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "predicate", "object_kind", "object", "is_literal"))).alias("rel")
-    )
-    ns = F.lit(namespace) if isinstance(namespace, str) else namespace
-    def is_manifest(x):
-        return F.lit(compat) & (x["ds_id"] == "manifest-sha1.txt")
+    return folders.select("deposit_id", "sdo_name", F.inline(folder_datastream_array())).select(*DS_COLS)
+
 
-    ds_json = F.transform(F.col("ds"), lambda x: F.struct(
+def item_relations(items: DataFrame, model: str) -> DataFrame:
+    return items.select("deposit_id", "sdo_name", F.inline(item_relation_array(model))).select(*REL_COLS)
+
+
+def file_configs(files: DataFrame) -> DataFrame:
+    """``cfg.json`` of every file, a projection of the file's row; two files with one SDO name keep a document each."""
+    return files.select("deposit_id", "sdo_name", F.lit("cfg.json").alias("file_name"), _config(K.NS_FILE, file_datastream_array(), item_relation_array(K.MODEL_FILE)).alias("content"))
+
+
+def folder_configs(folders: DataFrame) -> DataFrame:
+    """``cfg.json`` of every folder, likewise."""
+    return folders.select("deposit_id", "sdo_name", F.lit("cfg.json").alias("file_name"), _config(K.NS_FOLDER, folder_datastream_array(), item_relation_array(K.MODEL_FOLDER)).alias("content"))
+
+
+def _config(namespace: str, datastreams: Column, relations: Column, compat: bool = True) -> Column:
+    """The JSON of a configuration; ``to_json`` leaves out null fields, which gives the optional keys.  With
+    ``compat`` the manifest datastream keeps its key ``dsId`` (all others ``dsID``), as the reference writes it (q2)."""
+    manifest = lambda x: F.lit(compat) & (x["ds_id"] == "manifest-sha1.txt")
+    ds = F.transform(datastreams, lambda x: F.struct(
         x["content_file"].alias("contentFile"), x["ds_location"].alias("dsLocation"),
-        F.when(~is_manifest(x), x["ds_id"]).alias("dsID"), F.when(is_manifest(x), x["ds_id"]).alias(K.MANIFEST_DS_KEY),
+        F.when(~manifest(x), x["ds_id"]).alias("dsID"), F.when(manifest(x), x["ds_id"]).alias(K.MANIFEST_DS_KEY),
         x["label"].alias("label"), x["control_group"].alias("controlGroup"), x["mime_type"].alias("mimeType"),
         x["checksum_type"].alias("checksumType"), x["checksum"].alias("checksum")))
-    rel_json = F.transform(F.col("rel"), lambda x: F.struct(
+    rel = F.transform(relations, lambda x: F.struct(
         x["predicate"].alias("predicate"),
         F.when(x["object_kind"] == "object", x["object"]).alias("object"),
         F.when(x["object_kind"] == "objectSDO", x["object"]).alias("objectSDO"),
         x["is_literal"].alias("isLiteral")))
+    return F.to_json(F.struct(F.lit(namespace).alias("namespace"), ds.alias("datastreams"), rel.alias("relations")))
+
+
+def config_json(namespace: str, datastreams: DataFrame, relations: DataFrame, compat: bool = True) -> DataFrame:
+    """``cfg.json`` per dataset from the normalised tables, whose rows come from several sources (audiences,
+    licence, bag documents); arrays are collected per SDO, a handful of entries each."""
+    ds = datastreams.groupBy("deposit_id", "sdo_name").agg(F.array_sort(F.collect_list(F.struct(*DS_COLS[2:]))).alias("ds"))
+    rel = relations.groupBy("deposit_id", "sdo_name").agg(F.array_sort(F.collect_list(F.struct(*REL_COLS[2:]))).alias("rel"))
     return ds.join(rel, ["deposit_id", "sdo_name"], "full").select(
-        "deposit_id", "sdo_name", F.lit("cfg.json").alias("file_name"),
-        F.to_json(F.struct(ns.alias("namespace"), ds_json.alias("datastreams"), rel_json.alias("relations"))).alias("content"),
-    )
+        "deposit_id", "sdo_name", F.lit("cfg.json").alias("file_name"), _config(namespace, F.col("ds"), F.col("rel"), compat).alias("content"))
+
+
+CONFIG_SCHEMA = (
+    "namespace string, datastreams array<struct<contentFile: string, dsLocation: string, dsID: string, dsId: string, label: string, controlGroup: string,"
+    " mimeType: string, checksumType: string, checksum: string>>, relations array<struct<predicate: string, object: string, objectSDO: string, isLiteral: boolean>>"
+)
+
+
+def parse_config(documents: DataFrame) -> DataFrame:
+    """A configuration read back: one row per datastream and relation with all its fields, ``nth`` being its place."""
+    exact = CONFIG_SCHEMA.replace("dsId: string", "manifestId: string")  # Spark takes dsID and dsId for one name
+    text = F.replace("content", F.lit(f'"{K.MANIFEST_DS_KEY}":'), F.lit('"manifestId":'))
+    d = documents.select("deposit_id", "sdo_name", F.from_json(text, exact, {"mode": "FAILFAST"}).alias("d"))
+    ds = d.select("deposit_id", "sdo_name", "d.namespace", F.lit("datastream").alias("element"), F.posexplode("d.datastreams").alias("nth", "x"))
+    rel = d.select("deposit_id", "sdo_name", "d.namespace", F.lit("relation").alias("element"), F.posexplode("d.relations").alias("nth", "x"))
+    keys = ["deposit_id", "sdo_name", "namespace", "element", "nth"]
+    ds = ds.select(*keys, F.coalesce("x.dsID", "x.manifestId").alias("name"), F.col("x.contentFile").alias("content_file"), F.col("x.dsLocation").alias("ds_location"), "x.label",
+                   F.col("x.controlGroup").alias("control_group"), F.col("x.mimeType").alias("mime_type"), F.col("x.checksumType").alias("checksum_type"), "x.checksum")
+    rel = rel.select(*keys, F.col("x.predicate").alias("name"), "x.object", F.col("x.objectSDO").alias("object_sdo"), F.col("x.isLiteral").alias("is_literal"))
+    return ds.unionByName(rel, allowMissingColumns=True)
 
 
 # ------------------------------------------------------------------ N04

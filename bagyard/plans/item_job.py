@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bagyard import constants as K
@@ -41,35 +41,16 @@ def prepare_requests(raw: DataFrame) -> DataFrame:
     return checks.clean_owner(checks.apply_request_defaults(checks.drop_empty_requests(raw)))
 
 
-def request_codes() -> "F.Column":
+def request_codes() -> Column:
     """P08, P09, P10, P14, P18 and J10 as one array of failed codes per request."""
-    rules = checks.request_rule_codes(None)
-    loc = F.col("datastream_location")
-    given = F.coalesce(loc != "", F.lit(False))
-    from bagyard.functions import text as TX
-    from bagyard.functions.rights import parse_rights
-
-    extra = F.array(
-        F.when(given & ~TX.has_http_protocol(loc), F.lit("location_not_http")),
-        F.when(given & ~TX.is_ascii(loc), F.lit("location_not_ascii")),
-        F.when(~F.col("creator_role").isin(*K.CREATOR_ROLES), F.lit("invalid_creator_role")),
-        F.when(parse_rights(F.col("accessible_to")).isNull(), F.lit("invalid_accessible_to")),
-        F.when(parse_rights(F.col("visible_to")).isNull(), F.lit("invalid_visible_to")),
-        F.when(F.col("owner_id").isNull(), F.lit("owner_missing")),
-        F.when((F.col("dataset_id") != "") & F.col("_exists").isNull(), F.lit("dataset_not_found")),
-    )
-    return F.concat(rules, F.filter(extra, lambda x: x.isNotNull()))
+    own = [F.when(F.col("owner_id").isNull(), F.lit("owner_missing")), F.when((F.col("dataset_id") != "") & ~F.col("dataset_exists"), F.lit("dataset_not_found"))]
+    extra = F.array(*checks.location_codes(), *checks.creator_role_codes(), *checks.request_rights_codes(), *own)
+    return F.concat(checks.request_rule_codes(None), F.filter(extra, lambda x: x.isNotNull()))
 
 
 def checked_requests(raw: DataFrame, objects: DataFrame) -> DataFrame:
-    """Requests after P12/P11/P18 with the array of failed codes (one pass).
-
-    The existence check (J10) is a left join against the distinct object ids:
-    one row per dataset, broadcast by AQE when small; a hot dataset on the
-    request side is split by AQE's skew handling otherwise."""
-    req = prepare_requests(raw)
-    exists = objects.select(F.col("pid").alias("dataset_id")).distinct().withColumn("_exists", F.lit(True))
-    return req.join(exists, "dataset_id", "left").withColumn("codes", request_codes()).drop("_exists")
+    """Requests after P12/P11/P18 with the array of failed codes (one pass)."""
+    return joins.dataset_exists(prepare_requests(raw), objects).withColumn("codes", request_codes()).drop("dataset_exists")
 
 
 def request_rejects(req: DataFrame, objects: DataFrame) -> DataFrame:
@@ -82,7 +63,7 @@ def stage_items(raw_requests: DataFrame, folder_catalog: DataFrame, objects: Dat
     r = cut_lineage(checked_requests(raw_requests, objects), "requests")
     rej = r.select("request_id", F.explode("codes").alias("code"))
     ok = r.where(F.size("codes") == 0).drop("codes")
-    located = joins.nearest_ancestor_wide(ok, folder_catalog)
+    located = joins.nearest_ancestor(ok, folder_catalog)
     r2 = joins.request_parent(located)
     managed = F.col("file_location") != ""
     files = r2.select(

@@ -363,6 +363,23 @@ def _with(ctes: str, body: str, *bindings: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def _item_config(namespace: str, src: str, model: str, datastreams: list[str]) -> str:
+    """Configuration rows of files or folders; a datastream is name, content file, location, label, control group, MIME type, checksum type and checksum."""
+    columns = ["name", "content_file", "ds_location", "label", "control_group", "mime_type", "checksum_type", "checksum", "object", "object_sdo", "is_literal"]
+    ds = [f"{d}, NULL, NULL, CAST(NULL AS BOOLEAN)" for d in datastreams]
+    blank = ", ".join(["NULL"] * 7)
+    rel = [("http://dans.knaw.nl/ontologies/relations#isMemberOf", "NULL, parent_sdo"), ("http://dans.knaw.nl/ontologies/relations#isSubordinateTo", f"NULL, '{K.DATASET_SDO}'"),
+           ("info:fedora/fedora-system:def/model#hasModel", f"'info:fedora/{model}', NULL"), ("info:fedora/fedora-system:def/model#hasModel", "'info:fedora/dans-container-item-v1', NULL")]
+    rows = [("datastream", i, d) for i, d in enumerate(ds)] + [("relation", i, f"'{p}', {blank}, {o}, NULL") for i, (p, o) in enumerate(rel)]
+    selects = [f"SELECT deposit_id, sdo_name, '{namespace}', '{element}', {i}, {row} FROM {src}" for element, i, row in rows]
+    return _config_columns(f"(SELECT * FROM ({' UNION ALL '.join(selects)}) AS t(deposit_id, sdo_name, namespace, element, nth, {', '.join(columns)}))")
+
+
+def _config_columns(src: str) -> str:
+    texts = ["name", "content_file", "ds_location", "label", "control_group", "mime_type", "checksum_type", "checksum", "object", "object_sdo"]
+    return f"SELECT deposit_id, sdo_name, namespace, element, nth, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in texts)}, is_literal FROM {src}"
+
+
 ORACLES: dict[str, str] = {
     # ---------------------------------------------------------------- sources / sinks
     "S01_scan_deposits": _with(
@@ -663,28 +680,23 @@ UNION ALL SELECT deposit_id, sdo_name, 'file' FROM items""",
     "N01_dataset_config": _with(
         f"flags AS ({FLAGS}), dflags AS (SELECT dp.*, f.* EXCLUDE (deposit_id) FROM deposits dp LEFT JOIN flags f USING (deposit_id)), {LIC_CTES.strip()}, "
         f"disc AS ({DISC}), ds AS ({DATASTREAMS}), rel AS ({RELATIONS})",
-        f"""SELECT deposit_id, 'datastream' AS element, ord, ds_id AS name, label AS value, '{K.NS_DATASET}' AS namespace FROM ds
-UNION ALL SELECT deposit_id, 'relation', ord, predicate, object, '{K.NS_DATASET}' FROM rel""",
+        _config_columns(f"""(SELECT deposit_id, '{K.DATASET_SDO}' AS sdo_name, 'easy-dataset' AS namespace, 'datastream' AS element, CAST(row_number() OVER (PARTITION BY deposit_id ORDER BY ord) - 1 AS INTEGER) AS nth,
+  ds_id AS name, content_file, NULL AS ds_location, label, control_group, mime_type, NULL AS checksum_type, NULL AS checksum, NULL AS object, NULL AS object_sdo, CAST(NULL AS BOOLEAN) AS is_literal FROM ds
+UNION ALL SELECT deposit_id, '{K.DATASET_SDO}', 'easy-dataset', 'relation', CAST(row_number() OVER (PARTITION BY deposit_id ORDER BY ord) - 1 AS INTEGER), predicate,
+  NULL, NULL, NULL, NULL, NULL, NULL, NULL, object, NULL, is_literal FROM rel)"""),
         "deposits", "bag_documents", "audiences", "discipline_xml", *LIC_BINDINGS),
     "N02_file_config": _with(
         f"items AS ({PAYLOAD_ITEMS}), md AS ({MD}), sha1 AS ({SHA1}), "
         "f AS (SELECT i.*, u.uri, s.checksum, md.format AS mime_type FROM items i LEFT JOIN payload_uris u ON u.deposit_id = i.deposit_id AND u.path = i.path "
         "LEFT JOIN sha1 s ON s.deposit_id = i.deposit_id AND s.path = i.path LEFT JOIN md ON md.deposit_id = i.deposit_id AND md.filepath = i.path)",
-        f"""SELECT deposit_id, sdo_name, 'datastream' AS element, 1 AS ord, 'EASY_FILE' AS name,
-   CASE WHEN uri IS NOT NULL THEN uri ELSE coalesce(checksum, mime_type) END AS value FROM f
-UNION ALL SELECT deposit_id, sdo_name, 'datastream', 2, 'EASY_FILE_METADATA', 'text/xml' FROM f
-UNION ALL SELECT deposit_id, sdo_name, 'relation', 1, '{K.IS_MEMBER_OF}', parent_sdo FROM f
-UNION ALL SELECT deposit_id, sdo_name, 'relation', 2, '{K.IS_SUBORDINATE_TO}', '{K.DATASET_SDO}' FROM f
-UNION ALL SELECT deposit_id, sdo_name, 'relation', 3, '{K.HAS_MODEL}', '{K.MODEL_FILE}' FROM f
-UNION ALL SELECT deposit_id, sdo_name, 'relation', 4, '{K.HAS_MODEL}', '{K.MODEL_CONTAINER_ITEM}' FROM f""",
+        _item_config("easy-file", "f", "easy-model:EDM1FILE", [
+            "'EASY_FILE', CASE WHEN uri IS NULL THEN 'EASY_FILE' END, uri, NULL, CASE WHEN uri IS NULL THEN 'M' ELSE 'R' END, mime_type, "
+            "CASE WHEN uri IS NULL THEN 'SHA-1' END, CASE WHEN uri IS NULL THEN checksum END",
+            "'EASY_FILE_METADATA', 'EASY_FILE_METADATA', NULL, NULL, 'X', 'text/xml', NULL, NULL"]),
         "payload_files", "payload_uris", "payload_manifest", "file_metadata"),
     "N03_folder_config": _with(
         f"entries AS ({PAYLOAD_ENTRIES}), fo AS ({FOLDERS('entries')})",
-        f"""SELECT deposit_id, sdo_name, 'datastream' AS element, 1 AS ord, 'EASY_ITEM_CONTAINER_MD' AS name, 'text/xml' AS value FROM fo
-UNION ALL SELECT deposit_id, sdo_name, 'relation', 1, '{K.IS_MEMBER_OF}', parent_sdo FROM fo
-UNION ALL SELECT deposit_id, sdo_name, 'relation', 2, '{K.IS_SUBORDINATE_TO}', '{K.DATASET_SDO}' FROM fo
-UNION ALL SELECT deposit_id, sdo_name, 'relation', 3, '{K.HAS_MODEL}', '{K.MODEL_FOLDER}' FROM fo
-UNION ALL SELECT deposit_id, sdo_name, 'relation', 4, '{K.HAS_MODEL}', '{K.MODEL_CONTAINER_ITEM}' FROM fo""",
+        _item_config("easy-folder", "fo", "easy-model:EDM1FOLDER", ["'EASY_ITEM_CONTAINER_MD', 'EASY_ITEM_CONTAINER_MD', NULL, NULL, 'X', 'text/xml', NULL, NULL"]),
         "payload_listing"),
     "N04_admin_metadata": _with(
         f"signer AS ({SIGNER}), info AS ({INFO})",

@@ -24,7 +24,7 @@ from bagyard.operators.licenses import extension_mime, is_uri_license, license_o
 from bagyard.plans import dataset_job as DJ
 from bagyard.plans import documents as D
 from bagyard.plans import item_job as IJ
-from bagyard.session import checkpoint_dir
+from bagyard.session import checkpoint_dir, cut_lineage
 from bagyard.sources import listing as L
 from bagyard.sources import scans, sinks
 from bagyard.sources import testdata as T
@@ -76,8 +76,7 @@ def _requests(s, d) -> DataFrame:
 
 
 def _located(s, d) -> DataFrame:
-    r = _requests(s, d)
-    return r.join(joins.nearest_ancestor(r, T.folder_catalog(s, d)), "request_id")
+    return joins.nearest_ancestor(_requests(s, d), T.folder_catalog(s, d))
 
 
 def _payload_items(s, d) -> DataFrame:
@@ -223,7 +222,7 @@ def k03c(s, d):
 def k01(s, d):
     """SDO, datastream and relation tables of the staged set, written, staged a second time and read back: one row per SDO."""
     res, path = _n10(s, d), _scratch(s, "staged")
-    tables = {name: df for name, df in res.tables().items() if name in ("sdos", "datastreams", "relations")}
+    tables = {name: cut_lineage(df, name) for name, df in (("sdos", res.sdos()), ("datastreams", res.datastreams), ("relations", res.relations))}
     for _ in range(2):
         sinks.write_staged_set(tables, path, T.deposits(s, d), buckets=8)
     sdos, streams, rels = (sinks.read_staged(s, f"{path}/{name}") for name in tables)
@@ -427,11 +426,7 @@ def j09w(s, d):
 
 @q("J10_check_dataset_exists")
 def j10(s, d):
-    r = _requests(s, d)
-    ok = joins.check_dataset_exists(r, T.object_catalog(s, d)).select("request_id", F.lit(True).alias("dataset_exists"))
-    return r.select("request_id", "dataset_id").join(ok, "request_id", "left").select(
-        "request_id", "dataset_id", F.coalesce(F.col("dataset_exists"), F.lit(False)).alias("dataset_exists")
-    )
+    return joins.dataset_exists(_requests(s, d), T.object_catalog(s, d)).select("request_id", "dataset_id", "dataset_exists")
 
 
 @q("J11_request_parent")
@@ -468,12 +463,7 @@ def a04(s, d):
 
 @q("A05_check_cardinality")
 def a05(s, d):
-    n_lic = aggs.count_per(T.license_elements(s, d), "deposit_id", "n_licenses")
-    n_cr = aggs.count_per(T.created(s, d), "deposit_id", "n_created")
-    return n_lic.join(n_cr, "deposit_id", "left").select(
-        "deposit_id", "n_licenses", F.coalesce(F.col("n_created"), F.lit(0)).cast("bigint").alias("n_created"),
-        F.when(F.col("n_licenses") > 1, "license_count").when(F.coalesce(F.col("n_created"), F.lit(0)) != 1, "created_not_one").otherwise("ok").alias("outcome"),
-    )
+    return aggs.cardinality(T.license_elements(s, d), T.created(s, d))
 
 
 def _deposit_flags(s, d) -> DataFrame:
@@ -682,38 +672,25 @@ def f17(s, d):
 # ================================================================ documents
 @q("N01_dataset_config")
 def n01(s, d):
+    """The configuration of every dataset, rendered and read back: one row per datastream and relation."""
     lic, _ = _licenses(s, d)
-    ds = D.dataset_datastreams(_deposit_flags(s, d), lic).select(
-        "deposit_id", F.lit("datastream").alias("element"), "ord", F.col("ds_id").alias("name"), F.col("label").alias("value"))
-    rel = _relations(s, d).select("deposit_id", F.lit("relation").alias("element"), "ord", F.col("predicate").alias("name"), F.col("object").alias("value"))
-    return ds.unionByName(rel).withColumn("namespace", F.lit(K.NS_DATASET))
+    return D.parse_config(D.config_json(K.NS_DATASET, D.dataset_datastreams(_deposit_flags(s, d), lic), _relations(s, d)))
 
 
 def _file_items(s, d) -> DataFrame:
     f = checks.content_kind(joins.join_checksums(joins.join_external(_payload_items(s, d), T.payload_uris(s, d)), _sha1(s, d)))
     f = joins.join_file_metadata(f, _md(s, d)).withColumnRenamed("format", "mime_type")
-    return f.withColumn("parent_kind", F.lit("objectSDO")).withColumn("parent_object", F.col("parent_sdo")).withColumn(
-        "subordinate_kind", F.lit("objectSDO")).withColumn("subordinate_object", F.lit(K.DATASET_SDO))
+    return f
 
 
 @q("N02_file_config")
 def n02(s, d):
-    f = _file_items(s, d)
-    ds = D.file_datastreams(f).select("deposit_id", "sdo_name", F.lit("datastream").alias("element"), "ord",
-                                      F.col("ds_id").alias("name"), F.coalesce("ds_location", "checksum", "mime_type").alias("value"))
-    rel = D.item_relations(f, K.MODEL_FILE).select("deposit_id", "sdo_name", F.lit("relation").alias("element"), "ord",
-                                                   F.col("predicate").alias("name"), F.col("object").alias("value"))
-    return ds.unionByName(rel)
+    return D.parse_config(D.file_configs(_file_items(s, d)))
 
 
 @q("N03_folder_config")
 def n03(s, d):
-    fo = D.folder_sdos(_payload_entries(s, d)).withColumn("parent_kind", F.lit("objectSDO")).withColumn("parent_object", F.col("parent_sdo")).withColumn(
-        "subordinate_kind", F.lit("objectSDO")).withColumn("subordinate_object", F.lit(K.DATASET_SDO))
-    ds = D.folder_datastreams(fo).select("deposit_id", "sdo_name", F.lit("datastream").alias("element"), "ord", F.col("ds_id").alias("name"), F.col("mime_type").alias("value"))
-    rel = D.item_relations(fo, K.MODEL_FOLDER).select("deposit_id", "sdo_name", F.lit("relation").alias("element"), "ord",
-                                                      F.col("predicate").alias("name"), F.col("object").alias("value"))
-    return ds.unionByName(rel)
+    return D.parse_config(D.folder_configs(D.folder_sdos(_payload_entries(s, d))))
 
 
 @q("N04_admin_metadata")

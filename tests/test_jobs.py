@@ -105,6 +105,19 @@ def test_config_json_keys(spark):
     assert '"checksumType":"SHA-1"}' in got["F"] and '"checksum":' not in got["F"]
 
 
+def test_files_with_one_sdo_name_keep_a_document_each(spark):
+    from bagyard.plans import documents as D
+
+    files = spark.createDataFrame([(1, "a_b", "p", "M", None, "text/plain", "c1"), (1, "a_b", "q", "R", "http://x", "text/csv", "c2")],
+                                  "deposit_id long, sdo_name string, parent_sdo string, control_group string, ds_location string, mime_type string, checksum string")
+    rows = D.parse_config(D.file_configs(files)).collect()
+    assert sorted((r.mime_type, r.control_group, r.ds_location, r.checksum, r.checksum_type) for r in rows if r.name == "EASY_FILE") == [
+        ("text/csv", "R", "http://x", None, None), ("text/plain", "M", None, "c1", "SHA-1")]
+    assert sorted(r.object_sdo for r in rows if r.object_sdo and r.object_sdo != K.DATASET_SDO) == ["p", "q"] and len(rows) == 12
+    plan = D.file_configs(files)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan  # a projection of the row
+
+
 def test_deposit_stream_equals_batch(spark):
     from bagyard.plans.queries import flagship
     from bagyard.streaming.arrival import drained_deposit_stream

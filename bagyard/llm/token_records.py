@@ -17,8 +17,8 @@ Documents stand in ascending ``doc_id`` order (null ids first, equal ids next to
 each other) over files ``part-00000``, ``part-00001`` ...; Spark's own text
 writer writes the bytes, so a lost executor or a repeated task leaves no torn
 file.  ``write_index`` scans the frames' heads and writes a table (file,
-record, offset, length, doc_id, n_tokens) for shuffled reads: read any subset of
-its rows in any order and seek.  ``read_records`` checks both checksums of every
+record, offset, length, doc_id, n_tokens) for shuffled reads: ``read_shuffled``
+takes any of its rows in any order, seeks to their offsets and reads no other frame.  ``read_records`` checks both checksums of every
 frame and raises ValueError on a damaged one.
 
 Null texts are empty texts: their record holds the end id alone.  Empty tables
@@ -156,6 +156,35 @@ def read_records(spark: SparkSession, folder: str, with_ids: bool = True) -> Dat
     return _files(spark, folder).mapInArrow(read, schema)
 
 
+def read_shuffled(spark: SparkSession, folder: str, places: DataFrame, batch: int = 4096) -> DataFrame:
+    """The records at index rows in an order of the caller's: (place, doc_id, n_tokens, ids), sorted by ``place``.
+
+    ``places`` has (place, file, offset); a record may be asked for several times.  The rows are
+    dealt by file and by blocks of ``batch`` places, each block seeks its own offsets, and both
+    checksums of a frame that is read are checked.  The records are then sorted into the order of
+    their places, over ranges of it."""
+    blocks = places.groupBy("file", (F.col("place") / batch).cast("long").alias("block")).agg(F.collect_list(F.struct("place", "offset")).alias("wanted"))
+
+    def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for content, wanted in zip(b.column("content"), b.column("wanted").to_pylist(), strict=True):
+                view, columns = memoryview(content.as_buffer()), [[], [], [], []]
+                for w in wanted:
+                    length = struct.unpack_from("<Q", view, w["offset"])[0] if w["offset"] + HEAD_BYTES <= len(view) else 0
+                    end = w["offset"] + HEAD_BYTES + length + TAIL_BYTES + 1
+                    _, payload = next(frames(view[w["offset"] : end]), (0, None))
+                    if payload is None:
+                        raise ValueError(f"no frame at byte {w['offset']}")
+                    doc_id, ids = parse(payload)
+                    for column, value in zip(columns, (w["place"], doc_id, len(ids), ids.tobytes()), strict=True):
+                        column.append(value)
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["place", "doc_id", "n_tokens", "ids"])
+
+    rows = _files(spark, folder).join(blocks, "file").select("content", "wanted").mapInArrow(seek, "place long, doc_id long, n_tokens long, ids binary")
+    return rows.repartitionByRange("place").sortWithinPartitions("place")
+
+
 def file_starts(index: DataFrame) -> DataFrame:
     """(file, file_start): ids in all files before; one row per file."""
     totals = index.groupBy("file").agg(F.sum("n_tokens").alias("n"))

@@ -236,3 +236,88 @@ def test_every_query_has_sql_or_a_brute_force_test():
     source = "".join(open(os.path.join(here, name)).read() for name in os.listdir(here) if name.endswith(".py"))
     for name in tested.values():
         assert f"def {name}" in source, name
+
+
+# ---------------------------------------------------------------- additions to op4, op7 and op9
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+
+
+def test_training_sample_is_bounded_by_rows(spark):
+    from bagyard.llm.labelled import held_out, training_sample
+    from pyspark.sql import functions as F
+
+    docs = documents(spark, [(1, f"copy {k}") for k in range(3000)] + [(i, f"text {i}") for i in range(2, 200)]).repartition(6)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 200)] + [(1, 1, 0)] * 50 + [(None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
+    sample, weight = training_sample(docs, labels, "quality", 5, 0, 10, 100)
+    rows = sample.collect()
+    assert len(rows) == len({r["_id"] for r in rows}) <= 20 and {r.label for r in rows} == {0, 1}
+    known = labels.where(~held_out(F.col("doc_id"), 5, 0) & F.col("quality").isNotNull()).select("doc_id").distinct().count()
+    assert sum(weight.values()) * 10 == known
+    whole, weight = training_sample(docs, labels, "quality", 5, 0, 10_000, 100)
+    assert whole.count() == known and set(weight.values()) == {1.0}
+    assert sample.collect() == rows
+
+
+def test_op7_shuffled_reads_seek_by_the_index(spark):
+    from bagyard.llm import token_records
+    from bagyard.llm.frames import scratch_path, tokenizer_file
+
+    ship(spark)
+    rng = random.Random(2)
+    docs = documents(spark, [(i, None if i % 11 == 0 else "word é " * rng.randrange(30)) for i in range(120)] + [(None, "x"), (7, "again")])
+    folder = scratch_path(spark, "records")
+    token_records.write_records(docs.repartition(4), f"{folder}/data", tokenizer_file("byte_bpe_50k.json"))
+    token_records.write_index(spark, f"{folder}/data", f"{folder}/index")
+    index = spark.read.parquet(f"{folder}/index").collect()
+    whole = {(r.file, r.record): (r.doc_id, r.ids) for r in token_records.read_records(spark, f"{folder}/data").collect()}
+    order = [rng.choice(index) for _ in range(300)]  # any order, some several times, some never
+    places = spark.createDataFrame([(k, r.file, r.offset) for k, r in enumerate(order)], "place long, file int, offset long")
+    got = token_records.read_shuffled(spark, f"{folder}/data", places.repartition(3), batch=16).collect()
+    assert [r.place for r in got] == list(range(300))
+    assert [(r.doc_id, r.ids) for r in got] == [whole[(r.file, r.record)] for r in order] and all(r.n_tokens * 4 == len(r.ids) for r in got)
+    assert token_records.read_shuffled(spark, f"{folder}/data", places.limit(0)).count() == 0
+    with pytest.raises(Exception, match="checksum|cut short"):
+        token_records.read_shuffled(spark, f"{folder}/data", places.limit(1).selectExpr("place", "file", "offset + 1 AS offset")).collect()
+
+
+def test_op4_scores_are_the_noisy_or_of_sentences(spark):
+    import numpy as np
+
+    from bagyard.llm import toxicity
+
+    ship(spark)
+    model = toxicity.Model(np.random.default_rng(1).normal(0, 1, toxicity.BUCKETS).astype(np.float32), -2.0)
+    texts = [None, "", "...", "One two", "One two. Three four! five?six\nSeven", "é ü. \r\n 12 3. Word WORD word", "a. " * 300]
+    got = {r.doc_id: r.score for r in toxicity.score(documents(spark, list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        none = 1.0
+        for sentence in re.split(r"[.!?\r\n]", text or ""):
+            data = np.frombuffer(sentence.encode(), np.uint8)
+            *_, buckets = toxicity.instances(data, np.array([0, len(data)]))
+            if len(buckets):
+                logit = sum(float(model.weights[b]) for b in buckets.ravel()) + model.bias
+                none *= 1 - 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
+        assert abs(got[i] - (1 - none)) < 1e-5, text
+
+
+def test_op9_scores_are_the_softmax_of_the_mean(spark):
+    import numpy as np
+
+    from bagyard.llm import quality
+
+    ship(spark)
+    rng = np.random.default_rng(4)
+    vectors, layer, bias = rng.normal(0, 1, (quality.BUCKETS, 8)), rng.normal(0, 1, (2, 8)), rng.normal(0, 1, 2)
+    model = quality.Model((vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
+    texts = [None, "", "a", "ab", "One two two three", "é ü é ü\nword " * 40]
+    got = {r.doc_id: r.score for r in quality.score(documents(spark, list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        buckets = np.concatenate([b for b, _ in quality.features(data, np.array([0, len(data)]))]) if len(data) else []
+        hidden = vectors[buckets].mean(axis=0) if len(buckets) else np.zeros(8)
+        logits = layer @ hidden + bias
+        p = np.exp(logits - logits.max())
+        assert abs(got[i] - p[1] / p.sum()) < 1e-4, text

@@ -153,7 +153,7 @@ def s07(s, d):
     checkpoint folder, read back whole and cleaned (F05)."""
     path = _scratch(s, "s07")
     (T.messages(s, d).select("deposit_id", F.col("text").alias("value"))
-     .repartition(16, "deposit_id")  # each deposit's file written once, by one of many tasks
+     .repartition("deposit_id")  # each deposit's file written once, by one of many tasks
      .write.partitionBy("deposit_id").text(path))
     m = scans.read_whole_texts(s, path)
     return m.select("deposit_id", "text", TX.clean_message(F.col("text")).alias("message"))

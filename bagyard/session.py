@@ -8,8 +8,11 @@ where they are unset: a cluster names its shared checkpoint folder in
 from __future__ import annotations
 
 import os
-import uuid
 import tempfile
+import threading
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -103,6 +106,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or scratch
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that :func:`cut_lineage` writes within this block when it ends.
+
+    For jobs that write their outputs inside it: a stream would otherwise leave the
+    intermediate tables of every micro-batch behind."""
+    outer, mine = getattr(_scopes, "paths", None), []
+    _scopes.paths = mine
+    try:
+        yield
+    finally:
+        _scopes.paths = outer
+        for path in mine:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "t") -> DataFrame:
     """Materialise an intermediate table in the shared checkpoint folder and
     read it back.
@@ -114,5 +137,7 @@ def cut_lineage(df: DataFrame, name: str = "t") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    if getattr(_scopes, "paths", None) is not None:
+        _scopes.paths.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)

@@ -26,16 +26,17 @@ def main() -> None:
 
     from bagyard.plans import dataset_job as DJ
     from bagyard.plans.corpus import corpus_inputs
-    from bagyard.session import configure
+    from bagyard.session import configure, intermediate_tables
     from bagyard.sources import scans, sinks
 
     spark = SparkSession.builder.getOrCreate()
     configure(spark, cluster=not spark.sparkContext.master.startswith("local["))
-    inp = corpus_inputs(spark, a.root, spark.read.parquet(a.settings), spark.read.parquet(a.disciplines),
-                        scans.license_catalog(spark, a.license_properties, a.license_dir))
-    res = DJ.stage_datasets(inp)
-    sinks.write_staged_set(res.tables(a.remark_date), f"{a.out}/staged", inp.deposits)
-    sinks.write_outcome(inp.deposits, res.rejects, f"{a.out}/log", a.run_id)
+    with intermediate_tables(spark):
+        inp = corpus_inputs(spark, a.root, spark.read.parquet(a.settings), spark.read.parquet(a.disciplines),
+                            scans.license_catalog(spark, a.license_properties, a.license_dir))
+        res = DJ.stage_datasets(inp)
+        sinks.write_staged_set(res.tables(a.remark_date), f"{a.out}/staged", inp.deposits)
+        sinks.write_outcome(inp.deposits, res.rejects, f"{a.out}/log", a.run_id)
 
 
 if __name__ == "__main__":

@@ -21,3 +21,23 @@ def test_scale_defaults_applied_only_when_unset(spark):
     for key in SCALE_DEFAULTS:
         assert spark.conf.get(key) is not None
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_intermediate_tables_are_dropped(spark):
+    import os
+
+    from bagyard.session import checkpoint_dir, cut_lineage, intermediate_tables
+
+    def there():
+        folder = checkpoint_dir(spark).removeprefix("file:") + "/tables"
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    kept = cut_lineage(spark.range(3).toDF("x"), "kept")
+    before = there()
+    with intermediate_tables(spark):
+        inner = cut_lineage(spark.range(5).toDF("x"), "inner")
+        assert inner.count() == 5 and len(there()) == len(before) + 1
+        with intermediate_tables(spark):
+            cut_lineage(spark.range(2).toDF("x"), "inmost")
+        assert len(there()) == len(before) + 1 and inner.count() == 5
+    assert there() == before and kept.count() == 3

@@ -194,6 +194,16 @@ def parse_config(documents: DataFrame) -> DataFrame:
     return ds.unionByName(rel, allowMissingColumns=True)
 
 
+def config_rows(namespace: str, datastreams: DataFrame, relations: DataFrame) -> DataFrame:
+    """The rows of :func:`parse_config` for items (files or folders), straight from their tables."""
+    keys = ["deposit_id", "sdo_name", F.lit(namespace).alias("namespace")]
+    nth = (F.col("ord") - 1).cast("int").alias("nth")
+    ds = datastreams.select(*keys, F.lit("datastream").alias("element"), nth, F.col("ds_id").alias("name"), *[c for c in DS_COLS if c not in ("deposit_id", "sdo_name", "ord", "ds_id")])
+    of = lambda kind: F.when(F.col("object_kind") == kind, F.col("object"))
+    rel = relations.select(*keys, F.lit("relation").alias("element"), nth, F.col("predicate").alias("name"), of("object").alias("object"), of("objectSDO").alias("object_sdo"), "is_literal")
+    return ds.unionByName(rel, allowMissingColumns=True)
+
+
 # ------------------------------------------------------------------ N04
 def admin_facts(datasets: DataFrame, info: DataFrame) -> DataFrame:
     """N04 facts: state, previous state and change date when not DRAFT,

@@ -783,3 +783,5 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NUL
     "R01_arrival_staging": _with(ITEM_CTES, "SELECT * FROM ifiles", *ITEM_BINDINGS),
 }
 ORACLES["R01_deposit_arrival"] = ORACLES["N10_staging_job"]
+ORACLES["N02_file_documents"] = ORACLES["N02_file_config"]
+ORACLES["N03_folder_documents"] = ORACLES["N03_folder_config"]

@@ -685,11 +685,25 @@ def _file_items(s, d) -> DataFrame:
 
 @q("N02_file_config")
 def n02(s, d):
+    f = _file_items(s, d)
+    return D.config_rows(K.NS_FILE, D.file_datastreams(f), D.item_relations(f, K.MODEL_FILE))
+
+
+@q("N02_file_documents")
+def n02d(s, d):
+    """The configuration documents of the files, rendered and read back."""
     return D.parse_config(D.file_configs(_file_items(s, d)))
 
 
 @q("N03_folder_config")
 def n03(s, d):
+    f = D.folder_sdos(_payload_entries(s, d))
+    return D.config_rows(K.NS_FOLDER, D.folder_datastreams(f), D.item_relations(f, K.MODEL_FOLDER))
+
+
+@q("N03_folder_documents")
+def n03d(s, d):
+    """The configuration documents of the folders, rendered and read back."""
     return D.parse_config(D.folder_configs(D.folder_sdos(_payload_entries(s, d))))
 
 

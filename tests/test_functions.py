@@ -224,7 +224,7 @@ def test_nearest_ancestor(spark):
     anc = joins.nearest_ancestor(req, cat)
     got = {r.request_id: (r.ancestor_path, r.ancestor_pid) for r in anc.collect()}
     assert got == {1: ("", "ds:1"), 2: ("a/b", "f:ab"), 3: ("a", "f:a"), 4: ("t/u", "f:t"), 5: ("", "ds:2")}
-    par = joins.request_parent(req.join(anc, "request_id"))
+    par = joins.request_parent(anc)
     pk = {r.request_id: (r.parent_kind, r.parent_object) for r in par.collect()}
     assert pk[1] == ("object", "info:fedora/ds:1")
     assert pk[2] == ("object", "info:fedora/f:ab")

@@ -193,6 +193,8 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame, percent: in
     needs it: among classes with many pairs to each other a set travels at most as often as the grid has rows.
     The grid grows with the sets, so that a cell holds about ``CELL_BYTES``."""
     pairs = cut_lineage(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls").select("cls", "rep_key", "n_shingles"), "wanted")
     size = 8 * (wanted.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0)
     side = max(4, -(-2 * size // CELL_BYTES))
@@ -321,13 +323,20 @@ def grouped(docs: DataFrame, percent: int = 75) -> DataFrame:
     stars = stars.groupBy("cls").agg(F.max(F.struct("shared", "hub")).alias("best")).select(F.col("cls").alias("a"), F.col("best.hub").alias("b"))
     links = cut_lineage(confirmed(docs, stars, classes, percent), "links")
     groups = cut_lineage(components(links), "groups")
-    for nearest in [True] * NEAREST_ROUNDS + [False]:
+    rounds = [True] * NEAREST_ROUNDS + [False]
+    while rounds:
+        nearest = rounds.pop(0)
         placed = members.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("key", "slot", "cls", F.coalesce("component", "cls").alias("component"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n")).where("c0 <> c1").select("key", "n")
+        mixed = cut_lineage(mixed, "mixed")
+        if mixed.isEmpty():  # no key has classes of two components: no later round can find a pair
+            break
         more = cut_lineage(confirmed(docs, later_pairs(placed.join(mixed, "key"), classes, nearest, percent), classes, percent), "more")
         if not more.isEmpty():
             links = cut_lineage(links.union(more), "links")
             groups = cut_lineage(components(links), "groups")
+        elif nearest:  # another such round would seek among the same classes
+            rounds = [False]
     named = classes.join(groups.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     named = cut_lineage(named, "named")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -26,8 +26,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
     known = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col(label).cast("int")).alias("label")).where("label IN (0, 1)")
     counts = {int(r["label"]): int(r["n"]) for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
-    order = W.partitionBy("label").orderBy(F.pmod(F.xxhash64(F.lit(seed), F.col("_id")), F.lit(1_000_000)), F.xxhash64(F.lit(seed), F.col("_id")), "_id")
-    chosen = F.broadcast(known.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= most).drop("_nth"))  # 2 * most rows at most
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col("_id")), F.lit(1 << 40))
+    near = F.lit(False)  # about twice as many as are taken go on, however many there are
+    for k, n in counts.items():
+        near = near | ((F.col("label") == k) & (place < int(min(1.0, 2.0 * most / n) * (1 << 40))))
+    order = W.partitionBy("label").orderBy(place, "_id")
+    chosen = F.broadcast(known.where(near).withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= most).drop("_nth"))  # 2 * most rows at most
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text.alias("text")).where(F.octet_length("text") <= most_bytes).join(chosen, "_id")
     one = F.row_number().over(W.partitionBy("_id").orderBy(F.xxhash64("text"), "text"))

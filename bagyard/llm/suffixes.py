@@ -141,11 +141,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     ``spans`` are all repeated passages, ``cuts`` those of which another copy stays: sorted, disjoint word ranges (end exclusive)."""
     suffixes = cut_lineage(kept_suffixes(docs), "suffixes")
     cores = suffixes.groupBy("core").agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1")).where("d0 <> d1").select("core")
-    shared = cut_lineage(suffixes.join(cores, "core"), "shared")
+    shared = cut_lineage(suffixes.join(cut_lineage(cores, "cores"), "core"), "shared")  # written, so that a common core is split in the join
     place = F.struct("doc_id", "row", "pos", "key")
     groups = shared.groupBy("core", "ctx").agg(F.max("doc_id").alias("d1"), F.min(place).alias("first"), F.max("most").alias("most"), F.min("least").alias("least"))
     groups = cut_lineage(groups.select("core", "ctx", "d1", "first.*", "most", "least"), "contexts")
-    several = cut_lineage(groups.groupBy("core").agg((F.count(F.lit(1)) > 1).alias("several")), "several")  # written, so that a common core is split in the join
+    several = cut_lineage(groups.groupBy("core").agg((F.count(F.lit(1)) > 1).alias("several")), "several")  # written for the same reason
     groups = cut_lineage(groups.join(several, "core").drop("core"), "counted")
 
     whole = groups.where("NOT several").select("ctx", F.struct("doc_id", "row", "pos").alias("stays"), "most", "least")

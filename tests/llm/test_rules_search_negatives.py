@@ -321,3 +321,22 @@ def test_op9_scores_are_the_softmax_of_the_mean(spark):
         logits = layer @ hidden + bias
         p = np.exp(logits - logits.max())
         assert abs(got[i] - p[1] / p.sum()) < 1e-4, text
+
+
+def test_op9_features_by_hand(spark):
+    import numpy as np
+
+    from bagyard.llm import quality
+
+    texts = ["", "ab", "a b a", "été été 東京東京", "x y\nx y", "\U0001f600éaé"]
+    raw = [t.encode() for t in texts]
+    found = quality.features(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])))
+    counts = [[int((owner == i).sum()) for _, owner in found] for i in range(len(texts))]
+    for text, got in zip(texts, counts, strict=True):
+        n = len(text.split())
+        assert got == [n, max(0, n - 1), max(0, len(text) - 2), max(0, len(text) - 3)], text
+    alone = quality.features(np.frombuffer(raw[3], np.uint8), np.array([0, len(raw[3])]))
+    for (b, owner), (a, _) in zip(found, alone, strict=True):
+        assert np.array_equal(b[owner == 3], a)  # a text has the same features wherever it lies in a batch
+    grams = dict(zip((3, 4), found[2:], strict=True))
+    assert len(set(grams[3][0][grams[3][1] == 3])) == len({texts[3][i : i + 3] for i in range(len(texts[3]) - 2)})

@@ -41,3 +41,31 @@ def test_intermediate_tables_are_dropped(spark):
             cut_lineage(spark.range(2).toDF("x"), "inmost")
         assert len(there()) == len(before) + 1 and inner.count() == 5
     assert there() == before and kept.count() == 3
+
+
+def test_keys_of_a_compressed_table_are_not_broadcast_by_estimate(spark, tmp_path):
+    """The keys of a wide table that compresses well are a few MB by file size and column widths, whatever their number."""
+    from pyspark.sql import functions as F
+
+    wide = spark.range(400_000).select("id", *[F.concat(F.lit(f"c{i}-"), F.col("id") * (i + 1)).alias(f"c{i}") for i in range(6)])
+    wide.coalesce(1).write.parquet(f"{tmp_path}/wide")
+    left = spark.range(10_000_000).withColumn("x", F.lit(1))
+    plan = left.join(spark.read.parquet(f"{tmp_path}/wide").select("id"), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" in left.join(spark.range(25).where("id > 3").withColumnRenamed("id", "k").selectExpr("k AS id"), "id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_session_keeps_its_own_broadcast_threshold():
+    from bagyard.session import BROADCAST, configure
+
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Session:
+        conf = Conf({"spark.sql.autoBroadcastJoinThreshold": "1m"})
+
+    configure(Session)
+    assert Session.conf["spark.sql.autoBroadcastJoinThreshold"] == "1m" and "spark.sql.adaptive.autoBroadcastJoinThreshold" not in Session.conf
+    Session.conf = Conf()
+    configure(Session)
+    assert BROADCAST.items() <= Session.conf.items()

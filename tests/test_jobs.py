@@ -267,3 +267,71 @@ def test_quirks_q3_q4_q18(spark):
     files = spark.createDataFrame([(1, "a/b/f.txt", False), (1, "empty", True)], "deposit_id long, dataset_path string, is_dir boolean")
     got = {(r.dataset_path, r.parent_sdo) for r in D.folder_sdos(files).collect()}
     assert got == {("a", K.DATASET_SDO), ("a/b", "a"), ("empty", K.DATASET_SDO)}
+
+
+def test_documents_are_rendered_and_parsed_once(spark):
+    from bagyard.plans import documents as D
+
+    files = spark.createDataFrame([(1, "a_b", "p", "M", None, "text/plain", "c1")],
+                                  "deposit_id long, sdo_name string, parent_sdo string, control_group string, ds_location string, mime_type string, checksum string")
+    plan = D.parse_config(D.file_configs(files))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1 and "Union" not in plan
+    sdos = spark.createDataFrame([(1, "s", "a label", "owner", "text/plain")], "deposit_id long, sdo_name string, label string, owner_id string, mime_type string")
+    read = D.parse_foxml(D.render_foxml(sdos))
+    assert read._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 1
+    assert [tuple(r) for r in read.collect()] == [(1, "s", "Active", "a label", "owner", "a label", "text/plain")]
+
+
+def test_configuration_without_one_of_its_lists(spark):
+    from bagyard.plans import documents as D
+
+    docs = spark.createDataFrame([(1, "s", '{"namespace":"n","relations":[{"predicate":"p","object":"o"}]}'), (2, "s", '{"namespace":"n","datastreams":[{"dsId":"manifest-sha1.txt"}]}'), (3, "s", None)],
+                                 "deposit_id long, sdo_name string, content string")
+    rows = sorted((r.deposit_id, r.namespace, r.element, r.nth, r.name, r.object) for r in D.parse_config(docs).collect())
+    assert rows == [(1, "n", "relation", 0, "p", "o"), (2, "n", "datastream", 0, "manifest-sha1.txt", None)]
+
+
+def test_every_failure_of_a_deposit_is_collected(spark):
+    """The failures of later checks count too, of the deposit and of all its files."""
+    from dataclasses import fields
+
+    from bagyard.operators import aggs
+
+    like = DJ.testdata_inputs(spark, SF)
+    good = dict(owner_id="u", state="DRAFT", urn="urn", doi="doi", other_access_doi=False, archive="EASY", include_bag_metadata=True, skip_payload=False, access_category=K.ACCESS_CATEGORY_RIGHTS[0][0])
+    entry = lambda d, path: dict(deposit_id=d, path=path, size=1, is_dir=False)
+    md = lambda d, path, *formats: dict(deposit_id=d, filepath=path, format=list(formats), title=[], access_rights=[], accessible_to=[], visible_to=[])
+    manifest = [dict(deposit_id=1, algorithm="sha1", line_no=1, raw="f data/a"), dict(deposit_id=1, algorithm="sha1", line_no=2, raw="e data/c")]
+    given = {
+        "deposits": [dict(deposit_id=1, **{**good, "state": "LOST", "archive": "TAPE", "urn": None}), dict(deposit_id=2, **good), dict(deposit_id=3, **{**good, "skip_payload": True, "owner_id": " "})],
+        "payload_files": [entry(1, "data/a"), entry(1, "data/b"), entry(2, "data/a"), entry(3, "data/a")],
+        "file_metadata": [md(1, "data/a", "text/plain"), md(1, "data/b", "text/plain", "text/csv"), md(2, "data/a", "text/plain")],
+        "sha1_manifest_lines": manifest, "payload_manifest_lines": manifest,
+        "file_uris": [dict(deposit_id=1, path="data/b", uri="odd://x")],
+        "bag_documents": [dict(deposit_id=d, name=f"metadata/{n}.xml", length=1) for d, n in ((1, "dataset"), (1, "files"), (2, "dataset"), (2, "files"))],
+    }
+    tables = {f.name: spark.createDataFrame(given.get(f.name, []), getattr(like, f.name).schema, verifySchema=False) for f in fields(like) if getattr(like, f.name) is not None and f.name not in ("bad_uri_lines", "bag_contents")}
+    bad = spark.createDataFrame([(1, "no uri"), (1, "nor here"), (9, "unknown deposit")], "deposit_id long, line string")
+    found = DJ.all_failures(DJ.DatasetInputs(**tables, bad_uri_lines=bad))
+    codes = sorted((r.deposit_id, r.code) for r in found.collect())
+    assert codes == [(1, c) for c in ["bad_manifest_line"] * 2 + ["bad_uri_mapping_line"] * 2 + ["bad_url", "format_not_unique", "invalid_archive", "invalid_state", "uri_not_in_bag", "urn_missing"]] + [
+        (3, c) for c in ["bag_metadata_missing"] * 2 + ["dataset_xml_missing", "owner_missing"]]
+    assert sorted((r.deposit_id, r.n_failures, r.n_codes) for r in aggs.collect_failures(found).collect()) == [(1, 10, 8), (3, 4, 3)]
+
+
+def test_arrivals_are_sized_by_rows(spark, tmp_path):
+    """One arrival with all rows is written by many tasks, and all of its files are one micro-batch."""
+    from bagyard.streaming.arrival import write_arrivals
+
+    rows = spark.range(0, 200_000, 1, 8).select(F.col("id").alias("request_id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        per_batch = write_arrivals(rows, F.pmod(F.col("request_id"), F.lit(1)), 1, f"{tmp_path}/all")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    back = spark.read.schema(rows.schema).parquet(f"{tmp_path}/all/*")
+    assert per_batch == len(back.inputFiles()) > 4 and back.distinct().count() == 200_000
+    few = rows.where("request_id < 40")
+    assert write_arrivals(few, F.pmod(F.col("request_id"), F.lit(4)), 4, f"{tmp_path}/few") == 1
+    assert len(spark.read.parquet(f"{tmp_path}/few/*").inputFiles()) == 4

@@ -69,3 +69,20 @@ def test_a_session_keeps_its_own_broadcast_threshold():
     Session.conf = Conf()
     configure(Session)
     assert BROADCAST.items() <= Session.conf.items()
+
+
+def test_a_table_of_a_hundred_thousand_keys_is_not_broadcast_by_its_measure(spark):
+    """The driver holds a broadcast table several times over, and a job has a dozen of them at once."""
+    from pyspark.sql import functions as F
+
+    from bagyard.session import BROADCAST
+
+    keys = spark.range(300_000).groupBy((F.col("id") % 100_000).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    few = spark.range(300_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    left = spark.range(2_000_000).select((F.col("id") * 7 % 1_000_000).alias("k")).distinct()
+    assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == BROADCAST["spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for right, broadcast in ((keys, False), (few, True)):
+        joined = left.join(right, "k", "left_semi")
+        assert len(joined.collect()) == right.count()
+        final = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert ("BroadcastHashJoin" in final) is broadcast

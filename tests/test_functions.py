@@ -350,3 +350,17 @@ def test_counter_examples(spark):
     assert [r[0] for r in uri] == [True, True, False]
     sdos = spark.createDataFrame([(1, "s", None, None, None)], "deposit_id long, sdo_name string, label string, owner_id string, mime_type string")
     assert 'NAME="info:fedora/fedora-system:def/model#ownerId" VALUE=""' in render_foxml(sdos).first()["content"]
+
+
+def test_ancestor_depths_are_the_ancestor_paths(spark):
+    from pyspark.sql import functions as F
+
+    from bagyard.functions import paths as P
+
+    paths = ["a/b/c", "a", "", None, "/a", "a/", "a//b", "/", "data/A/F/f.1.bin", "é/ü/x"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
+    by_array = df.select("i", F.explode(P.ancestor_paths("p")).alias("a"))
+    by_depth = df.select("i", "p", F.explode(P.ancestor_depths("p")).alias("d")).select("i", P.ancestor_at("p", "d").alias("a"))
+    got = sorted((r.i, r.a) for r in by_depth.collect())
+    assert got == sorted((r.i, r.a) for r in by_array.collect())
+    assert got == [(0, "a"), (0, "a/b"), (4, ""), (5, "a"), (6, "a"), (6, "a/"), (7, ""), (8, "data"), (8, "data/A"), (8, "data/A/F"), (9, "é"), (9, "é/ü")]

@@ -369,3 +369,26 @@ def test_only_the_first_bag_is_staged(spark, tmp_path):
 
     res = DJ.stage_datasets(inp)
     assert [r.code for r in first_failure(res.rejects).collect()] == ["dataset_xml_missing"]
+
+
+def test_store_listing_reads_the_listing_once(spark, tmp_path):
+    """The directories above the entries come from the same pass as the entries."""
+    from pyspark.sql import functions as F
+
+    from bagyard.sources import listing as L
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(1, "bag/data/a/x.txt", 5, False), (1, "bag/data/a/x.txt", 7, False), (1, "bag/data/a", None, True), (2, "deposit.properties", 1, False), (None, "bag/y", 3, False)]
+    L.store_listing(spark.createDataFrame(rows, L.SCHEMA).mapInArrow(counted, L.SCHEMA), f"{tmp_path}/stored")
+    assert seen.value == len(rows)
+    got = {(r.deposit_id, r.entry, r.size, r.is_dir) for r in spark.read.parquet(f"{tmp_path}/stored").select("deposit_id", "entry", "size", "is_dir").collect()}
+    assert got == {
+        (1, "bag/data/a/x.txt", 7, False), (1, "bag/data/a", None, True), (1, "bag/data", None, True), (1, "bag", None, True),
+        (2, "deposit.properties", 1, False), (None, "bag/y", 3, False), (None, "bag", None, True),
+    }

@@ -335,3 +335,17 @@ def test_arrivals_are_sized_by_rows(spark, tmp_path):
     few = rows.where("request_id < 40")
     assert write_arrivals(few, F.pmod(F.col("request_id"), F.lit(4)), 4, f"{tmp_path}/few") == 1
     assert len(spark.read.parquet(f"{tmp_path}/few/*").inputFiles()) == 4
+
+
+def test_config_arrays_are_collected_after_the_rows_are_dealt(spark):
+    """No task collects arrays of the rows that it happens to hold before they are dealt by SDO."""
+    from bagyard.plans import documents as D
+
+    streams = spark.createDataFrame([(1, "dataset", 2, "B"), (1, "dataset", 1, "A"), (2, "dataset", 1, "A")], "deposit_id bigint, sdo_name string, ord int, ds_id string")
+    streams = streams.selectExpr(*[c if c in streams.columns else f"CAST(NULL AS string) AS {c}" for c in D.DS_COLS])
+    rel = spark.createDataFrame([(1, "dataset", 1, "p", "object", "o", None)], "deposit_id bigint, sdo_name string, ord int, predicate string, object_kind string, object string, is_literal boolean")
+    out = D.config_json("ns", streams, rel)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 2 and "ENSURE_REQUIREMENTS" not in plan
+    rows = sorted((r.deposit_id, r.element, r.nth, r.name) for r in D.parse_config(out).select("deposit_id", "element", "nth", "name").collect())
+    assert rows == [(1, "datastream", 0, "A"), (1, "datastream", 1, "B"), (1, "relation", 0, "p"), (2, "datastream", 0, "A")]

@@ -13,8 +13,9 @@
    its ``NEAREST_KEYS`` largest ones.  That joins large groups of near copies by a
    few comparisons per class.  At last all pairs of a key that are
    still in different components and within the signature distance are compared.
-   Keys of more than ``SMALL_KEY`` classes are searched in blocks of ``BLOCK``.  A link
-   needs 100 * intersection >= 75 * union of the full sets.
+   Keys of more than ``SMALL_KEY`` classes are searched in blocks of ``BLOCK``, those of
+   the key's largest component only against the others'.  A link needs
+   100 * intersection >= 75 * union of the full sets.
 
 A class also has a parity sketch: bit i tells whether an odd number of its members
 falls into bucket i.  Each bit in which two sketches differ stands for at least one
@@ -237,6 +238,25 @@ def _first_slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return shares.reshape(len(a), -1).argmax(axis=1)
 
 
+def meetings(many: DataFrame, facts: DataFrame) -> DataFrame:
+    """``many`` (key, cls, component, ...) with the ``facts`` of its classes (cls, ...), with block, and lo and hi of every pair of blocks that the class takes part in.
+
+    Only classes of different components need to meet.  Blocks without the key's largest component come first and
+    meet all blocks; the largest one's meet them only, so that it is not paired with itself.  Keys of one component go."""
+    sizes = many.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
+    sizes = sizes.groupBy("key").agg(F.sum("held").alias("n"), F.max(F.struct("held", "component")).alias("main")).where("n > main.held")
+    many = many.join(sizes, "key").join(facts, "cls")
+    count = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    whole, of_main = F.col("n") <= BLOCK, F.col("component") == F.col("main.component")
+    rests, mains = count(F.col("n") - F.col("main.held")), count(F.col("main.held"))
+    deal = lambda blocks: F.pmod(F.xxhash64("cls", "key"), blocks).cast("int")
+    block = F.when(whole, F.lit(0)).when(of_main, rests + deal(mains)).otherwise(deal(rests))
+    last = F.when(whole, F.lit(0)).when(of_main, rests - 1).otherwise(rests + mains - 1)
+    many = many.withColumns({"block": block, "last": last})
+    meets = F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.struct(F.least(i, F.col("block")).alias("lo"), F.greatest(i, F.col("block")).alias("hi")))
+    return many.withColumn("meet", F.explode(meets)).withColumns({"lo": F.col("meet.lo"), "hi": F.col("meet.hi")}).drop("meet", "last", "n", "main")
+
+
 def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool, percent: int = 75) -> DataFrame:
     """Pairs (a, b) that share a key, lie in different components, are within the signature distance and not proven to be no link
     by their sketches; with ``nearest`` one for each class.
@@ -268,12 +288,7 @@ def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool, percent:
     if nearest:  # the last round looks through all keys
         largest = W.partitionBy("cls").orderBy(F.desc("n"), "key", "slot")
         many = many.withColumn("nth", F.row_number().over(largest)).where(F.col("nth") <= NEAREST_KEYS).drop("n", "nth")
-        many = many.join(many.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key").where("n > 1")
-    many = many.join(sig, "cls")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    many = many.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cls", "key"), F.col("blocks")).cast("int"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, F.col("block")).alias("lo"), F.greatest(i, F.col("block")).alias("hi")))
-    many = many.withColumn("meet", F.explode(meets)).select("key", "slot", "meet.lo", "meet.hi", "block", "cls", "component", "sig", "sketch", "size")
+    many = meetings(many.drop("n"), sig)
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(frame["sig"]), np.uint16).reshape(-1, SYMBOLS)

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bagyard.llm.frames import apart, cut_lineage, one_row_each, rank_within, running
@@ -169,11 +169,19 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float =
 
     Of rows that repeat an id, a text and a source, the first by its other columns stands for all: it comes as often as they do together."""
     mine = apart(docs, ("doc_id", "text", "source"))
-    copies = mix(mine, weights, share, most, seed).groupBy("doc_id", "text_hash", "source").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_n")).where("_copies > 0")
-    copies = cut_lineage(copies.withColumnsRenamed({"doc_id": "_id", "text_hash": "_h", "source": "_source"}), "copies")
-    source = F.col("source").cast("string")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")) & source.eqNullSafe(F.col("_source"))
-    once = mine.join(copies.where("_n = 1"), same).drop("_id", "_h", "_source", "_n")
-    several = one_row_each(mine.join(copies.where("_n > 1"), same).drop("_id", "_h", "_source", "_n"), F.col("doc_id"), F.xxhash64("text"), source)
-    out = once.unionByName(several).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    copies = mix(mine, weights, share, most, seed).groupBy("doc_id", "text_hash", "source").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    copies = cut_lineage(_keyed(copies, F.col("text_hash")).select(*KEY, "_copies"), "copies")
+    # dealt by the key once, for the first rows and for the join: the texts are moved one time
+    first = one_row_each(_keyed(mine, F.xxhash64("text")), *[F.col(k) for k in KEY])
+    out = first.join(copies, KEY).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return out.select(*[F.col(f"`{c}`") for c in mine.columns]).toDF(*docs.columns)
+
+
+KEY = ["_id", "_no_id", "_hash", "_source", "_no_source"]
+
+
+def _keyed(rows: DataFrame, text_hash: Column) -> DataFrame:
+    """``rows`` with doc_id, hash of the text and source as columns without nulls."""
+    doc_id, source = F.col("doc_id").cast("long"), F.col("source").cast("string")
+    parts = [F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), text_hash, F.coalesce(source, F.lit("")), source.isNull()]
+    return rows.withColumns(dict(zip(KEY, parts, strict=True)))

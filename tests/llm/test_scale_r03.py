@@ -50,15 +50,16 @@ def test_mixed_reads_and_moves_the_texts_once(spark, tmp_path):
 
 
 def test_a_written_table_leaves_no_shuffle_files(spark):
-    def shuffles() -> int:
+    def shuffles() -> set[str]:
         files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
 
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    held = shuffles()
+    before, held = spark.conf.get(name, None), shuffles()
     out = cut_lineage(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count(), "t")
-    until = time.time() + 10
-    while shuffles() > held and time.time() < until:
+    until = time.time() + 3
+    while shuffles() - held and time.time() < until:
         time.sleep(0.1)
-    assert shuffles() <= held and out.count() == 100 and spark.conf.get(name, None) == before
+    assert not shuffles() - held
+    assert out.count() == 100 and spark.conf.get(name, None) == before

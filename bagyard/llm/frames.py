@@ -13,9 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bagyard.llm.textbytes import mix
-from bagyard.session import checkpoint_dir, cut_lineage
+from bagyard.session import checkpoint_dir, cut_lineage, written
 
-__all__ = ["apart", "bloom", "cut_lineage", "in_bloom", "one_row_each", "rank_within", "running", "scratch_path", "ship", "table", "tokenizer_file"]
+__all__ = ["apart", "bloom", "cut_lineage", "in_bloom", "one_row_each", "rank_within", "running", "scratch_path", "ship", "table", "tokenizer_file", "written"]
 
 
 def ship(spark: SparkSession) -> None:

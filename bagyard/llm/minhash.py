@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from bagyard.llm import textbytes as B
 from bagyard.llm.components import components
-from bagyard.llm.frames import apart, bloom, cut_lineage, in_bloom, one_row_each
+from bagyard.llm.frames import apart, bloom, cut_lineage, in_bloom, one_row_each, written
 from bagyard.llm.shingles import shingle_sets
 
 SYMBOLS, CHUNKS = 64, 16
@@ -319,7 +319,8 @@ def later_pairs(members: DataFrame, classes: DataFrame, nearest: bool, percent:
     found = pairs.union(many.groupBy("key", "lo", "hi").applyInPandas(meet, "a long, b long, errors int"))
     if not nearest:
         return found.select("a", "b").distinct()
-    both = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "errors"))
+    # a union of both directions would compare all blocks twice
+    both = found.select("errors", F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
     best = both.groupBy("a").agg(F.min(F.struct("errors", "b")).alias("best"))
     return best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
 
@@ -346,7 +347,8 @@ def grouped(docs: DataFrame, percent: int = 75) -> DataFrame:
         mixed = cut_lineage(mixed, "mixed")
         if mixed.isEmpty():  # no key has classes of two components: no later round can find a pair
             break
-        more = cut_lineage(confirmed(docs, later_pairs(placed.join(mixed, "key"), classes, nearest, percent), classes, percent), "more")
+        with written(placed.join(mixed, "key"), "placed") as met:  # read five times: as a plan, each would be joined again
+            more = cut_lineage(confirmed(docs, later_pairs(met, classes, nearest, percent), classes, percent), "more")
         if not more.isEmpty():
             links = cut_lineage(links.union(more), "links")
             groups = cut_lineage(components(links), "groups")
